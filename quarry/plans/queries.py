@@ -1,0 +1,481 @@
+"""Registered queries: one per operator of the inventory, each over the
+whole given tables (or data Spark derives from them).
+
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose
+column names match the DuckDB oracle in ``oracles.py``.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import fixtures as fx
+from ..functions.text import capitalize, regex_rules, truncate_width
+from ..functions.times import (epoch_millis_ntz, epoch_ms_to_text, epoch_ms_to_timestamp_ntz)
+from ..operators.conform import conform, empty_like
+from ..operators.dedup import deduplicate
+from ..operators.flatten import coalesce_choice, flatten_all, flatten_struct
+from ..operators.mapping import apply_mapping
+from ..operators.projection import named_projection, sql_projection
+from ..operators.quality import key_constraint_report, row_count_gate
+from ..operators.upsert import upsert_guarded, upsert_replace
+from ..session import run_path
+from ..sinks.publish import full_refresh, publish_upsert, read_bucketed, write_bucketed
+from ..sources.descriptor import descriptor_schema, descriptor_sql
+from ..sources.scan import add_date_partitions, read_parquet_glob, read_rolling, read_table
+from ..sources.zones import ingest_zone
+from ..streaming.incremental import incremental_upsert
+from .pipeline import PipelineConfig, RECIPES, load_curated, run_batch, run_pipeline, transform
+
+
+def _utc(spark: SparkSession) -> None:
+    # Epoch ⇄ text conversions go through the session zone; the registered
+    # queries are defined in UTC.
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+# ------------------------------------------------------------------ sources
+
+def q_scan_catalog(spark, sf):
+    return read_table(spark, f"{sf}/orders.parquet")
+
+
+ROLLING = {"componentwise": (dt.date(2024, 1, 20), 5), "date": (dt.date(2024, 1, 25), 3)}
+
+
+def _rolling(mode):
+    def q(spark, sf):
+        path = fx.write_events_by_day(spark, sf, run_path(spark, "events_by_day"))
+        as_of, days = ROLLING[mode]
+        return read_rolling(spark, path, days, as_of, mode=mode)
+    return q
+
+
+EVENT_DESCRIPTOR = {"event_id": "long", "event_type": "string", "props": {"k": "long"},
+                    "sql": "select event_id, event_type, props.k as k from teste"}
+
+
+def q_schema_from_descriptor(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    st = descriptor_schema(EVENT_DESCRIPTOR)
+    parsed = ev.select(F.col("event_id").try_cast(st["event_id"].dataType).alias("event_id"),
+                       F.col("event_type"),
+                       F.from_json(F.col("props"), st["props"].dataType).alias("props"))
+    return named_projection({"teste": parsed}, descriptor_sql(EVENT_DESCRIPTOR))
+
+
+def q_zone_ingest(spark, sf):
+    landing = run_path(spark, "landing")
+    processing = run_path(spark, "processing")
+    sources = fx.write_zone(spark, sf, landing)
+    schemas = {n: fx.table(spark, sf, n).schema for n in sources}
+    zone = ingest_zone(spark, sources, processing, schemas)
+    keys = {"customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name")}
+    parts = [zone[n].agg(F.lit(n).alias("entity"), F.count(F.lit(1)).alias("n_rows"),
+                         F.sum(F.col(k)).cast("bigint").alias("key_sum"),
+                         F.count_distinct(F.col(nm)).alias("n_names"))
+             for n, (k, nm) in keys.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def q_curated_refresh(spark, sf):
+    src = fx.write_curated_files(spark, sf, run_path(spark, "curated_src"))
+    out = load_curated(spark, f"{src}/drop=*/*.parquet", run_path(spark, "curated"), sort_key="o_orderkey")
+    return out.select(*ORDER_COLS)
+
+
+def q_row_count_gate(spark, sf):
+    src = fx.write_curated_files(spark, sf, run_path(spark, "curated_src"))
+    return row_count_gate(read_parquet_glob(spark, f"{src}/drop=*/*.parquet"))
+
+
+# ------------------------------------------------------------------ reshaping
+
+def q_flatten_struct(spark, sf):
+    return flatten_struct(fx.nested_orders(spark, sf))
+
+
+def q_flatten_all(spark, sf):
+    return flatten_all(fx.raw_orders(spark, sf))
+
+
+def q_flatten_two_arrays(spark, sf):
+    return flatten_all(fx.multi_array(spark, sf)).drop("m")
+
+
+def q_type_choice(spark, sf):
+    flat = flatten_all(fx.raw_orders(spark, sf))
+    text = F.col("_raw_data_lines_shippedAt_string")
+    parsed = epoch_millis_ntz(F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    out = coalesce_choice(flat, "_raw_data_lines_shippedAt", parse={"string": parsed}, to="shipped_ms")
+    return out.select(F.col("_raw_data_orderId").alias("order_id"),
+                      F.col("_raw_data_lines_lineNumber").alias("line_number"),
+                      F.col("_raw_data_lines_partKey").alias("part_key"),
+                      F.col("_raw_data_lines_suppKey").alias("supp_key"),
+                      F.col("_raw_data_lines_price").alias("price"),
+                      "shipped_ms")
+
+
+def q_dedup_latest_event(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    return deduplicate(ev, [{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}])
+
+
+def q_dedup_sequential(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return deduplicate(o, [
+        {"partitionby": ["o_custkey", "o_orderstatus"], "orderby": ["o_orderdate"], "tie_break": ["o_orderkey"]},
+        {"partitionby": ["o_custkey"], "orderby": ["o_totalprice"], "tie_break": ["o_orderkey"]},
+    ])
+
+
+ORDERS_MAPPING = [
+    ("key_txt", "string", "id", "bigint"),
+    ("cust_txt", "string", "cust", "long"),
+    ("price_txt", "string", "price", "double"),
+    ("o_orderstatus", "string", "status", "string"),
+    ("o_orderpriority", "string", "priority_num", "bigint"),
+    ("rank_txt", "string", "priority_rank", "int"),
+    ("created_ms", "long", "dt_created", "long"),
+]
+
+
+def _orders_as_text(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("key_txt"),
+                    F.col("o_custkey").cast("string").alias("cust_txt"),
+                    F.col("o_totalprice").cast("string").alias("price_txt"),
+                    "o_orderstatus", "o_orderpriority",
+                    F.substring("o_orderpriority", 1, 1).alias("rank_txt"),
+                    epoch_millis_ntz(F.col("o_orderdate")).alias("created_ms"))
+
+
+def q_apply_mapping(spark, sf):
+    return apply_mapping(_orders_as_text(spark, sf), ORDERS_MAPPING)
+
+
+PROJECTION_SQL = """
+select id, cust, status, price, priority_rank,
+       cast(from_unixtime(dt_created/1000) as timestamp_ntz) as dt_created
+from table
+where price > 100000;
+"""
+
+
+def q_sql_projection(spark, sf):
+    _utc(spark)
+    return sql_projection(apply_mapping(_orders_as_text(spark, sf), ORDERS_MAPPING), PROJECTION_SQL)
+
+
+def _events_ms(spark, sf):
+    ev = fx.table(spark, sf, "events")
+    return ev.select("event_id", epoch_millis_ntz(F.col("ts")).alias("ts_ms"))
+
+
+def q_epoch_ms_timestamp(spark, sf):
+    _utc(spark)
+    e = _events_ms(spark, sf)
+    return e.select("event_id", "ts_ms", epoch_ms_to_timestamp_ntz(F.col("ts_ms")).alias("ts_sec"))
+
+
+def q_epoch_ms_text(spark, sf):
+    _utc(spark)
+    e = _events_ms(spark, sf)
+    return e.select("event_id", epoch_ms_to_text(F.col("ts_ms")).alias("ts_text"))
+
+
+def q_capitalize_unaccent(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return capitalize(d.select("doc_id", "lang", "text"), ["text"])
+
+
+REGEX_RULES = [
+    {"field": "p_brand", "pattern": r"Brand#(\d+)", "replacement": "B-$1"},
+    {"field": "p_name", "pattern": r"\s+", "replacement": "_"},
+    {"field": "p_name", "pattern": r"^([a-z]+)_([a-z]+)$", "replacement": "$2 $1"},
+]
+
+
+def q_regex_clean(spark, sf):
+    p = fx.table(spark, sf, "part")
+    return regex_rules(p.select("p_partkey", "p_name", "p_brand"), REGEX_RULES)
+
+
+# ------------------------------------------------------------------ upserts / sinks
+
+def q_upsert_replace(spark, sf):
+    return upsert_replace(fx.orders_target(spark, sf), fx.orders_stage(spark, sf), "id")
+
+
+def q_upsert_guarded(spark, sf):
+    return upsert_guarded(fx.orders_target(spark, sf), fx.orders_stage(spark, sf), "id", "dt_updated")
+
+
+def q_upsert_guarded_keep_latest(spark, sf):
+    return upsert_guarded(fx.orders_target(spark, sf), fx.orders_stage(spark, sf), "id", "dt_updated",
+                          keep_latest=True)
+
+
+def q_upsert_publish_bucketed(spark, sf):
+    path = run_path(spark, "orders_table")
+    write_bucketed(fx.orders_target(spark, sf), path, "id", buckets=16)
+    publish_upsert(spark, fx.orders_stage(spark, sf), path, key="id", buckets=16)
+    return read_bucketed(spark, path)
+
+
+def q_upsert_publish_guarded(spark, sf):
+    path = run_path(spark, "orders_table")
+    write_bucketed(fx.orders_target(spark, sf), path, "id", buckets=16)
+    publish_upsert(spark, fx.orders_stage(spark, sf), path, key="id", buckets=16, guarded_by="dt_updated",
+                   keep_latest=True)
+    return read_bucketed(spark, path)
+
+
+def q_conform_to_target(spark, sf):
+    target = fx.orders_target(spark, sf)
+    incoming = target.select(F.col("dt_updated").alias("DT_UPDATED"), F.col("price").cast("string").alias("price"),
+                             "priority", "status", F.col("cust").cast("string").alias("cust"),
+                             F.col("id").cast("string").alias("id"))
+    shape = empty_like(spark, target.schema)  # O2: the target's shape, no rows
+    return conform(incoming, shape.schema)
+
+
+def q_truncate_width(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return truncate_width(d.select("doc_id", "text", "source"), {"text": 35, "source": 3})
+
+
+def q_key_constraint_report(spark, sf):
+    return key_constraint_report(fx.table(spark, sf, "lineitem"), "l_orderkey")
+
+
+def q_target_layout(spark, sf):
+    path = run_path(spark, "orders_sorted")
+    full_refresh(fx.table(spark, sf, "orders"), path, sort_key="o_orderkey", compression="zstd")
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ pipelines
+
+EVENTS_MAPPING = [
+    ("_raw_data_userId", "string", "id", "bigint"),
+    ("_raw_data_event_id", "long", "event_id", "bigint"),
+    ("_raw_data_event_type", "string", "label", "string"),
+    ("_raw_data_event_value", "double", "value", "double"),
+    ("_raw_data_event_at", "string", "dt_updated", "long"),
+    ("_emitted_at", "long", "dt_extraction", "long"),
+]
+EVENTS_SQL = """
+select id, event_id, label, value,
+       cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated,
+       from_unixtime(dt_extraction/1000) as dt_extraction
+from table;
+"""
+EVENTS_DEDUP = [{"partitionby": ["_raw_data_userId"], "orderby": ["_emitted_at", "_raw_data_event_id"]}]
+EVENTS_REGEX = [{"field": "label", "pattern": "^(ERROR|SIGNUP)$", "replacement": "ALERT_$1"}]
+
+ORDERS_PIPE_MAPPING = [
+    ("_raw_data_orderId", "string", "id", "bigint"),
+    ("_raw_data_priority", "string", "label_order", "string"),
+    ("_raw_data_lines_lineNumber", "string", "line_id", "bigint"),
+    ("_raw_data_lines_shippedAt_long", "long", "dt_shipped_line", "long"),
+    ("_raw_data_lines_price", "double", "price_line", "double"),
+    ("_raw_data_lines_returnFlag", "string", "flag_line", "string"),
+    ("_raw_data_createdAt", "string", "dt_created", "long"),
+    ("_raw_data_updatedAt", "string", "dt_updated", "long"),
+    ("_emitted_at", "long", "dt_extraction", "long"),
+    ("_raw_data_active", "boolean", "active_order", "boolean"),
+    ("_raw_data_status", "string", "status", "string"),
+]
+ORDERS_PIPE_SQL = """
+select  id
+       ,label_order
+       ,line_id
+       ,cast(from_unixtime(dt_shipped_line/1000) as timestamp_ntz) as dt_shipped_line
+       ,price_line
+       ,flag_line
+       ,cast(from_unixtime(dt_created/1000) as timestamp_ntz) as dt_created
+       ,cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated
+       ,from_unixtime(dt_extraction/1000) as dt_extraction
+       ,active_order
+       ,status
+from table;
+"""
+ORDERS_PIPE_DEDUP = [{"partitionby": ["_raw_data_orderId", "_raw_data_lines_lineNumber"],
+                      "orderby": ["_emitted_at", "_raw_data_lines_shippedAt_long"],
+                      "tie_break": ["_raw_data_lines_partKey", "_raw_data_lines_suppKey", "_raw_data_lines_price",
+                                    "_raw_data_lines_quantity", "_raw_data_lines_returnFlag",
+                                    "_raw_data_lines_shippedAt_string"]}]
+ORDERS_PIPE_REGEX = [{"field": "label_order", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
+
+
+def orders_pipeline_config(destination: str, origin: str = "") -> PipelineConfig:
+    return PipelineConfig(origin=origin, destination=destination, dedup=ORDERS_PIPE_DEDUP,
+                          mapping=ORDERS_PIPE_MAPPING, sql=ORDERS_PIPE_SQL, capitalize=["label_order"],
+                          regex=ORDERS_PIPE_REGEX, key="id", **RECIPES["full_all_replace"])
+
+
+def events_pipeline_config(destination: str, recipe: str, origin: str = "", **kw) -> PipelineConfig:
+    return PipelineConfig(origin=origin, destination=destination, dedup=EVENTS_DEDUP, mapping=EVENTS_MAPPING,
+                          sql=EVENTS_SQL, capitalize=["label"], regex=EVENTS_REGEX, key="id",
+                          guarded_by="dt_updated", **RECIPES[recipe], **kw)
+
+
+def nested_orders_flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """The minimum slice: envelope → flatten_all → dedup → mapping → SQL →
+    capitalize → regex (what gets published)."""
+    _utc(spark)
+    return transform(fx.raw_orders(spark, sf), orders_pipeline_config(destination=""))
+
+
+def q_pipeline_full_all_replace(spark, sf):
+    """Recipe (full scan, flatten_all, replace): run twice — the whole
+    envelope, then the records of open orders again — into a bucketed
+    table."""
+    _utc(spark)
+    raw_path = run_path(spark, "raw_orders")
+    fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_path)
+    cfg = orders_pipeline_config(run_path(spark, "deal_like") + "/table", origin=raw_path)
+    run_pipeline(spark, cfg)
+    # Second drop: open orders re-emitted a day later, escalated to urgent.
+    reopened = (spark.read.parquet(raw_path).where(F.col("_raw_data.status") == "O")
+                     .withColumn("_raw_data", F.col("_raw_data").withField("priority", F.lit("1-URGENT")))
+                     .withColumn("_emitted_at", F.col("_emitted_at") + F.lit(fx.DAY_MS)))
+    return run_pipeline(spark, cfg, source=reopened)
+
+
+def _raw_events_drop(spark, sf, lo: str | None, hi: str | None) -> DataFrame:
+    ev = fx.raw_events(spark, sf)
+    at = F.col("_emitted_at")
+    if lo:
+        ev = ev.where(at >= epoch_millis_ntz(F.lit(dt.datetime.fromisoformat(lo)).cast("timestamp_ntz")))
+    if hi:
+        ev = ev.where(at < epoch_millis_ntz(F.lit(dt.datetime.fromisoformat(hi)).cast("timestamp_ntz")))
+    return ev
+
+
+def q_pipeline_full_struct_replace(spark, sf):
+    """Recipe (full, flatten_struct, replace): events before Jan 20, then
+    events from Jan 15 on."""
+    _utc(spark)
+    cfg = events_pipeline_config(run_path(spark, "contacts_like") + "/table", "full_struct_replace")
+    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-20"))
+    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, "2024-01-15", None))
+
+
+def q_pipeline_full_struct_guarded(spark, sf):
+    """Recipe (full, flatten_struct, guarded): events before Jan 20, then a
+    stale drop of events before Jan 15 (the unconditional insert keeps the
+    stale rows next to the newer ones)."""
+    _utc(spark)
+    cfg = events_pipeline_config(run_path(spark, "archived_like") + "/table", "full_struct_guarded")
+    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-20"))
+    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-15"))
+
+
+def q_pipeline_rolling_struct_replace(spark, sf):
+    """Recipe (rolling scan, flatten_struct, replace): the envelope stored by
+    day; first run as of Jan 10 looking back 9 days, second as of Jan 31
+    looking back 5 days."""
+    _utc(spark)
+    origin = run_path(spark, "raw_events_by_day")
+    raw = fx.raw_events(spark, sf)
+    (add_date_partitions(raw.withColumn("__ts", F.timestamp_millis("_emitted_at")), "__ts").drop("__ts")
+        .write.mode("overwrite").partitionBy("partition_0", "partition_1", "partition_2").parquet(origin))
+    dest = run_path(spark, "companies_like") + "/table"
+    first = events_pipeline_config(dest, "rolling_struct_replace", origin=origin, rolling_days=9,
+                                   as_of=dt.date(2024, 1, 10))
+    second = events_pipeline_config(dest, "rolling_struct_replace", origin=origin, rolling_days=5,
+                                    as_of=dt.date(2024, 1, 31))
+    # The partition columns come back with the envelope; the mapping drops them.
+    run_pipeline(spark, first)
+    return run_pipeline(spark, second)
+
+
+def q_pipeline_batch(spark, sf):
+    """PL1: a config document with two entries dispatched by flow name."""
+    _utc(spark)
+    raw_orders_path = run_path(spark, "raw_orders")
+    fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_orders_path)
+    raw_events_path = run_path(spark, "raw_events")
+    fx.raw_events(spark, sf).write.mode("overwrite").parquet(raw_events_path)
+    dest = run_path(spark, "batch")
+    doc = {"conf": [
+        {"origin_table": raw_events_path, "destination_table": f"{dest}/contacts", "flow": "flow",
+         "deduplicate": EVENTS_DEDUP, "capitalize": ["label"], "capitalizeword": EVENTS_REGEX,
+         "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in EVENTS_MAPPING]},
+         "sql": EVENTS_SQL},
+        {"origin_table": raw_orders_path, "destination_table": f"{dest}/deal_pipelines", "flow": "flow3",
+         "deduplicate": ORDERS_PIPE_DEDUP, "capitalize": ["label_order"], "capitalizeword": ORDERS_PIPE_REGEX,
+         "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in ORDERS_PIPE_MAPPING]},
+         "sql": ORDERS_PIPE_SQL},
+    ]}
+    tables = run_batch(spark, doc)
+    parts = [df.agg(F.lit(name.rsplit("/", 1)[-1]).alias("destination"), F.count(F.lit(1)).alias("n_rows"),
+                    F.count_distinct("id").alias("n_ids"))
+             for name, df in tables.items()]
+    return parts[0].unionByName(parts[1])
+
+
+# ------------------------------------------------------------------ incremental
+
+def q_incremental_upsert(spark, sf):
+    landing = run_path(spark, "events_landing")
+    target = run_path(spark, "events_latest") + "/table"
+    checkpoint = run_path(spark, "events_stream_ckpt")
+    schema = fx.table(spark, sf, "events").schema
+    # Drops arrive newest first, the worst order for a "latest" table.
+    for i, drop in enumerate(reversed(fx.events_drops(spark, sf, 3))):
+        drop.write.mode("append").parquet(landing)
+        incremental_upsert(spark, landing, schema, target, checkpoint, key="user_id", date="ts",
+                           dedup=[{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}], buckets=8)
+    return read_bucketed(spark, target).select(*schema.names)
+
+
+QUERIES = {
+    "scan_catalog": q_scan_catalog,
+    "rolling_scan_componentwise": _rolling("componentwise"),
+    "rolling_scan_date": _rolling("date"),
+    "schema_from_descriptor": q_schema_from_descriptor,
+    "zone_ingest": q_zone_ingest,
+    "curated_refresh": q_curated_refresh,
+    "row_count_gate": q_row_count_gate,
+    "flatten_struct": q_flatten_struct,
+    "flatten_all": q_flatten_all,
+    "flatten_two_arrays": q_flatten_two_arrays,
+    "type_choice_coalesce": q_type_choice,
+    "dedup_latest_event": q_dedup_latest_event,
+    "dedup_sequential": q_dedup_sequential,
+    "apply_mapping": q_apply_mapping,
+    "sql_projection": q_sql_projection,
+    "epoch_ms_timestamp": q_epoch_ms_timestamp,
+    "epoch_ms_text": q_epoch_ms_text,
+    "capitalize_unaccent": q_capitalize_unaccent,
+    "regex_clean": q_regex_clean,
+    "upsert_replace": q_upsert_replace,
+    "upsert_guarded": q_upsert_guarded,
+    "upsert_guarded_keep_latest": q_upsert_guarded_keep_latest,
+    "upsert_publish_bucketed": q_upsert_publish_bucketed,
+    "upsert_publish_guarded": q_upsert_publish_guarded,
+    "conform_to_target": q_conform_to_target,
+    "truncate_width": q_truncate_width,
+    "key_constraint_report": q_key_constraint_report,
+    "target_layout": q_target_layout,
+    "nested_orders_flagship": nested_orders_flagship,
+    "pipeline_full_all_replace": q_pipeline_full_all_replace,
+    "pipeline_full_struct_replace": q_pipeline_full_struct_replace,
+    "pipeline_full_struct_guarded": q_pipeline_full_struct_guarded,
+    "pipeline_rolling_struct_replace": q_pipeline_rolling_struct_replace,
+    "pipeline_batch": q_pipeline_batch,
+    "incremental_upsert": q_incremental_upsert,
+}
