@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, VarcharType, CharType
+from pyspark.sql.types import CharType, StringType, StructField, StructType, VarcharType
 
 
 class SchemaMismatch(ValueError):
@@ -12,8 +12,11 @@ class SchemaMismatch(ValueError):
 
 
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
-    """O2: ``create table stage as select * from target LIMIT 0``."""
-    return spark.createDataFrame([], schema)
+    """O2: ``create table stage as select * from target LIMIT 0``.  Declared
+    widths (``varchar(n)``) are kept as strings; ``conform`` enforces them."""
+    fields = [StructField(f.name, StringType() if isinstance(f.dataType, (VarcharType, CharType)) else f.dataType,
+                          f.nullable, f.metadata) for f in schema.fields]
+    return spark.createDataFrame([], StructType(fields))
 
 
 def conform(df: DataFrame, target: StructType, on_extra: str = "error", on_missing: str = "error",

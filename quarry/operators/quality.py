@@ -17,9 +17,10 @@ def row_count_gate(df: DataFrame, message: str = "row-count gate: table is empty
     empty (``COUNT(*)`` is never null, so the meaningful gate is ``n > 0``).
     The count is a partial aggregate: one long per task crosses the shuffle."""
     n = F.count(F.lit(1))
+    # The assertion is folded into the value (it yields null, then ``n``) so
+    # column pruning cannot drop it.
     return (df.agg(n.alias("n"))
-              .select(F.col("n"), F.assert_true(F.col("n") > 0, F.lit(message)).alias("_gate"))
-              .drop("_gate"))
+              .select(F.coalesce(F.assert_true(F.col("n") > 0, F.lit(message)), F.col("n")).alias("n")))
 
 
 def check_row_count(df: DataFrame) -> int:

@@ -9,7 +9,6 @@ is absent (a bare local session, as in tests) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,12 +78,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def run_path(spark: SparkSession, name: str) -> str:
-    """A fresh, run-unique folder below the scratch root."""
+    """A fresh, run-unique path below the scratch root (not created: the
+    first write creates it)."""
     root = scratch_root(spark)
-    path = f"{root}/quarry/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/quarry/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, eager: bool = True):

@@ -1,0 +1,50 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from quarry.plans.pipeline import PRESETS, RECIPES, config_from_entry, run_batch
+from quarry.sinks.publish import read_bucketed
+from quarry.streaming.incremental import incremental_upsert
+from tests.conftest import SF_SMALL
+
+
+def test_dispatch_by_flow_name():
+    assert config_from_entry({"origin_table": "o", "destination_table": "d", "flow": "flow6"}).upsert == "guarded"
+    cfg = config_from_entry({"origin_table": "o", "destination_table": "d", "flow": "flow3"})
+    assert (cfg.scan, cfg.flatten, cfg.upsert) == ("full", "all", "replace")
+    cfg = config_from_entry({"origin_table": "o", "destination_table": "d", "flow": "flow2", "as_of": "2024-01-02"})
+    assert cfg.scan == "rolling" and cfg.as_of == dt.date(2024, 1, 2)
+    assert set(PRESETS.values()) == set(RECIPES)
+
+
+def test_batch_runs_each_entry(spark, tmp_table):
+    src = tmp_table("raw")
+    spark.createDataFrame([((1, "ação"), 1000), ((1, "b"), 2000), ((2, "c"), 3000)],
+                          "_raw struct<id:string, name:string>, _emitted_at bigint").write.parquet(src)
+    dest = tmp_table("dest")
+    doc = {"conf": [{"origin_table": src, "destination_table": dest, "flow": "flow",
+                     "deduplicate": [{"partitionby": ["_raw_id"], "orderby": ["_emitted_at"]}],
+                     "capitalize": ["name"], "capitalizeword": [{"field": "name", "pattern": "A", "replacement": "4"}],
+                     "schema": {"schema": [{"Name": "_raw_id", "Type": "string", "NameTo": "id", "TypeTo": "bigint"},
+                                           {"Name": "_raw_name", "Type": "string", "NameTo": "name",
+                                            "TypeTo": "string"}]},
+                     "sql": "select id, name from table;"}]}
+    out = run_batch(spark, doc)[dest]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "B"), (2, "C")]
+
+
+def test_incremental_reads_only_new_files(spark, tmp_table):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    landing, target, ckpt = tmp_table("land"), tmp_table("tgt") + "/t", tmp_table("ckpt")
+    drops = [ev.where(F.pmod("event_id", F.lit(2)) == i) for i in range(2)]
+    kw = dict(key="user_id", date="ts", dedup=[{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}],
+              buckets=4)
+    drops[0].write.mode("append").parquet(landing)
+    assert incremental_upsert(spark, landing, ev.schema, target, ckpt, **kw) == 1
+    drops[1].write.mode("append").parquet(landing)
+    assert incremental_upsert(spark, landing, ev.schema, target, ckpt, **kw) == 1
+    assert incremental_upsert(spark, landing, ev.schema, target, ckpt, **kw) == 0
+    got = read_bucketed(spark, target)
+    latest = ev.groupBy("user_id").agg(F.max("ts").alias("ts"))
+    assert got.count() == latest.count()
+    assert got.join(latest, ["user_id", "ts"]).count() == latest.count()
