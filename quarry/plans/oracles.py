@@ -90,6 +90,17 @@ from m
 """
 
 
+def _orders_published(pipe: str) -> str:
+    """Conformance to the published table: status dropped, label cut to 12
+    characters, the extraction text read back as a timestamp."""
+    return f"""
+select id, substr(label_order, 1, 12) as label_order, line_id, dt_shipped_line, price_line,
+       substr(flag_line, 1, 1) as flag_line, dt_created, dt_updated,
+       cast(dt_extraction as timestamp) as dt_extraction, active_order
+from ({pipe})
+"""
+
+
 def _events_pipe(where: str) -> str:
     """struct-flatten recipe over the events envelope, one drop."""
     return f"""
@@ -171,6 +182,7 @@ _EVENT_PARTS = """cast(year(ts) as integer) as partition_0, cast(month(ts) as in
 
 ORACLES = {
     "scan_catalog": f"select {ORDER_COLS} from orders",
+    "scan_small_files": "select l_orderkey, l_linenumber, l_quantity, l_extendedprice from lineitem",
     "rolling_scan_componentwise": f"""
 select {EVENT_COLS}, {_EVENT_PARTS} from events
 where year(ts) >= 2024 and month(ts) >= 1 and day(ts) >= 15""",
@@ -258,12 +270,12 @@ having count(*) > 1 or l_orderkey is null""",
     "target_layout": f"select {ORDER_COLS} from orders",
     "nested_orders_flagship": _orders_pipe(RAW_ORDERS_FLAT),
     "pipeline_full_all_replace": f"""
-with first_run as ({_orders_pipe(RAW_ORDERS_FLAT)}),
+with first_run as ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))}),
 second_drop as (
-  {_orders_pipe(RAW_ORDERS_FLAT.replace("o.o_orderpriority as _raw_data_priority",
-                                        "'1-URGENT' as _raw_data_priority")
-                               .replace("+ 172800000 as _emitted_at", "+ 259200000 as _emitted_at")
-                + " where o.o_orderstatus = 'O'")}
+  {_orders_published(_orders_pipe(RAW_ORDERS_FLAT.replace("o.o_orderpriority as _raw_data_priority",
+                                                          "'1-URGENT' as _raw_data_priority")
+                                                 .replace("+ 172800000 as _emitted_at", "+ 259200000 as _emitted_at")
+                                  + " where o.o_orderstatus = 'O'"))}
 )
 select * from first_run f where not exists (select 1 from second_drop s where s.id = f.id)
 union all
@@ -287,6 +299,6 @@ union all select * from b""",
 select 'contacts' as destination, count(*) as n_rows, count(distinct id) as n_ids
 from ({_events_pipe("true")})
 union all
-select 'deal_pipelines', count(*), count(distinct id) from ({_orders_pipe(RAW_ORDERS_FLAT)})""",
+select 'deal_pipelines', count(*), count(distinct id) from ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))})""",
     "incremental_upsert": LATEST_EVENT,
 }

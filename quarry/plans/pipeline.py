@@ -17,10 +17,12 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..functions.text import capitalize, regex_rules
 from ..operators.dedup import deduplicate
 from ..operators.flatten import flatten_all, flatten_struct
+from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
 from ..operators.quality import check_row_count
@@ -49,6 +51,8 @@ class PipelineConfig:
     as_of: dt.date | None = None
     buckets: int = 64
     tie_break: list = field(default_factory=list)
+    target_ddl: str | None = None     # K3/K4: conform to this schema before publishing
+    on_extra: str = "error"           # "error" | "drop" | "evolve"
 
 
 # The four distinct recipes behind the eight entity flows.
@@ -89,7 +93,7 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
         mapping=parse_mapping(entry["schema"]) if entry.get("schema") else [],
         sql=entry.get("sql"))
     for k in ("key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
-              "tie_break"):
+              "tie_break", "target_ddl", "on_extra"):
         if k in entry:
             kw[k] = entry[k]
     if entry.get("as_of"):
@@ -123,12 +127,21 @@ def transform(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig, source: DataFrame | None = None) -> DataFrame:
     """Run one pipeline end to end and return the published table."""
     df = transform(source if source is not None else scan(spark, cfg), cfg)
+    if cfg.target_ddl:
+        df = conform(df, target_schema(cfg.target_ddl), on_extra=cfg.on_extra)
     publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
                    guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None,
                    keep_latest=cfg.keep_latest)
     return spark.read.parquet(cfg.destination).drop("_bucket")
 
 
+def target_schema(ddl: str) -> StructType:
+    """A target table's column list (``id bigint NOT NULL, label varchar(35),
+    …``) through Spark's own DDL parser; ``varchar(n)`` keeps its width for
+    conformance."""
+    return _parse_datatype_string(ddl)
+
+
 def run_batch(spark: SparkSession, document: str | Mapping) -> dict[str, DataFrame]:
     """PL1: run every entry of ``{"conf": [...]}`` in order.  Each entry is
     its own plan; dispatch is by preset name."""

@@ -44,6 +44,16 @@ def q_scan_catalog(spark, sf):
     return read_table(spark, f"{sf}/orders.parquet")
 
 
+def q_scan_small_files(spark, sf):
+    """Lineitem landed as many small files; Spark packs them into read
+    splits (``maxPartitionBytes`` / ``openCostInBytes``), so the scan runs
+    far fewer tasks than there are files."""
+    path = run_path(spark, "small_files")
+    li = fx.table(spark, sf, "lineitem")
+    li.repartition(64, "l_orderkey").write.mode("overwrite").parquet(path)
+    return read_table(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
 ROLLING = {"componentwise": (dt.date(2024, 1, 20), 5), "date": (dt.date(2024, 1, 25), 3)}
 
 
@@ -317,12 +327,19 @@ ORDERS_PIPE_DEDUP = [{"partitionby": ["_raw_data_orderId", "_raw_data_lines_line
                                     "_raw_data_lines_quantity", "_raw_data_lines_returnFlag",
                                     "_raw_data_lines_shippedAt_string"]}]
 ORDERS_PIPE_REGEX = [{"field": "label_order", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
+# The published table: no ``status`` column (the SELECT yields one more
+# column than the table declares), a 12-character label, and
+# ``dt_extraction`` declared as a timestamp although the SELECT yields text.
+ORDERS_PIPE_TARGET = ("id bigint NOT NULL, label_order varchar(12), line_id bigint, dt_shipped_line timestamp_ntz, "
+                      "price_line double, flag_line varchar(1), dt_created timestamp_ntz, dt_updated timestamp_ntz, "
+                      "dt_extraction timestamp_ntz, active_order boolean")
 
 
 def orders_pipeline_config(destination: str, origin: str = "") -> PipelineConfig:
     return PipelineConfig(origin=origin, destination=destination, dedup=ORDERS_PIPE_DEDUP,
                           mapping=ORDERS_PIPE_MAPPING, sql=ORDERS_PIPE_SQL, capitalize=["label_order"],
-                          regex=ORDERS_PIPE_REGEX, key="id", **RECIPES["full_all_replace"])
+                          regex=ORDERS_PIPE_REGEX, key="id", target_ddl=ORDERS_PIPE_TARGET, on_extra="drop",
+                          **RECIPES["full_all_replace"])
 
 
 def events_pipeline_config(destination: str, recipe: str, origin: str = "", **kw) -> PipelineConfig:
@@ -418,7 +435,7 @@ def q_pipeline_batch(spark, sf):
         {"origin_table": raw_orders_path, "destination_table": f"{dest}/deal_pipelines", "flow": "flow3",
          "deduplicate": ORDERS_PIPE_DEDUP, "capitalize": ["label_order"], "capitalizeword": ORDERS_PIPE_REGEX,
          "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in ORDERS_PIPE_MAPPING]},
-         "sql": ORDERS_PIPE_SQL},
+         "sql": ORDERS_PIPE_SQL, "target_ddl": ORDERS_PIPE_TARGET, "on_extra": "drop"},
     ]}
     tables = run_batch(spark, doc)
     parts = [df.agg(F.lit(name.rsplit("/", 1)[-1]).alias("destination"), F.count(F.lit(1)).alias("n_rows"),
@@ -444,6 +461,7 @@ def q_incremental_upsert(spark, sf):
 
 QUERIES = {
     "scan_catalog": q_scan_catalog,
+    "scan_small_files": q_scan_small_files,
     "rolling_scan_componentwise": _rolling("componentwise"),
     "rolling_scan_date": _rolling("date"),
     "schema_from_descriptor": q_schema_from_descriptor,
