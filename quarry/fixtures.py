@@ -170,28 +170,27 @@ def orders_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ========================  =======================================
     """
     t = orders_target(spark, sf_dir)
-    pr, st, d = F.col("priority"), F.col("status"), F.col("dt_updated")
+    pr, st, d, price = F.col("priority"), F.col("status"), F.col("dt_updated"), F.col("price")
     day = F.expr("INTERVAL 1 DAY")
-    rows = [
-        t.where(pr == "1-URGENT").select("id", "cust", "status", (F.col("price") + 1.0).alias("price"),
-                                         "priority", (d + day).alias("dt_updated")),
-        t.where((pr == "1-URGENT") & (st == "F")).select("id", "cust", "status", (F.col("price") + 2.0).alias("price"),
-                                                         "priority", (d + day + day).alias("dt_updated")),
-        t.where((pr == "2-HIGH") & (st == "F")).select("id", "cust", "status", (F.col("price") * 2.0).alias("price"),
-                                                       "priority", (d - day).alias("dt_updated")),
-        t.where((pr == "2-HIGH") & (st == "P")).select(F.lit(None).cast("bigint").alias("id"), "cust", "status",
-                                                       "price", "priority", "dt_updated"),
-        t.where((pr == "3-MEDIUM") & (st == "O")).select("id", "cust", F.lit("X").alias("status"), "price",
-                                                         "priority", "dt_updated"),
-        t.where((pr == "4-NOT SPECIFIED") & (st == "P")).select("id", "cust", "status", "price", "priority",
-                                                                F.lit(None).cast("timestamp_ntz").alias("dt_updated")),
-        t.where((pr == "5-LOW") & (st == "O")).select((-(F.col("id") + 1)).alias("id"), "cust", "status", "price",
-                                                      "priority", "dt_updated"),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionAll(r)
-    return out
+    null_id = F.lit(None).cast("bigint")
+    null_ts = F.lit(None).cast("timestamp_ntz")
+
+    def row(cond, id_=F.col("id"), status=st, price_=price, dt_=d):
+        return F.struct(cond.alias("keep"), id_.alias("id"), F.col("cust").alias("cust"), status.alias("status"),
+                        price_.alias("price"), pr.alias("priority"), dt_.alias("dt_updated"))
+
+    # One scan of the target: each order yields 0-2 stage rows through one
+    # generator, instead of one scan per change class.
+    rows = F.array(
+        row(pr == "1-URGENT", price_=price + 1.0, dt_=d + day),
+        row((pr == "1-URGENT") & (st == "F"), price_=price + 2.0, dt_=d + day + day),
+        row((pr == "2-HIGH") & (st == "F"), price_=price * 2.0, dt_=d - day),
+        row((pr == "2-HIGH") & (st == "P"), id_=null_id),
+        row((pr == "3-MEDIUM") & (st == "O"), status=F.lit("X")),
+        row((pr == "4-NOT SPECIFIED") & (st == "P"), dt_=null_ts),
+        row((pr == "5-LOW") & (st == "O"), id_=-(F.col("id") + 1)),
+    )
+    return t.select(F.explode(rows).alias("r")).where(F.col("r.keep")).select("r.*").drop("keep")
 
 
 # ---------------------------------------------------------------- written copies
