@@ -31,8 +31,11 @@ def epoch_ms_to_text(c: Column) -> Column:
 
 
 def epoch_millis_ntz(c: Column) -> Column:
-    """Epoch milliseconds of a zone-free timestamp, read as UTC."""
-    return F.timestamp_diff("MILLISECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), c)
+    """Epoch milliseconds of a zone-free timestamp, read as UTC, whatever
+    the session zone: the cast to a zoned timestamp reads the wall clock in
+    the session zone and ``from_utc_timestamp`` adds that zone's offset back,
+    leaving the wall clock counted from the epoch."""
+    return F.unix_millis(F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone()))
 
 
 def cutoff_parts(as_of: dt.date, days: int) -> tuple[str, str, str]:

@@ -459,7 +459,7 @@ def q_incremental_upsert(spark, sf):
     return read_bucketed(spark, target).select(*schema.names)
 
 
-QUERIES = {
+_REGISTERED = {
     "scan_catalog": q_scan_catalog,
     "scan_small_files": q_scan_small_files,
     "rolling_scan_componentwise": _rolling("componentwise"),
@@ -497,3 +497,17 @@ QUERIES = {
     "pipeline_batch": q_pipeline_batch,
     "incremental_upsert": q_incremental_upsert,
 }
+
+
+def _pinned(fn):
+    def run(spark, sf):
+        _utc(spark)
+        return fn(spark, sf)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+# Every registered query is defined in UTC (epoch ⇄ text goes through the
+# session zone).
+QUERIES = {name: _pinned(fn) for name, fn in _REGISTERED.items()}

@@ -49,3 +49,15 @@ def test_epoch_millis_of_ntz(spark):
 def test_cutoff_parts_zero_padded():
     assert cutoff_parts(dt.date(2022, 3, 1), 1) == ("2022", "02", "28")
     assert cutoff_parts(dt.date(2024, 1, 2), 2) == ("2023", "12", "31")
+
+
+def test_epoch_millis_ntz_ignores_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 0, 0, 500000),), (dt.datetime(2024, 1, 1),)],
+                               "ts timestamp_ntz")
+    expect = [1719835200500, 1704067200000]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r.m for r in df.select(epoch_millis_ntz(F.col("ts")).alias("m")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == expect
