@@ -110,3 +110,41 @@ def test_warehouse_statements_and_options():
     assert "h.t_stage_table.dt_updated >= h.t.dt_updated" in post and post.startswith("begin;")
     opts = jdbc_options("db", "h.t_stage_table", pre, post)
     assert opts["batchsize"] == "10" and opts["dbtable"] == "h.t_stage_table"
+
+
+def test_hot_key_anti_join_is_split_by_aqe(spark):
+    """A third of the target shares one key; with broadcasting off the
+    anti-join is a shuffle join and AQE splits the skewed partition."""
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        t = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(8)).otherwise(F.col("id")).alias("id"),
+                                  F.col("id").cast("string").alias("v"),
+                                  F.lit(D(2024, 1, 1)).cast("timestamp").alias("dt_updated"))
+        s = spark.range(0, n, 2).select(F.col("id"), F.lit("s").alias("v"),
+                                        F.lit(D(2024, 1, 2)).cast("timestamp").alias("dt_updated"))
+        out = upsert_replace(t, s, "id", broadcast_max_rows=None)
+        # The hot id 8 (10,000 rows) and every other even id are replaced.
+        expected = sum(1 for i in range(n) if i % 3 != 0 and i % 2 != 0) + n // 2
+        assert out.count() == expected
+        qe = out._jdf.queryExecution()
+        qe.toRdd().count()
+        final = qe.executedPlan().toString()
+        assert "skew=true" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
