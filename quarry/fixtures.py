@@ -18,6 +18,7 @@ from .sources.scan import add_date_partitions
 
 DAY_MS = 86_400_000
 LINES_PER_RECORD = 64
+WRITERS_PER_DAY = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -198,7 +199,10 @@ def orders_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_events_by_day(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Events written as ``partition_0=YYYY/partition_1=MM/partition_2=DD``."""
     ev = add_date_partitions(table(spark, sf_dir, "events"), "ts")
-    (ev.repartition("partition_0", "partition_1", "partition_2")
+    # Day plus a row-hash salt: a day holding a third of the rows is still
+    # written by several tasks, and each task writes few day folders.
+    salt = F.pmod(F.xxhash64("event_id", "ts", "user_id"), F.lit(WRITERS_PER_DAY))
+    (ev.repartition("partition_0", "partition_1", "partition_2", salt)
        .write.mode("overwrite").partitionBy("partition_0", "partition_1", "partition_2").parquet(path))
     return path
 

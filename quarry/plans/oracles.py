@@ -190,6 +190,8 @@ where year(ts) >= 2024 and month(ts) >= 1 and day(ts) >= 15""",
 select {EVENT_COLS}, {_EVENT_PARTS} from events
 where ts >= timestamp '2024-01-22 00:00:00'""",
     "schema_from_descriptor": """
+select event_id, event_type, try_cast(json_extract_string(props, '$.k') as bigint) as k from events""",
+    "descriptor_json_read": """
 select event_id, event_type, try_cast(json_extract_string(props, '$.k') as bigint) as k from events""",
     "zone_ingest": """
 select 'customer' as entity, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum,

@@ -24,7 +24,7 @@ from ..operators.quality import key_constraint_report, row_count_gate
 from ..operators.upsert import upsert_guarded, upsert_replace
 from ..session import run_path
 from ..sinks.publish import full_refresh, publish_upsert, read_bucketed, write_bucketed
-from ..sources.descriptor import descriptor_schema, descriptor_sql
+from ..sources.descriptor import descriptor_schema, descriptor_sql, read_with_descriptor
 from ..sources.scan import add_date_partitions, read_parquet_glob, read_rolling, read_table
 from ..sources.zones import ingest_zone
 from ..streaming.incremental import incremental_upsert
@@ -50,7 +50,7 @@ def q_scan_small_files(spark, sf):
     far fewer tasks than there are files."""
     path = run_path(spark, "small_files")
     li = fx.table(spark, sf, "lineitem")
-    li.repartition(64, "l_orderkey").write.mode("overwrite").parquet(path)
+    li.repartition(64).write.mode("overwrite").parquet(path)  # round-robin: 64 small files, no key skew
     return read_table(spark, path).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
 
@@ -78,6 +78,18 @@ def q_schema_from_descriptor(spark, sf):
     return named_projection({"teste": parsed}, descriptor_sql(EVENT_DESCRIPTOR))
 
 
+def q_descriptor_json_read(spark, sf):
+    """S6 read path: events land as JSON files with a nested ``props``
+    object and are read with the descriptor's declared schema (no inference
+    pass over the files), then queried by the descriptor's stored SQL."""
+    landing = run_path(spark, "events_json")
+    ev = fx.table(spark, sf, "events")
+    (ev.select("event_id", "event_type", F.from_json("props", "k bigint").alias("props"))
+       .write.mode("overwrite").json(landing))
+    df = read_with_descriptor(spark, landing, EVENT_DESCRIPTOR)
+    return named_projection({"teste": df}, descriptor_sql(EVENT_DESCRIPTOR))
+
+
 def q_zone_ingest(spark, sf):
     landing = run_path(spark, "landing")
     processing = run_path(spark, "processing")
@@ -465,6 +477,7 @@ _REGISTERED = {
     "rolling_scan_componentwise": _rolling("componentwise"),
     "rolling_scan_date": _rolling("date"),
     "schema_from_descriptor": q_schema_from_descriptor,
+    "descriptor_json_read": q_descriptor_json_read,
     "zone_ingest": q_zone_ingest,
     "curated_refresh": q_curated_refresh,
     "row_count_gate": q_row_count_gate,

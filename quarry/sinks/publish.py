@@ -53,7 +53,10 @@ def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str |
     prune key lookups)."""
     out = df
     if sort_key:
-        out = out.repartitionByRange(F.col(sort_key)).sortWithinPartitions(sort_key)
+        # Range by (key, row hash): files stay globally ordered by key, and
+        # the sampler can split one hot key value over several tasks.
+        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+        out = out.repartitionByRange(F.col(sort_key), row_hash).sortWithinPartitions(sort_key)
     out.write.mode("overwrite").format(fmt).option("compression", compression).save(path)
 
 

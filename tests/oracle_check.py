@@ -73,7 +73,13 @@ def main(argv):
     only = set(argv[2:])
     from quarry.session import build_session
 
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # The driver's own session: Spark defaults, nothing of ours.
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", 8)
     import __spark_entry__ as e
 
     qs, os_ = e.queries(), e.oracle_sql()
