@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ..functions.text import capitalize, regex_rules
 from ..operators.dedup import deduplicate
-from ..operators.flatten import flatten_all, flatten_struct
+from ..operators.flatten import coalesce_choice, flatten_all, flatten_struct
 from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
@@ -51,6 +51,7 @@ class PipelineConfig:
     as_of: dt.date | None = None
     buckets: int = 64
     tie_break: list = field(default_factory=list)
+    coalesce: list = field(default_factory=list)  # type-choice fields collapsed after flattening
     target_ddl: str | None = None     # K3/K4: conform to this schema before publishing
     on_extra: str = "error"           # "error" | "drop" | "evolve"
 
@@ -93,7 +94,7 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
         mapping=parse_mapping(entry["schema"]) if entry.get("schema") else [],
         sql=entry.get("sql"))
     for k in ("key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
-              "tie_break", "target_ddl", "on_extra"):
+              "tie_break", "target_ddl", "on_extra", "coalesce"):
         if k in entry:
             kw[k] = entry[k]
     if entry.get("as_of"):
@@ -114,6 +115,8 @@ def transform(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
         df = flatten_struct(df)
     elif cfg.flatten == "all":
         df = flatten_all(df)
+    for choice in cfg.coalesce:
+        df = coalesce_choice(df, choice)
     df = deduplicate(df, cfg.dedup, cfg.tie_break)
     if cfg.mapping:
         df = apply_mapping(df, cfg.mapping)

@@ -29,6 +29,25 @@ SCALE_DEFAULTS = {
 }
 
 
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                     executors_cores: int | None = None) -> dict:
+    """Sizing for a large input: read splits and the initial shuffle width
+    so each task handles about ``target_partition_bytes``; AQE then
+    coalesces small shuffle partitions and splits skewed ones.  (Split
+    packing is a session setting: Spark's file sources ignore a per-read
+    ``maxPartitionBytes`` option.)"""
+    parts = max(1, -(-int(input_bytes) // int(target_partition_bytes)))
+    if executors_cores:
+        parts = max(parts, 2 * executors_cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.openCostInBytes": str(8 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "quarry", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

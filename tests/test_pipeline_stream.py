@@ -48,3 +48,21 @@ def test_incremental_reads_only_new_files(spark, tmp_table):
     latest = ev.groupBy("user_id").agg(F.max("ts").alias("ts"))
     assert got.count() == latest.count()
     assert got.join(latest, ["user_id", "ts"]).count() == latest.count()
+
+
+def test_pipeline_coalesces_type_choice_fields(spark, tmp_table):
+    from quarry.plans.pipeline import PipelineConfig, transform
+
+    df = spark.createDataFrame([((1, (5, None)), 1), ((2, (None, "7")), 2)],
+                               "_raw struct<id:bigint, at:struct<long:bigint, string:string>>, _emitted_at bigint")
+    cfg = PipelineConfig(origin="", destination="", flatten="struct", coalesce=["_raw_at"],
+                         mapping=[("_raw_id", "long", "id", "bigint"), ("_raw_at", "long", "dt", "bigint")])
+    assert sorted(tuple(r) for r in transform(df, cfg).collect()) == [(1, 5), (2, 7)]
+
+
+def test_cluster_settings_size_tasks():
+    from quarry.session import cluster_settings
+
+    conf = cluster_settings(100 * 1024 ** 4)  # 100 TB
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
