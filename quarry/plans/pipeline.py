@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -27,6 +28,7 @@ from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
 from ..operators.quality import check_row_count
 from ..sinks.publish import full_refresh, publish_upsert
+from ..sources.descriptor import descriptor_sql
 from ..sources.scan import read_parquet_glob, read_rolling, read_table
 
 
@@ -91,8 +93,8 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
         origin=entry["origin_table"], destination=entry["destination_table"],
         dedup=list(entry.get("deduplicate", [])), capitalize=list(entry.get("capitalize", [])),
         regex=list(entry.get("capitalizeword", [])),
-        mapping=parse_mapping(entry["schema"]) if entry.get("schema") else [],
-        sql=entry.get("sql"))
+        mapping=parse_mapping(_maybe_file(entry["schema"], json.loads)) if entry.get("schema") else [],
+        sql=_sql_text(entry.get("sql")))
     for k in ("key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
               "tie_break", "target_ddl", "on_extra", "coalesce"):
         if k in entry:
@@ -102,6 +104,39 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
     return PipelineConfig(**kw)
 
 
+def _maybe_file(value, parse):
+    """Config values may be given inline or as a path to a file."""
+    if isinstance(value, str) and os.path.isfile(value):
+        with open(value, encoding="utf-8") as fh:
+            return parse(fh.read())
+    return value
+
+
+def _sql_text(value):
+    """Inline SQL, a ``.sql`` file, or a YAML file with an ``sql`` key."""
+    if isinstance(value, str) and os.path.isfile(value):
+        if value.endswith((".yaml", ".yml")):
+            return descriptor_sql(value)
+        with open(value, encoding="utf-8") as fh:
+            return fh.read()
+    return value
+
+
+def load_document(source: str | Mapping) -> Mapping:
+    """A ``{"conf": [...]}`` document as a dict, JSON text, or a JSON/YAML file."""
+    if isinstance(source, Mapping):
+        return source
+    if os.path.isfile(source):
+        with open(source, encoding="utf-8") as fh:
+            text = fh.read()
+        if source.endswith((".yaml", ".yml")):
+            import yaml
+
+            return yaml.safe_load(text)
+        return json.loads(text)
+    return json.loads(source)
+
+
 def scan(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     if cfg.scan == "rolling":
         return read_rolling(spark, cfg.origin, cfg.rolling_days, cfg.as_of or dt.date.today(),
@@ -148,7 +183,7 @@ def target_schema(ddl: str) -> StructType:
 def run_batch(spark: SparkSession, document: str | Mapping) -> dict[str, DataFrame]:
     """PL1: run every entry of ``{"conf": [...]}`` in order.  Each entry is
     its own plan; dispatch is by preset name."""
-    doc = json.loads(document) if isinstance(document, str) else document
+    doc = load_document(document)
     out = {}
     for entry in doc["conf"]:
         cfg = config_from_entry(entry)

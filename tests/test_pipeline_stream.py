@@ -66,3 +66,32 @@ def test_cluster_settings_size_tasks():
     conf = cluster_settings(100 * 1024 ** 4)  # 100 TB
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_cli_runs_a_config_file(spark, tmp_table, tmp_path):
+    import json as _json
+    import subprocess
+    import sys
+    import os
+
+    src = tmp_table("cli_raw")
+    spark.createDataFrame([((1, "ação"), 1000), ((2, "b"), 2000)],
+                          "_raw struct<id:string, name:string>, _emitted_at bigint").write.parquet(src)
+    mapping = tmp_path / "schema.json"
+    mapping.write_text(_json.dumps({"schema": [
+        {"Name": "_raw_id", "Type": "string", "NameTo": "id", "TypeTo": "bigint"},
+        {"Name": "_raw_name", "Type": "string", "NameTo": "name", "TypeTo": "string"}]}))
+    sql = tmp_path / "select.sql"
+    sql.write_text("select id, name from table;")
+    dest = tmp_table("cli_dest")
+    doc = tmp_path / "conf.json"
+    doc.write_text(_json.dumps({"conf": [{"origin_table": src, "destination_table": dest, "flow": "flow",
+                                          "deduplicate": [], "capitalize": ["name"], "capitalizeword": [],
+                                          "schema": str(mapping), "sql": str(sql)}]}))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "quarry", "run", str(doc), "--master", "local[2]",
+                          "--conf", f"spark.checkpoint.dir={spark.conf.get('spark.checkpoint.dir')}"],
+                         cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert _json.loads(out.stdout.strip().splitlines()[-1]) == {"destination": dest, "rows": 2}
+    assert sorted(tuple(r) for r in spark.read.parquet(dest).drop("_bucket").collect()) == [(1, "ACAO"), (2, "B")]
