@@ -120,21 +120,71 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
           .option("compression", "zstd").partitionBy(BUCKET).parquet(path))
 
 
-def jdbc_options(database: str, stage_table: str, pre_sql: str, post_sql: str,
-                 batch_size: int = 10) -> dict:
-    """K5: the staged-load option set expressed for Spark's JDBC writer.
-    (No warehouse is reachable here; this only maps the options.)"""
-    return {"dbtable": stage_table, "database": database, "batchsize": str(batch_size),
-            "sessionInitStatement": pre_sql, "postActions": post_sql, "truncate": "true"}
-
-
-def replace_group_sql(target: str, stage: str, guarded_by: str | None = None) -> tuple[str, str]:
-    """The pre/post statements of a staged warehouse load (create stage like
-    target; delete-using + insert in one transaction)."""
-    pre = f"drop table if exists {stage}; create table {stage} as select * from {target} limit 0;"
-    cond = f"{stage}.id = {target}.id"
+def replace_group_sql(target: str, stage: str, key: str = "id",
+                      guarded_by: str | None = None) -> tuple[list[str], list[str]]:
+    """Statements of a staged warehouse load: recreate the stage with the
+    target's shape, then (in one transaction) delete the target rows that a
+    stage row replaces and insert every stage row.  Uses the portable
+    ``DELETE … WHERE EXISTS`` form of delete-using."""
+    pre = [f"DROP TABLE IF EXISTS {stage}",
+           f"CREATE TABLE {stage} AS SELECT * FROM {target} WHERE 1 = 0"]
+    cond = f"{stage}.{key} = {target}.{key}"
     if guarded_by:
-        cond += f" and {stage}.{guarded_by} >= {target}.{guarded_by}"
-    post = (f"begin; delete from {target} using {stage} where {cond}; "
-            f"insert into {target} select * from {stage}; drop table {stage}; end;")
+        cond += f" AND {stage}.{guarded_by} >= {target}.{guarded_by}"
+    post = [f"DELETE FROM {target} WHERE EXISTS (SELECT 1 FROM {stage} WHERE {cond})",
+            f"INSERT INTO {target} SELECT * FROM {stage}",
+            f"DROP TABLE {stage}"]
     return pre, post
+
+
+def jdbc_options(batch_size: int = 10, extra: dict | None = None) -> dict:
+    """K5: writer options of the staged bulk load (rows per insert batch)."""
+    opts = {"batchsize": str(batch_size)}
+    opts.update(extra or {})
+    return opts
+
+
+def _run_statements(spark: SparkSession, url: str, properties: dict, statements: list[str],
+                    transaction: bool) -> None:
+    jvm = spark._jvm
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        props.setProperty(k, str(v))
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        conn.setAutoCommit(not transaction)
+        stmt = conn.createStatement()
+        for sql in statements:
+            stmt.execute(sql)
+        if transaction:
+            conn.commit()
+    except Exception:
+        if transaction:
+            conn.rollback()
+        raise
+    finally:
+        conn.close()
+
+
+def publish_jdbc(df: DataFrame, url: str, target: str, key: str = "id", guarded_by: str | None = None,
+                 properties: dict | None = None, batch_size: int = 10, widths: dict | None = None) -> None:
+    """K1/K2 into a warehouse table over JDBC (K5): stage table shaped like
+    the target, bulk append from the executors, then delete-where-exists +
+    insert in one transaction on the driver's connection.  ``widths`` cuts
+    over-long strings first (the TRUNCATECOLUMNS load option).
+
+    Not exercised here: no warehouse server is reachable in this
+    environment, only the statements are tested."""
+    from ..functions.text import truncate_width
+
+    stage = f"{target}_stage_table"
+    pre, post = replace_group_sql(target, stage, key, guarded_by)
+    props = dict(properties or {})
+    spark = df.sparkSession
+    _run_statements(spark, url, props, pre, transaction=False)
+    out = truncate_width(df, widths) if widths else df
+    writer = out.write.mode("append")
+    for k, v in jdbc_options(batch_size).items():
+        writer = writer.option(k, v)
+    writer.jdbc(url, stage, properties=props)
+    _run_statements(spark, url, props, post, transaction=True)

@@ -105,11 +105,13 @@ def test_publish_creates_then_guards(spark, tmp_table):
 
 
 def test_warehouse_statements_and_options():
-    pre, post = replace_group_sql("h.t", "h.t_stage_table", guarded_by="dt_updated")
-    assert "limit 0" in pre
-    assert "h.t_stage_table.dt_updated >= h.t.dt_updated" in post and post.startswith("begin;")
-    opts = jdbc_options("db", "h.t_stage_table", pre, post)
-    assert opts["batchsize"] == "10" and opts["dbtable"] == "h.t_stage_table"
+    pre, post = replace_group_sql("h.t", "h.t_stage_table", "id", guarded_by="dt_updated")
+    assert pre == ["DROP TABLE IF EXISTS h.t_stage_table",
+                   "CREATE TABLE h.t_stage_table AS SELECT * FROM h.t WHERE 1 = 0"]
+    assert post[0] == ("DELETE FROM h.t WHERE EXISTS (SELECT 1 FROM h.t_stage_table WHERE "
+                       "h.t_stage_table.id = h.t.id AND h.t_stage_table.dt_updated >= h.t.dt_updated)")
+    assert post[1:] == ["INSERT INTO h.t SELECT * FROM h.t_stage_table", "DROP TABLE h.t_stage_table"]
+    assert jdbc_options()["batchsize"] == "10"
 
 
 def test_hot_key_anti_join_is_split_by_aqe(spark):
