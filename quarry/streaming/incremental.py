@@ -14,6 +14,7 @@ replayed id is skipped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +24,19 @@ from ..operators.dedup import deduplicate
 from ..sinks.publish import _exists, publish_upsert
 
 
-def _committed(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return _exists(spark, f"{path.rstrip('/')}/_batches/{batch_id}")
+def _marker(path: str, checkpoint: str, batch_id: int) -> str:
+    # Batch ids restart with a new checkpoint, so markers are per checkpoint.
+    stream = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return f"{path.rstrip('/')}/_batches/{stream}/{batch_id}"
 
 
-def _mark(spark: SparkSession, path: str, batch_id: int) -> None:
+def _committed(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> bool:
+    return _exists(spark, _marker(path, checkpoint, batch_id))
+
+
+def _mark(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> None:
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(
-        f"{path.rstrip('/')}/_batches/{batch_id}")
+        _marker(path, checkpoint, batch_id))
 
 
 def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType, target: str,
@@ -42,12 +49,12 @@ def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType,
     batches = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if _committed(spark, target, batch_id):
+        if _committed(spark, target, checkpoint, batch_id):
             return
         df = transform(batch) if transform else batch
         df = deduplicate(df, dedup or [{"partitionby": [key], "orderby": [date]}])
         publish_upsert(spark, df, target, key=key, buckets=buckets, guarded_by=date, keep_latest=True)
-        _mark(spark, target, batch_id)
+        _mark(spark, target, checkpoint, batch_id)
         batches.append(batch_id)
 
     reader = spark.readStream.format(fmt).schema(schema)

@@ -95,3 +95,19 @@ def test_cli_runs_a_config_file(spark, tmp_table, tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     assert _json.loads(out.stdout.strip().splitlines()[-1]) == {"destination": dest, "rows": 2}
     assert sorted(tuple(r) for r in spark.read.parquet(dest).drop("_bucket").collect()) == [(1, "ACAO"), (2, "B")]
+
+
+def test_new_checkpoint_on_existing_target_is_not_skipped(spark, tmp_table):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    target = tmp_table("tgt2") + "/t"
+    kw = dict(key="user_id", date="ts", dedup=[{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}],
+              buckets=4)
+    first, second = tmp_table("land_a"), tmp_table("land_b")
+    ev.where("event_id % 2 = 0").write.parquet(first)
+    ev.where("event_id % 2 = 1").write.parquet(second)
+    assert incremental_upsert(spark, first, ev.schema, target, tmp_table("ck_a"), **kw) == 1
+    # A second stream (its own checkpoint, batch ids from 0 again) into the same table.
+    assert incremental_upsert(spark, second, ev.schema, target, tmp_table("ck_b"), **kw) == 1
+    latest = ev.groupBy("user_id").agg(F.max("ts").alias("ts"))
+    got = read_bucketed(spark, target)
+    assert got.join(latest, ["user_id", "ts"]).count() == latest.count() == got.count()

@@ -61,3 +61,27 @@ def test_epoch_millis_ntz_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == expect
+
+
+def test_parity_epoch_conversion_picks_wrong_instant_in_repeated_hour(spark):
+    # 2022-11-06 06:00Z is 01:00 EST, the second 01:00 of that night in New York.
+    ms = 1667714400000
+    df = spark.createDataFrame([(ms,)], "ms bigint")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = df.select(F.unix_millis(epoch_ms_to_timestamp(F.col("ms"))).alias("parity"),
+                      F.unix_millis(epoch_ms_to_timestamp_exact(F.col("ms"))).alias("exact")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.exact == ms
+    assert r.parity == ms - 3600 * 1000  # the text round trip lands on the first 01:00 (EDT)
+    utc = df.select(F.unix_millis(epoch_ms_to_timestamp(F.col("ms"))).alias("p")).first().p
+    assert utc == ms
+
+
+def test_capitalize_on_array_fails(spark):
+    import pytest
+
+    df = spark.createDataFrame([(["a"],)], "xs array<string>")
+    with pytest.raises(Exception):
+        capitalize(df, ["xs"]).collect()
