@@ -66,3 +66,15 @@ def test_parquet_glob_merges_schemas(spark, tmp_table):
     spark.createDataFrame([(2,)], "id int").write.parquet(f"{base}/p2")
     df = read_parquet_glob(spark, f"{base}/p*/*.parquet")
     assert sorted((r.id, r.x) for r in df.collect()) == [(1, "a"), (2, None)]
+
+
+def test_catalog_table_and_sql_text_predicate(spark, tmp_table):
+    from quarry.sources.scan import read_partitioned, read_table
+
+    path = tmp_table("days_sql")
+    _day_table(spark, path)
+    spark.read.parquet(path).createOrReplaceTempView("quarry_days")
+    assert read_table(spark, "quarry_days", fmt="table").count() == 5
+    pruned = read_partitioned(spark, path, rolling_predicate_sql(1, dt.date(2022, 3, 1)))
+    assert sorted(r.id for r in pruned.collect()) == [1]
+    assert "PartitionFilters: [isnotnull(partition_0" in _explain(pruned, "formatted")
