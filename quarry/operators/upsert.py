@@ -73,8 +73,11 @@ def upsert_replace(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
     return survivors.unionAll(_by_position(stage, target))
 
 
-def _stage_newest(stage: DataFrame, keys: list[str], date: str) -> DataFrame:
-    return (stage.where(_c(date).isNotNull())
+def _stage_summary(stage: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """One row per non-null stage key with its newest date (null when all of
+    the key's dates are null).  Partial aggregation runs map-side."""
+    not_null = _and([_c(k).isNotNull() for k in keys])
+    return (stage.where(not_null)
                  .groupBy(*[_c(k) for k in keys])
                  .agg(F.max(_c(date)).alias("__stage_max")))
 
@@ -85,29 +88,36 @@ def upsert_guarded(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
     """K2 = J2 (left anti on key and ``stage.date >= target.date``) + U1.
 
     ``∃ s: s.key = t.key ∧ s.date >= t.date`` is the same as
-    ``max(s.date) >= t.date`` per key, so the stage is reduced first.
+    ``max(s.date) >= t.date`` per key, so the stage is reduced first.  The
+    reduced stage is size-checked once and the same (broadcast) side serves
+    both joins of ``keep_latest``, so its exchange is reused.
     """
     keys = _keys(key)
-    newest = maybe_broadcast(_stage_newest(stage, keys, date), broadcast_max_rows)
+    summary = maybe_broadcast(_stage_summary(stage, keys, date), broadcast_max_rows)
     t = target.alias("t")
-    n = newest.alias("n")
+    n = summary.alias("n")
     cond = [F.col(f"t.`{k}`") == F.col(f"n.`{k}`") for k in keys]
     cond.append(F.col("n.__stage_max") >= F.col(f"t.`{date}`"))
     survivors = t.join(n, on=_and(cond), how="left_anti")
     incoming = _by_position(stage, target)
     if keep_latest:
-        incoming = drop_stale(incoming, target, keys, date, broadcast_max_rows)
+        incoming = _drop_stale(incoming, target, summary, keys, date)
     return survivors.unionAll(incoming)
 
 
 def drop_stale(stage: DataFrame, target: DataFrame, keys: list[str], date: str,
                broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Stage rows for which the target holds a strictly newer date are
-    dropped (null = oldest).  Only target rows whose key is in the stage are
-    aggregated: the (small) stage keys semi-join the target first."""
-    stage_keys = maybe_broadcast(stage.select(*[_c(k) for k in keys]).dropna().distinct(),
-                                 broadcast_max_rows)
-    target_newest = (target.join(stage_keys, on=keys, how="left_semi")
+    dropped (null = oldest)."""
+    summary = maybe_broadcast(_stage_summary(stage, keys, date), broadcast_max_rows)
+    return _drop_stale(stage, target, summary, keys, date)
+
+
+def _drop_stale(stage: DataFrame, target: DataFrame, summary: DataFrame, keys: list[str],
+                date: str) -> DataFrame:
+    # Only target rows whose key is in the stage are aggregated: the
+    # (size-checked) stage summary semi-joins the target first.
+    target_newest = (target.join(summary, on=keys, how="left_semi")
                            .where(_c(date).isNotNull())
                            .groupBy(*[_c(k) for k in keys])
                            .agg(F.max(_c(date)).alias("__target_max")))
