@@ -78,3 +78,13 @@ def test_catalog_table_and_sql_text_predicate(spark, tmp_table):
     pruned = read_partitioned(spark, path, rolling_predicate_sql(1, dt.date(2022, 3, 1)))
     assert sorted(r.id for r in pruned.collect()) == [1]
     assert "PartitionFilters: [isnotnull(partition_0" in _explain(pruned, "formatted")
+
+
+def test_small_files_are_packed_into_few_read_tasks(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    df = entry.queries()["scan_small_files"](spark, SF_SMALL)
+    files = df.inputFiles()
+    assert len(files) == 64
+    assert df.rdd.getNumPartitions() < len(files) // 4
