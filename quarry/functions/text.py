@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import col as _c
+
 # The accented capitals folded by ``capitalize`` and their
 # replacements, position by position.  Only these eleven letters are folded;
 # every other accented letter (À Ü Ñ È …) is kept.
@@ -14,10 +16,6 @@ ACCENTED = "ÁÉÍÓÚÇÕÂÃÔÊ"
 PLAIN = "AEIOUCOAAOE"
 
 
-def _c(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def upper_unaccent(c: Column) -> Column:
     """X1 as an expression: ``upper`` then fold the eleven accented capitals."""
     return F.translate(F.upper(c), ACCENTED, PLAIN)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import CharType, StringType, StructField, StructType, VarcharType
 
+from ..functions.columns import col
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -47,7 +49,7 @@ def conform(df: DataFrame, target: StructType, on_extra: str = "error", on_missi
             width = None
         width = (widths or {}).get(f.name, width)
         if f.name.lower() in have:
-            src = F.col("`" + have[f.name.lower()] + "`")
+            src = col(have[f.name.lower()])
             c = src.cast(dtype) if strict_cast else src.try_cast(dtype)
         else:
             c = F.lit(None).cast(dtype)
@@ -55,7 +57,7 @@ def conform(df: DataFrame, target: StructType, on_extra: str = "error", on_missi
             c = F.substring(c, 1, int(width))
         cols.append(c.alias(f.name))
     if extra and on_extra == "evolve":
-        cols.extend(F.col("`" + c + "`") for c in extra)
+        cols.extend(col(c) for c in extra)
     return df.select(*cols)
 
 

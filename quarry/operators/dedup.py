@@ -17,17 +17,13 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import col as _c
+
 # Reserved name for the rank column: never clobbers a user column (a column
 # literally called ``row`` survives).
 _RANK = "__quarry_rank"
 
 
-def _c(name: str | Column) -> Column:
-    if isinstance(name, Column):
-        return name
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def keep_latest(df: DataFrame, partition_by: Sequence[str | Column], order_by: Sequence[str | Column],
                 tie_break: Sequence[str | Column] = ()) -> DataFrame:
     """W1/O1/F1 for one spec.  ``order_by`` keys are all descending;

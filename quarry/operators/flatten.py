@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from ..functions.columns import quote as _quote
+
 
 class FlattenNameClash(ValueError):
     pass
@@ -34,10 +36,6 @@ class _Slot:
     expr: Column  # expression producing this slot from the current frame
 
 
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _is_struct(dt: DataType) -> bool:
     return type(dt) is StructType
 

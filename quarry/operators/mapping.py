@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
+
 Mapping4 = tuple[str, str, str, str]
 
 # Type names as they appear in mapping documents; the rest go to Spark's
@@ -56,6 +58,6 @@ def apply_mapping(df: DataFrame, mapping: Iterable[Mapping4] | dict | str, stric
                 cols.append(F.lit(None).cast(target).alias(name_to))
                 continue
             raise ValueError(f"mapping source column {name!r} is not in the frame; columns: {df.columns}")
-        src = F.col("`" + name.replace("`", "``") + "`")
+        src = col(name)
         cols.append((src.cast(target) if strict else src.try_cast(target)).alias(name_to))
     return df.select(*cols)

@@ -30,14 +30,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col as _c
+
 # Largest reduced stage (rows) that is shipped to every task.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _c(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Bounded size check: reads at most ``max_rows + 1`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows
