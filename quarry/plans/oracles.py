@@ -228,6 +228,13 @@ select cast(o.o_orderkey as varchar) as order_id, cast(l.l_linenumber as varchar
        {_ms('l.l_shipdate')} as shipped_ms
 from orders o left join lineitem l on l.l_orderkey = o.o_orderkey""",
     "dedup_latest_event": LATEST_EVENT,
+    "dedup_hot_keys": """
+select * from lineitem
+qualify row_number() over (
+  partition by l_returnflag, l_linestatus
+  order by l_shipdate desc nulls last, l_orderkey desc nulls last, l_linenumber desc nulls last,
+           l_partkey desc nulls last, l_suppkey desc nulls last, l_quantity desc nulls last,
+           l_extendedprice desc nulls last, l_discount desc nulls last, l_tax desc nulls last) = 1""",
     "dedup_sequential": f"""
 with a as (
   select {ORDER_COLS} from orders

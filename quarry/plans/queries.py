@@ -153,6 +153,20 @@ def q_dedup_latest_event(spark, sf):
     return deduplicate(ev, [{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}])
 
 
+LINE_TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                  "l_discount", "l_tax"]
+
+
+def q_dedup_hot_keys(spark, sf):
+    """Dedup where every group is hot: lineitem by (return flag, line status)
+    has a handful of groups, each holding about a quarter of all rows.  The
+    partial WindowGroupLimit keeps one row per group per map task, so no task
+    receives a whole group."""
+    li = fx.table(spark, sf, "lineitem")
+    return deduplicate(li, [{"partitionby": ["l_returnflag", "l_linestatus"], "orderby": ["l_shipdate"],
+                             "tie_break": LINE_TIE_BREAK}])
+
+
 def q_dedup_sequential(spark, sf):
     o = fx.table(spark, sf, "orders")
     return deduplicate(o, [
@@ -487,6 +501,7 @@ _REGISTERED = {
     "type_choice_coalesce": q_type_choice,
     "dedup_latest_event": q_dedup_latest_event,
     "dedup_sequential": q_dedup_sequential,
+    "dedup_hot_keys": q_dedup_hot_keys,
     "apply_mapping": q_apply_mapping,
     "sql_projection": q_sql_projection,
     "epoch_ms_timestamp": q_epoch_ms_timestamp,
