@@ -66,7 +66,9 @@ RECIPES = {
     "full_struct_guarded": dict(scan="full", flatten="struct", upsert="guarded"),
 }
 
-# Entity presets (flow name → recipe); rolling reads look back one day.
+# The entity presets and the flow names used by existing
+# configuration documents, so those documents dispatch unchanged.  Each
+# entity maps to one of the four recipes; rolling reads look back one day.
 PRESETS = {
     "contacts": "full_struct_replace",
     "companies": "rolling_struct_replace",
