@@ -32,8 +32,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col as _c
 
-# Largest reduced stage (rows) that is shipped to every task.
+# Largest reduced stage (rows) that is shipped to every task.  The reduced
+# stage holds only key columns (+ one date), so 2 M rows is tens of MB.  A
+# cluster can tune it with the session setting below.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS_CONF = "spark.quarry.broadcastMaxRows"
+_DEFAULT = object()
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
@@ -41,9 +45,18 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def _resolve(df: DataFrame, max_rows) -> int | None:
+    if max_rows is not _DEFAULT:
+        return max_rows
+    configured = df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, None)
+    return int(configured) if configured else BROADCAST_MAX_ROWS
+
+
+def maybe_broadcast(df: DataFrame, max_rows=_DEFAULT) -> DataFrame:
     """Broadcast ``df`` only behind a proven row bound; otherwise leave the
-    choice to the planner (shuffle join, AQE may still convert it)."""
+    choice to the planner (shuffle join, AQE may still convert it).
+    ``max_rows=None`` (or ≤ 0) never broadcasts explicitly."""
+    max_rows = _resolve(df, max_rows)
     if max_rows is None or max_rows <= 0:
         return df
     return F.broadcast(df) if is_small(df, max_rows) else df
@@ -62,7 +75,7 @@ def _by_position(stage: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def upsert_replace(target: DataFrame, stage: DataFrame, key: str | Sequence[str] = "id",
-                   broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_rows=_DEFAULT) -> DataFrame:
     """K1 = J1 (left anti on key) + U1 (append all stage rows)."""
     keys = _keys(key)
     stage_keys = stage.select(*[_c(k) for k in keys]).dropna().distinct()
@@ -82,7 +95,7 @@ def _stage_summary(stage: DataFrame, keys: list[str], date: str) -> DataFrame:
 
 def upsert_guarded(target: DataFrame, stage: DataFrame, key: str | Sequence[str] = "id",
                    date: str = "dt_updated", keep_latest: bool = False,
-                   broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_rows=_DEFAULT) -> DataFrame:
     """K2 = J2 (left anti on key and ``stage.date >= target.date``) + U1.
 
     ``∃ s: s.key = t.key ∧ s.date >= t.date`` is the same as
@@ -104,7 +117,7 @@ def upsert_guarded(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
 
 
 def drop_stale(stage: DataFrame, target: DataFrame, keys: list[str], date: str,
-               broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows=_DEFAULT) -> DataFrame:
     """Stage rows for which the target holds a strictly newer date are
     dropped (null = oldest)."""
     summary = maybe_broadcast(_stage_summary(stage, keys, date), broadcast_max_rows)

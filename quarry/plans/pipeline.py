@@ -89,7 +89,11 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
     (``origin_table, destination_table, deduplicate, capitalize,
     capitalizeword, flow`` …).  The recipe is looked up by flow/preset name."""
     preset = entry.get("preset") or FLOW_NAMES.get(entry.get("flow", ""), entry.get("flow"))
-    recipe = RECIPES[PRESETS.get(preset, preset)] if preset else {}
+    recipe_name = PRESETS.get(preset, preset) if preset else None
+    if recipe_name is not None and recipe_name not in RECIPES:
+        raise ValueError(f"unknown preset/flow {preset!r} for {entry.get('destination_table')!r}; "
+                         f"presets: {sorted(PRESETS)}, flows: {sorted(FLOW_NAMES)}, recipes: {sorted(RECIPES)}")
+    recipe = RECIPES[recipe_name] if recipe_name else {}
     kw = dict(recipe)
     kw.update(
         origin=entry["origin_table"], destination=entry["destination_table"],

@@ -111,3 +111,10 @@ def test_new_checkpoint_on_existing_target_is_not_skipped(spark, tmp_table):
     latest = ev.groupBy("user_id").agg(F.max("ts").alias("ts"))
     got = read_bucketed(spark, target)
     assert got.join(latest, ["user_id", "ts"]).count() == latest.count() == got.count()
+
+
+def test_unknown_flow_is_a_clear_error():
+    import pytest
+
+    with pytest.raises(ValueError, match="unknown preset/flow 'flow9'"):
+        config_from_entry({"origin_table": "o", "destination_table": "d", "flow": "flow9"})

@@ -150,3 +150,19 @@ def test_hot_key_anti_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_broadcast_bound_from_session_setting(spark):
+    from quarry.operators.upsert import BROADCAST_MAX_ROWS_CONF
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set(BROADCAST_MAX_ROWS_CONF, "2")  # the stage has 6 distinct keys
+        assert "BroadcastHashJoin" not in _explain(upsert_replace(target(spark), stage(spark), "id"), "formatted")
+        spark.conf.set(BROADCAST_MAX_ROWS_CONF, "100")
+        assert "BroadcastHashJoin" in _explain(upsert_replace(target(spark), stage(spark), "id"), "formatted")
+    finally:
+        spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
