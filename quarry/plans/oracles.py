@@ -212,16 +212,13 @@ select o_orderkey as id, o_orderdate as created, o_orderstatus as order_status,
 from orders""",
     "flatten_all": RAW_ORDERS_FLAT,
     "flatten_two_arrays": """
-select c.c_custkey as n,
-       case x.i when 0 then c.c_nationkey else c.c_nationkey + 100 end as xs,
-       case y.i when 0 then c.c_mktsegment else c.c_name end as ys,
-       c.c_nationkey + a.i as aa,
-       cast(null as integer) as ea,
-       cast(null as integer) as nn_n
-from customer c
-cross join (values (0), (1)) x(i)
-cross join (values (0), (1)) y(i)
-cross join (values (0), (1), (2)) a(i)""",
+select n, xs, ys, unnest([k, k + 1, k + 2]) as aa, cast(null as integer) as ea, cast(null as integer) as nn_n
+from (
+  select n, k, xs, unnest([seg, name]) as ys
+  from (
+    select c_custkey as n, c_nationkey as k, c_mktsegment as seg, c_name as name,
+           unnest([c_nationkey, c_nationkey + 100]) as xs
+    from customer))""",
     "type_choice_coalesce": f"""
 select cast(o.o_orderkey as varchar) as order_id, cast(l.l_linenumber as varchar) as line_number,
        l.l_partkey as part_key, l.l_suppkey as supp_key, l.l_extendedprice as price,
