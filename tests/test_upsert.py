@@ -166,3 +166,28 @@ def test_broadcast_bound_from_session_setting(spark):
         spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_full_refresh_layout_is_globally_ordered_by_key(spark, tmp_table):
+    from pyspark.sql import functions as F
+
+    from quarry.sinks.publish import full_refresh
+    from tests.conftest import SF_SMALL
+
+    path = tmp_table("sorted")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    # Small input: keep the 8 range partitions instead of letting AQE merge them.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        full_refresh(orders.repartition(8), path, sort_key="o_orderkey")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = (spark.read.parquet(path).groupBy(F.input_file_name().alias("f"))
+                  .agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")).orderBy("lo").collect())
+    assert len(files) > 1
+    for a, b in zip(files, files[1:]):
+        assert a.hi < b.lo  # key ranges of files do not overlap: min/max stats prune lookups
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(path).inputFiles())
+    # Rows inside each file come out in key order.
+    keys = [r.o_orderkey for r in spark.read.parquet(files[0].f).collect()]
+    assert keys == sorted(keys)
