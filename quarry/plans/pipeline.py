@@ -95,8 +95,13 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
                          f"presets: {sorted(PRESETS)}, flows: {sorted(FLOW_NAMES)}, recipes: {sorted(RECIPES)}")
     recipe = RECIPES[recipe_name] if recipe_name else {}
     kw = dict(recipe)
+    origin = entry["origin_table"]
+    if entry.get("database"):
+        # A catalog table: ``database.origin_table`` read with spark.table.
+        origin = f"{entry['database']}.{origin}"
+        kw["scan_format"] = "table"
     kw.update(
-        origin=entry["origin_table"], destination=entry["destination_table"],
+        origin=origin, destination=entry["destination_table"],
         dedup=list(entry.get("deduplicate", [])), capitalize=list(entry.get("capitalize", [])),
         regex=list(entry.get("capitalizeword", [])),
         mapping=parse_mapping(_maybe_file(entry["schema"], json.loads)) if entry.get("schema") else [],

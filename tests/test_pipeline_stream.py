@@ -118,3 +118,16 @@ def test_unknown_flow_is_a_clear_error():
 
     with pytest.raises(ValueError, match="unknown preset/flow 'flow9'"):
         config_from_entry({"origin_table": "o", "destination_table": "d", "flow": "flow9"})
+
+
+def test_catalog_origin_from_database_key(spark, tmp_table):
+    from quarry.plans.pipeline import run_pipeline
+
+    spark.createDataFrame([((1, "x"), 1)], "_raw struct<id:string, name:string>, _emitted_at bigint") \
+        .createOrReplaceGlobalTempView("quarry_raw_people")
+    cfg = config_from_entry({"origin_table": "quarry_raw_people", "database": "global_temp",
+                             "destination_table": tmp_table("from_catalog"), "flow": "flow",
+                             "schema": {"schema": [{"Name": "_raw_id", "Type": "string", "NameTo": "id",
+                                                    "TypeTo": "bigint"}]}})
+    assert cfg.scan_format == "table" and cfg.origin == "global_temp.quarry_raw_people"
+    assert [tuple(r) for r in run_pipeline(spark, cfg).collect()] == [(1,)]
