@@ -88,3 +88,19 @@ def test_small_files_are_packed_into_few_read_tasks(spark):
     files = df.inputFiles()
     assert len(files) == 64
     assert df.rdd.getNumPartitions() < len(files) // 4
+
+
+def test_descriptor_sql_key_points_to_a_yaml_document(spark, tmp_path):
+    from quarry.operators.projection import named_projection
+
+    sql_doc = tmp_path / "sql.yaml"
+    sql_doc.write_text("sql: |\n  select nome, endereco.rua as rua\n  from teste\n")
+    desc = tmp_path / "teste.yaml"
+    desc.write_text("nome: int\ntelefone: string\nendereco:\n  rua: string\n  numero: int\n"
+                    f"sql: {sql_doc}\n")
+    assert descriptor_sql(str(desc)).strip().startswith("select nome")
+    data = tmp_path / "people.json"
+    data.write_text('{"nome": 7, "telefone": "1", "endereco": {"rua": "R", "numero": 3}}\n')
+    df = read_with_descriptor(spark, str(data), str(desc))
+    out = named_projection({"teste": df}, descriptor_sql(str(desc)))
+    assert [tuple(r) for r in out.collect()] == [(7, "R")]
