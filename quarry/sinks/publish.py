@@ -46,6 +46,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _existing_buckets(spark: SparkSession, path: str) -> set[int]:
+    """Bucket numbers that have a folder in the table (folder names only, at
+    most ``N``; no file listing).  Matched by number, so any filesystem
+    scheme works."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BUCKET}=*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = set()
+    for st in fs.globStatus(pattern) or []:
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{BUCKET}="):
+            try:
+                out.add(int(name.split("=", 1)[1]))
+            except ValueError:
+                pass
+    return out
+
+
 def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str | None = None,
                  compression: str = "zstd") -> None:
     """K6 (WRITE_TRUNCATE) with the K7/O3 layout: zstd pages, rows range-
@@ -102,10 +120,17 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
     touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
     if not touched:
         return
-    current = spark.read.parquet(path)
-    target = current.where(F.col(BUCKET).isin(touched))
-    target_cols = [c for c in target.columns if c != BUCKET]
-    target = target.select(*target_cols, BUCKET)
+    # Read only the touched bucket folders (explicit paths under basePath):
+    # untouched buckets are never even listed, which matters when the table
+    # holds millions of files.  Buckets that do not exist yet have no rows.
+    existing = _existing_buckets(spark, path)
+    dirs = [f"{path.rstrip('/')}/{BUCKET}={b}" for b in touched if b in existing]
+    target_cols = [c for c in staged.columns if c != BUCKET]
+    if dirs:
+        target = (spark.read.option("basePath", path).parquet(*dirs)
+                       .select(*target_cols, F.col(BUCKET).cast("int").alias(BUCKET)))
+    else:
+        target = spark.createDataFrame([], staged.select(*target_cols, BUCKET).schema)
     staged = staged.select(*target_cols, BUCKET)
     if guarded_by is None:
         merged = upsert_replace(target, staged, key)

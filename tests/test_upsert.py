@@ -191,3 +191,18 @@ def test_full_refresh_layout_is_globally_ordered_by_key(spark, tmp_table):
     # Rows inside each file come out in key order.
     keys = [r.o_orderkey for r in spark.read.parquet(files[0].f).collect()]
     assert keys == sorted(keys)
+
+
+def test_publish_into_buckets_that_do_not_exist_yet(spark, tmp_table):
+    from quarry.sinks.publish import _existing_buckets
+
+    path = tmp_table("sparse") + "/t"
+    publish_upsert(spark, target(spark).where("id in (1, 2)"), path, key="id", buckets=64)
+    before = _existing_buckets(spark, path)
+    assert 1 <= len(before) <= 2
+    st = spark.createDataFrame([(2, "two", D(2024, 1, 3))] + [(i, f"n{i}", D(2024, 1, 3)) for i in range(100, 140)],
+                               SCHEMA)
+    publish_upsert(spark, st, path, key="id", buckets=64)
+    out = rows(read_bucketed(spark, path).select("id", "v", "dt_updated"))
+    assert out == sorted([(1, "t1"), (2, "two")] + [(i, f"n{i}") for i in range(100, 140)])
+    assert len(_existing_buckets(spark, path)) > len(before)
