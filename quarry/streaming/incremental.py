@@ -42,10 +42,12 @@ def _mark(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> Non
 def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType, target: str,
                        checkpoint: str, key: str, date: str, dedup: list | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                       buckets: int = 16, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> int:
+                       buckets: int = 16, fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                       reader_options: dict | None = None) -> int:
     """Process all files not seen before, upserting them into ``target``
     (guarded by ``date``, keep-latest).  Returns the number of micro-batches
-    run."""
+    run.  ``reader_options`` go to the file source (e.g. ``maxFileAge`` to
+    bound what each run lists in a large landing folder)."""
     batches = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -60,6 +62,8 @@ def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType,
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in (reader_options or {}).items():
+        reader = reader.option(k, v)
     query = (reader.load(source_dir).writeStream
                    .foreachBatch(handle)
                    .option("checkpointLocation", checkpoint)
