@@ -275,7 +275,7 @@ select l_orderkey, count(*) as n from lineitem group by l_orderkey
 having count(*) > 1 or l_orderkey is null""",
     "target_layout": f"select {ORDER_COLS} from orders",
     "nested_orders_flagship": _orders_pipe(RAW_ORDERS_FLAT),
-    "pipeline_full_all_replace": f"""
+    "recipe_full_all_replace": f"""
 with first_run as ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))}),
 second_drop as (
   {_orders_published(_orders_pipe(RAW_ORDERS_FLAT.replace("o.o_orderpriority as _raw_data_priority",
@@ -286,22 +286,22 @@ second_drop as (
 select * from first_run f where not exists (select 1 from second_drop s where s.id = f.id)
 union all
 select * from second_drop""",
-    "pipeline_full_struct_replace": f"""
+    "recipe_full_struct_replace": f"""
 with a as ({_events_pipe("ts < timestamp '2024-01-20'")}),
 b as ({_events_pipe("ts >= timestamp '2024-01-15'")})
 select * from a where not exists (select 1 from b where b.id = a.id)
 union all select * from b""",
-    "pipeline_full_struct_guarded": f"""
+    "recipe_full_struct_guarded": f"""
 with a as ({_events_pipe("ts < timestamp '2024-01-20'")}),
 b as ({_events_pipe("ts < timestamp '2024-01-15'")})
 select * from a where not exists (select 1 from b where b.id = a.id and b.dt_updated >= a.dt_updated)
 union all select * from b""",
-    "pipeline_rolling_struct_replace": f"""
+    "recipe_rolling_struct_replace": f"""
 with a as ({_events_pipe("ts >= timestamp '2024-01-01'")}),
 b as ({_events_pipe("ts >= timestamp '2024-01-26'")})
 select * from a where not exists (select 1 from b where b.id = a.id)
 union all select * from b""",
-    "pipeline_batch": f"""
+    "config_batch": f"""
 select 'contacts' as destination, count(*) as n_rows, count(distinct id) as n_ids
 from ({_events_pipe("true")})
 union all

@@ -381,7 +381,7 @@ def nested_orders_flagship(spark: SparkSession, sf: str) -> DataFrame:
     return transform(fx.raw_orders(spark, sf), orders_pipeline_config(destination=""))
 
 
-def q_pipeline_full_all_replace(spark, sf):
+def q_recipe_full_all_replace(spark, sf):
     """Recipe (full scan, flatten_all, replace): run twice — the whole
     envelope, then the records of open orders again — into a bucketed
     table."""
@@ -407,7 +407,7 @@ def _raw_events_drop(spark, sf, lo: str | None, hi: str | None) -> DataFrame:
     return ev
 
 
-def q_pipeline_full_struct_replace(spark, sf):
+def q_recipe_full_struct_replace(spark, sf):
     """Recipe (full, flatten_struct, replace): events before Jan 20, then
     events from Jan 15 on."""
     _utc(spark)
@@ -416,7 +416,7 @@ def q_pipeline_full_struct_replace(spark, sf):
     return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, "2024-01-15", None))
 
 
-def q_pipeline_full_struct_guarded(spark, sf):
+def q_recipe_full_struct_guarded(spark, sf):
     """Recipe (full, flatten_struct, guarded): events before Jan 20, then a
     stale drop of events before Jan 15 (the unconditional insert keeps the
     stale rows next to the newer ones)."""
@@ -426,7 +426,7 @@ def q_pipeline_full_struct_guarded(spark, sf):
     return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-15"))
 
 
-def q_pipeline_rolling_struct_replace(spark, sf):
+def q_recipe_rolling_struct_replace(spark, sf):
     """Recipe (rolling scan, flatten_struct, replace): the envelope stored by
     day; first run as of Jan 10 looking back 9 days, second as of Jan 31
     looking back 5 days."""
@@ -445,7 +445,7 @@ def q_pipeline_rolling_struct_replace(spark, sf):
     return run_pipeline(spark, second)
 
 
-def q_pipeline_batch(spark, sf):
+def q_config_batch(spark, sf):
     """PL1: a config document with two entries dispatched by flow name."""
     _utc(spark)
     raw_orders_path = run_path(spark, "raw_orders")
@@ -518,11 +518,11 @@ _REGISTERED = {
     "key_constraint_report": q_key_constraint_report,
     "target_layout": q_target_layout,
     "nested_orders_flagship": nested_orders_flagship,
-    "pipeline_full_all_replace": q_pipeline_full_all_replace,
-    "pipeline_full_struct_replace": q_pipeline_full_struct_replace,
-    "pipeline_full_struct_guarded": q_pipeline_full_struct_guarded,
-    "pipeline_rolling_struct_replace": q_pipeline_rolling_struct_replace,
-    "pipeline_batch": q_pipeline_batch,
+    "recipe_full_all_replace": q_recipe_full_all_replace,
+    "recipe_full_struct_replace": q_recipe_full_struct_replace,
+    "recipe_full_struct_guarded": q_recipe_full_struct_guarded,
+    "recipe_rolling_struct_replace": q_recipe_rolling_struct_replace,
+    "config_batch": q_config_batch,
     "incremental_upsert": q_incremental_upsert,
 }
 
