@@ -80,19 +80,27 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
-    Read from the session; only when unset (tests, a bare local session) is a
-    folder created and registered as the checkpoint dir.
+    Read from the session (``spark.checkpoint.dir``, or the checkpoint dir
+    already registered on the SparkContext); only when neither is set (tests,
+    a bare local session) is a folder created and registered, once.
     """
     root = _configured_checkpoint_dir(spark)
+    registered = None
+    try:
+        registered = spark.sparkContext.getCheckpointDir()
+    except Exception:  # pragma: no cover - no SparkContext (Connect)
+        pass
+    if not root:
+        root = registered
     if not root:
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
+        root = spark.sparkContext.getCheckpointDir() or root
+    elif not registered:
+        try:
             spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # pragma: no cover
-        pass
+        except Exception:  # pragma: no cover
+            pass
     return root.rstrip("/")
 
 

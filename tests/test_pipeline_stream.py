@@ -131,3 +131,33 @@ def test_catalog_origin_from_database_key(spark, tmp_table):
                                                     "TypeTo": "bigint"}]}})
     assert cfg.scan_format == "table" and cfg.origin == "global_temp.quarry_raw_people"
     assert [tuple(r) for r in run_pipeline(spark, cfg).collect()] == [(1,)]
+
+
+def test_scratch_root_created_once_when_unset():
+    from quarry.session import scratch_root
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _SC:
+        def __init__(self):
+            self.dir = None
+
+        def getConf(self):
+            return _Conf()
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d + "/uuid"
+
+    class _Spark:
+        conf = _Conf()
+        sparkContext = _SC()
+
+    s = _Spark()
+    first = scratch_root(s)
+    assert s.sparkContext.dir is not None
+    assert first == s.sparkContext.dir.rstrip("/") == scratch_root(s)
