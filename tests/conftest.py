@@ -21,11 +21,11 @@ def spark():
                .config("spark.sql.adaptive.enabled", "true"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        # Only where the cluster names none (tests): our own scratch folder.
-        d = tempfile.mkdtemp(prefix="quarry-test-ckpt-")
-        session.conf.set("spark.checkpoint.dir", d)
-        session.sparkContext.setCheckpointDir(d)
+    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
+        # Only where the cluster names none (tests): our own scratch folder,
+        # registered on the SparkContext (a core setting cannot be changed
+        # through spark.conf at runtime).
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-test-ckpt-"))
     yield session
     session.stop()
 

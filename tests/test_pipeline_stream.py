@@ -74,6 +74,8 @@ def test_cli_runs_a_config_file(spark, tmp_table, tmp_path):
     import sys
     import os
 
+    from quarry.session import scratch_root
+
     src = tmp_table("cli_raw")
     spark.createDataFrame([((1, "ação"), 1000), ((2, "b"), 2000)],
                           "_raw struct<id:string, name:string>, _emitted_at bigint").write.parquet(src)
@@ -90,7 +92,7 @@ def test_cli_runs_a_config_file(spark, tmp_table, tmp_path):
                                           "schema": str(mapping), "sql": str(sql)}]}))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-m", "quarry", "run", str(doc), "--master", "local[2]",
-                          "--conf", f"spark.checkpoint.dir={spark.conf.get('spark.checkpoint.dir')}"],
+                          "--conf", f"spark.checkpoint.dir={scratch_root(spark)}"],
                          cwd=root, capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert _json.loads(out.stdout.strip().splitlines()[-1]) == {"destination": dest, "rows": 2}
