@@ -62,10 +62,15 @@ def rolling_predicate(days: int, as_of: dt.date, mode: str = "date",
     raise ValueError(f"unknown rolling mode {mode!r}")
 
 
+# Fixed value: the text form of the original rolling predicate, with
+# zero-padded year, month and day literals.
+ROLLING_PREDICATE_FORMAT = "partition_0 >= {y} AND partition_1 >= {m} AND partition_2 >= {d}"
+
+
 def rolling_predicate_sql(days: int, as_of: dt.date) -> str:
     """The componentwise predicate as SQL text (what a catalog read takes)."""
     y, m, d = cutoff_parts(as_of, days)
-    return f"partition_0 >= {y} AND partition_1 >= {m} AND partition_2 >= {d}"
+    return ROLLING_PREDICATE_FORMAT.format(y=y, m=m, d=d)
 
 
 def read_rolling(spark: SparkSession, source: str, days: int, as_of: dt.date, mode: str = "date",
