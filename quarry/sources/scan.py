@@ -3,8 +3,10 @@
 All scans return a lazy DataFrame; Catalyst pushes the projections and
 filters of whatever is planned on top down to the Parquet reader
 (``ReadSchema`` / ``PushedFilters``) and turns predicates on partition
-columns into ``PartitionFilters`` so unneeded directories are never listed
-into tasks.
+columns into ``PartitionFilters`` so files in pruned directories are never
+read.  (A bare-path read still lists every file first; for very large
+partitioned sources read a catalog table, whose metastore prunes
+partitions before listing.)
 """
 
 from __future__ import annotations
