@@ -206,3 +206,11 @@ def test_publish_into_buckets_that_do_not_exist_yet(spark, tmp_table):
     out = rows(read_bucketed(spark, path).select("id", "v", "dt_updated"))
     assert out == sorted([(1, "t1"), (2, "two")] + [(i, f"n{i}") for i in range(100, 140)])
     assert len(_existing_buckets(spark, path)) > len(before)
+
+
+def test_publish_empty_stage_leaves_table_unchanged(spark, tmp_table):
+    path = tmp_table("empty_stage") + "/t"
+    publish_upsert(spark, target(spark), path, key="id", buckets=4)
+    before = rows(read_bucketed(spark, path).select("id", "v", "dt_updated"))
+    publish_upsert(spark, stage(spark).where("false"), path, key="id", buckets=4, guarded_by="dt_updated")
+    assert rows(read_bucketed(spark, path).select("id", "v", "dt_updated")) == before
