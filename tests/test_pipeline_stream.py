@@ -163,3 +163,13 @@ def test_scratch_root_created_once_when_unset():
     first = scratch_root(s)
     assert s.sparkContext.dir is not None
     assert first == s.sparkContext.dir.rstrip("/") == scratch_root(s)
+
+
+def test_pipeline_first_load_empty_then_data(spark, tmp_table):
+    from quarry.plans.pipeline import PipelineConfig, run_pipeline
+
+    raw = spark.createDataFrame([((1, "a"), 1), ((2, "b"), 2)], "_raw struct<id:string, name:string>, _emitted_at bigint")
+    cfg = PipelineConfig(origin="", destination=tmp_table("empty_first") + "/t", flatten="struct",
+                         mapping=[("_raw_id", "string", "id", "bigint"), ("_raw_name", "string", "name", "string")])
+    assert run_pipeline(spark, cfg, source=raw.where("false")).count() == 0
+    assert sorted(tuple(r) for r in run_pipeline(spark, cfg, source=raw).collect()) == [(1, "a"), (2, "b")]
