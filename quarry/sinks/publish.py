@@ -98,7 +98,12 @@ def _layout(df: DataFrame, sort_key: str, salts: int = WRITERS_PER_BUCKET) -> Da
               .sortWithinPartitions(BUCKET, sort_key))
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+def read_bucketed(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The published table without its bucket column.  With ``schema``, a
+    table that has no rows yet (no bucket folders) reads as an empty frame
+    instead of failing to infer a schema."""
+    if schema is not None and not _existing_buckets(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(path).drop(BUCKET)
 
 

@@ -214,3 +214,9 @@ def test_publish_empty_stage_leaves_table_unchanged(spark, tmp_table):
     before = rows(read_bucketed(spark, path).select("id", "v", "dt_updated"))
     publish_upsert(spark, stage(spark).where("false"), path, key="id", buckets=4, guarded_by="dt_updated")
     assert rows(read_bucketed(spark, path).select("id", "v", "dt_updated")) == before
+
+
+def test_read_bucketed_of_a_table_without_rows(spark, tmp_table):
+    path = tmp_table("no_rows") + "/t"
+    publish_upsert(spark, stage(spark).where("false"), path, key="id", buckets=4)
+    assert read_bucketed(spark, path, schema=stage(spark).schema).count() == 0
