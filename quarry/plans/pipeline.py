@@ -27,7 +27,7 @@ from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
 from ..operators.quality import check_row_count
-from ..sinks.publish import _existing_buckets, full_refresh, publish_upsert
+from ..sinks.publish import full_refresh, publish_upsert, read_bucketed
 from ..sources.descriptor import descriptor_sql
 from ..sources.scan import read_parquet_glob, read_rolling, read_table
 
@@ -181,10 +181,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, source: DataFrame | N
     publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
                    guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None,
                    keep_latest=cfg.keep_latest)
-    if not _existing_buckets(spark, cfg.destination):
-        # Nothing published yet (only empty loads so far): no files to read.
-        return spark.createDataFrame([], df.schema)
-    return spark.read.parquet(cfg.destination).drop("_bucket")
+    # An empty first load leaves no files: read as an empty frame then.
+    return read_bucketed(spark, cfg.destination, schema=df.schema)
 
 
 def target_schema(ddl: str) -> StructType:
