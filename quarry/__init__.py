@@ -14,8 +14,12 @@ from .operators.mapping import apply_mapping, parse_mapping
 from .operators.projection import named_projection, sql_projection
 from .operators.quality import key_constraint_report, row_count_gate
 from .operators.upsert import upsert_guarded, upsert_replace
+from .plans.pipeline import PipelineConfig, run_batch, run_pipeline
+from .session import build_session
+from .sinks.publish import publish_upsert, read_bucketed
 
 __all__ = [
+    "PipelineConfig", "build_session", "publish_upsert", "read_bucketed", "run_batch", "run_pipeline",
     "apply_mapping", "capitalize", "coalesce_choice", "conform", "deduplicate", "empty_like",
     "epoch_ms_to_text", "epoch_ms_to_timestamp", "epoch_ms_to_timestamp_exact", "epoch_ms_to_timestamp_ntz",
     "flatten_all", "flatten_struct", "keep_latest", "key_constraint_report", "named_projection",
