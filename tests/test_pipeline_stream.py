@@ -173,3 +173,28 @@ def test_pipeline_first_load_empty_then_data(spark, tmp_table):
                          mapping=[("_raw_id", "string", "id", "bigint"), ("_raw_name", "string", "name", "string")])
     assert run_pipeline(spark, cfg, source=raw.where("false")).count() == 0
     assert sorted(tuple(r) for r in run_pipeline(spark, cfg, source=raw).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_example_config_runs(spark):
+    import json as _json
+    import os
+    import subprocess
+    import sys
+
+    from quarry.session import scratch_root
+    from tests.conftest import SF_SMALL
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ)
+    conf = ["--conf", f"spark.checkpoint.dir={scratch_root(spark)}"]
+    prep = subprocess.run([sys.executable, "examples/prepare_landing.py", SF_SMALL], cwd=root,
+                          capture_output=True, text=True, timeout=600, env=env)
+    assert prep.returncode == 0, prep.stderr[-2000:]
+    conf_path = prep.stdout.strip().splitlines()[-1]
+    run = subprocess.run([sys.executable, "-m", "quarry", "run", conf_path, "--master", "local[2]", *conf],
+                         cwd=root, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    results = [_json.loads(line) for line in run.stdout.strip().splitlines()]
+    assert [r["rows"] > 0 for r in results] == [True, True]
+    labels = {r.label_order for r in spark.read.parquet(results[0]["destination"]).select("label_order").collect()}
+    assert "URGENT (1)" in labels and all(len(x) <= 12 for x in labels)
