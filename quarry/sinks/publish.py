@@ -27,6 +27,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.conform import conform
 
 from ..operators.upsert import upsert_guarded, upsert_replace
 
@@ -112,12 +115,21 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
     """K1 (``guarded_by=None``) or K2 (``guarded_by=<date column>``) into the
     bucketed Parquet table at ``path``; creates the table on first use.
 
-    The stage is written once to the table's staging folder and read back,
-    so its (possibly long) plan runs once although it is used three times
-    (touched buckets, broadcast size check, merge)."""
+    Order of work: the stage is conformed to the table's schema (K3, taken
+    from one bucket folder), bucketed and written once to the table's
+    staging folder, so its plan runs once although it is used three times
+    (touched buckets, broadcast size check, merge).  Only touched bucket
+    folders are read and rewritten."""
     if not _exists(spark, path):
         write_bucketed(stage, path, key, buckets)
         return
+    existing = _existing_buckets(spark, path)
+    if existing:
+        # K3: incoming rows must fit the table (names matched, cast,
+        # reordered); a column difference fails here, with the diff.  One
+        # bucket folder is enough to learn the schema.
+        shape = spark.read.parquet(f"{path.rstrip('/')}/{BUCKET}={min(existing)}").schema
+        stage = conform(stage, StructType([f for f in shape.fields if f.name != BUCKET]))
     run = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
     stage.withColumn(BUCKET, bucket_expr(key, buckets)).write.mode("overwrite").parquet(f"{run}/stage")
     staged = spark.read.parquet(f"{run}/stage")
@@ -125,12 +137,11 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
     touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
     if not touched:
         return
+    target_cols = [c for c in staged.columns if c != BUCKET]
     # Read only the touched bucket folders (explicit paths under basePath):
     # untouched buckets are never even listed, which matters when the table
     # holds millions of files.  Buckets that do not exist yet have no rows.
-    existing = _existing_buckets(spark, path)
     dirs = [f"{path.rstrip('/')}/{BUCKET}={b}" for b in touched if b in existing]
-    target_cols = [c for c in staged.columns if c != BUCKET]
     if dirs:
         target = (spark.read.option("basePath", path).parquet(*dirs)
                        .select(*target_cols, F.col(BUCKET).cast("int").alias(BUCKET)))

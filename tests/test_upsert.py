@@ -220,3 +220,22 @@ def test_read_bucketed_of_a_table_without_rows(spark, tmp_table):
     path = tmp_table("no_rows") + "/t"
     publish_upsert(spark, stage(spark).where("false"), path, key="id", buckets=4)
     assert read_bucketed(spark, path, schema=stage(spark).schema).count() == 0
+
+
+def test_publish_conforms_stage_to_the_table(spark, tmp_table):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.conform import SchemaMismatch
+
+    path = tmp_table("conform") + "/t"
+    publish_upsert(spark, target(spark), path, key="id", buckets=64)
+    # id arrives as text: buckets must be computed after conforming, or the
+    # wrong bucket folders would be read and rows lost.
+    reordered = stage(spark).selectExpr("dt_updated", "v", "cast(id as string) as id")
+    publish_upsert(spark, reordered, path, key="id", buckets=64)
+    assert rows(read_bucketed(spark, path).select("id", "v", "dt_updated")) == \
+        rows(upsert_replace(target(spark), stage(spark), "id"))
+    import pytest
+
+    with pytest.raises(SchemaMismatch, match="extra"):
+        publish_upsert(spark, stage(spark).withColumn("extra", F.lit(1)), path, key="id", buckets=64)
