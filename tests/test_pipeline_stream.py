@@ -198,3 +198,28 @@ def test_example_config_runs(spark):
     assert [r["rows"] > 0 for r in results] == [True, True]
     labels = {r.label_order for r in spark.read.parquet(results[0]["destination"]).select("label_order").collect()}
     assert "URGENT (1)" in labels and all(len(x) <= 12 for x in labels)
+
+
+def test_incremental_runs_the_pipeline_transform_per_batch(spark, tmp_table):
+    from quarry import fixtures as fx
+    from quarry.plans.pipeline import PipelineConfig, transform
+
+    raw = fx.raw_events(spark, SF_SMALL)
+    landing, target, ckpt = tmp_table("raw_land"), tmp_table("raw_tgt") + "/t", tmp_table("raw_ck")
+    cfg = PipelineConfig(origin="", destination="", flatten="struct",
+                         mapping=[("_raw_data_userId", "string", "id", "bigint"),
+                                  ("_raw_data_event_id", "long", "event_id", "bigint"),
+                                  ("_emitted_at", "long", "dt_ms", "long")],
+                         sql="select id, event_id, timestamp_millis(dt_ms) as dt_updated from table")
+    kw = dict(key="id", date="dt_updated", transform=lambda b: transform(b, cfg),
+              dedup=[{"partitionby": ["id"], "orderby": ["dt_updated", "event_id"]}], buckets=4)
+    raw.where("_emitted_at % 2 = 1").write.mode("append").parquet(landing)
+    assert incremental_upsert(spark, landing, raw.schema, target, ckpt, **kw) == 1
+    raw.where("_emitted_at % 2 = 0").write.mode("append").parquet(landing)
+    assert incremental_upsert(spark, landing, raw.schema, target, ckpt, **kw) == 1
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    expected = (ev.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+                  .withColumnRenamed("user_id", "id"))
+    got = read_bucketed(spark, target).select("id", "event_id")
+    assert got.count() == expected.count()
+    assert got.join(expected, ["id", "event_id"]).count() == expected.count()
