@@ -26,7 +26,7 @@ from ..operators.flatten import coalesce_choice, flatten_all, flatten_struct
 from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
-from ..operators.quality import check_row_count
+from ..operators.quality import check_row_count, enforce_key_constraint
 from ..sinks.publish import full_refresh, publish_upsert, read_bucketed
 from ..sources.descriptor import descriptor_sql
 from ..sources.scan import read_parquet_glob, read_rolling, read_table
@@ -56,6 +56,8 @@ class PipelineConfig:
     coalesce: list = field(default_factory=list)  # type-choice fields collapsed after flattening
     target_ddl: str | None = None     # K3/K4: conform to this schema before publishing
     on_extra: str = "error"           # "error" | "drop" | "evolve"
+    key_check: str = "off"            # K8 on the incoming rows: "off" | "strict" (fail before publishing)
+    require_rows: bool = False        # A1 on the incoming rows: fail an empty load
 
 
 # The four distinct recipes behind the eight entity flows.
@@ -107,7 +109,7 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
         mapping=parse_mapping(_maybe_file(entry["schema"], json.loads)) if entry.get("schema") else [],
         sql=_sql_text(entry.get("sql")))
     for k in ("key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
-              "tie_break", "target_ddl", "on_extra", "coalesce"):
+              "tie_break", "target_ddl", "on_extra", "coalesce", "key_check", "require_rows"):
         if k in entry:
             kw[k] = entry[k]
     if entry.get("as_of"):
@@ -178,6 +180,12 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, source: DataFrame | N
     df = transform(source if source is not None else scan(spark, cfg), cfg)
     if cfg.target_ddl:
         df = conform(df, target_schema(cfg.target_ddl), on_extra=cfg.on_extra)
+    # Load-time checks run on the incoming rows (small next to the table)
+    # before anything is published.
+    if cfg.require_rows:
+        check_row_count(df)
+    if cfg.key_check == "strict":
+        enforce_key_constraint(df, cfg.key, strict=True)
     publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
                    guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None,
                    keep_latest=cfg.keep_latest)

@@ -223,3 +223,23 @@ def test_incremental_runs_the_pipeline_transform_per_batch(spark, tmp_table):
     got = read_bucketed(spark, target).select("id", "event_id")
     assert got.count() == expected.count()
     assert got.join(expected, ["id", "event_id"]).count() == expected.count()
+
+
+def test_pipeline_load_checks_fail_before_publishing(spark, tmp_table):
+    import pytest
+
+    from quarry.operators.quality import QualityError
+    from quarry.plans.pipeline import PipelineConfig, run_pipeline
+    from quarry.sinks.publish import _exists
+
+    raw = spark.createDataFrame([((1, "a"), 1), ((1, "b"), 2)], "_raw struct<id:string, name:string>, _emitted_at bigint")
+    mapping = [("_raw_id", "string", "id", "bigint"), ("_raw_name", "string", "name", "string")]
+    dest = tmp_table("checked") + "/t"
+    strict = PipelineConfig(origin="", destination=dest, flatten="struct", mapping=mapping, key_check="strict")
+    with pytest.raises(QualityError):
+        run_pipeline(spark, strict, source=raw)
+    assert not _exists(spark, dest)
+    gated = PipelineConfig(origin="", destination=dest, flatten="struct", mapping=mapping, require_rows=True)
+    with pytest.raises(QualityError):
+        run_pipeline(spark, gated, source=raw.where("false"))
+    assert run_pipeline(spark, gated, source=raw).count() == 2  # duplicates are legal without key_check
