@@ -59,7 +59,8 @@ def _order_struct(lines):
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, lines_per_record: int = LINES_PER_RECORD) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, lines_per_record: int = LINES_PER_RECORD,
+               orders: DataFrame | None = None, lineitem: DataFrame | None = None) -> DataFrame:
     """``_raw_data struct<orderId, custId, status, priority, totalPrice,
     createdAt, updatedAt, active, lines array<struct<…, shippedAt
     struct<long, string>>>>, _emitted_at bigint``.
@@ -69,8 +70,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, lines_per_record: int = LINES_P
     hash so the grouping never puts one huge array in one task.  Orders with
     no line keep one record whose ``lines`` is empty (status F) or null.
     """
-    orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
+    orders = orders if orders is not None else table(spark, sf_dir, "orders")
+    lineitem = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
 
     line_hash = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                            "l_returnflag", "l_linestatus", "l_shipdate")

@@ -103,3 +103,20 @@ def test_raw_orders_envelope_bounds_arrays(spark):
     a = flatten_all(raw).count()
     b = flatten_all(fx.raw_orders(spark, SF_SMALL)).count()
     assert a == b
+
+
+def test_envelope_of_a_hot_order_stays_bounded(spark):
+    from quarry import fixtures as fx
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    # A third of all lines belong to one order.
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")))
+    raw = fx.raw_orders(spark, SF_SMALL, lines_per_record=16, lineitem=hot)
+    sizes = raw.select(F.size("_raw_data.lines").alias("n")).where("n is not null").agg(F.max("n")).first()[0]
+    assert sizes <= 16
+    hot_records = raw.where(F.col("_raw_data.orderId") == "0").count()
+    hot_lines = hot.where("l_orderkey = 0").count()
+    assert hot_records >= hot_lines // 16
+    flat = flatten_all(raw).where(F.col("_raw_data_lines_lineNumber").isNotNull())
+    assert flat.count() == hot.join(spark.read.parquet(f"{SF_SMALL}/orders.parquet"),
+                                    hot.l_orderkey == F.col("o_orderkey")).count()
