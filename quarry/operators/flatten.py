@@ -52,9 +52,9 @@ def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_",
     slots = [_Slot(f.name, f.dataType, F.col(_quote(f.name))) for f in df.schema.fields]
     frame = df
     exploded: set[str] = set()
-
-    def names() -> set[str]:
-        return {s.name for s in slots}
+    # Kept up to date incrementally: wide payloads (thousands of leaves) stay
+    # linear in the number of fields on the driver.
+    existing = {s.name for s in slots}
 
     while True:
         idx = next((i for i, s in enumerate(slots) if complex_(s.dtype)
@@ -65,7 +65,7 @@ def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_",
         slot = slots[idx]
         if _is_struct(slot.dtype):
             del slots[idx]
-            existing = names()
+            existing.discard(slot.name)
             for field in slot.dtype.fields:
                 new_name = f"{slot.name}{sep}{field.name}"
                 if new_name in existing:
@@ -94,6 +94,7 @@ def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_",
                                            F.col(_quote(f"{s.name}{sep}pos"))))
                 new_slots.append(_Slot(s.name, frame.schema[s.name].dataType, F.col(_quote(s.name))))
             slots = new_slots
+            existing = {s.name for s in slots}
             exploded.add(slot.name)
     return frame.select(*[s.expr.alias(s.name) for s in slots])
 

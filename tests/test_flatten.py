@@ -120,3 +120,17 @@ def test_envelope_of_a_hot_order_stays_bounded(spark):
     flat = flatten_all(raw).where(F.col("_raw_data_lines_lineNumber").isNotNull())
     assert flat.count() == hot.join(spark.read.parquet(f"{SF_SMALL}/orders.parquet"),
                                     hot.l_orderkey == F.col("o_orderkey")).count()
+
+
+def test_wide_payload_flattens_quickly(spark):
+    import time
+
+    from pyspark.sql.types import IntegerType, StructField
+
+    inner = StructType([StructField(f"f{i}", IntegerType()) for i in range(2000)])
+    schema = StructType([StructField("id", IntegerType()), StructField("payload", inner)])
+    df = spark.createDataFrame([], schema)
+    t0 = time.perf_counter()
+    out = flatten_struct(df)
+    assert len(out.columns) == 2001 and out.columns[-1] == "payload_f1999"
+    assert time.perf_counter() - t0 < 30
