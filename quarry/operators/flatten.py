@@ -111,9 +111,10 @@ def flatten_all(df: DataFrame, sep: str = "_", arrays: list[str] | None = None,
     remains.  Two independent arrays give their cross product, as the
     semantics demand.
 
-    ``arrays`` optionally restricts which top-level array columns are
-    exploded (others pass through as arrays); ``with_position`` adds a
-    ``<col>_pos`` index column per exploded array.
+    ``arrays`` optionally restricts which array columns are exploded, by
+    their current (flattened) name, e.g. ``"payload_items"`` for an array
+    inside the struct ``payload``; the others pass through as arrays.
+    ``with_position`` adds a ``<col>_pos`` index column per exploded array.
     """
     return _flatten(df, explode_arrays=True, sep=sep, arrays=arrays, with_position=with_position)
 
@@ -128,13 +129,17 @@ def is_flat(df: DataFrame, allow_arrays: bool = False) -> bool:
 
 
 def coalesce_choice(df: DataFrame, column: str, parse: dict[str, Column] | None = None,
-                    to: str | None = None) -> DataFrame:
+                    to: str | None = None, alternatives: list[str] | None = None) -> DataFrame:
     """Collapse a flattened type-choice field (``<col>_long``, ``<col>_string``
     …) into one column: the first non-null alternative, converted by
     ``parse[alternative]`` (default: a ``try_cast`` to the first alternative's
-    type)."""
+    type).  ``alternatives`` names them explicitly (in priority order);
+    by default every column starting with ``<col>_`` is one."""
     prefix = f"{column}_"
-    alts = [f for f in df.schema.fields if f.name.startswith(prefix)]
+    if alternatives is not None:
+        alts = [df.schema[f"{prefix}{a}"] for a in alternatives]
+    else:
+        alts = [f for f in df.schema.fields if f.name.startswith(prefix)]
     if not alts:
         raise ValueError(f"no alternatives of {column!r} in {df.columns}")
     target = alts[0].dataType

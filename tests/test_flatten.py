@@ -134,3 +134,10 @@ def test_wide_payload_flattens_quickly(spark):
     out = flatten_struct(df)
     assert len(out.columns) == 2001 and out.columns[-1] == "payload_f1999"
     assert time.perf_counter() - t0 < 30
+
+
+def test_coalesce_choice_with_named_alternatives(spark):
+    df = spark.createDataFrame([(1, None, "7", 9.5)], "id int, at_long bigint, at_string string, at_longitude double")
+    out = coalesce_choice(df, "at", alternatives=["long", "string"])
+    assert out.columns == ["id", "at_longitude", "at"]
+    assert out.first().at == 7
