@@ -129,7 +129,9 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
         # reordered); a column difference fails here, with the diff.  One
         # bucket folder is enough to learn the schema.
         shape = spark.read.parquet(f"{path.rstrip('/')}/{BUCKET}={min(existing)}").schema
-        stage = conform(stage, StructType([f for f in shape.fields if f.name != BUCKET]))
+        fields = [f for f in shape.fields if f.name != BUCKET]
+        if [(f.name, f.dataType) for f in stage.schema.fields] != [(f.name, f.dataType) for f in fields]:
+            stage = conform(stage, StructType(fields))
     run = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
     stage.withColumn(BUCKET, bucket_expr(key, buckets)).write.mode("overwrite").parquet(f"{run}/stage")
     staged = spark.read.parquet(f"{run}/stage")
