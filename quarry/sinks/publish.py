@@ -37,6 +37,14 @@ BUCKET = "_bucket"
 WRITERS_PER_BUCKET = 4
 
 
+def suggest_buckets(table_bytes: int, bucket_bytes: int = 4 << 30, minimum: int = 16) -> int:
+    """Bucket count so one bucket holds about ``bucket_bytes`` (a power of
+    two, at least ``minimum``): an upsert then rewrites a few GB per touched
+    bucket, and a 100 TB table gets 32,768 buckets."""
+    need = max(minimum, -(-int(table_bytes) // int(bucket_bytes)))
+    return 1 << (need - 1).bit_length()
+
+
 def bucket_expr(key: str | Sequence[str], buckets: int):
     keys = [key] if isinstance(key, str) else list(key)
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")

@@ -239,3 +239,11 @@ def test_publish_conforms_stage_to_the_table(spark, tmp_table):
 
     with pytest.raises(SchemaMismatch, match="extra"):
         publish_upsert(spark, stage(spark).withColumn("extra", F.lit(1)), path, key="id", buckets=64)
+
+
+def test_suggest_buckets():
+    from quarry.sinks.publish import suggest_buckets
+
+    assert suggest_buckets(100 * 1024 ** 4) == 32768
+    assert suggest_buckets(10 * 1024 ** 2) == 16
+    assert suggest_buckets(100 * 1024 ** 3) == 32
