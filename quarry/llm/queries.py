@@ -85,7 +85,7 @@ ORACLES = {
     "op4_ngram_jaccard": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
         s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-              ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+              ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         t AS (SELECT doc_id, g FROM s WHERE g IN (SELECT g FROM s GROUP BY g HAVING count(*) > 1)),
         o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y),
