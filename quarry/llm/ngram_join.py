@@ -9,8 +9,8 @@ bitmap signatures.
    the first |x| - ceil(t |x|) + 1 in that order, counting the unshared ones
    first.  A class whose unshared shingles alone fill that length has no partner.
 3. Tiles are (shingle of that prefix, size band); sets of wanted similarity have
-   sizes in the same or the next band.  First, each class is compared with
-   the tile's least class only, which contracts groups of near copies.  Then, in
+   sizes in the same or the next band.  First, each class is compared with the
+   leader of a tile only, which contracts groups of near copies.  Then, in
    tiles that still hold several components, members of different components
    meet: popcounts of hashed bitmaps bound the overlap from above, and the
    pairs that pass go to the exact intersection of sorted arrays.
@@ -41,6 +41,7 @@ from quarry.llm.textkit import Words, chunks, mix, shingles
 PERCENT = 80           # least similarity in percent
 WORDS = 5              # words of a shingle
 BUCKET_SHINGLES = 1 << 20   # about so many shingles are counted in one group
+LEADS = 2              # turns in which classes meet one leader each
 TILE_BLOCK = 1024      # classes of a tile that meet in one group
 MAP_WORDS = 16         # 64-bit words of a bitmap
 SALTS = 16             # parts of a class's rows in the last join
@@ -119,7 +120,7 @@ def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
             for k, v in (("key", key), ("size", size), ("doc", doc.astype(np.int64) + at), ("h", h)):
                 parts[k].append(v)
             at, held = at + rows.num_rows, held + len(h)
-            if held >= 2 * BUCKET_SHINGLES:
+            if held >= BUCKET_SHINGLES:
                 yield from flush(parts)
                 parts, at, held = fresh(), 0, 0
         if held:
@@ -228,20 +229,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _tiles(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, band, key, size): each class in the tiles of its own size band
-    and of the next one."""
+    """(token, band, key, size, central): each class in the tiles of its own size
+    band and of the next one.  ``central``: the share of its shingles that others
+    have too; the text that others were made from has the most."""
     step = float(np.log(100 / percent))
     band = F.floor(F.log(F.col("size").cast("double")) / step + 1e-9)
-    return (sets.select(F.explode("prefix").alias("token"), "key", "size")
-            .select("token", F.explode(F.array(band, band + 1)).alias("band"), "key", "size"))
+    return (sets.select(F.explode("prefix").alias("token"), "key", "size", (F.col("shared") / F.col("size")).alias("central"))
+            .select("token", F.explode(F.array(band, band + 1)).alias("band"), "key", "size", "central"))
 
 
-def _first_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Each class with the least class of one of its tiles."""
-    least = tiles.groupBy("token", "band").agg(F.min(F.struct("key", "size")).alias("least"), F.count("*").alias("n"))
-    joined = tiles.join(least.where("n > 1").select("token", "band", "least"), ["token", "band"])
-    near = (F.col("key") != F.col("least.key")) & (100 * F.least("size", "least.size") >= percent * F.greatest("size", "least.size"))
-    return joined.where(near).groupBy(F.col("key").alias("a")).agg(F.min("least.key").alias("b"))
+def _with_components(tiles: DataFrame, comps: DataFrame) -> DataFrame:
+    marked = tiles.join(comps, tiles["key"] == comps["node"], "left")
+    return marked.withColumn("component", F.coalesce("component", "key")).drop("node")
+
+
+def _lead_pairs(tiles: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each class with the leading class of one of its tiles, if that is of another
+    component: first the most central one, in later turns one by a hash."""
+    rank = F.col("central") if turn == 0 else F.xxhash64(F.lit(turn), "key").cast("double")
+    lead = tiles.groupBy("token", "band").agg(F.max(F.struct(rank.alias("rank"), "key", "size", "component")).alias("lead"),
+                                              F.min("component").alias("x"), F.max("component").alias("y"))
+    joined = tiles.join(lead.where("x != y").select("token", "band", "lead"), ["token", "band"])
+    near = (F.col("component") != F.col("lead.component")) & (100 * F.least("size", "lead.size") >= percent * F.greatest("size", "lead.size"))
+    best = joined.where(near).groupBy(F.col("key").alias("a")).agg(F.max(F.struct("lead.rank", "lead.key")).alias("best"))
+    return best.select("a", F.col("best.key").alias("b"))
 
 
 def _tile_pairs(table: pa.Table, percent: int) -> pa.Table:
@@ -276,13 +287,12 @@ def _tile_pairs(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
 
-def _other_pairs(tiles: DataFrame, sets: DataFrame, comps: DataFrame, percent: int, groups: int) -> DataFrame:
+def _other_pairs(marked: DataFrame, sets: DataFrame, percent: int, groups: int) -> DataFrame:
     """The candidate pairs left after the first links: between different
     components of a tile, through the bitmaps."""
-    marked = tiles.join(comps, tiles["key"] == comps["node"], "left").withColumn("component", F.coalesce("component", "key")).drop("node")
     mixed = (marked.groupBy("token", "band").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
              .where("x != y").select("token", "band", F.ceil(F.col("n") / TILE_BLOCK).alias("nb")))
-    member = (marked.join(mixed, ["token", "band"]).drop("size")
+    member = (marked.join(mixed, ["token", "band"]).drop("size", "central")
               .withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")))
               # block b meets itself and every other block, each pair in its own group
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
@@ -300,11 +310,14 @@ def class_links(docs: DataFrame, n_shingles: int, words: int = WORDS, percent: i
     links; every similar pair of classes is joined by them."""
     sets = written(shared_sets(docs, n_shingles, words, percent), "sets")
     tiles = _tiles(sets, percent)
-    first = written(verified(_first_pairs(tiles, percent), sets, percent), "links")
-    comps = components(first)
+    links = None
+    marked = tiles.withColumn("component", F.col("key"))
+    for turn in range(LEADS):
+        new = verified(_lead_pairs(marked, turn, percent), sets, percent)
+        links = written(new if links is None else links.union(new), "links")
+        marked = _with_components(tiles, components(links))
     groups = power_of_two(n_shingles / BUCKET_SHINGLES, 64)
-    others = verified(_other_pairs(tiles, sets, comps, percent, groups), sets, percent)
-    return first.union(others)
+    return links.union(verified(_other_pairs(marked, sets, percent, groups), sets, percent))
 
 
 def _components(rows: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
