@@ -16,11 +16,12 @@ Semantics are "replace the key group", not MERGE:
   arrival order.
 
 Scale: the stage is reduced to one row per key *before* it is joined
-(``distinct`` keys for K1, ``max(date)`` per key for K2), with partial
-aggregation on the map side, so a hot key in the stage never reaches the
-join as a fat group.  The reduced stage is broadcast only after a bounded
-row count proves it small (``limit(n+1).count()``); beyond that the join is
-a shuffle join where AQE splits skewed target keys.
+(``distinct`` keys for K1, the newest date per key for K2), with partial
+aggregation on the map side.  The reduced stage is broadcast only behind a
+bound on its bytes (known from a written stage, else counted by an aggregate).
+Beyond it, target rows are dealt over ``SALTS`` parts of their key by a row hash
+and the reduced stage is repeated per part, so a hot target key never meets in
+one task.  Rows with a null key match nothing and go round the join.
 """
 
 from __future__ import annotations
@@ -32,17 +33,20 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col as _c
 
-# Largest reduced stage (rows) that is shipped to every task.  The reduced
-# stage holds only key columns (+ one date), so 2 M rows is tens of MB.  A
-# cluster can tune it with the session setting below.
+# Largest reduced stage that is shipped to every task, in bytes of its values
+# and in rows.  A cluster can tune the rows with the session setting below.
+BROADCAST_MAX_BYTES = 64 << 20
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_ROWS_CONF = "spark.quarry.broadcastMaxRows"
+SALTS = 16
 _DEFAULT = object()
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Size check by one aggregate: a count and a sum per task are shuffled."""
+    width = sum((F.coalesce(F.octet_length(_c(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
+    row = df.agg(F.count("*").alias("n"), F.sum(width.cast("long")).alias("bytes")).first()
+    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
 
 
 def _resolve(df: DataFrame, max_rows) -> int | None:
@@ -52,14 +56,23 @@ def _resolve(df: DataFrame, max_rows) -> int | None:
     return int(configured) if configured else BROADCAST_MAX_ROWS
 
 
-def maybe_broadcast(df: DataFrame, max_rows=_DEFAULT) -> DataFrame:
-    """Broadcast ``df`` only behind a proven row bound; otherwise leave the
-    choice to the planner (shuffle join, AQE may still convert it).
-    ``max_rows=None`` (or ≤ 0) never broadcasts explicitly."""
-    max_rows = _resolve(df, max_rows)
+def _fits(reduced: DataFrame, max_rows, stage_bytes: int | None) -> bool:
+    """Whether the reduced stage may be broadcast."""
+    max_rows = _resolve(reduced, max_rows)
     if max_rows is None or max_rows <= 0:
-        return df
-    return F.broadcast(df) if is_small(df, max_rows) else df
+        return False
+    if stage_bytes is not None:
+        return stage_bytes <= BROADCAST_MAX_BYTES
+    return is_small(reduced, max_rows)
+
+
+def _sides(target: DataFrame, reduced: DataFrame, keys: list[str], small: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join on the key, and the columns to join on."""
+    if small:
+        return target, F.broadcast(reduced), keys
+    salt = F.pmod(F.xxhash64(*[_c(c) for c in target.columns]), F.lit(SALTS)).cast("int")
+    parts = reduced.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return target.withColumn("__salt", salt), parts, [*keys, "__salt"]
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -75,68 +88,70 @@ def _by_position(stage: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def upsert_replace(target: DataFrame, stage: DataFrame, key: str | Sequence[str] = "id",
-                   broadcast_max_rows=_DEFAULT) -> DataFrame:
-    """K1 = J1 (left anti on key) + U1 (append all stage rows)."""
+                   broadcast_max_rows=_DEFAULT, stage_bytes: int | None = None) -> DataFrame:
+    """K1 = J1 (left anti on key) + U1 (append all stage rows).  ``stage_bytes``:
+    a bound on the reduced stage where it is known already."""
     keys = _keys(key)
+    not_null = _and([_c(k).isNotNull() for k in keys])
     stage_keys = stage.select(*[_c(k) for k in keys]).dropna().distinct()
-    stage_keys = maybe_broadcast(stage_keys, broadcast_max_rows)
-    survivors = target.join(stage_keys, on=keys, how="left_anti")
-    return survivors.unionAll(_by_position(stage, target))
+    left, right, on = _sides(target.where(not_null), stage_keys, keys, _fits(stage_keys, broadcast_max_rows, stage_bytes))
+    survivors = left.join(right, on=on, how="left_anti").select(*[_c(c) for c in target.columns])
+    return survivors.unionAll(target.where(~not_null)).unionAll(_by_position(stage, target))
+
 
+def _order(date: str, tie_break: Sequence[str]) -> Column:
+    return F.struct(*[_c(c) for c in (date, *tie_break)])
 
-def _stage_summary(stage: DataFrame, keys: list[str], date: str) -> DataFrame:
-    """One row per non-null stage key with its newest date (null when all of
-    the key's dates are null).  Partial aggregation runs map-side."""
+
+def _stage_summary(stage: DataFrame, keys: list[str], date: str, tie_break: Sequence[str]) -> DataFrame:
+    """One row per non-null stage key with its newest order tuple (null when
+    all of the key's dates are null).  Partial aggregation runs map-side."""
     not_null = _and([_c(k).isNotNull() for k in keys])
-    return (stage.where(not_null)
-                 .groupBy(*[_c(k) for k in keys])
-                 .agg(F.max(_c(date)).alias("__stage_max")))
+    newest = F.max(F.when(_c(date).isNotNull(), _order(date, tie_break)))
+    return stage.where(not_null).groupBy(*[_c(k) for k in keys]).agg(newest.alias("__stage_max"))
 
 
 def upsert_guarded(target: DataFrame, stage: DataFrame, key: str | Sequence[str] = "id",
-                   date: str = "dt_updated", keep_latest: bool = False,
-                   broadcast_max_rows=_DEFAULT) -> DataFrame:
+                   date: str = "dt_updated", keep_latest: bool = False, broadcast_max_rows=_DEFAULT,
+                   tie_break: Sequence[str] = (), stage_bytes: int | None = None) -> DataFrame:
     """K2 = J2 (left anti on key and ``stage.date >= target.date``) + U1.
 
-    ``∃ s: s.key = t.key ∧ s.date >= t.date`` is the same as
-    ``max(s.date) >= t.date`` per key, so the stage is reduced first.  The
-    reduced stage is size-checked once and the same (broadcast) side serves
-    both joins of ``keep_latest``, so its exchange is reused.
+    ``exists s: s.key = t.key and s.date >= t.date`` is the same as
+    ``max(s.date) >= t.date`` per key, so the stage is reduced first; the same
+    reduced side serves both joins of ``keep_latest``.  With ``tie_break`` columns
+    the whole tuple (date, tie_break...) is compared, which makes ``keep_latest``
+    independent of arrival order among equal dates too.
     """
     keys = _keys(key)
-    summary = maybe_broadcast(_stage_summary(stage, keys, date), broadcast_max_rows)
-    t = target.alias("t")
-    n = summary.alias("n")
-    cond = [F.col(f"t.`{k}`") == F.col(f"n.`{k}`") for k in keys]
-    cond.append(F.col("n.__stage_max") >= F.col(f"t.`{date}`"))
-    survivors = t.join(n, on=_and(cond), how="left_anti")
+    summary = _stage_summary(stage, keys, date, tie_break)
+    small = _fits(summary, broadcast_max_rows, stage_bytes)
+    not_null = _and([_c(k).isNotNull() for k in keys])
+    left, right, on = _sides(target.where(not_null & _c(date).isNotNull()), summary, keys, small)
+    t, n = left.alias("t"), right.alias("n")
+    cond = [F.col(f"t.`{k}`") == F.col(f"n.`{k}`") for k in on]
+    cond.append(F.col("n.__stage_max") >= F.struct(*[F.col(f"t.`{c}`") for c in (date, *tie_break)]))
+    survivors = t.join(n, on=_and(cond), how="left_anti").select(*[F.col(f"t.`{c}`") for c in target.columns])
+    survivors = survivors.unionAll(target.where(~not_null | _c(date).isNull()))
     incoming = _by_position(stage, target)
     if keep_latest:
-        incoming = _drop_stale(incoming, target, summary, keys, date)
+        incoming = _drop_stale(incoming, target, summary, keys, date, tie_break, small)
     return survivors.unionAll(incoming)
 
 
-def drop_stale(stage: DataFrame, target: DataFrame, keys: list[str], date: str,
-               broadcast_max_rows=_DEFAULT) -> DataFrame:
-    """Stage rows for which the target holds a strictly newer date are
-    dropped (null = oldest)."""
-    summary = maybe_broadcast(_stage_summary(stage, keys, date), broadcast_max_rows)
-    return _drop_stale(stage, target, summary, keys, date)
-
-
 def _drop_stale(stage: DataFrame, target: DataFrame, summary: DataFrame, keys: list[str],
-                date: str) -> DataFrame:
-    # Only target rows whose key is in the stage are aggregated: the
-    # (size-checked) stage summary semi-joins the target first.
-    target_newest = (target.join(summary, on=keys, how="left_semi")
-                           .where(_c(date).isNotNull())
-                           .groupBy(*[_c(k) for k in keys])
-                           .agg(F.max(_c(date)).alias("__target_max")))
-    s = stage.alias("s")
-    tn = target_newest.alias("tn")
-    cond = [F.col(f"s.`{k}`") == F.col(f"tn.`{k}`") for k in keys]
-    cond.append((F.col("tn.__target_max") > F.col(f"s.`{date}`")) | F.col(f"s.`{date}`").isNull())
-    return s.join(tn, on=_and(cond), how="left_anti")
+                date: str, tie_break: Sequence[str], small: bool) -> DataFrame:
+    """Stage rows for which the target holds a strictly newer order tuple are
+    dropped (a null date counts as the oldest)."""
+    # Only target rows whose key is in the stage are aggregated.
+    left, right, on = _sides(target.where(_c(date).isNotNull()), summary, keys, small)
+    target_newest = (left.join(right, on=on, how="left_semi").groupBy(*[_c(k) for k in keys])
+                         .agg(F.max(_order(date, tie_break)).alias("__target_max")))
+    left, right, on = _sides(stage, target_newest, keys, small)
+    s, tn = left.alias("s"), right.alias("tn")
+    cond = [F.col(f"s.`{k}`") == F.col(f"tn.`{k}`") for k in on]
+    mine = F.struct(*[F.col(f"s.`{c}`") for c in (date, *tie_break)])
+    cond.append((F.col("tn.__target_max") > mine) | F.col(f"s.`{date}`").isNull())
+    return s.join(tn, on=_and(cond), how="left_anti").select(*[F.col(f"s.`{c}`") for c in stage.columns])
 
 
 def _and(conds: list[Column]) -> Column:

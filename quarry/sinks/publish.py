@@ -1,40 +1,44 @@
-"""Publishing results: full refresh, sorted/compressed layout and upserts
-into a Parquet table laid out in key buckets.
-
-A plain Parquet table supports neither MERGE nor DELETE, and Spark refuses
-to overwrite a path it is reading.  An upsert is therefore published as:
-
-1. the table is partitioned by ``_bucket = pmod(xxhash64(key), N)`` (null
-   keys hash to one fixed bucket);
-2. only the buckets the stage touches are read back (static partition
-   pruning on the bucket list, at most ``N`` small integers);
-3. the stage is first written to a staging folder inside the table folder
-   (``_staging/…``, ignored by readers): a written table that cuts the
-   lineage, so the stage plan runs once and survives lost executors;
-4. the new contents of the touched buckets (survivors ∪ stage) replace
-   their old directories through Spark's dynamic partition overwrite (task
-   output is staged and swapped at job commit); untouched buckets are
-   never rewritten.
-
-For a 1 % stage on a 100 TB table this rewrites the touched buckets only,
-instead of the whole table.
+"""Publishing results: full refresh, sorted/compressed layout and all-or-nothing
+upserts into a Parquet table laid out in key buckets.
+
+A plain Parquet table supports neither MERGE nor DELETE, and Spark refuses to
+overwrite a path it is reading.  An upsert is therefore published as:
+
+1. the table is partitioned by ``_bucket = pmod(xxhash64(key), N)`` (null keys
+   hash to one fixed bucket); ``N``, the key and the schema are kept with the
+   table, and a conflicting value is refused;
+2. the stage is written once below ``_staging`` (removed at the end): its plan
+   runs once, and counts, checks, touched buckets and its size come from one
+   aggregate over it;
+3. the new contents of the touched buckets (survivors and stage) are written to a
+   version folder of their own; only touched buckets are read;
+4. one small pointer file, which names the version of every bucket, is put
+   in place by a rename.  Until then readers see the old table, whole; after it
+   the new one.  A failure before the rename leaves a version folder that nothing
+   refers to.  The previous pointer and its folders stay for readers under way;
+   older ones are removed.
+
+For a 1 % stage on a 100 TB table this rewrites the touched buckets only.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from ..operators.conform import conform
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..operators.conform import SchemaMismatch, conform
+from ..operators.quality import QualityError, key_constraint_report
 from ..operators.upsert import upsert_guarded, upsert_replace
 
 BUCKET = "_bucket"
-WRITERS_PER_BUCKET = 4
+VERSION = "__version"
+DEFAULT_BUCKETS = 64
+WRITER_BYTES = 256 << 20   # about so much of a bucket's data goes to one writer
 
 
 def suggest_buckets(table_bytes: int, bucket_bytes: int = 4 << 30, minimum: int = 16) -> int:
@@ -50,29 +54,96 @@ def bucket_expr(key: str | Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for a path of any scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    return sorted(st.getPath().getName() for st in (fs.globStatus(p) or []))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+class TableConflict(ValueError):
+    """The table was written with another bucket count or key, or someone else
+    published meanwhile."""
+
+
+def table_state(spark: SparkSession, path: str) -> dict | None:
+    """What the newest pointer says: buckets, key, schema and the version of each
+    bucket; None without a table."""
+    names = _names(spark, f"{path.rstrip('/')}/_pointer/*.json")
+    if not names:
+        return None
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_pointer/{names[-1]}")
+    stream = fs.open(p)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text) | {"n": int(names[-1].split(".")[0])}
+
+
+def _commit(spark: SparkSession, path: str, state: dict, after: int) -> None:
+    """Puts pointer ``after + 1`` in place, unless it is there already."""
+    root = f"{path.rstrip('/')}/_pointer"
+    name = f"{after + 1:09d}.json"
+    fs, tmp = _fs(spark, f"{root}/.{uuid.uuid4().hex}")
+    _, final = _fs(spark, f"{root}/{name}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps({k: state[k] for k in ("buckets", "key", "schema", "versions")}).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise TableConflict(f"{path}: pointer {name} exists: another writer published meanwhile")
+
+
+def _clean(spark: SparkSession, path: str, states: list[dict]) -> None:
+    """Removes what neither of the last two pointers names."""
+    root = path.rstrip("/")
+    used = {(v, int(b)) for st in states for b, v in st["versions"].items()}
+    for name in _names(spark, f"{root}/{VERSION}=*"):
+        version = name.split("=", 1)[1]
+        mine = {b for v, b in used if v == version}
+        if not mine:
+            _remove(spark, f"{root}/{name}")
+            continue
+        for bucket in _names(spark, f"{root}/{name}/{BUCKET}=*"):
+            if int(bucket.split("=", 1)[1]) not in mine:
+                _remove(spark, f"{root}/{name}/{bucket}")
+    keep = {f"{st['n']:09d}.json" for st in states}
+    for name in _names(spark, f"{root}/_pointer/*.json"):
+        if name not in keep:
+            _remove(spark, f"{root}/_pointer/{name}")
 
 
 def _existing_buckets(spark: SparkSession, path: str) -> set[int]:
-    """Bucket numbers that have a folder in the table (folder names only, at
-    most ``N``; no file listing).  Matched by number, so any filesystem
-    scheme works."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BUCKET}=*")
-    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = set()
-    for st in fs.globStatus(pattern) or []:
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{BUCKET}="):
-            try:
-                out.add(int(name.split("=", 1)[1]))
-            except ValueError:
-                pass
-    return out
+    """Numbers of the buckets that hold rows, from the pointer."""
+    state = table_state(spark, path)
+    return {int(b) for b in state["versions"]} if state else set()
+
+
+def _read_buckets(spark: SparkSession, path: str, state: dict, schema: StructType, buckets=None) -> DataFrame:
+    """Some (else all) buckets of a table as ``schema`` and the bucket column;
+    folders of other buckets are not even listed."""
+    root = path.rstrip("/")
+    dirs = [f"{root}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(state["versions"].items(), key=lambda x: int(x[0]))
+            if buckets is None or int(b) in buckets]
+    if not dirs:
+        return spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(0))
+    df = spark.read.schema(schema).option("basePath", root).parquet(*dirs)
+    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields], F.col(BUCKET).cast("int").alias(BUCKET))
 
 
 def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str | None = None,
@@ -89,86 +160,137 @@ def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str |
     out.write.mode("overwrite").format(fmt).option("compression", compression).save(path)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str | Sequence[str], buckets: int,
-                   mode: str = "overwrite", sort_key: str | None = None) -> None:
-    keys = [key] if isinstance(key, str) else list(key)
-    out = df.withColumn(BUCKET, bucket_expr(keys, buckets))
-    out = _layout(out, sort_key or keys[0])
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd").partitionBy(BUCKET).parquet(path))
+def _write_version(df: DataFrame, path: str, version: str, sort_key: str, writers: int) -> None:
+    (_layout(df, sort_key, writers).write.mode("overwrite").option("compression", "zstd")
+        .partitionBy(BUCKET).parquet(f"{path.rstrip('/')}/{VERSION}={version}"))
+
+
+def _plain(schema: StructType) -> StructType:
+    """The schema without nullability, which Parquet tables do not keep."""
+    out = StructType()
+    for f in schema.fields:
+        out = out.add(f.name, f.dataType, True)
+    return out
 
 
-def _layout(df: DataFrame, sort_key: str, salts: int = WRITERS_PER_BUCKET) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, key: str | Sequence[str], buckets: int,
+                   sort_key: str | None = None, writers: int | None = None) -> None:
+    """Writes the whole table anew as one version."""
+    spark, keys = df.sparkSession, [key] if isinstance(key, str) else list(key)
+    old = table_state(spark, path)
+    version = "r" + uuid.uuid4().hex
+    _write_version(df.withColumn(BUCKET, bucket_expr(keys, buckets)), path, version, sort_key or keys[0], writers or 4)
+    found = [n.split("=", 1)[1] for n in _names(spark, f"{path.rstrip('/')}/{VERSION}={version}/{BUCKET}=*")]
+    after = old["n"] if old else 0
+    _commit(spark, path, {"buckets": buckets, "key": keys, "schema": _plain(df.schema).json(), "versions": dict.fromkeys(found, version)}, after)
+
+
+def _layout(df: DataFrame, sort_key: str, salts: int) -> DataFrame:
     """Hash-partition by (bucket, salt) where the salt is a row hash modulo
-    ``salts``: each bucket is written by at most ``salts`` tasks (few
-    files), a hot key is split over ``salts`` writers, and no sampling pass
-    re-evaluates the input (as a range partitioning would).  Rows are sorted
-    by key inside each file, so per-file min/max statistics prune lookups."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    return (df.repartition(F.col(BUCKET), salt)
-              .sortWithinPartitions(BUCKET, sort_key))
+    ``salts``: each bucket is written by at most ``salts`` tasks, a hot or null key
+    is split over them, and no sampling pass re-evaluates the input.  Rows
+    are sorted by key inside each file, so min/max statistics prune lookups."""
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
+    return df.repartition(F.col(BUCKET), salt).sortWithinPartitions(BUCKET, sort_key)
 
 
 def read_bucketed(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """The published table without its bucket column.  With ``schema``, a
-    table that has no rows yet (no bucket folders) reads as an empty frame
-    instead of failing to infer a schema."""
-    if schema is not None and not _existing_buckets(spark, path):
+    """The published table, through its pointer, without its bucket column.  With
+    ``schema``, a table that does not exist yet reads as an empty frame."""
+    state = table_state(spark, path)
+    if state is None:
+        if schema is None:
+            raise FileNotFoundError(f"{path}: no published table")
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path).drop(BUCKET)
+    return _read_buckets(spark, path, state, StructType.fromJson(json.loads(state["schema"]))).drop(BUCKET)
 
 
 def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str = "id",
-                   buckets: int = 64, guarded_by: str | None = None, keep_latest: bool = False) -> None:
+                   buckets: int | None = None, guarded_by: str | None = None, keep_latest: bool = False,
+                   tie_break: Sequence[str] = (), on_extra: str = "error", not_null: Sequence[str] = (),
+                   require_rows: bool = False, key_check: str = "off") -> dict:
     """K1 (``guarded_by=None``) or K2 (``guarded_by=<date column>``) into the
     bucketed Parquet table at ``path``; creates the table on first use.
 
-    Order of work: the stage is conformed to the table's schema (K3, taken
-    from one bucket folder), bucketed and written once to the table's
-    staging folder, so its plan runs once although it is used three times
-    (touched buckets, broadcast size check, merge).  Only touched bucket
-    folders are read and rewritten."""
-    if not _exists(spark, path):
-        write_bucketed(stage, path, key, buckets)
-        return
-    existing = _existing_buckets(spark, path)
-    if existing:
-        # K3: incoming rows must fit the table (names matched, cast,
-        # reordered); a column difference fails here, with the diff.  One
-        # bucket folder is enough to learn the schema.
-        shape = spark.read.parquet(f"{path.rstrip('/')}/{BUCKET}={min(existing)}").schema
-        fields = [f for f in shape.fields if f.name != BUCKET]
-        if [(f.name, f.dataType) for f in stage.schema.fields] != [(f.name, f.dataType) for f in fields]:
-            stage = conform(stage, StructType(fields))
-    run = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    stage.withColumn(BUCKET, bucket_expr(key, buckets)).write.mode("overwrite").parquet(f"{run}/stage")
-    staged = spark.read.parquet(f"{run}/stage")
-    # The touched buckets: at most `buckets` integers, a bounded collect.
-    touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
-    if not touched:
-        return
-    target_cols = [c for c in staged.columns if c != BUCKET]
-    # Read only the touched bucket folders (explicit paths under basePath):
-    # untouched buckets are never even listed, which matters when the table
-    # holds millions of files.  Buckets that do not exist yet have no rows.
-    dirs = [f"{path.rstrip('/')}/{BUCKET}={b}" for b in touched if b in existing]
-    if dirs:
-        target = (spark.read.option("basePath", path).parquet(*dirs)
-                       .select(*target_cols, F.col(BUCKET).cast("int").alias(BUCKET)))
-    else:
-        target = spark.createDataFrame([], staged.select(*target_cols, BUCKET).schema)
-    staged = staged.select(*target_cols, BUCKET)
-    if guarded_by is None:
-        merged = upsert_replace(target, staged, key)
-    else:
-        merged = upsert_guarded(target, staged, key, guarded_by, keep_latest=keep_latest)
-    # Dynamic partition overwrite stages every task's output and swaps the
-    # touched bucket directories only at job commit, so the old files stay
-    # readable for the whole job (and for retried tasks after a lost
-    # executor); untouched buckets are never rewritten.
-    (_layout(merged, key)
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .option("compression", "zstd").partitionBy(BUCKET).parquet(path))
+    The stage is conformed to the table's schema (K3; ``on_extra="evolve"`` adds
+    its surplus columns to the table), written once, and checked there: empty
+    loads (``require_rows``), nulls in ``not_null`` columns, and keys that occur
+    twice or are null (``key_check``: "off", "report", "strict").  Nothing is
+    published when a check fails.  Returns the counts."""
+    root, run = path.rstrip("/"), "r" + uuid.uuid4().hex
+    old = table_state(spark, path)
+    if old and buckets not in (None, old["buckets"]):
+        raise TableConflict(f"{path} has {old['buckets']} buckets, not {buckets}")
+    if old and old["key"] != [key]:
+        raise TableConflict(f"{path} is keyed by {old['key']}, not {key}")
+    n_buckets = old["buckets"] if old else buckets or DEFAULT_BUCKETS
+    schema = _plain(stage.schema)
+    if old:
+        have = StructType.fromJson(json.loads(old["schema"]))
+        if [(f.name, f.dataType) for f in schema.fields] != [(f.name, f.dataType) for f in have.fields]:
+            stage = conform(stage, have, on_extra=on_extra)
+        schema = _plain(stage.schema)
+    staged_path = f"{root}/_staging/{run}"
+    try:
+        stage.withColumn(BUCKET, bucket_expr(key, n_buckets)).write.parquet(staged_path)
+        staged = spark.read.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())])).parquet(staged_path)
+        # One aggregate; at most a row per bucket comes to the driver.
+        wide = sum((F.octet_length(F.col(f"`{c}`").cast("string")) for c in [key]), F.lit(0))
+        bad = [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(not_null)]
+        facts = staged.groupBy(BUCKET).agg(F.count("*").alias("n"), F.sum(F.coalesce(wide, F.lit(0))).alias("width"), *bad).collect()
+        rows, key_bytes = sum(r["n"] for r in facts), sum(r["width"] for r in facts)
+        nulls = {c: sum(r[f"null_{i}"] for r in facts) for i, c in enumerate(not_null)}
+        if any(nulls.values()):
+            raise SchemaMismatch(f"nulls in NOT NULL columns: { {c: n for c, n in nulls.items() if n} }")
+        if require_rows and not rows:
+            raise QualityError("row-count gate: the load is empty")
+        found = {"rows": rows, "key_violations": None, "buckets": sorted(r[BUCKET] for r in facts)}
+        if key_check != "off" and rows:
+            found["key_violations"] = key_constraint_report(staged, key).count()
+            if key_check == "strict" and found["key_violations"]:
+                raise QualityError(f"key constraint violated on {key}: {found['key_violations']} keys")
+        if not rows:
+            if not old:
+                _commit(spark, path, {"buckets": n_buckets, "key": [key], "schema": schema.json(), "versions": {}}, 0)
+            return found
+        versions = dict(old["versions"]) if old else {}
+        merged, target_bytes = staged, 0
+        if old:
+            target = _read_buckets(spark, path, old, schema, set(found["buckets"]))
+            small = rows * 32 + key_bytes       # what a row per key would take at most
+            if guarded_by is None:
+                merged = upsert_replace(target, staged, key, stage_bytes=small)
+            else:
+                merged = upsert_guarded(target, staged, key, guarded_by, keep_latest=keep_latest, tie_break=tie_break, stage_bytes=small)
+            target_bytes = _bytes(spark, [f"{root}/{VERSION}={versions[str(b)]}/{BUCKET}={b}" for b in found["buckets"] if str(b) in versions])
+        size = target_bytes + _bytes(spark, [staged_path])
+        # A third of it may lie in one bucket.
+        writers = max(4, -(-size // (3 * WRITER_BYTES)))
+        _write_version(merged, path, run, key, writers)
+        fresh = {n.split("=", 1)[1] for n in _names(spark, f"{root}/{VERSION}={run}/{BUCKET}=*")}
+        for b in map(str, found["buckets"]):
+            versions.pop(b, None)
+            if b in fresh:
+                versions[b] = run
+        after = old["n"] if old else 0
+        new = {"buckets": n_buckets, "key": [key], "schema": schema.json(), "versions": versions}
+        _commit(spark, path, new, after)
+        _clean(spark, path, [new | {"n": after + 1}, *([old] if old else [])])
+        return found
+    finally:
+        _remove(spark, staged_path)
+        if not _names(spark, f"{root}/_staging/*"):
+            _remove(spark, f"{root}/_staging")
+        if not old and not _names(spark, f"{root}/*"):
+            _remove(spark, root)        # nothing was published
+
+
+def _bytes(spark: SparkSession, paths: list[str]) -> int:
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += fs.getContentSummary(p).getLength()
+    return total
 
 
 def replace_group_sql(target: str, stage: str, key: str = "id",
@@ -218,7 +340,7 @@ def _run_statements(spark: SparkSession, url: str, properties: dict, statements:
 
 
 def publish_jdbc(df: DataFrame, url: str, target: str, key: str = "id", guarded_by: str | None = None,
-                 properties: dict | None = None, batch_size: int = 10, widths: dict | None = None) -> None:
+                 properties: dict | None = None, batch_size: int = 10_000, widths: dict | None = None) -> None:
     """K1/K2 into a warehouse table over JDBC (K5): stage table shaped like
     the target, bulk append from the executors, then delete-where-exists +
     insert in one transaction on the driver's connection.  ``widths`` cuts

@@ -42,32 +42,40 @@ def _mark(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> Non
 def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType, target: str,
                        checkpoint: str, key: str, date: str, dedup: list | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
-                       buckets: int = 16, fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                       buckets: int | None = None, fmt: str = "parquet", max_files_per_trigger: int | None = None,
                        reader_options: dict | None = None) -> int:
     """Process all files not seen before, upserting them into ``target``
     (guarded by ``date``, keep-latest).  Returns the number of micro-batches
     run.  ``reader_options`` go to the file source (e.g. ``maxFileAge`` to
     bound what each run lists in a large landing folder)."""
     batches = []
+    specs = dedup or [{"partitionby": [key], "orderby": [date]}]
+    # Equal dates are told apart here as they are within a batch.
+    ties = [c for c in (*specs[-1]["orderby"], *specs[-1].get("tie_break", [])) if c != date]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if _committed(spark, target, checkpoint, batch_id):
             return
         df = transform(batch) if transform else batch
-        df = deduplicate(df, dedup or [{"partitionby": [key], "orderby": [date]}])
-        publish_upsert(spark, df, target, key=key, buckets=buckets, guarded_by=date, keep_latest=True)
+        df = deduplicate(df, specs)
+        publish_upsert(spark, df, target, key=key, buckets=buckets, guarded_by=date, keep_latest=True, tie_break=ties)
         _mark(spark, target, checkpoint, batch_id)
         batches.append(batch_id)
 
+    process_new_files(spark, source_dir, schema, checkpoint, handle, fmt, max_files_per_trigger, reader_options)
+    return len(batches)
+
+
+def process_new_files(spark: SparkSession, source_dir: str, schema: StructType, checkpoint: str,
+                      handle: Callable[[DataFrame, int], None], fmt: str = "parquet",
+                      max_files_per_trigger: int | None = None, reader_options: dict | None = None) -> None:
+    """Hands the files that ``checkpoint`` has not seen yet to ``handle``, in
+    micro-batches, and stops."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (reader_options or {}).items():
         reader = reader.option(k, v)
-    query = (reader.load(source_dir).writeStream
-                   .foreachBatch(handle)
-                   .option("checkpointLocation", checkpoint)
-                   .trigger(availableNow=True)
-                   .start())
+    query = (reader.load(source_dir).writeStream.foreachBatch(handle)
+                   .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return len(batches)

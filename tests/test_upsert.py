@@ -1,9 +1,10 @@
 import datetime as dt
-import glob
 import os
 
+import pytest
+
 from quarry.operators.upsert import upsert_guarded, upsert_replace
-from quarry.sinks.publish import publish_upsert, read_bucketed, replace_group_sql, write_bucketed, jdbc_options
+from quarry.sinks.publish import TableConflict, publish_upsert, read_bucketed, replace_group_sql, table_state, write_bucketed, jdbc_options
 from tests.conftest import _explain
 
 D = dt.datetime
@@ -85,11 +86,11 @@ def test_publish_rewrites_only_touched_buckets(spark, tmp_table):
     path = tmp_table("bucketed")
     big = spark.range(2000).selectExpr("id", "cast(id as string) as v", "timestamp'2024-01-01' as dt_updated")
     write_bucketed(big, path, "id", buckets=16)
-    before = {d: sorted(os.listdir(d)) for d in glob.glob(path.replace("file:", "") + "/_bucket=*")}
+    before = table_state(spark, path)["versions"]
     st = spark.createDataFrame([(7, "seven", D(2024, 1, 2)), (5000, "new", D(2024, 1, 2))], SCHEMA)
     publish_upsert(spark, st, path, key="id", buckets=16)
-    after = {d: sorted(os.listdir(d)) for d in glob.glob(path.replace("file:", "") + "/_bucket=*")}
-    changed = [d for d in after if before.get(d) != after[d]]
+    after = table_state(spark, path)["versions"]
+    changed = [b for b in after if before.get(b) != after[b]]
     assert 1 <= len(changed) <= 2
     out = read_bucketed(spark, path)
     assert out.count() == 2001
@@ -114,42 +115,91 @@ def test_warehouse_statements_and_options():
     assert jdbc_options()["batchsize"] == "10"
 
 
-def test_hot_key_anti_join_is_split_by_aqe(spark):
-    """A third of the target shares one key; with broadcasting off the
-    anti-join is a shuffle join and AQE splits the skewed partition."""
+@pytest.mark.parametrize("guarded", [False, True])
+def test_hot_key_of_a_parquet_target_is_split(spark, tmp_table, guarded):
+    """A third of the target shares one key; read from Parquet, with broadcasting
+    off, no partition of the result holds the whole key."""
     from pyspark.sql import functions as F
 
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.enabled": "true",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        n = 30000
-        t = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(8)).otherwise(F.col("id")).alias("id"),
-                                  F.col("id").cast("string").alias("v"),
-                                  F.lit(D(2024, 1, 1)).cast("timestamp").alias("dt_updated"))
-        s = spark.range(0, n, 2).select(F.col("id"), F.lit("s").alias("v"),
-                                        F.lit(D(2024, 1, 2)).cast("timestamp").alias("dt_updated"))
-        out = upsert_replace(t, s, "id", broadcast_max_rows=None)
-        # The hot id 8 (10,000 rows) and every other even id are replaced.
-        expected = sum(1 for i in range(n) if i % 3 != 0 and i % 2 != 0) + n // 2
-        assert out.count() == expected
-        qe = out._jdf.queryExecution()
-        qe.toRdd().count()
-        final = qe.executedPlan().toString()
-        assert "skew=true" in final
+        n, path = 30000, tmp_table("hot")
+        (spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(8)).otherwise(F.col("id")).alias("id"),
+                               F.col("id").cast("string").alias("v"), F.lit(D(2024, 1, 3)).cast("timestamp").alias("dt_updated"))
+              .write.parquet(path))
+        t = spark.read.parquet(path)
+        # An older stage: guarded, the hot rows survive the join; replaced, all but them.
+        s = spark.range(1 if not guarded else 0, n, 2).select(F.col("id"), F.lit("s").alias("v"),
+                                                              F.lit(D(2024, 1, 2)).cast("timestamp").alias("dt_updated"))
+        out = (upsert_guarded(t, s, "id", "dt_updated", broadcast_max_rows=None) if guarded
+               else upsert_replace(t, s, "id", broadcast_max_rows=None))
+        hot = out.where("id = 8 and v != 's'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        total = sum(r["count"] for r in hot)
+        assert total == n // 3 + (8 % 3 != 0)
+        assert max(r["count"] for r in hot) < total / 2
+        assert "SinglePartition" not in _explain(out, "formatted")
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_another_bucket_count_or_key_is_refused(spark, tmp_table):
+    path = tmp_table("conflict") + "/t"
+    publish_upsert(spark, target(spark), path, key="id", buckets=16)
+    with pytest.raises(TableConflict):
+        publish_upsert(spark, stage(spark), path, key="id", buckets=64)
+    with pytest.raises(TableConflict):
+        publish_upsert(spark, stage(spark), path, key="v")
+    publish_upsert(spark, stage(spark), path, key="id")      # the table's own count
+    assert rows(read_bucketed(spark, path)) == rows(upsert_replace(target(spark), stage(spark), "id"))
+
+
+def test_failure_before_the_swap_leaves_the_old_table(spark, tmp_table, monkeypatch):
+    from quarry.sinks import publish
+
+    path = tmp_table("swap") + "/t"
+    publish_upsert(spark, target(spark), path, key="id", buckets=4)
+    before = rows(read_bucketed(spark, path))
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            publish_upsert(spark, stage(spark), path, key="id")
+    assert rows(read_bucketed(spark, path)) == before
+    publish_upsert(spark, stage(spark), path, key="id")
+    assert rows(read_bucketed(spark, path)) == rows(upsert_replace(target(spark), stage(spark), "id"))
+    assert "_staging" not in os.listdir(path.replace("file:", ""))
+
+
+def test_not_null_and_evolve(spark, tmp_table):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.conform import SchemaMismatch
+
+    path = tmp_table("evolve") + "/t"
+    publish_upsert(spark, target(spark).where("id is not null"), path, key="id", buckets=4)
+    with pytest.raises(SchemaMismatch, match="NOT NULL"):
+        publish_upsert(spark, stage(spark), path, key="id", not_null=["id"])
+    publish_upsert(spark, stage(spark).where("id = 6").withColumn("extra", F.lit(7)), path, key="id", on_extra="evolve")
+    got = {(r.id, r.v): r.extra for r in read_bucketed(spark, path).collect()}
+    assert got[(6, "new")] == 7 and got[(1, "t1")] is None
+
+
+def test_equal_dates_across_drops_in_every_order(spark):
+    import itertools
+
+    drops = [spark.createDataFrame([(1, v, D(2024, 1, 1))], SCHEMA) for v in "abc"]
+    for order in itertools.permutations(drops):
+        t = order[0]
+        for s in order[1:]:
+            t = upsert_guarded(t, s, "id", "dt_updated", keep_latest=True, tie_break=["v"])
+        assert rows(t) == [(1, "c")]
 
 
 def test_broadcast_bound_from_session_setting(spark):
