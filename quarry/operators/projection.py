@@ -14,12 +14,33 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WORDS = "on using where group order having limit join inner left right full cross natural union except intersect window lateral tablesample sort cluster distribute qualify".split()
+
+
+def _rebind(text: str, name: str, placeholder: str) -> str:
+    """Turns references to the frame ``name`` after FROM, JOIN or a comma of a
+    FROM list into the placeholder, with the name kept as alias when no
+    other follows, so that ``name.column`` still means what it says."""
+    ident = r"(`?)" + re.escape(name) + r"\2(?=[\s,);]|$)"
+    alias = r"(?!\s+(?:as\s+)?(?!(?:" + "|".join(_WORDS) + r")\b)[A-Za-z_`])"
+    first = re.compile(r"(?i)\b((?:from|join)\s+|(?<=[\s\w`}]),\s*(?=" + r"`?" + re.escape(name) + r"`?\s*(?:[,);]|$|\s(?:" + "|".join(_WORDS) + r")\b)))" + ident)
+    out, at = [], 0
+    for m in first.finditer(text):
+        if m.group(1).lstrip().startswith(","):
+            # A comma counts only within a FROM list, not in a SELECT list.
+            before = re.sub(r"\([^()]*\)", "", text[:m.start()]).lower()
+            if before.rfind("from") <= max(before.rfind(w) for w in ("select", "where", "group by", "order by", "having", " on ")):
+                continue
+        named = re.match(alias, text[m.end():], re.I) is not None
+        out += [text[at:m.start()], m.group(1), "{" + placeholder + "}", f" as `{name}`" if named else ""]
+        at = m.end()
+    return "".join(out) + text[at:]
+
+
 def _bind(sql: str, view: str) -> str:
     text = sql.strip().rstrip(";").strip()
     # Escape literal braces for the formatter, then mark the view reference.
-    text = text.replace("{", "{{").replace("}", "}}")
-    pattern = re.compile(r"(?i)\b(from|join)(\s+)(`?)" + re.escape(view) + r"\3(?=[\s,);]|$)")
-    return pattern.sub(lambda m: f"{m.group(1)}{m.group(2)}{{__input}}", text)
+    return _rebind(text.replace("{", "{{").replace("}", "}}"), view, "__input")
 
 
 def sql_projection(df: DataFrame, sql: str, view: str = "table",
@@ -41,6 +62,5 @@ def named_projection(frames: dict[str, DataFrame], sql: str) -> DataFrame:
     spark = next(iter(frames.values())).sparkSession
     text = sql.strip().rstrip(";").replace("{", "{{").replace("}", "}}")
     for name in frames:
-        pattern = re.compile(r"(?i)\b(from|join)(\s+)(`?)" + re.escape(name) + r"\3(?=[\s,);]|$)")
-        text = pattern.sub(lambda m, n=name: f"{m.group(1)}{m.group(2)}{{{n}}}", text)
+        text = _rebind(text, name, name)
     return spark.sql(text, **frames)

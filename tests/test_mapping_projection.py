@@ -63,3 +63,15 @@ def test_projection_placeholder_and_named_frames(spark):
     b = spark.createDataFrame([(1, 9)], "k int, w int")
     out = named_projection({"teste": a, "other": b}, "select s, w from teste join other using (k)")
     assert tuple(out.first()) == ("x", 9)
+
+
+def test_qualified_columns_and_comma_joins(spark):
+    from quarry.operators.projection import named_projection, sql_projection
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    assert sorted(r.id for r in sql_projection(df, "select table.id from table where table.v <> 'x'").collect()) == [1, 2]
+    assert sql_projection(df, "select t.id from table t where t.id = 1").count() == 1
+    assert sql_projection(df, "select t.id from table as t").count() == 2
+    other = spark.createDataFrame([(1, 10)], "k int, w int")
+    got = named_projection({"table": df, "a": other}, "select a.w, table.v from a, table where a.k = table.id").collect()
+    assert [tuple(r) for r in got] == [(10, "a")]
