@@ -1,9 +1,4 @@
-select  id
-       ,label_order
-       ,line_id
-       ,cast(from_unixtime(dt_shipped_line/1000) as timestamp_ntz) as dt_shipped_line
-       ,price_line
-       ,cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated
-       ,from_unixtime(dt_extraction/1000) as dt_extraction
-       ,status
-from table;
+select order_no, line_no, urgency, amount,
+    cast(from_unixtime(changed_ms/1000) as timestamp_ntz) as changed_at,
+    cast(from_unixtime(shipped_ms/1000) as timestamp_ntz) as shipped_at
+from table

@@ -30,11 +30,12 @@ def main(sf_dir: str) -> str:
                           "orderby": ["_emitted_at"],
                           "tie_break": ["_raw_data_lines_partKey", "_raw_data_lines_suppKey",
                                         "_raw_data_lines_price"]}],
-         "capitalize": ["label_order"],
-         "capitalizeword": [{"field": "label_order", "pattern": "^(\\d)-(.*)$", "replacement": "$2 ($1)"}],
+         "capitalize": ["urgency"],
+         "capitalizeword": [{"field": "urgency", "pattern": "^(\\d)-(.*)$", "replacement": "$2 ($1)"}],
          "schema": os.path.join(HERE, "orders.schema.json"), "sql": os.path.join(HERE, "orders.sql"),
-         "target_ddl": "id bigint, label_order varchar(12), line_id bigint, dt_shipped_line timestamp_ntz, "
-                       "price_line double, dt_updated timestamp_ntz, dt_extraction timestamp_ntz, status string"},
+         "key": "order_no",
+         "target_ddl": "order_no bigint, line_no bigint, urgency varchar(12), amount double, "
+                       "changed_at timestamp_ntz, shipped_at timestamp_ntz"},
         {"origin_table": f"{landing}/events", "destination_table": f"{warehouse}/users_latest", "flow": "flow7",
          "deduplicate": [{"partitionby": ["_raw_data_userId"], "orderby": ["_emitted_at", "_raw_data_event_id"]}],
          "capitalize": ["label"], "capitalizeword": [],

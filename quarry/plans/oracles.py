@@ -73,30 +73,27 @@ d as (
              _raw_data_lines_returnFlag desc nulls last, _raw_data_lines_shippedAt_string desc nulls last) = 1
 ),
 m as (
-  select try_cast(_raw_data_orderId as bigint) as id, _raw_data_priority as label_order,
-         try_cast(_raw_data_lines_lineNumber as bigint) as line_id,
-         _raw_data_lines_shippedAt_long as dt_shipped_line, _raw_data_lines_price as price_line,
-         _raw_data_lines_returnFlag as flag_line, try_cast(_raw_data_createdAt as bigint) as dt_created,
-         try_cast(_raw_data_updatedAt as bigint) as dt_updated, _emitted_at as dt_extraction,
-         _raw_data_active as active_order, _raw_data_status as status
+  select try_cast(_raw_data_orderId as bigint) as order_no, try_cast(_raw_data_lines_lineNumber as bigint) as line_no,
+         try_cast(_raw_data_createdAt as bigint) as placed_ms, try_cast(_raw_data_updatedAt as bigint) as changed_ms,
+         _raw_data_lines_shippedAt_long as shipped_ms, _emitted_at as seen_ms, _raw_data_lines_price as amount,
+         _raw_data_lines_returnFlag as return_mark, _raw_data_priority as urgency, _raw_data_status as state,
+         _raw_data_active as is_open
   from d
 )
-select id,
-       regexp_replace({_cap('label_order')}, '^(\\d)-(.*)$', '\\2 (\\1)', 'g') as label_order,
-       line_id, {_sec_ts('dt_shipped_line')} as dt_shipped_line, price_line, flag_line,
-       {_sec_ts('dt_created')} as dt_created, {_sec_ts('dt_updated')} as dt_updated,
-       {_sec_text('dt_extraction')} as dt_extraction, active_order, status
+select order_no, line_no, {_sec_ts('placed_ms')} as placed_at, {_sec_ts('changed_ms')} as changed_at,
+       {_sec_ts('shipped_ms')} as shipped_at, amount, return_mark,
+       regexp_replace({_cap('urgency')}, '^(\\d)-(.*)$', '\\2 (\\1)', 'g') as urgency,
+       state, is_open, {_sec_text('seen_ms')} as seen_at
 from m
 """
 
 
 def _orders_published(pipe: str) -> str:
-    """Conformance to the published table: status dropped, label cut to 12
-    characters, the extraction text read back as a timestamp."""
+    """Conformance to the published table: state dropped, urgency cut to 12
+    characters, the text of the extraction read back as a timestamp."""
     return f"""
-select id, substr(label_order, 1, 12) as label_order, line_id, dt_shipped_line, price_line,
-       substr(flag_line, 1, 1) as flag_line, dt_created, dt_updated,
-       cast(dt_extraction as timestamp) as dt_extraction, active_order
+select order_no, line_no, placed_at, changed_at, shipped_at, amount, substr(return_mark, 1, 1) as return_mark,
+       substr(urgency, 1, 12) as urgency, is_open, cast(seen_at as timestamp) as seen_at
 from ({pipe})
 """
 
@@ -283,17 +280,17 @@ second_drop as (
                                                  .replace("+ 172800000 as _emitted_at", "+ 259200000 as _emitted_at")
                                   + " where o.o_orderstatus = 'O'"))}
 )
-select * from first_run f where not exists (select 1 from second_drop s where s.id = f.id)
+select * from first_run f where not exists (select 1 from second_drop s where s.order_no = f.order_no)
 union all
 select * from second_drop""",
     "recipe_full_struct_replace": f"""
-with a as ({_events_pipe("ts < timestamp '2024-01-20'")}),
-b as ({_events_pipe("ts >= timestamp '2024-01-15'")})
+with a as ({_events_pipe("ts < timestamp '2024-01-30 12:00:00'")}),
+b as ({_events_pipe("ts >= timestamp '2024-01-30 12:00:00'")})
 select * from a where not exists (select 1 from b where b.id = a.id)
 union all select * from b""",
     "recipe_full_struct_guarded": f"""
-with a as ({_events_pipe("ts < timestamp '2024-01-20'")}),
-b as ({_events_pipe("ts < timestamp '2024-01-15'")})
+with a as ({_events_pipe("ts >= timestamp '2024-01-15'")}),
+b as ({_events_pipe("ts < timestamp '2024-01-20'")})
 select * from a where not exists (select 1 from b where b.id = a.id and b.dt_updated >= a.dt_updated)
 union all select * from b""",
     "recipe_rolling_struct_replace": f"""
@@ -302,9 +299,8 @@ b as ({_events_pipe("ts >= timestamp '2024-01-26'")})
 select * from a where not exists (select 1 from b where b.id = a.id)
 union all select * from b""",
     "config_batch": f"""
-select 'contacts' as destination, count(*) as n_rows, count(distinct id) as n_ids
-from ({_events_pipe("true")})
+select 'contacts' as destination, id, label as a, cast(event_id as varchar) as b from ({_events_pipe("true")})
 union all
-select 'deal_pipelines', count(*), count(distinct id) from ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))})""",
+select 'deal_pipelines', order_no, urgency, cast(line_no as varchar) from ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))})""",
     "incremental_upsert": LATEST_EVENT,
 }

@@ -26,17 +26,18 @@ from ..operators.flatten import coalesce_choice, flatten_all, flatten_struct
 from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
 from ..operators.projection import sql_projection
-from ..operators.quality import check_row_count, enforce_key_constraint
+from ..operators.quality import check_row_count
 from ..sinks.publish import full_refresh, publish_upsert, read_bucketed
 from ..sources.descriptor import descriptor_sql
 from ..sources.scan import read_parquet_glob, read_rolling, read_table
+from ..streaming.incremental import process_new_files
 
 
 @dataclass
 class PipelineConfig:
     origin: str                       # path (or catalog table with scan_format="table")
     destination: str                  # published table path
-    scan: str = "full"                # "full" (S1) | "rolling" (S2+S3)
+    scan: str = "full"                # "full" (S1) | "rolling" (S2+S3) | "incremental" (S5)
     flatten: str = "struct"           # "struct" (P1) | "all" (P2) | "none"
     upsert: str = "replace"           # "replace" (K1) | "guarded" (K2)
     key: str = "id"
@@ -51,12 +52,14 @@ class PipelineConfig:
     rolling_days: int = 1
     rolling_mode: str = "date"
     as_of: dt.date | None = None
-    buckets: int = 64
+    buckets: int | None = None        # None: the table's own, 64 for a new one
+    latest_by: list = field(default_factory=list)  # with keep_latest: told apart by these among equal dates
+    checkpoint: str | None = None     # bookmark of scan="incremental" (default: below the destination)
     tie_break: list = field(default_factory=list)
     coalesce: list = field(default_factory=list)  # type-choice fields collapsed after flattening
     target_ddl: str | None = None     # K3/K4: conform to this schema before publishing
     on_extra: str = "error"           # "error" | "drop" | "evolve"
-    key_check: str = "off"            # K8 on the incoming rows: "off" | "strict" (fail before publishing)
+    key_check: str = "report"         # K8 on the incoming rows: "off" | "report" | "strict" (fail before publishing)
     require_rows: bool = False        # A1 on the incoming rows: fail an empty load
 
 
@@ -86,10 +89,34 @@ FLOW_NAMES = {"flow": "contacts", "flow2": "companies", "flow3": "deal_pipelines
               "flow8": "archived_deals"}
 
 
-def config_from_entry(entry: Mapping) -> PipelineConfig:
+def _named_file(folder: str | None, name: str, endings: tuple[str, ...]) -> str | None:
+    for ending in endings if folder else ():
+        path = os.path.join(folder, name + ending)
+        if os.path.isfile(path):
+            return path
+    return None
+
+
+def config_from_entry(entry: Mapping, folder: str | None = None, warehouse: str | None = None) -> PipelineConfig:
     """Build a config from one ``conf`` entry of the document
     (``origin_table, destination_table, deduplicate, capitalize,
-    capitalizeword, flow`` …).  The recipe is looked up by flow/preset name."""
+    capitalizeword, flow`` …).  The recipe is looked up by flow/preset name.
+
+    An entry without ``schema`` or ``sql`` has them in ``folder``, by its
+    destination's name (``<name>.schema.json``, ``<name>.json``; ``<name>.sql``,
+    ``<name>.yaml``); with a folder, a missing file is an error.
+    ``warehouse`` is the folder of destinations given by name."""
+    if not any(entry.get(k) for k in ("preset", "flow", "scan", "flatten", "upsert")):
+        raise ValueError(f"entry {entry.get('destination_table')!r} names no flow or preset")
+    name = str(entry["destination_table"]).rstrip("/").rsplit("/", 1)[-1]
+    entry = dict(entry)
+    for k, endings in (("schema", (".schema.json", ".json")), ("sql", (".sql", ".yaml", ".yml"))):
+        if not entry.get(k) and folder:
+            entry[k] = _named_file(folder, name, endings)
+            if not entry[k]:
+                raise FileNotFoundError(f"no {k} of {name!r} in {folder}: {[name + e for e in endings]}")
+    if warehouse and "/" not in entry["destination_table"]:
+        entry["destination_table"] = f"{warehouse.rstrip('/')}/{name}"
     preset = entry.get("preset") or FLOW_NAMES.get(entry.get("flow", ""), entry.get("flow"))
     recipe_name = PRESETS.get(preset, preset) if preset else None
     if recipe_name is not None and recipe_name not in RECIPES:
@@ -98,9 +125,10 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
     recipe = RECIPES[recipe_name] if recipe_name else {}
     kw = dict(recipe)
     origin = entry["origin_table"]
-    if entry.get("database"):
+    database = entry.get("database") or entry.get("glue_database")
+    if database:
         # A catalog table: ``database.origin_table`` read with spark.table.
-        origin = f"{entry['database']}.{origin}"
+        origin = f"{database}.{origin}"
         kw["scan_format"] = "table"
     kw.update(
         origin=origin, destination=entry["destination_table"],
@@ -108,7 +136,7 @@ def config_from_entry(entry: Mapping) -> PipelineConfig:
         regex=list(entry.get("capitalizeword", [])),
         mapping=parse_mapping(_maybe_file(entry["schema"], json.loads)) if entry.get("schema") else [],
         sql=_sql_text(entry.get("sql")))
-    for k in ("key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
+    for k in ("scan", "flatten", "upsert", "latest_by", "checkpoint", "key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
               "tie_break", "target_ddl", "on_extra", "coalesce", "key_check", "require_rows"):
         if k in entry:
             kw[k] = entry[k]
@@ -176,21 +204,32 @@ def transform(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig, source: DataFrame | None = None) -> DataFrame:
-    """Run one pipeline end to end and return the published table."""
+    """Run one pipeline end to end and return the published table.  With
+    ``scan="incremental"``, only files that the bookmark has not seen are read,
+    each micro-batch published on its own."""
+    if cfg.scan == "incremental" and source is None:
+        shape = read_table(spark, cfg.origin, cfg.scan_format).schema
+        bookmark = cfg.checkpoint or f"{cfg.destination.rstrip('/')}/_bookmark"
+        process_new_files(spark, cfg.origin, shape, bookmark, lambda df, _: publish(spark, cfg, transform(df, cfg)), cfg.scan_format)
+        empty = transform(spark.createDataFrame([], shape), cfg)
+        return read_bucketed(spark, cfg.destination, schema=empty.schema)
     df = transform(source if source is not None else scan(spark, cfg), cfg)
+    publish(spark, cfg, df)
+    return read_bucketed(spark, cfg.destination)
+
+
+def publish(spark: SparkSession, cfg: PipelineConfig, df: DataFrame) -> dict:
+    """Conform the transformed rows and upsert them; the checks run on the
+    written stage, before anything is published."""
+    not_null = []
     if cfg.target_ddl:
-        df = conform(df, target_schema(cfg.target_ddl), on_extra=cfg.on_extra)
-    # Load-time checks run on the incoming rows (small next to the table)
-    # before anything is published.
-    if cfg.require_rows:
-        check_row_count(df)
-    if cfg.key_check == "strict":
-        enforce_key_constraint(df, cfg.key, strict=True)
-    publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
-                   guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None,
-                   keep_latest=cfg.keep_latest)
-    # An empty first load leaves no files: read as an empty frame then.
-    return read_bucketed(spark, cfg.destination, schema=df.schema)
+        shape = target_schema(cfg.target_ddl)
+        not_null = [f.name for f in shape.fields if not f.nullable]
+        df = conform(df, shape, on_extra=cfg.on_extra)
+    return publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
+                          guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None, keep_latest=cfg.keep_latest,
+                          tie_break=cfg.latest_by, on_extra="evolve" if cfg.on_extra == "evolve" else "error",
+                          not_null=not_null, require_rows=cfg.require_rows, key_check=cfg.key_check)
 
 
 def target_schema(ddl: str) -> StructType:
@@ -200,22 +239,23 @@ def target_schema(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 
 
-def run_batch(spark: SparkSession, document: str | Mapping) -> dict[str, DataFrame]:
+def run_batch(spark: SparkSession, document: str | Mapping, folder: str | None = None,
+              warehouse: str | None = None) -> dict[str, DataFrame]:
     """PL1: run every entry of ``{"conf": [...]}`` in order.  Each entry is
     its own plan; dispatch is by preset name."""
     doc = load_document(document)
     out = {}
     for entry in doc["conf"]:
-        cfg = config_from_entry(entry)
+        cfg = config_from_entry(entry, folder, warehouse)
         out[entry["destination_table"]] = run_pipeline(spark, cfg)
     return out
 
 
 def load_curated(spark: SparkSession, pattern: str | Iterable[str], destination: str,
                  sort_key: str | None = None) -> DataFrame:
-    """PL2: Parquet glob (S8) → full refresh (K6) → row-count gate (A1)."""
+    """PL2: Parquet glob (S8) → row-count gate (A1) → full refresh (K6)."""
     df = read_parquet_glob(spark, pattern if isinstance(pattern, str) else list(pattern))
+    # The gate comes first: an empty load must not replace a good table.
+    check_row_count(df)
     full_refresh(df, destination, sort_key=sort_key)
-    published = spark.read.parquet(destination)
-    check_row_count(published)
-    return published
+    return spark.read.parquet(destination)

@@ -321,50 +321,43 @@ EVENTS_DEDUP = [{"partitionby": ["_raw_data_userId"], "orderby": ["_emitted_at",
 EVENTS_REGEX = [{"field": "label", "pattern": "^(ERROR|SIGNUP)$", "replacement": "ALERT_$1"}]
 
 ORDERS_PIPE_MAPPING = [
-    ("_raw_data_orderId", "string", "id", "bigint"),
-    ("_raw_data_priority", "string", "label_order", "string"),
-    ("_raw_data_lines_lineNumber", "string", "line_id", "bigint"),
-    ("_raw_data_lines_shippedAt_long", "long", "dt_shipped_line", "long"),
-    ("_raw_data_lines_price", "double", "price_line", "double"),
-    ("_raw_data_lines_returnFlag", "string", "flag_line", "string"),
-    ("_raw_data_createdAt", "string", "dt_created", "long"),
-    ("_raw_data_updatedAt", "string", "dt_updated", "long"),
-    ("_emitted_at", "long", "dt_extraction", "long"),
-    ("_raw_data_active", "boolean", "active_order", "boolean"),
-    ("_raw_data_status", "string", "status", "string"),
+    ("_raw_data_orderId", "string", "order_no", "bigint"),
+    ("_raw_data_lines_lineNumber", "string", "line_no", "bigint"),
+    ("_raw_data_createdAt", "string", "placed_ms", "long"),
+    ("_raw_data_updatedAt", "string", "changed_ms", "long"),
+    ("_raw_data_lines_shippedAt_long", "long", "shipped_ms", "long"),
+    ("_emitted_at", "long", "seen_ms", "long"),
+    ("_raw_data_lines_price", "double", "amount", "double"),
+    ("_raw_data_lines_returnFlag", "string", "return_mark", "string"),
+    ("_raw_data_priority", "string", "urgency", "string"),
+    ("_raw_data_status", "string", "state", "string"),
+    ("_raw_data_active", "boolean", "is_open", "boolean"),
 ]
 ORDERS_PIPE_SQL = """
-select  id
-       ,label_order
-       ,line_id
-       ,cast(from_unixtime(dt_shipped_line/1000) as timestamp_ntz) as dt_shipped_line
-       ,price_line
-       ,flag_line
-       ,cast(from_unixtime(dt_created/1000) as timestamp_ntz) as dt_created
-       ,cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated
-       ,from_unixtime(dt_extraction/1000) as dt_extraction
-       ,active_order
-       ,status
-from table;
+select order_no, line_no, cast(from_unixtime(placed_ms/1000) as timestamp_ntz) as placed_at,
+    cast(from_unixtime(changed_ms/1000) as timestamp_ntz) as changed_at,
+    cast(from_unixtime(shipped_ms/1000) as timestamp_ntz) as shipped_at,
+    amount, return_mark, urgency, state, is_open, from_unixtime(seen_ms/1000) as seen_at
+from table
 """
 ORDERS_PIPE_DEDUP = [{"partitionby": ["_raw_data_orderId", "_raw_data_lines_lineNumber"],
                       "orderby": ["_emitted_at", "_raw_data_lines_shippedAt_long"],
                       "tie_break": ["_raw_data_lines_partKey", "_raw_data_lines_suppKey", "_raw_data_lines_price",
                                     "_raw_data_lines_quantity", "_raw_data_lines_returnFlag",
                                     "_raw_data_lines_shippedAt_string"]}]
-ORDERS_PIPE_REGEX = [{"field": "label_order", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
-# The published table: no ``status`` column (the SELECT yields one more
-# column than the table declares), a 12-character label, and
-# ``dt_extraction`` declared as a timestamp although the SELECT yields text.
-ORDERS_PIPE_TARGET = ("id bigint NOT NULL, label_order varchar(12), line_id bigint, dt_shipped_line timestamp_ntz, "
-                      "price_line double, flag_line varchar(1), dt_created timestamp_ntz, dt_updated timestamp_ntz, "
-                      "dt_extraction timestamp_ntz, active_order boolean")
+ORDERS_PIPE_REGEX = [{"field": "urgency", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
+# The published table: no ``state`` column (the SELECT yields one more column
+# than the table declares), a 12-character urgency, and ``seen_at`` declared as a
+# timestamp although the SELECT yields text.
+ORDERS_PIPE_TARGET = ("order_no bigint NOT NULL, line_no bigint, placed_at timestamp_ntz, changed_at timestamp_ntz, "
+                      "shipped_at timestamp_ntz, amount double, return_mark varchar(1), urgency varchar(12), "
+                      "is_open boolean, seen_at timestamp_ntz")
 
 
 def orders_pipeline_config(destination: str, origin: str = "") -> PipelineConfig:
     return PipelineConfig(origin=origin, destination=destination, dedup=ORDERS_PIPE_DEDUP,
-                          mapping=ORDERS_PIPE_MAPPING, sql=ORDERS_PIPE_SQL, capitalize=["label_order"],
-                          regex=ORDERS_PIPE_REGEX, key="id", target_ddl=ORDERS_PIPE_TARGET, on_extra="drop",
+                          mapping=ORDERS_PIPE_MAPPING, sql=ORDERS_PIPE_SQL, capitalize=["urgency"],
+                          regex=ORDERS_PIPE_REGEX, key="order_no", target_ddl=ORDERS_PIPE_TARGET, on_extra="drop",
                           **RECIPES["full_all_replace"])
 
 
@@ -408,22 +401,22 @@ def _raw_events_drop(spark, sf, lo: str | None, hi: str | None) -> DataFrame:
 
 
 def q_recipe_full_struct_replace(spark, sf):
-    """Recipe (full, flatten_struct, replace): events before Jan 20, then
-    events from Jan 15 on."""
+    """Recipe (full, flatten_struct, replace): events before noon of the last day,
+    then those from then on; users without a late event keep their old row."""
     _utc(spark)
     cfg = events_pipeline_config(run_path(spark, "contacts_like") + "/table", "full_struct_replace")
-    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-20"))
-    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, "2024-01-15", None))
+    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-30 12:00:00"))
+    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, "2024-01-30 12:00:00", None))
 
 
 def q_recipe_full_struct_guarded(spark, sf):
-    """Recipe (full, flatten_struct, guarded): events before Jan 20, then a
-    stale drop of events before Jan 15 (the unconditional insert keeps the
-    stale rows next to the newer ones)."""
+    """Recipe (full, flatten_struct, guarded): events from Jan 15 on, then a drop of
+    those before Jan 20, stale for most users (the unconditional insert keeps
+    the stale rows next to the newer ones).  Every event is in a drop."""
     _utc(spark)
     cfg = events_pipeline_config(run_path(spark, "archived_like") + "/table", "full_struct_guarded")
-    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-20"))
-    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-15"))
+    run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, "2024-01-15", None))
+    return run_pipeline(spark, cfg, source=_raw_events_drop(spark, sf, None, "2024-01-20"))
 
 
 def q_recipe_rolling_struct_replace(spark, sf):
@@ -459,15 +452,17 @@ def q_config_batch(spark, sf):
          "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in EVENTS_MAPPING]},
          "sql": EVENTS_SQL},
         {"origin_table": raw_orders_path, "destination_table": f"{dest}/deal_pipelines", "flow": "flow3",
-         "deduplicate": ORDERS_PIPE_DEDUP, "capitalize": ["label_order"], "capitalizeword": ORDERS_PIPE_REGEX,
+         "key": "order_no", "deduplicate": ORDERS_PIPE_DEDUP, "capitalize": ["urgency"], "capitalizeword": ORDERS_PIPE_REGEX,
          "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in ORDERS_PIPE_MAPPING]},
          "sql": ORDERS_PIPE_SQL, "target_ddl": ORDERS_PIPE_TARGET, "on_extra": "drop"},
     ]}
     tables = run_batch(spark, doc)
-    parts = [df.agg(F.lit(name.rsplit("/", 1)[-1]).alias("destination"), F.count(F.lit(1)).alias("n_rows"),
-                    F.count_distinct("id").alias("n_ids"))
-             for name, df in tables.items()]
-    return parts[0].unionByName(parts[1])
+    # Rows of both tables, each as text, so that wrong contents show.
+    rows = [df.select(F.lit(name.rsplit("/", 1)[-1]).alias("destination"), F.col(key).alias("id"),
+                      *[F.col(c).cast("string").alias(n) for c, n in cols])
+            for (name, df), (key, cols) in zip(tables.items(), (
+                ("id", (("label", "a"), ("event_id", "b"))), ("order_no", (("urgency", "a"), ("line_no", "b")))))]
+    return rows[0].unionByName(rows[1])
 
 
 # ------------------------------------------------------------------ incremental
