@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .sources.scan import read_split_settings
+
 # Settings that matter at scale.  AQE re-plans joins and coalesces shuffle
 # partitions from runtime sizes; skew-join splitting handles hot keys in the
 # anti-joins of the upsert; partition overwrite is dynamic so an upsert only
@@ -30,13 +32,15 @@ SCALE_DEFAULTS = {
 
 
 def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
-                     executors_cores: int | None = None) -> dict:
+                     executors_cores: int | None = None, reducer_bytes: int = 2 << 30) -> dict:
     """Sizing for a large input: read splits and the initial shuffle width
     so each task handles about ``target_partition_bytes``; AQE then
     coalesces small shuffle partitions and splits skewed ones.  (Split
     packing is a session setting: Spark's file sources ignore a per-read
     ``maxPartitionBytes`` option.)"""
-    parts = max(1, -(-int(input_bytes) // int(target_partition_bytes)))
+    # Reducers are sized apart from read splits: maps times reducers is the number
+    # of shuffle blocks, and a wide shuffle of small blocks is slow.
+    parts = max(1, -(-int(input_bytes) // int(reducer_bytes)))
     if executors_cores:
         parts = max(parts, 2 * executors_cores)
     return {
@@ -49,7 +53,8 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "quarry", extra: dict | None = None) -> SparkSession:
+                  app: str = "quarry", extra: dict | None = None, split_bytes: int | None = None) -> SparkSession:
+    """``split_bytes``: small files are packed into read splits of this size."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -59,6 +64,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
+    if split_bytes:
+        for k, v in read_split_settings(split_bytes, open_cost_bytes=min(split_bytes, 8 << 20)).items():
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -93,6 +101,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = registered
     if not root:
+        if not str(getattr(spark.sparkContext, "master", "local")).startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -109,11 +119,3 @@ def run_path(spark: SparkSession, name: str) -> str:
     first write creates it)."""
     root = scratch_root(spark)
     return f"{root}/quarry/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (never a local one): the data is written to the
-    shared checkpoint dir, so a lost executor does not force recomputation of
-    the whole lineage."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -60,7 +60,9 @@ def rolling_predicate(days: int, as_of: dt.date, mode: str = "date",
         return (p0 >= F.lit(int(y))) & (p1 >= F.lit(int(m))) & (p2 >= F.lit(int(d)))
     if mode == "date":
         cutoff = dt.date(int(y), int(m), int(d))
-        return F.make_date(p0.cast("int"), p1.cast("int"), p2.cast("int")) >= F.lit(cutoff)
+        exact = F.make_date(p0.cast("int"), p1.cast("int"), p2.cast("int")) >= F.lit(cutoff)
+        # A metastore can prune by the year alone; the date then decides.
+        return (p0.cast("int") >= F.lit(int(y))) & exact
     raise ValueError(f"unknown rolling mode {mode!r}")
 
 
@@ -104,6 +106,3 @@ def read_parquet_glob(spark: SparkSession, pattern: str | list[str], merge_schem
 def read_split_settings(target_bytes: int = 256 * 1024 * 1024, open_cost_bytes: int = 8 * 1024 * 1024) -> dict:
     return {"spark.sql.files.maxPartitionBytes": str(target_bytes),
             "spark.sql.files.openCostInBytes": str(open_cost_bytes)}
-
-
-SMALL_FILE_GROUP_BYTES = 10_485_760  # fixed value: the original read group size

@@ -64,7 +64,7 @@ def test_cluster_settings_size_tasks():
     from quarry.session import cluster_settings
 
     conf = cluster_settings(100 * 1024 ** 4)  # 100 TB
-    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (2 * 1024 ** 3))
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
 
 
@@ -96,7 +96,7 @@ def test_cli_runs_a_config_file(spark, tmp_table, tmp_path):
                          cwd=root, capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
     assert _json.loads(out.stdout.strip().splitlines()[-1]) == {"destination": dest, "rows": 2}
-    assert sorted(tuple(r) for r in spark.read.parquet(dest).drop("_bucket").collect()) == [(1, "ACAO"), (2, "B")]
+    assert sorted(tuple(r) for r in read_bucketed(spark, dest).drop("_bucket").collect()) == [(1, "ACAO"), (2, "B")]
 
 
 def test_new_checkpoint_on_existing_target_is_not_skipped(spark, tmp_table):
@@ -196,7 +196,7 @@ def test_example_config_runs(spark):
     assert run.returncode == 0, run.stderr[-2000:]
     results = [_json.loads(line) for line in run.stdout.strip().splitlines()]
     assert [r["rows"] > 0 for r in results] == [True, True]
-    labels = {r.label_order for r in spark.read.parquet(results[0]["destination"]).select("label_order").collect()}
+    labels = {r.urgency for r in read_bucketed(spark, results[0]["destination"]).select("urgency").collect()}
     assert "URGENT (1)" in labels and all(len(x) <= 12 for x in labels)
 
 
@@ -243,3 +243,36 @@ def test_pipeline_load_checks_fail_before_publishing(spark, tmp_table):
     with pytest.raises(QualityError):
         run_pipeline(spark, gated, source=raw.where("false"))
     assert run_pipeline(spark, gated, source=raw).count() == 2  # duplicates are legal without key_check
+
+
+def test_entry_finds_mapping_and_sql_by_destination(spark, tmp_path):
+    """The shape of catalog entries: a database, and no schema or SQL of their own."""
+    import json
+
+    import pytest
+
+    from quarry.sinks.publish import read_bucketed
+
+    spark.createDataFrame([(("1", "x"), 1)], "_raw struct<id:string, name:string>, _emitted_at bigint") \
+        .createOrReplaceGlobalTempView("quarry_raw_entry")
+    (tmp_path / "people.json").write_text(json.dumps({"schema": [{"Name": "_raw_id", "Type": "string", "NameTo": "id", "TypeTo": "bigint"}]}))
+    doc = {"conf": [{"origin_table": "quarry_raw_entry", "glue_database": "global_temp", "destination_table": "people", "flow": "flow"}]}
+    with pytest.raises(FileNotFoundError):
+        run_batch(spark, doc, folder=str(tmp_path), warehouse=str(tmp_path / "w"))
+    (tmp_path / "people.sql").write_text("select table.id, table.id + 1 as next from table;")
+    run_batch(spark, doc, folder=str(tmp_path), warehouse=str(tmp_path / "w"))
+    assert [tuple(r) for r in read_bucketed(spark, str(tmp_path / "w" / "people")).collect()] == [(1, 2)]
+    with pytest.raises(ValueError, match="no flow"):
+        config_from_entry({"origin_table": "o", "destination_table": "d"})
+
+
+def test_incremental_scan_of_a_pipeline(spark, tmp_table):
+    from quarry.plans.pipeline import PipelineConfig, run_pipeline
+
+    origin, dest = tmp_table("landing"), tmp_table("inc") + "/t"
+    cfg = PipelineConfig(origin=origin, destination=dest, scan="incremental", flatten="none")
+    spark.createDataFrame([(1, "a")], "id long, v string").write.mode("append").parquet(origin)
+    assert run_pipeline(spark, cfg).count() == 1
+    spark.createDataFrame([(1, "b"), (2, "c")], "id long, v string").write.mode("append").parquet(origin)
+    assert sorted(r.v for r in run_pipeline(spark, cfg).collect()) == ["b", "c"]
+    assert sorted(r.v for r in run_pipeline(spark, cfg).collect()) == ["b", "c"]    # nothing new
