@@ -92,9 +92,9 @@ def apportion(cells: DataFrame, group: str, key: list[str]) -> DataFrame:
     sure = live.join(rungs, group).withColumn("sure", seats(F.col("high"))).withColumn("more", seats(F.col("low")))
     left = sure.groupBy(group).agg((F.max("house") - F.sum("sure")).alias("left"))
     between = (sure.where("more > sure").select(group, *[k for k in key if k != group], "votes",
-                                               F.explode(F.sequence(F.col("sure"), F.col("more") - 1)).alias("k"))
-               .withColumn("quotient", F.col("votes") / (2 * F.col("k") + 1)))
-    order = Window.partitionBy(group).orderBy(F.desc("quotient"), *key, "k")
+                                               F.explode(F.sequence(F.col("sure"), F.col("more") - 1)).alias("__seat"))
+               .withColumn("quotient", F.col("votes") / (2 * F.col("__seat") + 1)))
+    order = Window.partitionBy(group).orderBy(F.desc("quotient"), *key, "__seat")
     won = (between.withColumn("place", F.row_number().over(order)).join(left, group).where("place <= left")
            .groupBy(*key).agg(F.count("*").alias("won")))
     quota = sure.select(*key, "sure").join(won, key, "left").select(*key, (F.col("sure") + F.coalesce("won", F.lit(0))).alias("quota"))

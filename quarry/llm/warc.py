@@ -194,8 +194,10 @@ def read_archives(spark, target: str, id_type: str = "bigint") -> DataFrame:
     payload) of every record, each member found by the index.  ``sound``: a
     response's payload has the digest and length that its header gives."""
     index = spark.read.schema(INDEX).parquet(f"{target}/index")
-    files = spark.read.format("binaryFile").load(f"{target}/data").select("archive", "content")
-    both = files.select(F.col("archive").cast("long").alias("archive"), "content").join(index, "archive")
+    # The folder's name is read from the path: without archives there is none to infer.
+    number = F.regexp_extract("path", r"/archive=(\d+)/", 1).cast("long")
+    files = spark.read.format("binaryFile").load(f"{target}/data").select(number.alias("archive"), "content")
+    both = files.join(index, "archive")
 
     def run(batches):
         for batch in batches:
