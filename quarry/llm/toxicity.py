@@ -42,7 +42,7 @@ from quarry.llm.textkit import chunks, text_bytes
 DECAY = 0.7
 SPAN = 5            # largest distance from the first to the last letter of a triple
 WINDOW = 8
-FIT_DOCS = 600      # labelled documents of each class that the fit uses at most
+FIT_DOCS = 300      # labelled documents of each class that the fit uses at most
 FIT_WINDOWS = 800   # windows of witnesses at most; four times as many of others
 LANDMARKS = 64      # of each class
 SEED = 7
