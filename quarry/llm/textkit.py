@@ -16,7 +16,7 @@ import pyarrow as pa
 
 #: Texts are worked on in chunks of about this many bytes (a longer text is
 #: its own chunk), which bounds a task's memory whatever the batch size.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 #: ... and of at most this many texts, so that a text's number has 16 bits.
 CHUNK_TEXTS = 60_000
 
