@@ -191,12 +191,12 @@ select event_id, event_type, try_cast(json_extract_string(props, '$.k') as bigin
     "descriptor_json_read": """
 select event_id, event_type, try_cast(json_extract_string(props, '$.k') as bigint) as k from events""",
     "zone_ingest": """
-select 'customer' as entity, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum,
-       count(distinct c_name) as n_names from customer
+select 'customer' as entity, c_custkey as key, c_name as name, c_nationkey as number, c_acctbal as amount,
+       c_mktsegment as label, cast(null as varchar) as kind from customer
 union all
-select 'supplier', count(*), cast(sum(s_suppkey) as bigint), count(distinct s_name) from supplier
+select 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, null, null from supplier
 union all
-select 'part', count(*), cast(sum(p_partkey) as bigint), count(distinct p_name) from part""",
+select 'part', p_partkey, p_name, p_size, p_retailprice, p_brand, p_type from part""",
     "curated_refresh": """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        case when o_orderstatus = 'P' then null else o_orderpriority end as o_orderpriority

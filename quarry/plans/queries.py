@@ -96,11 +96,14 @@ def q_zone_ingest(spark, sf):
     sources = fx.write_zone(spark, sf, landing)
     schemas = {n: fx.table(spark, sf, n).schema for n in sources}
     zone = ingest_zone(spark, sources, processing, schemas)
-    keys = {"customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name")}
-    parts = [zone[n].agg(F.lit(n).alias("entity"), F.count(F.lit(1)).alias("n_rows"),
-                         F.sum(F.col(k)).cast("bigint").alias("key_sum"),
-                         F.count_distinct(F.col(nm)).alias("n_names"))
-             for n, (k, nm) in keys.items()]
+    # Every row and column of the refreshed zone, under common names.
+    names = ("key", "name", "number", "amount", "label", "kind")
+    columns = {"customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", None),
+               "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal", None, None),
+               "part": ("p_partkey", "p_name", "p_size", "p_retailprice", "p_brand", "p_type")}
+    parts = [zone[n].select(F.lit(n).alias("entity"), *[
+                 (F.col(c) if c else F.lit(None).cast("string")).alias(to) for c, to in zip(cols, names)])
+             for n, cols in columns.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

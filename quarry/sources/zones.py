@@ -2,7 +2,10 @@
 
 Each entity is read as JSON and rewritten as Parquet (overwrite), one plan
 per entity.  A declared schema skips the inference pass over the whole
-input; without one, Spark samples the files to infer it.
+input; without one, Spark infers it in a pass over all of it.
+
+Overwriting replaces an entity's folder as a whole: objects of the processing
+zone that the landing zone no longer has go too, so both zones hold the same rows.
 """
 
 from __future__ import annotations
