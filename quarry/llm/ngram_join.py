@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import components
-from quarry.llm.scratch import power_of_two, written
+from quarry.llm.scratch import map_texts, power_of_two, written
 from quarry.llm.textkit import Words, chunks, mix, shingles
 
 PERCENT = 80           # least similarity in percent
@@ -78,7 +78,7 @@ def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(size.astype(np.int64)), pa.array(key.view(np.int64))],
                                              names=["doc_id", "n_shingles", "class_key"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, class_key long")
+    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, class_key long")
 
 
 def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
@@ -87,15 +87,15 @@ def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
     shift = _U(64 - buckets.bit_length() + 1)
 
     def flush(parts):
-        key, size, doc, h = parts["key"], parts["size"], parts["doc"], parts["h"]
-        key, size = np.concatenate(key), np.concatenate(size)
-        doc, h = np.concatenate(doc), np.concatenate(h)
+        # Taken out of ``parts`` one by one, so that the pieces are let go.
+        key, size, doc, h = [np.concatenate(parts.pop(k)) for k in ("key", "size", "doc", "h")]
         # One of each class is enough; its copies in this task are left out.
         _, first = np.unique(key, return_index=True)
         chosen = np.zeros(len(key), bool)
         chosen[first] = True
         live = chosen[doc]
         doc, h = doc[live], h[live]
+        del live
         bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
         order = np.argsort(bucket.astype(np.uint16), kind="stable") if buckets <= 65536 else np.argsort(bucket, kind="stable")
         bucket, doc, h = bucket[order], doc[order], h[order]
@@ -117,7 +117,7 @@ def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
         parts, at, held = fresh(), 0, 0
         for rows, doc, h in _sets(batches, words):
             size, key = _class_keys(rows.num_rows, doc, h)
-            for k, v in (("key", key), ("size", size), ("doc", doc.astype(np.int64) + at), ("h", h)):
+            for k, v in (("key", key), ("size", size), ("doc", doc.astype(np.int32) + at), ("h", h)):
                 parts[k].append(v)
             at, held = at + rows.num_rows, held + len(h)
             if held >= BUCKET_SHINGLES:
@@ -126,7 +126,7 @@ def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
         if held:
             yield from flush(parts)
 
-    return docs.select("text").mapInArrow(run, "bucket long, low binary, owner binary, size binary, place binary")
+    return map_texts(docs.select("text"), run, "bucket long, low binary, owner binary, size binary, place binary")
 
 
 _ENTRY = np.dtype([("key", "<u8"), ("token", "<u8"), ("size", "<u4"), ("df", "<u4")])
@@ -225,7 +225,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 hit[i] = 100 * common >= percent * (int(total[i]) - common)
             yield pa.RecordBatch.from_arrays([pa.array(a[hit]), pa.array(b[hit])], names=["u", "v"])
 
-    return both.select("a", "b", "size_a", "size_b", "tokens_a", "tokens_b").mapInArrow(run, "u long, v long")
+    return map_texts(both.select("a", "b", "size_a", "size_b", "tokens_a", "tokens_b"), run, "u long, v long")
 
 
 def _tiles(sets: DataFrame, percent: int) -> DataFrame:
@@ -368,4 +368,4 @@ def with_class(docs: DataFrame, words: int) -> DataFrame:
             _, key = _class_keys(rows.num_rows, doc, h)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(key.view(np.int64))], names=[*rows.schema.names, "__class"])
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)

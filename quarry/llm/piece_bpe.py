@@ -25,6 +25,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quarry.llm.scratch import map_texts
+
 MEMO_UNITS = 250_000
 SPACE = "▁"
 PLACE = (1 << 40) - 1
@@ -261,7 +263,7 @@ def _apply(docs: DataFrame, model_path: str, keep, schema: str, row) -> DataFram
                 new = [pa.array(c) for c in zip(*rows)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *new], names=[*keep, *names])
 
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
+    return map_texts(docs.select(*keep, docs["text"].alias("__text")), run, schema)
 
 
 def differences(docs: DataFrame, model_path: str) -> DataFrame:
@@ -287,4 +289,4 @@ def differences(docs: DataFrame, model_path: str) -> DataFrame:
                                               pa.array([x[1] for x in bad], pa.string()), pa.array([x[2] for x in bad], pa.string())],
                                              names=["doc_id", "ids", "library_ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids string, library_ids string")
+    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids string, library_ids string")

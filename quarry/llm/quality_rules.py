@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.scratch import map_texts
 from quarry.llm.textkit import Words, chunks, repeated
 
 #: The measures, in the order in which they are added.
@@ -86,7 +87,7 @@ def measure(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             columns = [rows.column(rows.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(found[c]) for c in COUNTS], names=[*keep, *COUNTS])
 
-    return source.mapInArrow(run, schema)
+    return map_texts(source, run, schema)
 
 
 def base_failed() -> Column:

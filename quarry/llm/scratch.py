@@ -19,6 +19,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's own bounds of an Arrow batch and those for whole texts.  Ten thousand rows
+#: of text are tens of megabytes, held by the JVM and by Python at once for every core.
+BATCHES = {"maxRecordsPerBatch": ("10000", "1000"), "maxBytesPerBatch": ("67108864b", "4194304b")}
+
+
+def map_texts(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts (or sets of shingles).  Puts the
+    session's batch bounds, which Spark reads when the frame runs, from Spark's
+    defaults to those of ``BATCHES``; other values stay.  Results don't depend on them."""
+    conf = df.sparkSession.conf
+    for name, (default, bound) in BATCHES.items():
+        key = f"spark.sql.execution.arrow.{name}"
+        if conf.get(key) == default:
+            conf.set(key, bound)
+    return df.mapInArrow(run, schema)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are worked on in chunks of about this many bytes (a longer text is
 #: its own chunk), which bounds a task's memory whatever the batch size.
@@ -65,17 +66,18 @@ def text_bytes(column) -> list[bytes]:
 
 
 def chunks(batches, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of Arrow batches with their texts' bytes, bounded in bytes and rows."""
+    """Slices of Arrow batches with their texts' bytes, bounded in bytes and rows.
+    Only the texts of one slice are copied out of the batch at a time."""
     for batch in batches:
-        texts = text_bytes(batch.column(batch.schema.get_field_index(text)))
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
         at, size = 0, 0
-        for i, t in enumerate(texts):
-            if i > at and (size + len(t) > CHUNK_BYTES or i - at >= CHUNK_TEXTS):
-                yield batch.slice(at, i - at), texts[at:i]
+        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            if i > at and (size + n > CHUNK_BYTES or i - at >= CHUNK_TEXTS):
+                yield batch.slice(at, i - at), text_bytes(column.slice(at, i - at))
                 at, size = i, 0
-            size += len(t)
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+            size += n
+        if at < len(column):
+            yield batch.slice(at), text_bytes(column.slice(at))
 
 
 class Words:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.scratch import map_texts
 from quarry.llm.textkit import chunks, text_bytes
 
 DECAY = 0.7
@@ -318,7 +319,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str] | None = None, name: s
             value = m.score(worst(texts, m.weight, m.bias))
             yield pa.RecordBatch.from_arrays([*[rows.column(rows.schema.get_field_index(c)) for c in keep], pa.array(value)], names=[*keep, name])
 
-    return source.mapInArrow(run, schema)
+    return map_texts(source, run, schema)
 
 
 def held_out(doc_id="doc_id"):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.quality_rules import measure_texts
-from quarry.llm.scratch import written
+from quarry.llm.scratch import map_texts, written
 from quarry.llm.textkit import Words, chunks, mix
 
 FIT_DOCS = 6000
@@ -159,7 +159,7 @@ def voted(docs: DataFrame, share: float, seed: int = SEED) -> DataFrame:
                                               pa.array([next(vectors).tobytes() if c else None for c in chosen], pa.binary())],
                                              names=["pattern", "order", "vector"])
 
-    return source.mapInArrow(run, "pattern long, order long, vector binary")
+    return map_texts(source, run, "pattern long, order long, vector binary")
 
 
 def _rows_of(codes: np.ndarray) -> np.ndarray:
@@ -214,4 +214,4 @@ def scored(docs: DataFrame, fitted: tuple[LabelModel, np.ndarray, float], keep:
             yield pa.RecordBatch.from_arrays([*rows.columns[:len(keep)], pa.array(model.posterior(votes(m))), pa.array(score), pa.array(score >= least)],
                                              names=[*keep, "weak_label", "score", "kept"])
 
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
+    return map_texts(docs.select(*keep, docs["text"].alias("__text")), run, schema)

@@ -10,11 +10,12 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import (masked_lm, ngram_join, order_minhash, piece_bpe, quality_rules, queries, source_mix,
-                        toxicity, url_filter, warc, weak_labels)
+from quarry.llm import (masked_lm, ngram_join, order_minhash, piece_bpe, quality_rules, queries, scratch, source_mix,
+                        textkit, toxicity, url_filter, warc, weak_labels)
 from quarry.llm.scratch import table
 from tests.conftest import SF_SMALL
 
@@ -351,3 +352,26 @@ def test_op10_estimate_recovers_rates():
     model = weak_labels.estimate(patterns, counts.astype(float))
     assert abs(model.shares[0] - 0.83) < 0.06
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
+
+
+def test_chunks_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(textkit, "CHUNK_BYTES", 10)
+    texts = ["a b", None, "", "x" * 30, "é" * 4, "zz"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["doc_id", "text"])
+    for part in (batch, batch.slice(2), batch.slice(0, 0)):
+        got = [(i, t) for rows, found in textkit.chunks([part]) for i, t in zip(rows.column(0).to_pylist(), found, strict=True)]
+        assert got == [(i, (texts[i] or "").encode()) for i in part.column(0).to_pylist()]
+    untyped = pa.RecordBatch.from_arrays([pa.array(range(3)), pa.nulls(3)], names=["doc_id", "text"])
+    assert [t for _, t in textkit.chunks([untyped])] == [[b"", b"", b""]]
+
+
+def test_batch_bounds_replace_defaults_only(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for now, then in (("10000", "1000"), ("77", "77")):
+            spark.conf.set(key, now)
+            scratch.map_texts(spark.range(1), lambda batches: batches, "id long")
+            assert spark.conf.get(key) == then
+    finally:
+        spark.conf.set(key, before)
