@@ -10,9 +10,9 @@ Units are windows of ``WINDOW`` letters within words: white space ends a word
 characters that are no letters are skipped.  A sentence, and a document, is as
 toxic as its worst window.
 
-Training, on a bounded sample of labelled documents: the words whose four-letter
-runs tell toxic documents from others best are their witnesses; landmarks
-are windows of witnesses and of other words; windows are mapped by the Nystroem
+Training, on a bounded sample of labelled documents (their texts stay in the
+tasks): the words whose four-letter runs tell toxic documents from others best are
+their witnesses; landmarks are windows of witnesses and of other words; windows are mapped by the Nystroem
 method (K_LL ** -1/2) and a linear SVM is fitted, hard negatives are mined from the
 clean documents twice, and a logistic fit turns a document's largest margin into
 a score.  As the decision function is linear in phi, it is kept as one weight per
@@ -29,6 +29,7 @@ scored each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,17 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.scratch import map_texts
-from quarry.llm.textkit import chunks, text_bytes
+from quarry.llm.scratch import map_texts, written
+from quarry.llm.textkit import chunks, mix
 
 DECAY = 0.7
 SPAN = 5            # largest distance from the first to the last letter of a triple
 WINDOW = 8
-FIT_DOCS = 300      # labelled documents of each class that the fit uses at most
+FIT_DOCS = 2000     # labelled documents of each class that the fit uses at most
 FIT_WINDOWS = 800   # windows of witnesses at most; four times as many of others
 LANDMARKS = 64      # of each class
 SEED = 7
 THRESHOLD = 0.7
+TELLING = 2.0       # log odds beyond which a run of letters is a witness
 
 #: Letter classes: a-z without case, and the bytes of other letters by their low bits.
 _CLASS = np.zeros(256, np.int32)
@@ -202,46 +204,127 @@ def _window(letters: Letters, i: int) -> bytes:
     return letters.buf[letters.at[i:i + n]].tobytes().lower()
 
 
-def train(texts: list[bytes], toxic: np.ndarray, seed: int = SEED) -> Model:
-    """Fits the model on labelled texts."""
+def _mapped(sample: DataFrame, run, schema: str) -> DataFrame:
+    """``run(draws, toxic, letters)`` of each chunk of the sample, in tasks."""
+    def each(batches):
+        for rows, texts in chunks(batches):
+            draw, toxic = (rows.column(rows.schema.get_field_index(c)).to_numpy() for c in ("draw", "label"))
+            columns = run(draw.view(np.uint64), toxic > 0, Letters(texts))
+            if len(columns[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    return map_texts(sample, each, schema)
+
+
+def _telling(sample: DataFrame, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """The four-letter runs that tell toxic documents from others, and their log odds."""
+    def run(draw, toxic, letters):
+        # Documents of each class that hold a run.
+        first, code = _grams(letters)
+        codes, place = np.unique(code, return_inverse=True)
+        n = max(1, len(codes))
+        pairs = np.unique(letters.doc(first) * n + place)
+        bad = toxic[pairs // n]
+        return codes, np.bincount((pairs % n)[bad], minlength=len(codes)), np.bincount((pairs % n)[~bad], minlength=len(codes))
+
+    counts = _mapped(sample, run, "code long, pos long, neg long").groupBy("code").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # A low estimate of the share of toxic documents against a high one of clean ones.
+    low = F.greatest(F.col("pos") - 1.5 * F.sqrt("pos"), F.lit(1e-3)) / n1
+    high = (F.col("neg") + 1.5 * F.sqrt("neg") + 1) / n0
+    got = counts.select("code", (F.log(low) - F.log(high)).alias("odds")).where(F.col("odds") > TELLING).toArrow().sort_by("code")
+    return got.column("code").to_numpy(), got.column("odds").to_numpy()
+
+
+def _witnesses(sample: DataFrame, codes: np.ndarray, odds: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """In each toxic document, the windows around its most telling runs; the
+    commonest of them and how often they occur."""
+    shared = sample.sparkSession.sparkContext.broadcast((codes, odds))
+
+    def run(draw, toxic, letters):
+        codes, odds = shared.value
+        first, code = _grams(letters)
+        place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        value = np.where(codes[place] == code, odds[place], -np.inf)
+        doc = letters.doc(first)
+        best = np.full(letters.n, -np.inf)
+        np.maximum.at(best, doc, value)
+        telling = np.flatnonzero(toxic[doc] & (value > TELLING) & (value > best[doc] - 1.0))
+        head = np.append(True, letters.word[1:] != letters.word[:-1]) if len(letters.at) else np.zeros(0, bool)
+        start_of = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+        begin = np.unique(np.maximum(start_of[first[telling]], first[telling] - 2))
+        times = Counter(_window(letters, i) for i in begin)
+        return list(times), list(times.values())
+
+    got = (_mapped(sample, run, "window binary, n long").groupBy("window").agg(F.sum("n").alias("n"))
+           .orderBy(F.desc("n"), "window").limit(FIT_WINDOWS).collect())
+    return [bytes(r["window"]) for r in got], np.sqrt([r["n"] for r in got])
+
+
+def _clean_windows(sample: DataFrame) -> set[bytes]:
+    """Windows of the clean documents, drawn by a hash of document and place."""
+    def run(draw, toxic, letters):
+        at = np.flatnonzero(letters.left >= 3)
+        doc = letters.doc(at)
+        at, doc = at[~toxic[doc]], doc[~toxic[doc]]
+        drawn = (mix(draw[doc] + (letters.doc_end[doc] - letters.at[at]).astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+        least = np.argsort(drawn, kind="stable")[:4 * FIT_WINDOWS]
+        return drawn[least], [_window(letters, i) for i in at[least]]
+
+    got = _mapped(sample, run, "drawn long, window binary").orderBy("drawn", "window").limit(4 * FIT_WINDOWS).collect()
+    return {bytes(r["window"]) for r in got}
+
+
+def _hard_windows(sample: DataFrame, weight: np.ndarray, bias: float) -> set[bytes]:
+    """The worst windows of the clean documents, at most one of each."""
+    shared = sample.sparkSession.sparkContext.broadcast(weight)
+
+    def run(draw, toxic, letters):
+        if not len(letters.cls):
+            return [], []
+        value = margins(letters, shared.value) + bias
+        doc = np.searchsorted(letters.doc_end, letters.at)
+        order = np.lexsort((-value, doc))
+        head = order[np.append(True, doc[order][1:] != doc[order][:-1])]
+        head = head[~toxic[doc[head]]]
+        return value[head].astype(np.float64), [_window(letters, i) for i in head]
+
+    got = _mapped(sample, run, "value double, window binary").orderBy(F.desc("value"), "window").limit(FIT_WINDOWS).collect()
+    return {bytes(r["window"]) for r in got}
+
+
+def _margins_of(sample: DataFrame, weight: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each sampled document's margin and label: at most 2 * ``FIT_DOCS`` rows of two numbers."""
+    shared = sample.sparkSession.sparkContext.broadcast(weight)
+
+    def run(batches):
+        for rows, texts in chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(worst(texts, shared.value, bias)), rows.column(rows.schema.get_field_index("label"))],
+                                             names=["margin", "label"])
+
+    got = map_texts(sample, run, "margin double, label int").toArrow().sort_by([("label", "ascending"), ("margin", "ascending")])
+    return got.column("margin").to_numpy(), got.column("label").to_numpy().astype(np.int64)
+
+
+def train(sample: DataFrame, seed: int = SEED) -> Model:
+    """Fits the model on ``sample(draw, label, text)``.  Tasks hold the texts; the
+    driver gets counts, the chosen windows and one margin of each document."""
     blank = np.zeros(1 << 18, np.float32)
-    base = float(toxic.mean()) if len(toxic) else 0.0
-    if not len(toxic) or toxic.min() == toxic.max():
+    size = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    n1, n0 = size.get(1, 0), size.get(0, 0)
+    base = n1 / max(1, n1 + n0)
+    if not n1 or not n0:
         level = np.log((base + 1e-9) / (1 - base + 1e-9))
         return Model(blank, 0.0, 0.0, float(level))
     rng = np.random.default_rng(seed)
-    letters = Letters(texts)
-    first, code = _grams(letters)
-    doc = letters.doc(first)
-    # Documents of each class that hold a run; its log odds.
-    codes, run = np.unique(code, return_inverse=True)
-    pairs = np.unique(doc * len(codes) + run) if len(codes) else np.zeros(0, np.int64)
-    bad = toxic[pairs // max(1, len(codes))] > 0
-    pos = np.bincount((pairs % max(1, len(codes)))[bad], minlength=len(codes))
-    neg = np.bincount((pairs % max(1, len(codes)))[~bad], minlength=len(codes))
-    n1, n0 = (toxic > 0).sum(), (toxic == 0).sum()
-    # A low estimate of the share of toxic documents against a high one of clean ones.
-    odds = np.log(np.maximum(pos - 1.5 * np.sqrt(pos), 1e-3) / n1) - np.log((neg + 1.5 * np.sqrt(neg) + 1) / n0)
-    # Witnesses: in each toxic document, the windows around its most telling runs.
-    value = odds[run] if len(codes) else np.zeros(0)
-    best = np.full(letters.n, -np.inf)
-    np.maximum.at(best, doc, value)
-    telling = np.flatnonzero((toxic[doc] > 0) & (value > 2.0) & (value > best[doc] - 1.0))
-    head = np.append(True, letters.word[1:] != letters.word[:-1]) if len(letters.at) else np.zeros(0, bool)
-    start_of = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-    begin = np.unique(np.maximum(start_of[first[telling]], first[telling] - 2))
-    witness, times = np.unique([_window(letters, i) for i in begin], return_counts=True) if len(begin) else (np.zeros(0, "S1"), np.zeros(0, int))
-    if not len(witness):
+    codes, odds = _telling(sample, n1, n0)
+    positive, often = _witnesses(sample, codes, odds) if len(codes) else ([], np.zeros(0))
+    if not positive:
         return Model(blank, 0.0, 0.0, float(np.log(base / (1 - base))))
-    by_times = np.argsort(-times, kind="stable")
-    positive, often = [bytes(w) for w in witness[by_times][:FIT_WINDOWS]], np.sqrt(times[by_times][:FIT_WINDOWS])
-    clean = np.flatnonzero(letters.left >= 3)
-    clean = clean[toxic[letters.doc(clean)] == 0]
-    clean = rng.choice(clean, min(len(clean), 4 * FIT_WINDOWS), replace=False) if len(clean) else clean
-    negative = sorted({_window(letters, i) for i in clean} - set(positive))
-    clean_docs = [t for t, x in zip(texts, toxic) if x == 0]
-    model = None
-    for _ in range(3):
+    negative = sorted(_clean_windows(sample) - set(positive))
+    for turn in range(3):
+        if turn:    # hard negatives
+            negative = sorted(set(negative) | (_hard_windows(sample, weight, bias) - set(positive)))
         windows = positive + negative
         y = np.append(np.ones(len(positive)), -np.ones(len(negative)))
         # Landmarks: the commonest witnesses first, the others by chance.
@@ -254,20 +337,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = SEED) -> Model:
         w, bias = _svm((x @ land.T) @ root, y, np.append(often, np.ones(len(negative))))
         weight = blank.copy()
         weight[codes] = land.T @ (root @ w)
-        model = (weight, bias)
-        # Hard negatives: the worst windows of the clean documents.
-        hard = Letters(clean_docs)
-        if not len(hard.cls):
-            break
-        value = margins(hard, weight) + bias
-        doc = np.searchsorted(hard.doc_end, hard.at)
-        order = np.lexsort((-value, doc))
-        head = order[np.append(True, doc[order][1:] != doc[order][:-1])]
-        head = head[np.argsort(-value[head], kind="stable")][:FIT_WINDOWS]
-        negative = sorted(set(negative) | ({_window(hard, i) for i in head} - set(positive)))
-    weight, bias = model
-    margin = worst(texts, weight, bias)
-    slope, offset = _logistic(margin, toxic)
+    slope, offset = _logistic(*_margins_of(sample, weight, bias))
     return Model(weight, bias, slope, offset)
 
 
@@ -286,24 +356,25 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, only=None) -> tuple[list[bytes], np.ndarray]:
-    """At most ``per_class`` labelled texts of each class, the least by hash."""
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, only=None) -> DataFrame:
+    """(draw, label, text) of at most ``per_class`` labelled documents of each class,
+    the least by hash among those of ``docs``; a document of several rows has one
+    of them, the least."""
     marks = labels.where("doc_id is not null and toxic is not null")
     if only is not None:
         marks = marks.where(only)
     marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label"))
-    order = F.xxhash64(F.lit(SEED), "doc_id")
-    chosen = [marks.where(F.col("label") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
-    picked = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("labelled_id"), "label")
-    # At most 2 * per_class rows of two numbers.
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("labelled_id"))
-    got = rows.select("doc_id", "label", "text").toArrow().sort_by(
-        [("doc_id", "ascending"), ("text", "ascending")])
-    return text_bytes(got.column("text")), np.array(got.column("label").to_pylist(), np.int64)
+    marks = marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    marks = written(marks.select(F.col("doc_id").alias("labelled_id"), "label", F.xxhash64(F.lit(SEED), "doc_id").alias("draw")), "labelled")
+    chosen = [marks.where(F.col("label") == c).orderBy("draw", "labelled_id").limit(per_class) for c in (0, 1)]
+    # At most 2 * per_class rows of three numbers.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].union(chosen[1])), F.col("doc_id") == F.col("labelled_id"))
+    one = rows.groupBy("labelled_id", "draw", "label").agg(F.min("text").alias("text"))
+    return written(one.select("draw", "label", "text"), "sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, only=None, per_class: int = FIT_DOCS) -> Model:
-    return train(*sample(docs, labels, per_class, only))
+    return train(sample(docs, labels, per_class, only))
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:

@@ -191,6 +191,26 @@ def test_op3_gapped_insults_and_held_out(spark, odd, none):
     assert {round(r.score, 6) for r in toxicity.scored(odd, lone).collect()} == {0.0}
 
 
+def test_op3_rare_insult_and_labels_of_unknown_documents(spark):
+    """An insult in 3 % of the toxic documents is learnt; labels without a document
+    and repeated rows take no places of the sample."""
+    rng = random.Random(6)
+    plain = ["the", "and", "reading", "morning", "water", "tonight", "garden", "letters", "summer", "window"]
+    rows = []
+    for i in range(4000):
+        w = [rng.choice(plain) for _ in range(12)]
+        if i % 2:
+            w[rng.randrange(12)] = "quibjaxel" if i % 66 == 1 else "zorgblat"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100_000)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = toxicity.scored(docs, model, ["doc_id"]).collect()
+    assert all((r.score >= toxicity.THRESHOLD) == (r.doc_id % 2 == 1) for r in got)
+    sizes = toxicity.sample(docs, labels).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in sizes} == {0: 2000, 1: 2000}
+
+
 def test_op3_margin_is_the_kernel_sum():
     """Weights per triple give the margins that a sum over landmarks gives."""
     words, land = [b"window", b"wandow", b"ab", b"abcabcab"], [b"winter", b"abcd"]
