@@ -2,8 +2,8 @@
 
 A word's probability given its neighbours on both sides is p(class | window)
 p(word | class): the ``TOP`` commonest words of the corpus are classes of their own,
-the others share ``REST`` classes by their ending, evenly among the corpus's
-distinct words of a class.  A network predicts the class from the two words before
+the others share ``REST`` classes by their ending, where each has its share of the
+class's count in the corpus.  A network predicts the class from the two words before
 and the two after (the word itself is masked): embeddings, one matrix per
 place, tanh, softmax; written and trained in numpy.
 
@@ -12,10 +12,11 @@ place, tanh, softmax; written and trained in numpy.
    a seeded share of its masked words, and copies are averaged by words trained,
    in two levels of groups; ``ROUNDS`` times.
 3. Each document is scored whole: the sum of its words' conditional
-   log-probabilities, and its mean.
+   log-probabilities, and its mean.  Chunks of texts ask the table of all counts for
+   their distinct words, by the words' hash.
 
-What is counted and trained grows with the corpus; the network and the word list
-do not, so they are what tasks share.
+What is counted and trained grows with the corpus; the network and the list of
+common words do not, so they are what tasks share.
 
 Defined cases: null and empty texts have no words, score 0.0 and a null mean; a
 text of one word is predicted from an empty window; ties in counts go to the
@@ -30,11 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.scratch import written
+from quarry.llm.scratch import power_of_two, written
 from quarry.llm.textkit import Words, chunks, mix
 
 TOP = 95
@@ -45,11 +47,12 @@ DIM = 16
 HIDDEN = 24
 PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
-MASKED = 0.15              # share of the words that a round trains on
 RATE = 0.05
+MASKED = 0.15              # share of the words that a round trains on
 BATCH = 512
 BLOCK = 8192
 SEED = 11
+BUCKET_WORDS = 1 << 24     # about so many words of the corpus have their counts looked up in one group
 COUNT_FLUSH = 1 << 20      # distinct words that a task counts before it hands on
 
 _U = np.uint64
@@ -96,7 +99,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 class Vocabulary:
     words: np.ndarray       # sorted hashes of the top words
     classes: np.ndarray     # their classes
-    inner: np.ndarray       # log p(word | class) by class
+    inner: np.ndarray       # log p(word | class) by class; in the last REST without the word's own log count
     total: int              # words of the corpus
 
     def of(self, w: Words) -> np.ndarray:
@@ -114,10 +117,10 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("n"), "word").limit(TOP).collect()
     words = np.array([r["word"] for r in top], np.int64).view(_U)
     inner = np.zeros(CLASSES)
-    kinds = counts.groupBy("rest").agg(F.count("*").alias("distinct"), F.sum("n").alias("n")).collect()
-    owned = np.bincount([r["rest"] for r in top], minlength=REST) if top else np.zeros(REST, int)
+    kinds = counts.groupBy("rest").agg(F.sum("n").alias("n")).collect()
+    owned = np.bincount([r["rest"] for r in top], weights=[r["n"] for r in top], minlength=REST) if top else np.zeros(REST)
     for r in kinds:
-        inner[TOP + r["rest"]] = -np.log(max(1, r["distinct"] - owned[r["rest"]]))
+        inner[TOP + r["rest"]] = -np.log(max(1, r["n"] - owned[r["rest"]]))
     order = np.argsort(words)
     return Vocabulary(words[order], order.astype(np.int64), inner, sum(r["n"] for r in kinds))
 
@@ -241,34 +244,95 @@ def _summed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> It
                                      names=["part", "sums", "n"])
 
 
-def text_scores(texts: list[bytes], flat: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(words, sum of conditional log-probabilities) of some whole texts."""
-    w = Words(texts, lower=True)
-    if not len(w.start):
-        return w.count, np.zeros(w.n)
+def text_scores(w: Words, flat: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of conditional log-probabilities of some whole texts, without the log
+    counts of the words of shared classes; and which words those are."""
     classes = vocab.of(w)
     frame, place = framed(classes, w.doc)
     logs = log_probabilities(unpack(flat), frame, place) + vocab.inner[classes]
-    return w.count, np.bincount(w.doc, weights=logs, minlength=w.n)
+    return np.bincount(w.doc, weights=logs, minlength=w.n), classes >= TOP
 
 
-def scored(docs: DataFrame, flat: np.ndarray, vocab: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, n_words, log_likelihood (sum) and mean_log_likelihood of every row."""
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
-                                                            T.StructField("mean_log_likelihood", T.DoubleType())])
+def _pieces(docs: DataFrame, flat: np.ndarray, vocab: Vocabulary, keep: tuple[str, ...]) -> DataFrame:
+    """One row per chunk of texts: its documents with their sums so far, the distinct
+    words of shared classes by hash, and which of them each document's words are."""
     shared = docs.sparkSession.sparkContext.broadcast((flat, vocab))
+    kept = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType())])
+    schema = T.StructType([T.StructField("piece", T.LongType()), T.StructField("docs", T.ArrayType(kept)),
+                           *[T.StructField(c, T.BinaryType()) for c in ("words", "place", "rests")]])
 
     def run(batches):
+        # Numbered by task; the table is written, so one attempt's numbers hold.
+        piece = TaskContext.get().partitionId() << 32
         for rows, texts in chunks(batches, "__text"):
-            n, total = text_scores(texts, *shared.value)
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*rows.columns[:len(keep)], pa.array(n.astype(np.int64)), pa.array(total), mean],
-                                             names=[*keep, "n_words", "log_likelihood", "mean_log_likelihood"])
+            w = Words(texts, lower=True)
+            total, rest = text_scores(w, *shared.value) if len(w.start) else (np.zeros(w.n), np.zeros(0, bool))
+            words, place = np.unique(w.hash[rest], return_inverse=True)
+            rests = np.bincount(w.doc[rest], minlength=w.n)
+            each = pa.StructArray.from_arrays([*rows.columns[:len(keep)], pa.array(w.count.astype(np.int64)), pa.array(total)], names=kept.names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([piece], pa.int64()), pa.ListArray.from_arrays(pa.array([0, w.n], pa.int32()), each),
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (words.astype("<u8"), place.astype("<u4"), rests.astype("<u4"))]],
+                names=schema.names)
+            piece += 1
 
     return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
 
 
+def _asked(pieces: DataFrame, bits: int) -> DataFrame:
+    """(bucket, piece, words): the words of each piece by the first bits of their hash."""
+    def run(batches):
+        for batch in batches:
+            for piece, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = np.frombuffer(words, "<u8")     # sorted
+                bucket = (words >> _U(64 - bits)).astype(np.int64)
+                cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+                if len(cut):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket[cut]), pa.array(np.full(len(cut), piece)), pa.array([x.tobytes() for x in np.split(words, cut[1:])], pa.binary())],
+                        names=["bucket", "piece", "words"])
+
+    return pieces.select("piece", "words").mapInArrow(run, "bucket long, piece long, words binary")
+
+
+def _answered(asked: pa.Table, counts: pa.Table) -> pa.Table:
+    """The log counts of the words that the pieces ask for in one bucket."""
+    known = counts.column("word").to_numpy().view(_U)
+    order = np.argsort(known)
+    known, logs = known[order], np.log(counts.column("n").to_numpy()[order]).astype("<f4")
+    values = [logs[np.searchsorted(known, np.frombuffer(x, "<u8"))].tobytes() for x in asked.column("words").to_pylist()]
+    return pa.table({"bucket": asked.column("bucket"), "piece": asked.column("piece"), "logs": pa.array(values, pa.binary())})
+
+
+def _summed_up(piece: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a piece with the log counts of their words added."""
+    answers = answers.sort_by("bucket")
+    logs = np.frombuffer(b"".join(answers.column("logs").to_pylist()), "<f4")
+    docs = piece.column("docs").combine_chunks().flatten()
+    place, rests = (np.frombuffer(piece.column(c)[0].as_py(), "<u4") for c in ("place", "rests"))
+    *kept, n, total = docs.flatten()
+    n = n.to_numpy()
+    total = total.to_numpy() + np.bincount(np.repeat(np.arange(len(rests)), rests), weights=logs[place], minlength=len(rests))
+    names = [f.name for f in docs.type]
+    return pa.table([*kept, pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)], names=[*names, "mean_log_likelihood"])
+
+
+def scored(docs: DataFrame, flat: np.ndarray, vocab: Vocabulary, keep: tuple[str, ...] = ("doc_id",), counts: DataFrame | None = None) -> DataFrame:
+    """``keep``, n_words, log_likelihood (sum) and mean_log_likelihood of every row.
+    ``counts``: those of all words of ``docs``, counted if not given."""
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
+                                                            T.StructField("mean_log_likelihood", T.DoubleType())])
+    counts = written(word_counts(docs), "counts") if counts is None else counts
+    pieces = written(_pieces(docs, flat, vocab, keep), "pieces")
+    bits = power_of_two(vocab.total / BUCKET_WORDS, 64).bit_length() - 1
+    by_bucket = counts.select(F.shiftrightunsigned("word", 64 - bits).alias("bucket"), "word", "n")
+    answers = (_asked(pieces, bits).groupBy("bucket").cogroup(by_bucket.groupBy("bucket"))
+               .applyInArrow(_answered, "bucket long, piece long, logs binary"))
+    return pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(_summed_up, schema)
+
+
 def score_corpus(docs: DataFrame, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """Counts, trains and scores one corpus."""
-    vocab = vocabulary(written(word_counts(docs), "counts"))
-    return scored(docs, train(docs, vocab, rounds, seed), vocab)
+    counts = written(word_counts(docs), "counts")
+    vocab = vocabulary(counts)
+    return scored(docs, train(docs, vocab, rounds, seed), vocab, counts=counts)

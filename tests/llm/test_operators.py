@@ -242,6 +242,20 @@ def test_op5_scores(spark, odd, none):
     assert masked_lm.score_corpus(none).count() == 0
 
 
+def test_op5_words_beyond_the_list_have_their_own_counts(spark):
+    """Two words of one ending, both outside the list, are told apart by their counts."""
+    rows = [(i, " ".join(f"w{j:03d}" for j in range(masked_lm.TOP) for _ in range(3))) for i in range(8)]
+    rows += [(100, "often" + "zz"), (101, "rare" + "zz")] + [(200 + i, "oftenzz") for i in range(19)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = masked_lm.word_counts(docs)
+    vocab = masked_lm.vocabulary(counts)
+    got = {r.doc_id: r.log_likelihood for r in masked_lm.scored(docs, masked_lm.start(), vocab).collect()}
+    assert len(got) == len(rows) and got[100] - got[101] == pytest.approx(np.log(20), abs=1e-4)
+    # p(word | class) over a class's words sums to 1.
+    inner = {r.word: vocab.inner[masked_lm.TOP + r.rest] + np.log(r.n) for r in counts.collect() if r.word not in set(vocab.words.view(np.int64).tolist())}
+    assert sum(np.exp(list(inner.values()))) == pytest.approx(1)
+
+
 def test_op6_fingerprints(spark, odd, none, texts):
     got = queries.op6_order_minhash(spark, SF_SMALL).collect()
     rows = sorted(texts, key=lambda r: -r[0])
