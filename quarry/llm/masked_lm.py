@@ -10,7 +10,7 @@ place, tanh, softmax; written and trained in numpy.
 1. Words are counted over the whole corpus (partial sums, then by word).
 2. Training reads every document: each task trains its own copy of the network on
    a seeded share of its masked words, and copies are averaged by words trained,
-   in two levels of groups; ``ROUNDS`` times.
+   in two levels of groups; ``ROUNDS`` times, whose shares together are all words.
 3. Each document is scored whole: the sum of its words' conditional
    log-probabilities, and its mean.  Chunks of texts ask the table of all counts for
    their distinct words, by the words' hash.
@@ -48,7 +48,6 @@ HIDDEN = 24
 PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
 RATE = 0.05
-MASKED = 0.15              # share of the words that a round trains on
 BATCH = 512
 BLOCK = 8192
 SEED = 11
@@ -176,8 +175,7 @@ def train_steps(flat: np.ndarray, squares: np.ndarray, frame: np.ndarray, place:
         at = place[a:a + BATCH]
         n = len(at)
         near = [frame[at + k] for k in PLACES]
-        x = [p["e"][i] for i in near]
-        h = np.tanh(sum(x[k] @ p["w"][k] for k in range(len(PLACES))) + p["b"])
+        h = np.tanh(sum((p["e"] @ p["w"][k])[near[k]] for k in range(len(PLACES))) + p["b"])
         logits = h @ p["u"] + p["c"]
         logits -= logits.max(axis=1, keepdims=True)
         q = np.exp(logits)
@@ -189,19 +187,28 @@ def train_steps(flat: np.ndarray, squares: np.ndarray, frame: np.ndarray, place:
         grad = {"u": h.T @ q, "c": q.sum(0)}
         dz = (q @ p["u"].T) * (1 - h * h)
         grad["b"] = dz.sum(0)
-        grad["w"] = np.stack([x[k].T @ dz for k in range(len(PLACES))])
-        e = np.zeros_like(p["e"])
-        for k in range(len(PLACES)):
-            np.add.at(e, near[k], dz @ p["w"][k].T)
-        grad["e"] = e
+        # Sums of dz by the neighbour's class: gradients of tables and matrices come from them.
+        cells = [(i[:, None] * HIDDEN + np.arange(HIDDEN)).ravel() for i in near]
+        sums = [np.bincount(c, dz.ravel(), (CLASSES + 1) * HIDDEN).reshape(-1, HIDDEN).astype(np.float32) for c in cells]
+        grad["w"] = np.stack([p["e"].T @ x for x in sums])
+        grad["e"] = sum(x @ p["w"][k].T for k, x in enumerate(sums))
         for name, g in grad.items():
             g2[name] += g * g
             p[name] -= RATE * g / (np.sqrt(g2[name]) + 1e-6)
     return loss
 
 
+def dealt(w: Words, turn: int, rounds: int, seed: int) -> np.ndarray:
+    """Which words a round masks and trains on, by a hash of the word and its place in
+    its text: the same on every attempt and in every chunk; each word in one round."""
+    first = np.cumsum(w.count) - w.count
+    draw = mix(w.hash * _U(3) + (np.arange(len(w.start)) - first[w.doc]).astype(_U) + _U(seed))
+    return draw % _U(rounds) == _U(turn)
+
+
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, seed: int = SEED, groups: int = 64) -> np.ndarray:
-    """The averaged parameters after ``rounds`` passes over all documents."""
+    """The averaged parameters after ``rounds`` passes over all documents, in which
+    every word is masked and trained on once."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocab)
     flat = start(seed)
@@ -215,9 +222,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, seed: int =
                 if not len(w.start):
                     continue
                 frame, place = framed(shared.value.of(w), w.doc)
-                # Masked words by a hash of the window's words: the same on every attempt.
-                draw = mix(w.hash * _U(3) + np.arange(len(place), dtype=_U) + _U(seed + 1000 * turn))
-                chosen = place[(draw >> _U(11)) < _U(int(MASKED * 2 ** 53))]
+                chosen = place[dealt(w, turn, rounds, seed)]
                 train_steps(mine, squares, frame, chosen)
                 trained += len(chosen)
             if trained:

@@ -256,6 +256,16 @@ def test_op5_words_beyond_the_list_have_their_own_counts(spark):
     assert sum(np.exp(list(inner.values()))) == pytest.approx(1)
 
 
+def test_op5_trains_on_every_word_once():
+    """The rounds' shares are all words, whatever the chunks."""
+    texts = [(" ".join(f"w{(i * j) % 13}" for j in range(i % 9))).encode() for i in range(60)]
+    whole = textkit.Words(texts, lower=True)
+    shares = [masked_lm.dealt(whole, turn, masked_lm.ROUNDS, masked_lm.SEED) for turn in range(masked_lm.ROUNDS)]
+    assert (np.sum(shares, axis=0) == 1).all() and all(s.any() for s in shares)
+    parts = [masked_lm.dealt(textkit.Words(texts[i:i + 7], lower=True), 0, masked_lm.ROUNDS, masked_lm.SEED) for i in range(0, 60, 7)]
+    assert (np.concatenate(parts) == shares[0]).all()
+
+
 def test_op6_fingerprints(spark, odd, none, texts):
     got = queries.op6_order_minhash(spark, SF_SMALL).collect()
     rows = sorted(texts, key=lambda r: -r[0])
