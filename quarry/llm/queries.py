@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import (masked_lm, ngram_join, order_minhash, piece_bpe, quality_rules, source_mix, toxicity,
-                        url_filter, warc, weak_labels)
+from quarry.llm import (centroids, hard_negatives, masked_lm, ngram_join, order_minhash, piece_bpe, quality_rules,
+                        source_mix, toxicity, url_filter, warc, weak_labels)
+from quarry.llm.digest_index import DigestIndex
 from quarry.llm.scratch import table, written
+from quarry.session import run_path
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -69,8 +71,47 @@ def op10_weak_labels(spark, sf_dir):
     return weak_labels.scored(docs, weak_labels.fit(docs))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    # Every seventh label is moved on, so that labels and neighbourhoods differ.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_centroids(spark, sf_dir):
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_digest_index(spark, sf_dir):
+    index = DigestIndex(spark, run_path(spark, "digest-index"))
+    return index.ingest(table(spark, sf_dir, "documents"), "documents").select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_source_mix, op2_warc_normaliser, op3_toxicity, op4_ngram_jaccard, op5_masked_lm,
-                                   op6_order_minhash, op7_quality_rules, op8_url_filter, op9_piece_bpe, op10_weak_labels)}
+                                   op6_order_minhash, op7_quality_rules, op8_url_filter, op9_piece_bpe, op10_weak_labels, op11_hard_negatives, op12_centroids,
+                                   op13_digest_index)}
+
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds of op12, written out."""
+    steps = [f"""WITH x AS (SELECT row_number() OVER () AS r, vec_id, v FROM (
+                SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)),
+            c0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS c, v AS m FROM x
+                   WHERE vec_id IS NOT NULL QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (SELECT r, c, list_sum(list_transform(range(1, 65), lambda j: (v[j] - m[j]) * (v[j] - m[j]))) AS d FROM x, c{i}),
+            a{i} AS (SELECT r, arg_min(c, (d, c)) AS c, CAST(min(d) AS BIGINT) AS d FROM d{i} GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT c, j, sum(v[j]) AS s, count(*) AS n FROM a{i} JOIN x USING (r), range(1, 65) t(j) GROUP BY c, j),
+            n{i} AS (SELECT c, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY j) AS m FROM s{i} GROUP BY c),
+            c{i + 1} AS (SELECT o.c, coalesce(n.m, o.m) AS m FROM c{i} o LEFT JOIN n{i} n ON n.c = o.c)""")
+    return ",".join(steps) + f"""
+        SELECT x.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.m, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN x USING (r) JOIN c{rounds} m ON m.c = a.c"""
+
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -101,4 +142,21 @@ ORACLES = {
         f AS (SELECT u.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
               FROM u JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY u.page_id)
         SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM u LEFT JOIN f ON u.page_id = f.page_id""",
+    "op11_hard_negatives": """
+        WITH x AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS v FROM embeddings
+                   WHERE label IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+              FROM x a JOIN x b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+        QUALIFY rank <= 3""",
+    "op12_centroids": _centroid_sql(),
+    "op13_digest_index": f"""
+        WITH t AS (SELECT doc_id, sha256({_LOWER.format("coalesce(text, '')")}) AS text_sha256 FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
+        FROM t WINDOW g AS (PARTITION BY text_sha256)""",
 }

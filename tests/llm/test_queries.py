@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names():
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
     assert [s[0] for s in corpus_pipeline.STAGES] == ["quality_rules", "toxicity", "ngram_join", "source_mix", "piece_bpe"]
 
 
