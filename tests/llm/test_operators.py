@@ -180,7 +180,7 @@ def test_op3_gapped_insults_and_held_out(spark, odd, none):
     got = toxicity.scored(docs, model, ["doc_id"]).withColumn("held", toxicity.held_out()).collect()
     assert {r.doc_id for r in got if r.held} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 3 == 1}
     assert all((r.score >= 0.7) == (r.doc_id % 4 == 0) for r in got)
-    value = lambda t: float(model.score(toxicity.worst([t.encode()], model.weight, model.bias))[0])
+    value = lambda t: float(model.score([t.encode()])[0])
     clean = value("the garden and the summer")
     for t in ("the z o r g b l a t and", "zorg-blat", "z.o.r.g.b.l.a.t", "ZORGBLAT", "zorxgblat"):
         assert value(t) > clean + 0.05, t
@@ -214,11 +214,12 @@ def test_op3_rare_insult_and_labels_of_unknown_documents(spark):
 def test_op3_margin_is_the_kernel_sum():
     """Weights per triple give the margins that a sum over landmarks gives."""
     words, land = [b"window", b"wandow", b"ab", b"abcabcab"], [b"winter", b"abcd"]
-    x, codes = toxicity.phi(land)
+    window = lambda w: toxicity._window(toxicity.Letters([w]), 0)
+    x, codes = toxicity.phi([window(w) for w in land])
     beta = np.array([0.5, -1.25])
     weight = np.zeros(1 << 18, np.float32)
     weight[codes] = x.T @ beta
-    kernel = toxicity.phi(words, codes)[0] @ x.T @ beta
+    kernel = toxicity.phi([window(w) for w in words], codes)[0] @ x.T @ beta
     for w, k in zip(words, kernel):
         got = toxicity.margins(toxicity.Letters([w]), weight)
         assert got[0] == pytest.approx(k, abs=1e-5)
