@@ -12,6 +12,11 @@ schema on the driver and the plan gets one projection per array level only:
 struct fields become plain ``getField`` expressions and every array adds one
 ``Generate``.  Catalyst collapses the projections, and nested-schema pruning
 can still reach the scan for leaves that are only read through structs.
+
+Long arrays: a record's rows come from the task that holds the record, however
+many they are.  With ``slice_elements``, arrays that are longer are first cut into
+slices (every array of a record, so that their product is cut too), the rows with
+slices are dealt over all tasks by one shuffle, and the slices are exploded there.
 """
 
 from __future__ import annotations
@@ -44,24 +49,53 @@ def _is_array(dt: DataType) -> bool:
     return type(dt) is ArrayType
 
 
-def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_",
-             arrays: list[str] | None = None, with_position: bool = False) -> DataFrame:
+def _sliced(array: Column, size: int) -> Column:
+    """An array as an array of its slices; a null or short one is its one slice."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(array) - 1) / size).cast("int"))
+    return F.when(F.size(array) > size, F.transform(numbers, lambda i: F.slice(array, i * size + 1, F.lit(size)))).otherwise(F.array(array))
+
+
+_AT = " first"      # of a slice: the place of its first element, in a column of its own
+
+
+def _dealt(frame: DataFrame, slots: list[_Slot], arrays: list[str], cut: set[str], size: int) -> DataFrame:
+    """The frame with the slots under their names, the given arrays cut into slices, a
+    row per combination of slices, dealt over all tasks.  ``cut``: those that are slices already."""
+    frame = frame.select(*[s.expr.alias(s.name) for s in slots], *[F.col(_quote(n + _AT)) for n in sorted(cut)])
+    for name in arrays:
+        c = F.col(_quote(name))
+        rest = [F.col(_quote(x)) for x in frame.columns if x != name]
+        frame = frame.select(*rest, F.posexplode_outer(_sliced(c, size)).alias(name + _AT, name))
+    places = {name + _AT: F.col(_quote(name + _AT)) * size for name in arrays}
+    return frame.withColumns(places).repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_", arrays: list[str] | None = None,
+             with_position: bool = False, slice_elements: int | None = None) -> DataFrame:
     def complex_(dt: DataType) -> bool:
         return _is_struct(dt) or (explode_arrays and _is_array(dt))
 
+    def wanted(s: _Slot) -> bool:
+        return complex_(s.dtype) and not (_is_array(s.dtype) and arrays is not None and s.name not in arrays and s.name not in exploded)
+
     slots = [_Slot(f.name, f.dataType, F.col(_quote(f.name))) for f in df.schema.fields]
     frame = df
     exploded: set[str] = set()
     # Kept up to date incrementally: wide payloads (thousands of leaves) stay
     # linear in the number of fields on the driver.
     existing = {s.name for s in slots}
+    cut: set[str] = set()       # arrays that are slices now
 
     while True:
-        idx = next((i for i, s in enumerate(slots) if complex_(s.dtype)
-                    and not (_is_array(s.dtype) and arrays is not None and s.name not in arrays
-                             and s.name not in exploded)), None)
+        idx = next((i for i, s in enumerate(slots) if wanted(s)), None)
         if idx is None:
             break
+        if slice_elements and _is_array(slots[idx].dtype) and slots[idx].name not in cut:
+            # All arrays that are here now are cut before one shuffle.
+            now = [s.name for s in slots if _is_array(s.dtype) and wanted(s) and s.name not in cut]
+            frame = _dealt(frame, slots, now, cut, slice_elements)
+            slots = [_Slot(s.name, s.dtype, F.col(_quote(s.name))) for s in slots]
+            cut.update(now)
         slot = slots[idx]
         if _is_struct(slot.dtype):
             del slots[idx]
@@ -86,7 +120,14 @@ def _flatten(df: DataFrame, explode_arrays: bool, sep: str = "_",
                         cols.append(F.explode_outer(s.expr).alias(s.name))
                 else:
                     cols.append(s.expr.alias(s.name))
-            frame = frame.select(*cols)
+            places = [F.col(_quote(n + _AT)) for n in sorted(cut)]
+            frame = frame.select(*cols, *places)
+            if slot.name in cut:
+                if with_position:
+                    pos = f"{slot.name}{sep}pos"
+                    frame = frame.withColumn(pos, F.col(_quote(pos)) + F.col(_quote(slot.name + _AT)))
+                frame = frame.drop(slot.name + _AT)
+                cut.discard(slot.name)
             new_slots = []
             for s in slots:
                 if s is slot and with_position:
@@ -106,7 +147,7 @@ def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
 
 
 def flatten_all(df: DataFrame, sep: str = "_", arrays: list[str] | None = None,
-                with_position: bool = False) -> DataFrame:
+                with_position: bool = False, slice_elements: int | None = None) -> DataFrame:
     """Expand structs and explode arrays (``explode_outer``) until neither
     remains.  Two independent arrays give their cross product, as the
     semantics demand.
@@ -115,8 +156,9 @@ def flatten_all(df: DataFrame, sep: str = "_", arrays: list[str] | None = None,
     their current (flattened) name, e.g. ``"payload_items"`` for an array
     inside the struct ``payload``; the others pass through as arrays.
     ``with_position`` adds a ``<col>_pos`` index column per exploded array.
+    ``slice_elements`` deals longer arrays over all tasks, at the cost of a shuffle.
     """
-    return _flatten(df, explode_arrays=True, sep=sep, arrays=arrays, with_position=with_position)
+    return _flatten(df, explode_arrays=True, sep=sep, arrays=arrays, with_position=with_position, slice_elements=slice_elements)
 
 
 def is_flat(df: DataFrame, allow_arrays: bool = False) -> bool:

@@ -15,33 +15,48 @@ Semantics are "replace the key group", not MERGE:
   as the oldest on both sides), which makes the result independent of
   arrival order.
 
-Scale: the stage is reduced to one row per key *before* it is joined
+Scale: the stage is reduced to one row per key *before* it meets the target
 (``distinct`` keys for K1, the newest date per key for K2), with partial
 aggregation on the map side.  The reduced stage is broadcast only behind a
 bound on its bytes (known from a written stage, else counted by an aggregate).
-Beyond it, target rows are dealt over ``SALTS`` parts of their key by a row hash
-and the reduced stage is repeated per part, so a hot target key never meets in
-one task.  Rows with a null key match nothing and go round the join.
+Beyond it, target rows are dealt over some parts of their key by a row hash
+(``salts``: they grow with the shuffle width) and the reduced stage is repeated
+per part, so a hot target key never meets in one task.  Rows with a null key
+match nothing; they are dealt out by their hash alone.  Every form reads the target once.
+
+``keep_latest`` needs both sides' newest date per key.  Target rows and the
+reduced stage meet in one shuffle, as one tagged union: a window over (key, part)
+shows each target row its key's newest stage date, and each row of the reduced
+stage the part's newest target date, whose maximum over the parts then judges the
+stage rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col as _c
+from ..functions.columns import row_hash
 
 # Largest reduced stage that is shipped to every task, in bytes of its values
 # and in rows.  A cluster can tune the rows with the session setting below.
 BROADCAST_MAX_BYTES = 64 << 20
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_ROWS_CONF = "spark.quarry.broadcastMaxRows"
-SALTS = 16
+LEAST_SALTS = 16
 _DEFAULT = object()
 
 
+def salts(df: DataFrame) -> int:
+    """Parts that a key is dealt over: the root of the shuffle width, so that a hot
+    key's parts and the copies of the other side both stay small against it."""
+    return max(LEAST_SALTS, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def is_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Size check by one aggregate: a count and a sum per task are shuffled."""
     width = sum((F.coalesce(F.octet_length(_c(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(16))
@@ -66,13 +81,23 @@ def _fits(reduced: DataFrame, max_rows, stage_bytes: int | None) -> bool:
     return is_small(reduced, max_rows)
 
 
+def _dealt(target: DataFrame, keys: list[str], parts: int) -> Column:
+    """The part of its key that a target row is in."""
+    known = _and([_c(k).isNotNull() for k in keys])
+    return F.when(known, F.pmod(row_hash(target), F.lit(parts))).otherwise(row_hash(target))
+
+
+def _parts(n: int) -> Column:
+    """Every part of a key: the row that holds this is repeated for each."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
 def _sides(target: DataFrame, reduced: DataFrame, keys: list[str], small: bool) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides of a join on the key, and the columns to join on."""
     if small:
         return target, F.broadcast(reduced), keys
-    salt = F.pmod(F.xxhash64(*[_c(c) for c in target.columns]), F.lit(SALTS)).cast("int")
-    parts = reduced.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return target.withColumn("__salt", salt), parts, [*keys, "__salt"]
+    n = salts(target)
+    return target.withColumn("__salt", _dealt(target, keys, n)), reduced.withColumn("__salt", _parts(n)), [*keys, "__salt"]
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -92,11 +117,10 @@ def upsert_replace(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
     """K1 = J1 (left anti on key) + U1 (append all stage rows).  ``stage_bytes``:
     a bound on the reduced stage where it is known already."""
     keys = _keys(key)
-    not_null = _and([_c(k).isNotNull() for k in keys])
     stage_keys = stage.select(*[_c(k) for k in keys]).dropna().distinct()
-    left, right, on = _sides(target.where(not_null), stage_keys, keys, _fits(stage_keys, broadcast_max_rows, stage_bytes))
+    left, right, on = _sides(target, stage_keys, keys, _fits(stage_keys, broadcast_max_rows, stage_bytes))
     survivors = left.join(right, on=on, how="left_anti").select(*[_c(c) for c in target.columns])
-    return survivors.unionAll(target.where(~not_null)).unionAll(_by_position(stage, target))
+    return survivors.unionAll(_by_position(stage, target))
 
 
 def _order(date: str, tie_break: Sequence[str]) -> Column:
@@ -117,41 +141,58 @@ def upsert_guarded(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
     """K2 = J2 (left anti on key and ``stage.date >= target.date``) + U1.
 
     ``exists s: s.key = t.key and s.date >= t.date`` is the same as
-    ``max(s.date) >= t.date`` per key, so the stage is reduced first; the same
-    reduced side serves both joins of ``keep_latest``.  With ``tie_break`` columns
-    the whole tuple (date, tie_break...) is compared, which makes ``keep_latest``
-    independent of arrival order among equal dates too.
+    ``max(s.date) >= t.date`` per key, so the stage is reduced first.  With
+    ``tie_break`` columns the whole tuple (date, tie_break...) is compared, which makes
+    ``keep_latest`` independent of arrival order among equal dates too.
     """
     keys = _keys(key)
+    incoming = _by_position(stage, target)
+    if keep_latest:
+        return _latest(target, incoming, keys, date, tie_break, stage_bytes)
     summary = _stage_summary(stage, keys, date, tie_break)
-    small = _fits(summary, broadcast_max_rows, stage_bytes)
-    not_null = _and([_c(k).isNotNull() for k in keys])
-    left, right, on = _sides(target.where(not_null & _c(date).isNotNull()), summary, keys, small)
+    left, right, on = _sides(target, summary, keys, _fits(summary, broadcast_max_rows, stage_bytes))
     t, n = left.alias("t"), right.alias("n")
     cond = [F.col(f"t.`{k}`") == F.col(f"n.`{k}`") for k in on]
-    cond.append(F.col("n.__stage_max") >= F.struct(*[F.col(f"t.`{c}`") for c in (date, *tie_break)]))
+    cond.append(F.col(f"t.`{date}`").isNotNull() & (F.col("n.__stage_max") >= F.struct(*[F.col(f"t.`{c}`") for c in (date, *tie_break)])))
     survivors = t.join(n, on=_and(cond), how="left_anti").select(*[F.col(f"t.`{c}`") for c in target.columns])
-    survivors = survivors.unionAll(target.where(~not_null | _c(date).isNull()))
-    incoming = _by_position(stage, target)
-    if keep_latest:
-        incoming = _drop_stale(incoming, target, summary, keys, date, tie_break, small)
     return survivors.unionAll(incoming)
 
 
-def _drop_stale(stage: DataFrame, target: DataFrame, summary: DataFrame, keys: list[str],
-                date: str, tie_break: Sequence[str], small: bool) -> DataFrame:
-    """Stage rows for which the target holds a strictly newer order tuple are
-    dropped (a null date counts as the oldest)."""
-    # Only target rows whose key is in the stage are aggregated.
-    left, right, on = _sides(target.where(_c(date).isNotNull()), summary, keys, small)
-    target_newest = (left.join(right, on=on, how="left_semi").groupBy(*[_c(k) for k in keys])
-                         .agg(F.max(_order(date, tie_break)).alias("__target_max")))
-    left, right, on = _sides(stage, target_newest, keys, small)
-    s, tn = left.alias("s"), right.alias("tn")
-    cond = [F.col(f"s.`{k}`") == F.col(f"tn.`{k}`") for k in on]
-    mine = F.struct(*[F.col(f"s.`{c}`") for c in (date, *tie_break)])
-    cond.append((F.col("tn.__target_max") > mine) | F.col(f"s.`{date}`").isNull())
-    return s.join(tn, on=_and(cond), how="left_anti").select(*[F.col(f"s.`{c}`") for c in stage.columns])
+def _latest(target: DataFrame, stage: DataFrame, keys: list[str], date: str, tie_break: Sequence[str],
+            stage_bytes: int | None) -> DataFrame:
+    """The guarded upsert without stage rows for which the target holds a strictly
+    newer order tuple (a null date counts as the oldest)."""
+    fields, n = {f.name.lower(): f.dataType for f in target.schema.fields}, salts(target)
+    # The stage's keys and dates in the target's types; what doesn't fit matches nothing.
+    typed = stage.select(*[_c(c).try_cast(fields[c.lower()]).alias(c) for c in dict.fromkeys([*keys, date, *tie_break])])
+    names = [f"__k{i}" for i in range(len(keys))]
+    order = _order(date, tie_break)
+    kind = target.select(order.alias("o")).schema["o"].dataType
+    row = F.struct(*[_c(c) for c in target.columns])
+    rows = target.select(*[_c(k).alias(x) for k, x in zip(keys, names)], _dealt(target, keys, n).alias("__part"),
+                         F.when(_c(date).isNotNull(), order).alias("__mine"), F.lit(None).cast(kind).alias("__summary"), row.alias("__row"))
+    asked = _stage_summary(typed, keys, date, tie_break).select(
+        *[_c(k).alias(x) for k, x in zip(keys, names)], _parts(n).alias("__part"),
+        F.lit(None).cast(kind).alias("__mine"), F.col("__stage_max").alias("__summary"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"))
+    group = Window.partitionBy(*names, "__part")
+    met = rows.unionAll(asked).withColumns({"__stage_max": F.max("__summary").over(group), "__newest": F.max("__mine").over(group)})
+
+    replaced = _and([F.col(n).isNotNull() for n in names]) & (F.col("__stage_max") >= F.col("__mine"))
+    survivors = met.where(F.col("__row").isNotNull() & ~F.coalesce(replaced, F.lit(False))).select("__row.*")
+    # The summary goes through the maximum too: both branches then read the same
+    # columns, so Spark computes their exchange, and reads the target, once.
+    newest = met.where(F.col("__row").isNull()).groupBy(*[_c(n).alias(k) for k, n in zip(keys, names)]).agg(
+        F.max(F.struct("__newest", "__summary"))["__newest"].alias("__target_max")).where("__target_max is not null")
+
+    left, right, on = _sides(stage, newest, keys, stage_bytes is not None and stage_bytes <= BROADCAST_MAX_BYTES)
+    s, t = left.alias("s"), right.alias("t")
+    mine = F.struct(*[F.col(f"s.`{c}`").try_cast(fields[c.lower()]).alias(c) for c in (date, *tie_break)])
+    # Null-safe (no key of ``newest`` is null): a plain equality would be pushed below the
+    # window of this branch alone, and part the two.
+    cond = [F.col(f"s.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in on]
+    cond.append((F.col("t.__target_max") > mine) | F.col(f"s.`{date}`").isNull())
+    fresh = s.join(t, on=_and(cond), how="left_anti").select(*[F.col(f"s.`{c}`") for c in stage.columns])
+    return survivors.unionAll(fresh)
 
 
 def _and(conds: list[Column]) -> Column:

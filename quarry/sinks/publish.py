@@ -5,18 +5,25 @@ A plain Parquet table supports neither MERGE nor DELETE, and Spark refuses to
 overwrite a path it is reading.  An upsert is therefore published as:
 
 1. the table is partitioned by ``_bucket = pmod(xxhash64(key), N)`` (null keys
-   hash to one fixed bucket); ``N``, the key and the schema are kept with the
-   table, and a conflicting value is refused;
+   hash to one fixed bucket); ``N`` (from the bytes of the first load, if not given),
+   the key and the schema are kept with the table, and a conflicting value is refused;
 2. the stage is written once below ``_staging`` (removed at the end): its plan
-   runs once, and counts, checks, touched buckets and its size come from one
-   aggregate over it;
+   runs once, and counts, checks and touched buckets come from one aggregate over it;
 3. the new contents of the touched buckets (survivors and stage) are written to a
-   version folder of their own; only touched buckets are read;
+   version folder of their own; only touched buckets are read.  The key constraint is
+   checked on what was written, so duplicates that only the merge makes are found;
 4. one small pointer file, which names the version of every bucket, is put
    in place by a rename.  Until then readers see the old table, whole; after it
-   the new one.  A failure before the rename leaves a version folder that nothing
-   refers to.  The previous pointer and its folders stay for readers under way;
-   older ones are removed.
+   the new one.  A failure before the rename removes the version folder (a lost driver
+   leaves one that nothing refers to).  The previous pointer and its folders stay
+   for readers under way; older ones are removed.
+
+The pointer also holds the last batch of each stream that feeds the table, so a batch
+and its data are committed by the same rename, and a replayed one is skipped.
+
+The rename refuses a name that exists, which is atomic on HDFS and local disks.  On an
+object store without conditional writes two writers at the same moment may both
+win: let one job at a time publish to a table there.
 
 For a 1 % stage on a 100 TB table this rewrites the touched buckets only.
 """
@@ -29,15 +36,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators.conform import SchemaMismatch, conform
 from ..operators.quality import QualityError, key_constraint_report
 from ..operators.upsert import upsert_guarded, upsert_replace
+from .files import _bytes, _exists, _fs, _names, _remove, fresh_beside, replace_folder, restore_folder
 
 BUCKET = "_bucket"
 VERSION = "__version"
-DEFAULT_BUCKETS = 64
 WRITER_BYTES = 256 << 20   # about so much of a bucket's data goes to one writer
 
 
@@ -54,45 +61,33 @@ def bucket_expr(key: str | Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _fs(spark: SparkSession, path: str):
-    """(file system, path) of the JVM for a path of any scheme."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _names(spark: SparkSession, pattern: str) -> list[str]:
-    fs, p = _fs(spark, pattern)
-    return sorted(st.getPath().getName() for st in (fs.globStatus(p) or []))
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
 class TableConflict(ValueError):
     """The table was written with another bucket count or key, or someone else
     published meanwhile."""
 
 
-def table_state(spark: SparkSession, path: str) -> dict | None:
-    """What the newest pointer says: buckets, key, schema and the version of each
-    bucket; None without a table."""
-    names = _names(spark, f"{path.rstrip('/')}/_pointer/*.json")
-    if not names:
-        return None
-    fs, p = _fs(spark, f"{path.rstrip('/')}/_pointer/{names[-1]}")
+def _pointer(spark: SparkSession, path: str, name: str) -> dict:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_pointer/{name}")
     stream = fs.open(p)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return json.loads(text) | {"n": int(names[-1].split(".")[0])}
+    return {"bytes": {}, "streams": {}} | json.loads(text) | {"n": int(name.split(".")[0])}
+
+
+def table_state(spark: SparkSession, path: str) -> dict | None:
+    """What the newest pointer says: buckets, key, schema, the version of each
+    bucket, the bytes of a version's bucket, the last batch of each stream; None
+    without a table."""
+    names = _names(spark, f"{path.rstrip('/')}/_pointer/*.json")
+    return _pointer(spark, path, names[-1]) if names else None
+
+
+def committed_batch(spark: SparkSession, path: str, stream: str) -> int | None:
+    """The last batch of a stream that the table at ``path`` holds."""
+    state = table_state(spark, path)
+    return state["streams"].get(stream) if state else None
 
 
 def _commit(spark: SparkSession, path: str, state: dict, after: int) -> None:
@@ -102,30 +97,27 @@ def _commit(spark: SparkSession, path: str, state: dict, after: int) -> None:
     fs, tmp = _fs(spark, f"{root}/.{uuid.uuid4().hex}")
     _, final = _fs(spark, f"{root}/{name}")
     out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps({k: state[k] for k in ("buckets", "key", "schema", "versions")}).encode()))
+    out.write(bytearray(json.dumps({k: state[k] for k in ("buckets", "key", "schema", "versions", "bytes", "streams")}).encode()))
     out.close()
     if fs.exists(final) or not fs.rename(tmp, final):
         fs.delete(tmp, False)
         raise TableConflict(f"{path}: pointer {name} exists: another writer published meanwhile")
 
 
-def _clean(spark: SparkSession, path: str, states: list[dict]) -> None:
-    """Removes what neither of the last two pointers names."""
+def _clean(spark: SparkSession, path: str, new: dict, old: dict | None) -> None:
+    """Removes the pointers before ``old`` and what only they name: one call for a
+    version folder, or for each bucket that was replaced."""
     root = path.rstrip("/")
-    used = {(v, int(b)) for st in states for b, v in st["versions"].items()}
+    used = {(v, b) for st in (new, old or {"versions": {}}) for b, v in st["versions"].items()}
+    live = {v for v, _ in used}
     for name in _names(spark, f"{root}/{VERSION}=*"):
-        version = name.split("=", 1)[1]
-        mine = {b for v, b in used if v == version}
-        if not mine:
+        if name.split("=", 1)[1] not in live:
             _remove(spark, f"{root}/{name}")
-            continue
-        for bucket in _names(spark, f"{root}/{name}/{BUCKET}=*"):
-            if int(bucket.split("=", 1)[1]) not in mine:
-                _remove(spark, f"{root}/{name}/{bucket}")
-    keep = {f"{st['n']:09d}.json" for st in states}
-    for name in _names(spark, f"{root}/_pointer/*.json"):
-        if name not in keep:
-            _remove(spark, f"{root}/_pointer/{name}")
+    for name in _names(spark, f"{root}/_pointer/*.json")[:-2]:
+        for b, v in _pointer(spark, path, name)["versions"].items():
+            if v in live and (v, b) not in used:
+                _remove(spark, f"{root}/{VERSION}={v}/{BUCKET}={b}")
+        _remove(spark, f"{root}/_pointer/{name}")
 
 
 def _existing_buckets(spark: SparkSession, path: str) -> set[int]:
@@ -150,14 +142,21 @@ def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str |
                  compression: str = "zstd") -> None:
     """K6 (WRITE_TRUNCATE) with the K7/O3 layout: zstd pages, rows range-
     partitioned and sorted by ``sort_key`` (min/max stats per file then
-    prune key lookups)."""
-    out = df
+    prune key lookups).  All or nothing: the new contents are written beside the
+    table and swapped in when complete; ``df`` may read the table itself."""
+    out, spark = df, df.sparkSession
     if sort_key:
         # Range by (key, row hash): files stay globally ordered by key, and
         # the sampler can split one hot key value over several tasks.
-        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-        out = out.repartitionByRange(F.col(sort_key), row_hash).sortWithinPartitions(sort_key)
-    out.write.mode("overwrite").format(fmt).option("compression", compression).save(path)
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        out = out.repartitionByRange(F.col(f"`{sort_key}`"), row_hash).sortWithinPartitions(F.col(f"`{sort_key}`"))
+    restore_folder(spark, path)
+    fresh = fresh_beside(path)
+    try:
+        out.write.format(fmt).option("compression", compression).save(fresh)
+        replace_folder(spark, fresh, path)
+    finally:
+        _remove(spark, fresh)
 
 
 def _write_version(df: DataFrame, path: str, version: str, sort_key: str, writers: int) -> None:
@@ -177,21 +176,23 @@ def write_bucketed(df: DataFrame, path: str, key: str | Sequence[str], buckets:
                    sort_key: str | None = None, writers: int | None = None) -> None:
     """Writes the whole table anew as one version."""
     spark, keys = df.sparkSession, [key] if isinstance(key, str) else list(key)
-    old = table_state(spark, path)
+    root, old = path.rstrip("/"), table_state(spark, path)
     version = "r" + uuid.uuid4().hex
     _write_version(df.withColumn(BUCKET, bucket_expr(keys, buckets)), path, version, sort_key or keys[0], writers or 4)
-    found = [n.split("=", 1)[1] for n in _names(spark, f"{path.rstrip('/')}/{VERSION}={version}/{BUCKET}=*")]
-    after = old["n"] if old else 0
-    _commit(spark, path, {"buckets": buckets, "key": keys, "schema": _plain(df.schema).json(), "versions": dict.fromkeys(found, version)}, after)
+    found = [n.split("=", 1)[1] for n in _names(spark, f"{root}/{VERSION}={version}/{BUCKET}=*")]
+    new = {"buckets": buckets, "key": keys, "schema": _plain(df.schema).json(), "versions": dict.fromkeys(found, version),
+           "bytes": {version: _bytes(spark, f"{root}/{VERSION}={version}") // max(1, len(found))}, "streams": old["streams"] if old else {}}
+    _commit(spark, path, new, old["n"] if old else 0)
+    _clean(spark, path, new, old)
 
 
-def _layout(df: DataFrame, sort_key: str, salts: int) -> DataFrame:
+def _layout(df: DataFrame, sort_key: str, writers: int) -> DataFrame:
     """Hash-partition by (bucket, salt) where the salt is a row hash modulo
-    ``salts``: each bucket is written by at most ``salts`` tasks, a hot or null key
+    ``writers``: each bucket is written by at most so many tasks, a hot or null key
     is split over them, and no sampling pass re-evaluates the input.  Rows
     are sorted by key inside each file, so min/max statistics prune lookups."""
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
-    return df.repartition(F.col(BUCKET), salt).sortWithinPartitions(BUCKET, sort_key)
+    salt = [F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(writers))] if writers > 1 else []
+    return df.repartition(F.col(BUCKET), *salt).sortWithinPartitions(BUCKET, sort_key)
 
 
 def read_bucketed(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -208,36 +209,46 @@ def read_bucketed(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str = "id",
                    buckets: int | None = None, guarded_by: str | None = None, keep_latest: bool = False,
                    tie_break: Sequence[str] = (), on_extra: str = "error", not_null: Sequence[str] = (),
-                   require_rows: bool = False, key_check: str = "off") -> dict:
+                   require_rows: bool = False, key_check: str = "off", batch: tuple[str, int] | None = None) -> dict:
     """K1 (``guarded_by=None``) or K2 (``guarded_by=<date column>``) into the
     bucketed Parquet table at ``path``; creates the table on first use.
 
     The stage is conformed to the table's schema (K3; ``on_extra="evolve"`` adds
     its surplus columns to the table), written once, and checked there: empty
-    loads (``require_rows``), nulls in ``not_null`` columns, and keys that occur
-    twice or are null (``key_check``: "off", "report", "strict").  Nothing is
-    published when a check fails.  Returns the counts."""
+    loads (``require_rows``) and nulls in ``not_null`` columns.  Keys that occur
+    twice or are null are looked for in the merged buckets (``key_check``: "off",
+    "report", "strict").  Nothing is published when a check fails.
+
+    ``batch`` = (stream, number) is committed with the data; a number that the table
+    holds already is not published again.  Returns the counts."""
     root, run = path.rstrip("/"), "r" + uuid.uuid4().hex
     old = table_state(spark, path)
-    if old and buckets not in (None, old["buckets"]):
-        raise TableConflict(f"{path} has {old['buckets']} buckets, not {buckets}")
+    fixed = old["buckets"] if old and old["versions"] else None     # rows fix the count
+    if fixed and buckets not in (None, fixed):
+        raise TableConflict(f"{path} has {fixed} buckets, not {buckets}")
     if old and old["key"] != [key]:
         raise TableConflict(f"{path} is keyed by {old['key']}, not {key}")
-    n_buckets = old["buckets"] if old else buckets or DEFAULT_BUCKETS
+    streams = dict(old["streams"]) if old else {}
+    if batch:
+        if streams.get(batch[0], batch[1] - 1) >= batch[1]:
+            return {"rows": 0, "key_violations": None, "buckets": [], "skipped": True}
+        streams[batch[0]] = batch[1]
     schema = _plain(stage.schema)
     if old:
         have = StructType.fromJson(json.loads(old["schema"]))
         if [(f.name, f.dataType) for f in schema.fields] != [(f.name, f.dataType) for f in have.fields]:
             stage = conform(stage, have, on_extra=on_extra)
         schema = _plain(stage.schema)
-    staged_path = f"{root}/_staging/{run}"
+    staged_path, version_path, committed = f"{root}/_staging/{run}", f"{root}/{VERSION}={run}", False
     try:
-        stage.withColumn(BUCKET, bucket_expr(key, n_buckets)).write.parquet(staged_path)
-        staged = spark.read.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())])).parquet(staged_path)
+        stage.write.parquet(staged_path)
+        staged_bytes = _bytes(spark, staged_path)
+        n_buckets = fixed or buckets or suggest_buckets(staged_bytes)
+        staged = spark.read.schema(schema).parquet(staged_path).withColumn(BUCKET, bucket_expr(key, n_buckets))
         # One aggregate; at most a row per bucket comes to the driver.
-        wide = sum((F.octet_length(F.col(f"`{c}`").cast("string")) for c in [key]), F.lit(0))
+        width = F.coalesce(F.octet_length(F.col(f"`{key}`").cast("string")), F.lit(0))
         bad = [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(not_null)]
-        facts = staged.groupBy(BUCKET).agg(F.count("*").alias("n"), F.sum(F.coalesce(wide, F.lit(0))).alias("width"), *bad).collect()
+        facts = staged.groupBy(BUCKET).agg(F.count("*").alias("n"), F.sum(width).alias("width"), *bad).collect()
         rows, key_bytes = sum(r["n"] for r in facts), sum(r["width"] for r in facts)
         nulls = {c: sum(r[f"null_{i}"] for r in facts) for i, c in enumerate(not_null)}
         if any(nulls.values()):
@@ -245,54 +256,45 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
         if require_rows and not rows:
             raise QualityError("row-count gate: the load is empty")
         found = {"rows": rows, "key_violations": None, "buckets": sorted(r[BUCKET] for r in facts)}
-        if key_check != "off" and rows:
-            found["key_violations"] = key_constraint_report(staged, key).count()
-            if key_check == "strict" and found["key_violations"]:
-                raise QualityError(f"key constraint violated on {key}: {found['key_violations']} keys")
-        if not rows:
-            if not old:
-                _commit(spark, path, {"buckets": n_buckets, "key": [key], "schema": schema.json(), "versions": {}}, 0)
-            return found
-        versions = dict(old["versions"]) if old else {}
-        merged, target_bytes = staged, 0
-        if old:
-            target = _read_buckets(spark, path, old, schema, set(found["buckets"]))
-            small = rows * 32 + key_bytes       # what a row per key would take at most
-            if guarded_by is None:
-                merged = upsert_replace(target, staged, key, stage_bytes=small)
-            else:
-                merged = upsert_guarded(target, staged, key, guarded_by, keep_latest=keep_latest, tie_break=tie_break, stage_bytes=small)
-            target_bytes = _bytes(spark, [f"{root}/{VERSION}={versions[str(b)]}/{BUCKET}={b}" for b in found["buckets"] if str(b) in versions])
-        size = target_bytes + _bytes(spark, [staged_path])
-        # A third of it may lie in one bucket.
-        writers = max(4, -(-size // (3 * WRITER_BYTES)))
-        _write_version(merged, path, run, key, writers)
-        fresh = {n.split("=", 1)[1] for n in _names(spark, f"{root}/{VERSION}={run}/{BUCKET}=*")}
-        for b in map(str, found["buckets"]):
-            versions.pop(b, None)
-            if b in fresh:
-                versions[b] = run
-        after = old["n"] if old else 0
-        new = {"buckets": n_buckets, "key": [key], "schema": schema.json(), "versions": versions}
-        _commit(spark, path, new, after)
-        _clean(spark, path, [new | {"n": after + 1}, *([old] if old else [])])
+        versions, sizes = (dict(old["versions"]), dict(old["bytes"])) if old else ({}, {})
+        if rows:
+            merged, touched = staged, [str(b) for b in found["buckets"]]
+            if old:
+                target = _read_buckets(spark, path, old, schema, set(found["buckets"]))
+                small = rows * 32 + key_bytes       # what a row per key would take at most
+                if guarded_by is None:
+                    merged = upsert_replace(target, staged, key, stage_bytes=small)
+                else:
+                    merged = upsert_guarded(target, staged, key, guarded_by, keep_latest=keep_latest, tie_break=tie_break, stage_bytes=small)
+            size = staged_bytes + sum(sizes.get(versions[b], 0) for b in touched if b in versions)
+            # A third of it may lie in one bucket.
+            _write_version(merged, path, run, key, max(1, -(-size // (3 * WRITER_BYTES))))
+            if key_check != "off":
+                done = spark.read.schema(schema).parquet(version_path)
+                found["key_violations"] = key_constraint_report(done, key).count()
+                if key_check == "strict" and found["key_violations"]:
+                    raise QualityError(f"key constraint violated on {key}: {found['key_violations']} keys")
+            # A touched bucket keeps at least the newest row of a stage key.
+            versions |= dict.fromkeys(touched, run)
+            sizes[run] = _bytes(spark, version_path) // len(touched)
+        if rows or batch or not old:
+            live = set(versions.values())
+            new = {"buckets": n_buckets, "key": [key], "schema": schema.json(), "versions": versions,
+                   "bytes": {v: n for v, n in sizes.items() if v in live}, "streams": streams}
+            _commit(spark, path, new, old["n"] if old else 0)
+            committed = True
+            _clean(spark, path, new, old)
         return found
     finally:
         _remove(spark, staged_path)
+        if not committed:
+            _remove(spark, version_path)
         if not _names(spark, f"{root}/_staging/*"):
             _remove(spark, f"{root}/_staging")
         if not old and not _names(spark, f"{root}/*"):
             _remove(spark, root)        # nothing was published
 
 
-def _bytes(spark: SparkSession, paths: list[str]) -> int:
-    total = 0
-    for path in paths:
-        fs, p = _fs(spark, path)
-        total += fs.getContentSummary(p).getLength()
-    return total
-
-
 def replace_group_sql(target: str, stage: str, key: str = "id",
                       guarded_by: str | None = None) -> tuple[list[str], list[str]]:
     """Statements of a staged warehouse load: recreate the stage with the
