@@ -1,2 +1,2 @@
-select id, event_id, label, cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated
+select user_id, event_id, kind, value, cast(from_unixtime(at_ms/1000) as timestamp_ntz) as happened_at
 from table;

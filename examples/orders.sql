@@ -1,4 +1,4 @@
-select order_no, line_no, urgency, amount,
-    cast(from_unixtime(changed_ms/1000) as timestamp_ntz) as changed_at,
-    cast(from_unixtime(shipped_ms/1000) as timestamp_ntz) as shipped_at
+select order_no, line_no, supplier_no, urgency, quantity,
+    list_price / quantity as unit_price,
+    list_price * (1 - discount) as net_price
 from table

@@ -34,11 +34,11 @@ def main(sf_dir: str) -> str:
          "capitalizeword": [{"field": "urgency", "pattern": "^(\\d)-(.*)$", "replacement": "$2 ($1)"}],
          "schema": os.path.join(HERE, "orders.schema.json"), "sql": os.path.join(HERE, "orders.sql"),
          "key": "order_no",
-         "target_ddl": "order_no bigint, line_no bigint, urgency varchar(12), amount double, "
-                       "changed_at timestamp_ntz, shipped_at timestamp_ntz"},
+         "target_ddl": "order_no bigint, line_no int, supplier_no bigint, urgency varchar(12), quantity int, "
+                       "unit_price double, net_price double"},
         {"origin_table": f"{landing}/events", "destination_table": f"{warehouse}/users_latest", "flow": "flow7",
          "deduplicate": [{"partitionby": ["_raw_data_userId"], "orderby": ["_emitted_at", "_raw_data_event_id"]}],
-         "capitalize": ["label"], "capitalizeword": [],
+         "capitalize": ["kind"], "capitalizeword": [], "key": "user_id", "guarded_by": "happened_at",
          "schema": os.path.join(HERE, "events.schema.json"), "sql": os.path.join(HERE, "events.sql"),
          "keep_latest": True},
     ]}

@@ -13,12 +13,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions.columns import row_hash
 from .functions.times import epoch_millis_ntz
 from .sources.scan import add_date_partitions
 
 DAY_MS = 86_400_000
 LINES_PER_RECORD = 64
-WRITERS_PER_DAY = 4
+ROWS_PER_WRITER = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +37,8 @@ def _line_struct():
         F.col("l_suppkey").alias("suppKey"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_tax").alias("tax"),
         F.col("l_returnflag").alias("returnFlag"),
         # A type-choice field: shipped lines carry epoch ms, open ones text.
         F.struct(F.when(~is_open, ship_ms).alias("long"),
@@ -143,6 +146,15 @@ def multi_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per part: an array of twice as many numbers as its size (null for every
+    seventh size) and one of two texts."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("n"),
+                    F.when(F.col("p_size") % 7 != 0, F.sequence(F.lit(1), F.col("p_size") * 2)).alias("xs"),
+                    F.array("p_brand", "p_type").alias("ys"))
+
+
 # ---------------------------------------------------------------- upsert stage
 
 TARGET_COLUMNS = ["id", "cust", "status", "price", "priority", "dt_updated"]
@@ -197,17 +209,21 @@ def orders_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- written copies
 
-def write_events_by_day(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Events written as ``partition_0=YYYY/partition_1=MM/partition_2=DD``."""
-    ev = add_date_partitions(table(spark, sf_dir, "events"), "ts")
-    # Day plus a row-hash salt: a day holding a third of the rows is still
-    # written by several tasks, and each task writes few day folders.
-    salt = F.pmod(F.xxhash64("event_id", "ts", "user_id"), F.lit(WRITERS_PER_DAY))
-    (ev.repartition("partition_0", "partition_1", "partition_2", salt)
-       .write.mode("overwrite").partitionBy("partition_0", "partition_1", "partition_2").parquet(path))
+def write_by_day(df: DataFrame, ts: str, path: str) -> str:
+    """Written as ``partition_0=YYYY/partition_1=MM/partition_2=DD`` of ``ts``."""
+    # Day plus a row-hash salt: a large day is written by several tasks, and each
+    # task writes few day folders.
+    writers = max(1, -(-df.count() // ROWS_PER_WRITER))
+    salt = [F.pmod(row_hash(df), F.lit(writers))] if writers > 1 else []
+    (add_date_partitions(df, ts).repartition("partition_0", "partition_1", "partition_2", *salt)
+        .write.mode("overwrite").partitionBy("partition_0", "partition_1", "partition_2").parquet(path))
     return path
 
 
+def write_events_by_day(spark: SparkSession, sf_dir: str, path: str) -> str:
+    return write_by_day(table(spark, sf_dir, "events"), "ts", path)
+
+
 def write_zone(spark: SparkSession, sf_dir: str, landing: str, entities=("customer", "supplier", "part")) -> dict:
     """The landing zone: each entity as JSON files in its own folder."""
     out = {}
@@ -218,6 +234,18 @@ def write_zone(spark: SparkSession, sf_dir: str, landing: str, entities=("custom
     return out
 
 
+def write_damaged_zone(spark: SparkSession, sf_dir: str, landing: str) -> str:
+    """Customers as JSON lines; those in debt have lost the last character of
+    theirs, those of nation 7 have text where a number belongs."""
+    c = table(spark, sf_dir, "customer")
+    whole = F.to_json(F.struct(*c.columns))
+    worded = F.to_json(F.struct(*[F.lit("seven").alias(x) if x == "c_nationkey" else F.col(x) for x in c.columns]))
+    cut = F.col("c_acctbal") < 0
+    line = F.when(cut, F.substring(whole, F.lit(1), F.length(whole) - 1)).when(F.col("c_nationkey") == 7, worded).otherwise(whole)
+    c.select(line.alias("value")).write.mode("overwrite").text(landing)
+    return landing
+
+
 def write_curated_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Orders as several Parquet drops whose column sets differ: orders with
     status P were exported without ``o_orderpriority``."""
@@ -227,6 +255,16 @@ def write_curated_files(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
+def write_drifting_files(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Orders in three drops: the key is a number, later text; the customer an
+    int, later a long; the price is missing from the last drop."""
+    o, key, drop = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.pmod("o_orderkey", F.lit(3))
+    o.where(drop == 0).withColumn("o_custkey", F.col("o_custkey").cast("int")).write.mode("overwrite").parquet(f"{path}/drop=a")
+    o.where(drop == 1).withColumn("o_orderkey", key.cast("string")).write.mode("overwrite").parquet(f"{path}/drop=b")
+    o.where(drop == 2).drop("o_totalprice").write.mode("overwrite").parquet(f"{path}/drop=c")
+    return path
+
+
 def events_drops(spark: SparkSession, sf_dir: str, n: int = 3) -> list[DataFrame]:
     """The events table split into ``n`` arrival drops (every row in exactly
     one drop)."""

@@ -51,6 +51,8 @@ select {_ms('o.o_orderdate')} + 172800000 as _emitted_at,
        l.l_suppkey as _raw_data_lines_suppKey,
        l.l_quantity as _raw_data_lines_quantity,
        l.l_extendedprice as _raw_data_lines_price,
+       l.l_discount as _raw_data_lines_discount,
+       l.l_tax as _raw_data_lines_tax,
        l.l_returnflag as _raw_data_lines_returnFlag,
        case when l.l_linestatus <> 'O' then {_ms('l.l_shipdate')} end as _raw_data_lines_shippedAt_long,
        case when l.l_linestatus = 'O' then strftime(l.l_shipdate, '%Y-%m-%dT%H:%M:%S') end
@@ -59,7 +61,7 @@ from orders o left join lineitem l on l.l_orderkey = o.o_orderkey
 """
 
 
-def _orders_pipe(flat: str) -> str:
+def _charges(flat: str) -> str:
     """dedup → mapping → SQL → capitalize → regex over flattened envelope rows."""
     return f"""
 with r as ({flat}),
@@ -70,30 +72,28 @@ d as (
     order by _emitted_at desc nulls last, _raw_data_lines_shippedAt_long desc nulls last,
              _raw_data_lines_partKey desc nulls last, _raw_data_lines_suppKey desc nulls last,
              _raw_data_lines_price desc nulls last, _raw_data_lines_quantity desc nulls last,
+             _raw_data_lines_discount desc nulls last, _raw_data_lines_tax desc nulls last,
              _raw_data_lines_returnFlag desc nulls last, _raw_data_lines_shippedAt_string desc nulls last) = 1
-),
-m as (
-  select try_cast(_raw_data_orderId as bigint) as order_no, try_cast(_raw_data_lines_lineNumber as bigint) as line_no,
-         try_cast(_raw_data_createdAt as bigint) as placed_ms, try_cast(_raw_data_updatedAt as bigint) as changed_ms,
-         _raw_data_lines_shippedAt_long as shipped_ms, _emitted_at as seen_ms, _raw_data_lines_price as amount,
-         _raw_data_lines_returnFlag as return_mark, _raw_data_priority as urgency, _raw_data_status as state,
-         _raw_data_active as is_open
-  from d
 )
-select order_no, line_no, {_sec_ts('placed_ms')} as placed_at, {_sec_ts('changed_ms')} as changed_at,
-       {_sec_ts('shipped_ms')} as shipped_at, amount, return_mark,
-       regexp_replace({_cap('urgency')}, '^(\\d)-(.*)$', '\\2 (\\1)', 'g') as urgency,
-       state, is_open, {_sec_text('seen_ms')} as seen_at
-from m
+select try_cast(_raw_data_orderId as bigint) as order_no, try_cast(_raw_data_lines_lineNumber as integer) as line_no,
+       _raw_data_custId as customer_no, _raw_data_lines_suppKey as supplier_no,
+       regexp_replace({_cap('_raw_data_priority')}, '^(\\d)-(.*)$', '\\2 (\\1)', 'g') as urgency,
+       _raw_data_lines_quantity as quantity,
+       _raw_data_lines_price * (1 - _raw_data_lines_discount) as net_price,
+       _raw_data_lines_price * (1 - _raw_data_lines_discount) * (1 + _raw_data_lines_tax) as charged,
+       case when _raw_data_lines_discount >= 0.05 then 'REDUCED' else 'FULL' end as price_class,
+       {_sec_ts('try_cast(_raw_data_createdAt as bigint)')} as ordered_at,
+       cast(floor((_raw_data_lines_shippedAt_long - try_cast(_raw_data_createdAt as bigint)) / 86400000) as bigint) as days_to_ship,
+       _raw_data_lines_tax as tax
+from d
 """
 
 
-def _orders_published(pipe: str) -> str:
-    """Conformance to the published table: state dropped, urgency cut to 12
-    characters, the text of the extraction read back as a timestamp."""
+def _charges_published(pipe: str) -> str:
+    """Conformance to the published table: tax dropped, texts cut, whole numbers."""
     return f"""
-select order_no, line_no, placed_at, changed_at, shipped_at, amount, substr(return_mark, 1, 1) as return_mark,
-       substr(urgency, 1, 12) as urgency, is_open, cast(seen_at as timestamp) as seen_at
+select order_no, line_no, customer_no, supplier_no, substr(urgency, 1, 12) as urgency, cast(quantity as integer) as quantity,
+       net_price, charged, substr(price_class, 1, 2) as price_class, ordered_at, cast(days_to_ship as integer) as days_to_ship
 from ({pipe})
 """
 
@@ -109,9 +109,9 @@ d as (
   qualify row_number() over (partition by cast(user_id as varchar)
                              order by ms desc nulls last, event_id desc nulls last) = 1
 )
-select user_id as id, event_id,
-       regexp_replace({_cap('event_type')}, '^(ERROR|SIGNUP)$', 'ALERT_\\1', 'g') as label,
-       value, {_sec_ts('ms')} as dt_updated, {_sec_text('ms')} as dt_extraction
+select user_id, event_id,
+       regexp_replace({_cap('event_type')}, '^(ERROR|SIGNUP)$', 'ALERT_\\1', 'g') as kind,
+       value, {_sec_ts('ms')} as happened_at, {_sec_text('ms')} as emitted_text
 from d
 """
 
@@ -201,6 +201,14 @@ select 'part', p_partkey, p_name, p_size, p_retailprice, p_brand, p_type from pa
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        case when o_orderstatus = 'P' then null else o_orderpriority end as o_orderpriority
 from orders""",
+    "zone_rejects": """
+select 'zone' as place, c_custkey, c_name, c_nationkey, c_acctbal from customer where c_acctbal >= 0 and c_nationkey <> 7
+union all
+select 'rejects', c_custkey, null, null, null from customer where c_acctbal < 0 or c_nationkey = 7""",
+    "curated_drift": """
+select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 3 <> 2 then o_totalprice end as o_totalprice, o_orderdate, o_orderpriority
+from orders""",
+    "refresh_survives_failure": f"select {ORDER_COLS} from orders",
     "row_count_gate": "select count(*) as n from orders",
     "flatten_struct": """
 select o_orderkey as id, o_orderdate as created, o_orderstatus as order_status,
@@ -216,6 +224,13 @@ from (
     select c_custkey as n, c_nationkey as k, c_mktsegment as seg, c_name as name,
            unnest([c_nationkey, c_nationkey + 100]) as xs
     from customer))""",
+    "flatten_sliced": """
+select n, xs, unnest([brand, kind]) as ys
+from (
+  select p_partkey as n, p_brand as brand, p_type as kind, unnest(cast(range(1, p_size * 2 + 1) as integer[])) as xs
+  from part where p_size % 7 <> 0
+  union all
+  select p_partkey, p_brand, p_type, null from part where p_size % 7 = 0)""",
     "type_choice_coalesce": f"""
 select cast(o.o_orderkey as varchar) as order_id, cast(l.l_linenumber as varchar) as line_number,
        l.l_partkey as part_key, l.l_suppkey as supp_key, l.l_extendedprice as price,
@@ -271,11 +286,11 @@ from part""",
 select l_orderkey, count(*) as n from lineitem group by l_orderkey
 having count(*) > 1 or l_orderkey is null""",
     "target_layout": f"select {ORDER_COLS} from orders",
-    "nested_orders_flagship": _orders_pipe(RAW_ORDERS_FLAT),
+    "nested_orders_flagship": _charges(RAW_ORDERS_FLAT),
     "recipe_full_all_replace": f"""
-with first_run as ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))}),
+with first_run as ({_charges_published(_charges(RAW_ORDERS_FLAT))}),
 second_drop as (
-  {_orders_published(_orders_pipe(RAW_ORDERS_FLAT.replace("o.o_orderpriority as _raw_data_priority",
+  {_charges_published(_charges(RAW_ORDERS_FLAT.replace("o.o_orderpriority as _raw_data_priority",
                                                           "'1-URGENT' as _raw_data_priority")
                                                  .replace("+ 172800000 as _emitted_at", "+ 259200000 as _emitted_at")
                                   + " where o.o_orderstatus = 'O'"))}
@@ -286,21 +301,24 @@ select * from second_drop""",
     "recipe_full_struct_replace": f"""
 with a as ({_events_pipe("ts < timestamp '2024-01-30 12:00:00'")}),
 b as ({_events_pipe("ts >= timestamp '2024-01-30 12:00:00'")})
-select * from a where not exists (select 1 from b where b.id = a.id)
+select * from a where not exists (select 1 from b where b.user_id = a.user_id)
 union all select * from b""",
     "recipe_full_struct_guarded": f"""
 with a as ({_events_pipe("ts >= timestamp '2024-01-15'")}),
 b as ({_events_pipe("ts < timestamp '2024-01-20'")})
-select * from a where not exists (select 1 from b where b.id = a.id and b.dt_updated >= a.dt_updated)
+select * from a where not exists (select 1 from b where b.user_id = a.user_id and b.happened_at >= a.happened_at)
 union all select * from b""",
     "recipe_rolling_struct_replace": f"""
 with a as ({_events_pipe("ts >= timestamp '2024-01-01'")}),
-b as ({_events_pipe("ts >= timestamp '2024-01-26'")})
-select * from a where not exists (select 1 from b where b.id = a.id)
+b as ({_events_pipe("ts >= timestamp '2024-01-30'")})
+select * from a where not exists (select 1 from b where b.user_id = a.user_id)
 union all select * from b""",
     "config_batch": f"""
-select 'contacts' as destination, id, label as a, cast(event_id as varchar) as b from ({_events_pipe("true")})
-union all
-select 'deal_pipelines', order_no, urgency, cast(line_no as varchar) from ({_orders_published(_orders_pipe(RAW_ORDERS_FLAT))})""",
+select 'contacts' as destination, *, null as order_no, null as line_no, null as customer_no, null as supplier_no, null as urgency,
+       null as quantity, null as net_price, null as charged, null as price_class, null as ordered_at, null as days_to_ship
+from ({_events_pipe("true")})
+union all by name
+select 'deal_pipelines' as destination, * from ({_charges_published(_charges(RAW_ORDERS_FLAT))})""",
     "incremental_upsert": LATEST_EVENT,
+    "incremental_catalog_table": LATEST_EVENT,
 }

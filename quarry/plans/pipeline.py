@@ -15,6 +15,7 @@ import datetime as dt
 import json
 import os
 from collections.abc import Iterable, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,13 @@ from ..operators.dedup import deduplicate
 from ..operators.flatten import coalesce_choice, flatten_all, flatten_struct
 from ..operators.conform import conform
 from ..operators.mapping import apply_mapping, parse_mapping
-from ..operators.projection import sql_projection
+from ..operators.projection import named_projection, sql_projection
 from ..operators.quality import check_row_count
-from ..sinks.publish import full_refresh, publish_upsert, read_bucketed
-from ..sources.descriptor import descriptor_sql
-from ..sources.scan import read_parquet_glob, read_rolling, read_table
+from ..sinks.publish import committed_batch, full_refresh, publish_upsert, read_bucketed
+from ..sources.descriptor import descriptor_sql, load_descriptor, read_with_descriptor
+from ..sources.drift import read_drifting
+from ..sources.scan import read_parquet_glob, read_rolling, read_split_settings, read_table
+from ..streaming.bookmark import process_new_table_files
 from ..streaming.incremental import process_new_files
 
 
@@ -52,14 +55,17 @@ class PipelineConfig:
     rolling_days: int = 1
     rolling_mode: str = "date"
     as_of: dt.date | None = None
-    buckets: int | None = None        # None: the table's own, 64 for a new one
+    buckets: int | None = None        # None: the table's own; of a new one, by the bytes of its first load
     latest_by: list = field(default_factory=list)  # with keep_latest: told apart by these among equal dates
     checkpoint: str | None = None     # bookmark of scan="incremental" (default: below the destination)
+    late_files: str = "error"         # incremental with upsert="replace": "error" | "replace" (what arrives last stays, though older)
+    slice_elements: int | None = None  # flatten="all": longer arrays are cut and dealt over tasks first
+    split_bytes: int | None = None    # S4: files are packed into read splits of this size
     tie_break: list = field(default_factory=list)
     coalesce: list = field(default_factory=list)  # type-choice fields collapsed after flattening
     target_ddl: str | None = None     # K3/K4: conform to this schema before publishing
     on_extra: str = "error"           # "error" | "drop" | "evolve"
-    key_check: str = "report"         # K8 on the incoming rows: "off" | "report" | "strict" (fail before publishing)
+    key_check: str = "report"         # K8 on the merged buckets: "off" | "report" | "strict" (fail before publishing)
     require_rows: bool = False        # A1 on the incoming rows: fail an empty load
 
 
@@ -137,7 +143,7 @@ def config_from_entry(entry: Mapping, folder: str | None = None, warehouse: str
         mapping=parse_mapping(_maybe_file(entry["schema"], json.loads)) if entry.get("schema") else [],
         sql=_sql_text(entry.get("sql")))
     for k in ("scan", "flatten", "upsert", "latest_by", "checkpoint", "key", "guarded_by", "keep_latest", "scan_format", "rolling_days", "rolling_mode", "buckets",
-              "tie_break", "target_ddl", "on_extra", "coalesce", "key_check", "require_rows"):
+              "tie_break", "target_ddl", "on_extra", "coalesce", "key_check", "require_rows", "late_files", "slice_elements", "split_bytes"):
         if k in entry:
             kw[k] = entry[k]
     if entry.get("as_of"):
@@ -190,7 +196,7 @@ def transform(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     if cfg.flatten == "struct":
         df = flatten_struct(df)
     elif cfg.flatten == "all":
-        df = flatten_all(df)
+        df = flatten_all(df, slice_elements=cfg.slice_elements)
     for choice in cfg.coalesce:
         df = coalesce_choice(df, choice)
     df = deduplicate(df, cfg.dedup, cfg.tie_break)
@@ -203,24 +209,50 @@ def transform(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return df
 
 
+@contextmanager
+def _split_settings(spark: SparkSession, split_bytes: int | None):
+    """S4 for the plans that run inside: Spark's split packing is a session setting."""
+    wanted = read_split_settings(split_bytes, open_cost_bytes=min(split_bytes, 8 << 20)) if split_bytes else {}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig, source: DataFrame | None = None) -> DataFrame:
     """Run one pipeline end to end and return the published table.  With
     ``scan="incremental"``, only files that the bookmark has not seen are read,
-    each micro-batch published on its own."""
-    if cfg.scan == "incremental" and source is None:
-        shape = read_table(spark, cfg.origin, cfg.scan_format).schema
-        bookmark = cfg.checkpoint or f"{cfg.destination.rstrip('/')}/_bookmark"
-        process_new_files(spark, cfg.origin, shape, bookmark, lambda df, _: publish(spark, cfg, transform(df, cfg)), cfg.scan_format)
-        empty = transform(spark.createDataFrame([], shape), cfg)
-        return read_bucketed(spark, cfg.destination, schema=empty.schema)
-    df = transform(source if source is not None else scan(spark, cfg), cfg)
-    publish(spark, cfg, df)
-    return read_bucketed(spark, cfg.destination)
-
-
-def publish(spark: SparkSession, cfg: PipelineConfig, df: DataFrame) -> dict:
+    each batch published on its own, exactly once."""
+    with _split_settings(spark, cfg.split_bytes):
+        if cfg.scan == "incremental" and source is None:
+            return _run_incremental(spark, cfg)
+        df = transform(source if source is not None else scan(spark, cfg), cfg)
+        publish(spark, cfg, df)
+        return read_bucketed(spark, cfg.destination)
+
+
+def _run_incremental(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    if cfg.upsert == "replace" and cfg.late_files != "replace":
+        raise ValueError(f"{cfg.destination}: with scan='incremental', upsert='replace' lets an older file that arrives late replace "
+                         "newer rows; use upsert='guarded' with keep_latest, or late_files='replace' where arrival order is meant")
+    bookmark = cfg.checkpoint or f"{cfg.destination.rstrip('/')}/_bookmark"
+    handle = lambda df, batch: publish(spark, cfg, transform(df, cfg), batch)
+    shape = read_table(spark, cfg.origin, cfg.scan_format).schema
+    if cfg.scan_format == "table":
+        process_new_table_files(spark, cfg.origin, bookmark, lambda stream: committed_batch(spark, cfg.destination, stream), handle)
+    else:
+        process_new_files(spark, cfg.origin, shape, bookmark, handle, cfg.scan_format)
+    empty = transform(spark.createDataFrame([], shape), cfg)
+    return read_bucketed(spark, cfg.destination, schema=empty.schema)
+
+
+def publish(spark: SparkSession, cfg: PipelineConfig, df: DataFrame, batch: tuple[str, int] | None = None) -> dict:
     """Conform the transformed rows and upsert them; the checks run on the
-    written stage, before anything is published."""
+    written rows, before anything is published."""
     not_null = []
     if cfg.target_ddl:
         shape = target_schema(cfg.target_ddl)
@@ -229,7 +261,7 @@ def publish(spark: SparkSession, cfg: PipelineConfig, df: DataFrame) -> dict:
     return publish_upsert(spark, df, cfg.destination, key=cfg.key, buckets=cfg.buckets,
                           guarded_by=cfg.guarded_by if cfg.upsert == "guarded" else None, keep_latest=cfg.keep_latest,
                           tie_break=cfg.latest_by, on_extra="evolve" if cfg.on_extra == "evolve" else "error",
-                          not_null=not_null, require_rows=cfg.require_rows, key_check=cfg.key_check)
+                          not_null=not_null, require_rows=cfg.require_rows, key_check=cfg.key_check, batch=batch)
 
 
 def target_schema(ddl: str) -> StructType:
@@ -252,10 +284,22 @@ def run_batch(spark: SparkSession, document: str | Mapping, folder: str | None =
 
 
 def load_curated(spark: SparkSession, pattern: str | Iterable[str], destination: str,
-                 sort_key: str | None = None) -> DataFrame:
-    """PL2: Parquet glob (S8) → row-count gate (A1) → full refresh (K6)."""
-    df = read_parquet_glob(spark, pattern if isinstance(pattern, str) else list(pattern))
+                 sort_key: str | None = None, on_drift: str = "error") -> DataFrame:
+    """PL2: Parquet glob (S8) → row-count gate (A1) → full refresh (K6).
+    ``on_drift="choice"`` joins the types of files that disagree (``sources/drift.py``)."""
+    read = read_drifting if on_drift == "choice" else read_parquet_glob
+    df = read(spark, pattern if isinstance(pattern, str) else list(pattern))
     # The gate comes first: an empty load must not replace a good table.
     check_row_count(df)
     full_refresh(df, destination, sort_key=sort_key)
     return spark.read.parquet(destination)
+
+
+def query_descriptor(spark: SparkSession, source: str, descriptor: str | Mapping, frame: str, fmt: str = "json") -> DataFrame:
+    """PL3: descriptor → schema → query.  The files of ``source`` read with the
+    descriptor's declared schema (S6), under the name ``frame`` in its stored SELECT (P5)."""
+    described = load_descriptor(descriptor)
+    sql = descriptor_sql(described)
+    if not sql:
+        raise ValueError("the descriptor has no query under 'sql'")
+    return named_projection({frame: read_with_descriptor(spark, source, described, fmt)}, sql)

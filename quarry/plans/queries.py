@@ -8,7 +8,9 @@ column names match the DuckDB oracle in ``oracles.py``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +26,12 @@ from ..operators.quality import key_constraint_report, row_count_gate
 from ..operators.upsert import upsert_guarded, upsert_replace
 from ..session import run_path
 from ..sinks.publish import full_refresh, publish_upsert, read_bucketed, write_bucketed
-from ..sources.descriptor import descriptor_schema, descriptor_sql, read_with_descriptor
-from ..sources.scan import add_date_partitions, read_parquet_glob, read_rolling, read_table
-from ..sources.zones import ingest_zone
+from ..sources.descriptor import descriptor_schema, descriptor_sql
+from ..sources.scan import read_parquet_glob, read_rolling, read_table
+from ..sources.zones import ingest_zone, load_zone
 from ..streaming.incremental import incremental_upsert
-from .pipeline import PipelineConfig, RECIPES, load_curated, run_batch, run_pipeline, transform
+from .pipeline import (PipelineConfig, RECIPES, config_from_entry, load_curated, query_descriptor, run_batch, run_pipeline,
+                       transform)
 
 
 def _utc(spark: SparkSession) -> None:
@@ -66,7 +69,7 @@ def _rolling(mode):
 
 
 EVENT_DESCRIPTOR = {"event_id": "long", "event_type": "string", "props": {"k": "long"},
-                    "sql": "select event_id, event_type, props.k as k from teste"}
+                    "sql": "select event_id, event_type, props.k as k from events"}
 
 
 def q_schema_from_descriptor(spark, sf):
@@ -75,7 +78,7 @@ def q_schema_from_descriptor(spark, sf):
     parsed = ev.select(F.col("event_id").try_cast(st["event_id"].dataType).alias("event_id"),
                        F.col("event_type"),
                        F.from_json(F.col("props"), st["props"].dataType).alias("props"))
-    return named_projection({"teste": parsed}, descriptor_sql(EVENT_DESCRIPTOR))
+    return named_projection({"events": parsed}, descriptor_sql(EVENT_DESCRIPTOR))
 
 
 def q_descriptor_json_read(spark, sf):
@@ -86,8 +89,7 @@ def q_descriptor_json_read(spark, sf):
     ev = fx.table(spark, sf, "events")
     (ev.select("event_id", "event_type", F.from_json("props", "k bigint").alias("props"))
        .write.mode("overwrite").json(landing))
-    df = read_with_descriptor(spark, landing, EVENT_DESCRIPTOR)
-    return named_projection({"teste": df}, descriptor_sql(EVENT_DESCRIPTOR))
+    return query_descriptor(spark, landing, EVENT_DESCRIPTOR, "events")
 
 
 def q_zone_ingest(spark, sf):
@@ -110,6 +112,22 @@ def q_zone_ingest(spark, sf):
     return out
 
 
+def q_zone_rejects(spark, sf):
+    """S7 with records that do not fit: the zone's rows, and the customers whose
+    records lie in quarantine, read from their text."""
+    root = run_path(spark, "damaged")
+    landing = fx.write_damaged_zone(spark, sf, f"{root}/landing")
+    schema = fx.table(spark, sf, "customer").schema
+    load = load_zone(spark, {"customer": landing}, f"{root}/processing", {"customer": schema}, max_reject_share=0.9)["customer"]
+    out = load.table.select(F.lit("zone").alias("place"), "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    if load.rejected:
+        key = F.regexp_extract("record", r'"c_custkey":(\d+)', 1).cast("long")
+        none = lambda c: F.lit(None).cast(schema[c].dataType).alias(c)
+        bad = spark.read.parquet(load.rejects).select(F.lit("rejects").alias("place"), key.alias("c_custkey"), none("c_name"), none("c_nationkey"), none("c_acctbal"))
+        out = out.unionAll(bad)
+    return out
+
+
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
@@ -119,6 +137,26 @@ def q_curated_refresh(spark, sf):
     return out.select(*ORDER_COLS)
 
 
+def q_curated_drift(spark, sf):
+    """S8/PL2 over drops whose types differ: the key's choice is collapsed."""
+    src = fx.write_drifting_files(spark, sf, run_path(spark, "drift_src"))
+    out = load_curated(spark, f"{src}/drop=*/*.parquet", run_path(spark, "drift"), on_drift="choice")
+    return coalesce_choice(flatten_struct(out), "o_orderkey").select(*ORDER_COLS)
+
+
+def q_refresh_survives_failure(spark, sf):
+    """K6: a refresh that fails while it writes leaves the table as it was."""
+    path = run_path(spark, "orders_refreshed")
+    orders = fx.table(spark, sf, "orders")
+    full_refresh(orders, path, sort_key="o_orderkey")
+    half = F.when(F.col("o_orderstatus") == "F", F.raise_error(F.lit("the source broke off"))).otherwise(F.lit("new"))
+    try:
+        full_refresh(orders.withColumn("o_orderpriority", half), path, sort_key="o_orderkey")
+    except PySparkException:
+        return spark.read.parquet(path).select(*ORDER_COLS)
+    raise AssertionError("the broken refresh went through")
+
+
 def q_row_count_gate(spark, sf):
     src = fx.write_curated_files(spark, sf, run_path(spark, "curated_src"))
     return row_count_gate(read_parquet_glob(spark, f"{src}/drop=*/*.parquet"))
@@ -134,6 +172,12 @@ def q_flatten_all(spark, sf):
     return flatten_all(fx.raw_orders(spark, sf))
 
 
+def q_flatten_sliced(spark, sf):
+    """P2 with arrays cut into slices that are dealt over tasks before they are
+    exploded, their product included."""
+    return flatten_all(fx.long_arrays(spark, sf), slice_elements=16)
+
+
 def q_flatten_two_arrays(spark, sf):
     return flatten_all(fx.multi_array(spark, sf)).drop("m")
 
@@ -307,74 +351,75 @@ def q_target_layout(spark, sf):
 # ------------------------------------------------------------------ pipelines
 
 EVENTS_MAPPING = [
-    ("_raw_data_userId", "string", "id", "bigint"),
+    ("_raw_data_userId", "string", "user_id", "bigint"),
     ("_raw_data_event_id", "long", "event_id", "bigint"),
-    ("_raw_data_event_type", "string", "label", "string"),
+    ("_raw_data_event_type", "string", "kind", "string"),
     ("_raw_data_event_value", "double", "value", "double"),
-    ("_raw_data_event_at", "string", "dt_updated", "long"),
-    ("_emitted_at", "long", "dt_extraction", "long"),
+    ("_raw_data_event_at", "string", "at_ms", "long"),
+    ("_emitted_at", "long", "emitted_ms", "long"),
 ]
 EVENTS_SQL = """
-select id, event_id, label, value,
-       cast(from_unixtime(dt_updated/1000) as timestamp_ntz) as dt_updated,
-       from_unixtime(dt_extraction/1000) as dt_extraction
+select user_id, event_id, kind, value, cast(from_unixtime(at_ms/1000) as timestamp_ntz) as happened_at,
+       from_unixtime(emitted_ms/1000) as emitted_text
 from table;
 """
 EVENTS_DEDUP = [{"partitionby": ["_raw_data_userId"], "orderby": ["_emitted_at", "_raw_data_event_id"]}]
-EVENTS_REGEX = [{"field": "label", "pattern": "^(ERROR|SIGNUP)$", "replacement": "ALERT_$1"}]
+EVENTS_REGEX = [{"field": "kind", "pattern": "^(ERROR|SIGNUP)$", "replacement": "ALERT_$1"}]
 
-ORDERS_PIPE_MAPPING = [
+# What a customer is charged per order line, and how long it took to ship.
+CHARGES_MAPPING = [
     ("_raw_data_orderId", "string", "order_no", "bigint"),
-    ("_raw_data_lines_lineNumber", "string", "line_no", "bigint"),
-    ("_raw_data_createdAt", "string", "placed_ms", "long"),
-    ("_raw_data_updatedAt", "string", "changed_ms", "long"),
-    ("_raw_data_lines_shippedAt_long", "long", "shipped_ms", "long"),
-    ("_emitted_at", "long", "seen_ms", "long"),
-    ("_raw_data_lines_price", "double", "amount", "double"),
-    ("_raw_data_lines_returnFlag", "string", "return_mark", "string"),
+    ("_raw_data_lines_lineNumber", "string", "line_no", "int"),
+    ("_raw_data_custId", "long", "customer_no", "bigint"),
+    ("_raw_data_lines_suppKey", "long", "supplier_no", "bigint"),
+    ("_raw_data_lines_quantity", "double", "quantity", "double"),
+    ("_raw_data_lines_price", "double", "list_price", "double"),
+    ("_raw_data_lines_discount", "double", "discount", "double"),
+    ("_raw_data_lines_tax", "double", "tax", "double"),
     ("_raw_data_priority", "string", "urgency", "string"),
-    ("_raw_data_status", "string", "state", "string"),
-    ("_raw_data_active", "boolean", "is_open", "boolean"),
+    ("_raw_data_createdAt", "string", "ordered_ms", "bigint"),
+    ("_raw_data_lines_shippedAt_long", "long", "shipped_ms", "bigint"),
 ]
-ORDERS_PIPE_SQL = """
-select order_no, line_no, cast(from_unixtime(placed_ms/1000) as timestamp_ntz) as placed_at,
-    cast(from_unixtime(changed_ms/1000) as timestamp_ntz) as changed_at,
-    cast(from_unixtime(shipped_ms/1000) as timestamp_ntz) as shipped_at,
-    amount, return_mark, urgency, state, is_open, from_unixtime(seen_ms/1000) as seen_at
+CHARGES_SQL = """
+select order_no, line_no, customer_no, supplier_no, urgency, quantity,
+       list_price * (1 - discount) as net_price,
+       list_price * (1 - discount) * (1 + tax) as charged,
+       case when discount >= 0.05 then 'reduced' else 'full' end as price_class,
+       cast(from_unixtime(ordered_ms/1000) as timestamp_ntz) as ordered_at,
+       floor((shipped_ms - ordered_ms) / 86400000) as days_to_ship,
+       tax
 from table
 """
-ORDERS_PIPE_DEDUP = [{"partitionby": ["_raw_data_orderId", "_raw_data_lines_lineNumber"],
-                      "orderby": ["_emitted_at", "_raw_data_lines_shippedAt_long"],
-                      "tie_break": ["_raw_data_lines_partKey", "_raw_data_lines_suppKey", "_raw_data_lines_price",
-                                    "_raw_data_lines_quantity", "_raw_data_lines_returnFlag",
-                                    "_raw_data_lines_shippedAt_string"]}]
-ORDERS_PIPE_REGEX = [{"field": "urgency", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
-# The published table: no ``state`` column (the SELECT yields one more column
-# than the table declares), a 12-character urgency, and ``seen_at`` declared as a
-# timestamp although the SELECT yields text.
-ORDERS_PIPE_TARGET = ("order_no bigint NOT NULL, line_no bigint, placed_at timestamp_ntz, changed_at timestamp_ntz, "
-                      "shipped_at timestamp_ntz, amount double, return_mark varchar(1), urgency varchar(12), "
-                      "is_open boolean, seen_at timestamp_ntz")
-
-
-def orders_pipeline_config(destination: str, origin: str = "") -> PipelineConfig:
-    return PipelineConfig(origin=origin, destination=destination, dedup=ORDERS_PIPE_DEDUP,
-                          mapping=ORDERS_PIPE_MAPPING, sql=ORDERS_PIPE_SQL, capitalize=["urgency"],
-                          regex=ORDERS_PIPE_REGEX, key="order_no", target_ddl=ORDERS_PIPE_TARGET, on_extra="drop",
+CHARGES_DEDUP = [{"partitionby": ["_raw_data_orderId", "_raw_data_lines_lineNumber"],
+                  "orderby": ["_emitted_at", "_raw_data_lines_shippedAt_long"],
+                  "tie_break": ["_raw_data_lines_partKey", "_raw_data_lines_suppKey", "_raw_data_lines_price",
+                                "_raw_data_lines_quantity", "_raw_data_lines_discount", "_raw_data_lines_tax",
+                                "_raw_data_lines_returnFlag", "_raw_data_lines_shippedAt_string"]}]
+CHARGES_REGEX = [{"field": "urgency", "pattern": r"^(\d)-(.*)$", "replacement": "$2 ($1)"}]
+# The published table has no ``tax`` (``charged`` includes it), a price class of two
+# letters, and whole numbers of items and days.
+CHARGES_TARGET = ("order_no bigint NOT NULL, line_no int, customer_no bigint, supplier_no bigint, urgency varchar(12), "
+                  "quantity int, net_price double, charged double, price_class varchar(2), ordered_at timestamp_ntz, days_to_ship int")
+
+
+def charges_pipeline_config(destination: str, origin: str = "") -> PipelineConfig:
+    return PipelineConfig(origin=origin, destination=destination, dedup=CHARGES_DEDUP,
+                          mapping=CHARGES_MAPPING, sql=CHARGES_SQL, capitalize=["urgency", "price_class"],
+                          regex=CHARGES_REGEX, key="order_no", target_ddl=CHARGES_TARGET, on_extra="drop",
                           **RECIPES["full_all_replace"])
 
 
 def events_pipeline_config(destination: str, recipe: str, origin: str = "", **kw) -> PipelineConfig:
     return PipelineConfig(origin=origin, destination=destination, dedup=EVENTS_DEDUP, mapping=EVENTS_MAPPING,
-                          sql=EVENTS_SQL, capitalize=["label"], regex=EVENTS_REGEX, key="id",
-                          guarded_by="dt_updated", **RECIPES[recipe], **kw)
+                          sql=EVENTS_SQL, capitalize=["kind"], regex=EVENTS_REGEX, key="user_id",
+                          guarded_by="happened_at", **RECIPES[recipe], **kw)
 
 
 def nested_orders_flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The minimum slice: envelope → flatten_all → dedup → mapping → SQL →
     capitalize → regex (what gets published)."""
     _utc(spark)
-    return transform(fx.raw_orders(spark, sf), orders_pipeline_config(destination=""))
+    return transform(fx.raw_orders(spark, sf), charges_pipeline_config(destination=""))
 
 
 def q_recipe_full_all_replace(spark, sf):
@@ -384,7 +429,7 @@ def q_recipe_full_all_replace(spark, sf):
     _utc(spark)
     raw_path = run_path(spark, "raw_orders")
     fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_path)
-    cfg = orders_pipeline_config(run_path(spark, "deal_like") + "/table", origin=raw_path)
+    cfg = charges_pipeline_config(run_path(spark, "deal_like") + "/table", origin=raw_path)
     run_pipeline(spark, cfg)
     # Second drop: open orders re-emitted a day later, escalated to urgent.
     reopened = (spark.read.parquet(raw_path).where(F.col("_raw_data.status") == "O")
@@ -425,24 +470,27 @@ def q_recipe_full_struct_guarded(spark, sf):
 def q_recipe_rolling_struct_replace(spark, sf):
     """Recipe (rolling scan, flatten_struct, replace): the envelope stored by
     day; first run as of Jan 10 looking back 9 days, second as of Jan 31
-    looking back 5 days."""
+    looking back 1 day.  Users without an event on the last day keep their row."""
     _utc(spark)
-    origin = run_path(spark, "raw_events_by_day")
-    raw = fx.raw_events(spark, sf)
-    (add_date_partitions(raw.withColumn("__ts", F.timestamp_millis("_emitted_at")), "__ts").drop("__ts")
-        .write.mode("overwrite").partitionBy("partition_0", "partition_1", "partition_2").parquet(origin))
+    raw = fx.raw_events(spark, sf).withColumn("__ts", F.timestamp_millis("_emitted_at"))
+    origin = fx.write_by_day(raw, "__ts", run_path(spark, "raw_events_by_day"))
     dest = run_path(spark, "companies_like") + "/table"
     first = events_pipeline_config(dest, "rolling_struct_replace", origin=origin, rolling_days=9,
                                    as_of=dt.date(2024, 1, 10))
-    second = events_pipeline_config(dest, "rolling_struct_replace", origin=origin, rolling_days=5,
+    second = events_pipeline_config(dest, "rolling_struct_replace", origin=origin, rolling_days=1,
                                     as_of=dt.date(2024, 1, 31))
     # The partition columns come back with the envelope; the mapping drops them.
     run_pipeline(spark, first)
     return run_pipeline(spark, second)
 
 
+def _entry_schema(mapping):
+    return {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in mapping]}
+
+
 def q_config_batch(spark, sf):
-    """PL1: a config document with two entries dispatched by flow name."""
+    """PL1: a config document with two entries dispatched by flow name; every
+    column of both published tables."""
     _utc(spark)
     raw_orders_path = run_path(spark, "raw_orders")
     fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_orders_path)
@@ -450,22 +498,15 @@ def q_config_batch(spark, sf):
     fx.raw_events(spark, sf).write.mode("overwrite").parquet(raw_events_path)
     dest = run_path(spark, "batch")
     doc = {"conf": [
-        {"origin_table": raw_events_path, "destination_table": f"{dest}/contacts", "flow": "flow",
-         "deduplicate": EVENTS_DEDUP, "capitalize": ["label"], "capitalizeword": EVENTS_REGEX,
-         "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in EVENTS_MAPPING]},
-         "sql": EVENTS_SQL},
+        {"origin_table": raw_events_path, "destination_table": f"{dest}/contacts", "flow": "flow", "key": "user_id",
+         "deduplicate": EVENTS_DEDUP, "capitalize": ["kind"], "capitalizeword": EVENTS_REGEX,
+         "schema": _entry_schema(EVENTS_MAPPING), "sql": EVENTS_SQL},
         {"origin_table": raw_orders_path, "destination_table": f"{dest}/deal_pipelines", "flow": "flow3",
-         "key": "order_no", "deduplicate": ORDERS_PIPE_DEDUP, "capitalize": ["urgency"], "capitalizeword": ORDERS_PIPE_REGEX,
-         "schema": {"schema": [{"Name": a, "Type": b, "NameTo": c, "TypeTo": d} for a, b, c, d in ORDERS_PIPE_MAPPING]},
-         "sql": ORDERS_PIPE_SQL, "target_ddl": ORDERS_PIPE_TARGET, "on_extra": "drop"},
+         "key": "order_no", "deduplicate": CHARGES_DEDUP, "capitalize": ["urgency", "price_class"], "capitalizeword": CHARGES_REGEX,
+         "schema": _entry_schema(CHARGES_MAPPING), "sql": CHARGES_SQL, "target_ddl": CHARGES_TARGET, "on_extra": "drop"},
     ]}
-    tables = run_batch(spark, doc)
-    # Rows of both tables, each as text, so that wrong contents show.
-    rows = [df.select(F.lit(name.rsplit("/", 1)[-1]).alias("destination"), F.col(key).alias("id"),
-                      *[F.col(c).cast("string").alias(n) for c, n in cols])
-            for (name, df), (key, cols) in zip(tables.items(), (
-                ("id", (("label", "a"), ("event_id", "b"))), ("order_no", (("urgency", "a"), ("line_no", "b")))))]
-    return rows[0].unionByName(rows[1])
+    tables = [df.withColumn("destination", F.lit(name.rsplit("/", 1)[-1])) for name, df in run_batch(spark, doc).items()]
+    return tables[0].unionByName(tables[1], allowMissingColumns=True)
 
 
 # ------------------------------------------------------------------ incremental
@@ -483,6 +524,26 @@ def q_incremental_upsert(spark, sf):
     return read_bucketed(spark, target).select(*schema.names)
 
 
+def q_incremental_catalog_table(spark, sf):
+    """S5 over a catalog table: events arrive as files of an external table, newest
+    drop first; each run reads the files that its bookmark has not seen."""
+    landing, name = run_path(spark, "events_feed"), f"events_feed_{uuid.uuid4().hex}"
+    drops = list(reversed(fx.events_drops(spark, sf, 3)))
+    entry = {"origin_table": name, "glue_database": spark.catalog.currentDatabase(), "destination_table": run_path(spark, "feed_latest") + "/table",
+             "scan": "incremental", "flatten": "none", "upsert": "guarded", "key": "user_id", "guarded_by": "ts", "keep_latest": True,
+             "latest_by": ["event_id"], "deduplicate": [{"partitionby": ["user_id"], "orderby": ["ts", "event_id"]}]}
+    out = None
+    try:
+        for drop in drops:
+            drop.write.mode("append").parquet(landing)
+            if out is None:
+                spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{landing}'")
+            out = run_pipeline(spark, config_from_entry(entry))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out
+
+
 _REGISTERED = {
     "scan_catalog": q_scan_catalog,
     "scan_small_files": q_scan_small_files,
@@ -491,11 +552,15 @@ _REGISTERED = {
     "schema_from_descriptor": q_schema_from_descriptor,
     "descriptor_json_read": q_descriptor_json_read,
     "zone_ingest": q_zone_ingest,
+    "zone_rejects": q_zone_rejects,
     "curated_refresh": q_curated_refresh,
+    "curated_drift": q_curated_drift,
+    "refresh_survives_failure": q_refresh_survives_failure,
     "row_count_gate": q_row_count_gate,
     "flatten_struct": q_flatten_struct,
     "flatten_all": q_flatten_all,
     "flatten_two_arrays": q_flatten_two_arrays,
+    "flatten_sliced": q_flatten_sliced,
     "type_choice_coalesce": q_type_choice,
     "dedup_latest_event": q_dedup_latest_event,
     "dedup_sequential": q_dedup_sequential,
@@ -522,6 +587,7 @@ _REGISTERED = {
     "recipe_rolling_struct_replace": q_recipe_rolling_struct_replace,
     "config_batch": q_config_batch,
     "incremental_upsert": q_incremental_upsert,
+    "incremental_catalog_table": q_incremental_catalog_table,
 }
 
 

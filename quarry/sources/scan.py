@@ -15,6 +15,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from ..functions.times import cutoff_parts
 
@@ -44,28 +45,42 @@ def read_partitioned(spark: SparkSession, source: str, predicate: str | Column,
 
 
 def rolling_predicate(days: int, as_of: dt.date, mode: str = "date",
-                      keys: tuple[str, str, str] = PARTITION_KEYS) -> Column:
+                      keys: tuple[str, str, str] = PARTITION_KEYS, schema=None) -> Column:
     """S3/F2: rows whose (year, month, day) partition is on or after
     ``as_of - days``.
 
     ``mode="componentwise"`` reproduces the original predicate
     ``p0 >= Y AND p1 >= M AND p2 >= D`` which compares each part on its own
     and so drops e.g. 2022-03-01 for a cutoff of 2022-02-28.
-    ``mode="date"`` compares real dates (``make_date(p0, p1, p2) >= cutoff``);
-    both forms prune partitions.
+    ``mode="date"`` is the window as prefixes of a date: later years, or later
+    months of the cutoff's year, or its month from the cutoff's day on.  Each is a
+    plain comparison of partition columns in their own type (``schema``), so a metastore
+    prunes by all of them before any listing.  Both forms prune partitions.
     """
     y, m, d = cutoff_parts(as_of, days)
-    p0, p1, p2 = (F.col(k) for k in keys)
     if mode == "componentwise":
+        p0, p1, p2 = (F.col(k) for k in keys)
         return (p0 >= F.lit(int(y))) & (p1 >= F.lit(int(m))) & (p2 >= F.lit(int(d)))
     if mode == "date":
-        cutoff = dt.date(int(y), int(m), int(d))
-        exact = F.make_date(p0.cast("int"), p1.cast("int"), p2.cast("int")) >= F.lit(cutoff)
-        # A metastore can prune by the year alone; the date then decides.
-        return (p0.cast("int") >= F.lit(int(y))) & exact
+        later, same = zip(*[_from(k, int(v), last, schema) for k, v, last in zip(keys, (y, m, d), (9999, 12, 31))])
+        return later[0] | (same[0] & later[1]) | (same[0] & same[1] & (later[2] | same[2]))
     raise ValueError(f"unknown rolling mode {mode!r}")
 
 
+def _from(key: str, value: int, last: int, schema) -> tuple[Column, Column]:
+    """(greater than, equal to) ``value`` of one part of a date.  Text is compared
+    with the texts of the numbers, with and without a leading zero."""
+    part, kind = F.col(key), schema[key].dataType if schema is not None else None
+    if not isinstance(kind, StringType):
+        part = part if isinstance(kind, IntegralType) else part.cast("int")
+        return part > F.lit(value), part == F.lit(value)
+    texts = lambda n: sorted({str(n), f"{n:02d}"})
+    if last == 9999:
+        return part > F.lit(str(value)), part == F.lit(str(value))
+    later = [t for n in range(value + 1, last + 1) for t in texts(n)]
+    return part.isin(later) if later else F.lit(False), part.isin(texts(value))
+
+
 # Fixed value: the text form of the original rolling predicate, with
 # zero-padded year, month and day literals.
 ROLLING_PREDICATE_FORMAT = "partition_0 >= {y} AND partition_1 >= {m} AND partition_2 >= {d}"
@@ -80,7 +95,8 @@ def rolling_predicate_sql(days: int, as_of: dt.date) -> str:
 def read_rolling(spark: SparkSession, source: str, days: int, as_of: dt.date, mode: str = "date",
                  fmt: str = "parquet") -> DataFrame:
     """S2 + S3 together: the last ``days`` days of a y/m/d-partitioned table."""
-    return read_partitioned(spark, source, rolling_predicate(days, as_of, mode), fmt)
+    df = read_table(spark, source, fmt)
+    return df.filter(rolling_predicate(days, as_of, mode, schema=df.schema))
 
 
 def add_date_partitions(df: DataFrame, ts: str) -> DataFrame:

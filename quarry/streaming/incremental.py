@@ -6,37 +6,28 @@ remembers which files were read, so the next run sees only new ones and a
 run with nothing new does nothing.  Each micro-batch goes through the same
 pipeline transform and is upserted with ``foreachBatch``.
 
-Exactly once: ``foreachBatch`` can replay a batch after a failure.  The
-guarded upsert with ``keep_latest`` is idempotent for non-null keys, and the
-batch id is also recorded next to the table after a successful publish so a
-replayed id is skipped.
+Exactly once: ``foreachBatch`` can replay a batch after a failure.  The number of
+a batch is kept in the target's pointer, committed by the same rename as its
+rows, so a replayed batch is not published again (not even its rows without a key,
+which no upsert would replace).  The numbers are those of the checkpoint, which has an
+id of its own: a new checkpoint on the same table starts a stream of its own.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import deduplicate
-from ..sinks.publish import _exists, publish_upsert
+from ..sinks.publish import publish_upsert
 
 
-def _marker(path: str, checkpoint: str, batch_id: int) -> str:
-    # Batch ids restart with a new checkpoint, so markers are per checkpoint.
-    stream = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-    return f"{path.rstrip('/')}/_batches/{stream}/{batch_id}"
-
-
-def _committed(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> bool:
-    return _exists(spark, _marker(path, checkpoint, batch_id))
-
-
-def _mark(spark: SparkSession, path: str, checkpoint: str, batch_id: int) -> None:
-    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").json(
-        _marker(path, checkpoint, batch_id))
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave a checkpoint when its stream first started."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
 
 def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType, target: str,
@@ -53,29 +44,27 @@ def incremental_upsert(spark: SparkSession, source_dir: str, schema: StructType,
     # Equal dates are told apart here as they are within a batch.
     ties = [c for c in (*specs[-1]["orderby"], *specs[-1].get("tie_break", [])) if c != date]
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if _committed(spark, target, checkpoint, batch_id):
-            return
-        df = transform(batch) if transform else batch
-        df = deduplicate(df, specs)
-        publish_upsert(spark, df, target, key=key, buckets=buckets, guarded_by=date, keep_latest=True, tie_break=ties)
-        _mark(spark, target, checkpoint, batch_id)
-        batches.append(batch_id)
+    def handle(rows: DataFrame, batch: tuple[str, int]) -> None:
+        df = deduplicate(transform(rows) if transform else rows, specs)
+        done = publish_upsert(spark, df, target, key=key, buckets=buckets, guarded_by=date, keep_latest=True, tie_break=ties, batch=batch)
+        if not done.get("skipped"):
+            batches.append(batch)
 
     process_new_files(spark, source_dir, schema, checkpoint, handle, fmt, max_files_per_trigger, reader_options)
     return len(batches)
 
 
 def process_new_files(spark: SparkSession, source_dir: str, schema: StructType, checkpoint: str,
-                      handle: Callable[[DataFrame, int], None], fmt: str = "parquet",
+                      handle: Callable[[DataFrame, tuple[str, int]], None], fmt: str = "parquet",
                       max_files_per_trigger: int | None = None, reader_options: dict | None = None) -> None:
-    """Hands the files that ``checkpoint`` has not seen yet to ``handle``, in
-    micro-batches, and stops."""
+    """Hands the rows of files that ``checkpoint`` has not seen yet to
+    ``handle(rows, (stream, number))``, in micro-batches, and stops."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (reader_options or {}).items():
         reader = reader.option(k, v)
-    query = (reader.load(source_dir).writeStream.foreachBatch(handle)
+    run = lambda rows, number: handle(rows, (stream_id(spark, checkpoint), number))
+    query = (reader.load(source_dir).writeStream.foreachBatch(run)
                    .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()

@@ -270,7 +270,7 @@ def test_incremental_scan_of_a_pipeline(spark, tmp_table):
     from quarry.plans.pipeline import PipelineConfig, run_pipeline
 
     origin, dest = tmp_table("landing"), tmp_table("inc") + "/t"
-    cfg = PipelineConfig(origin=origin, destination=dest, scan="incremental", flatten="none")
+    cfg = PipelineConfig(origin=origin, destination=dest, scan="incremental", flatten="none", late_files="replace")
     spark.createDataFrame([(1, "a")], "id long, v string").write.mode("append").parquet(origin)
     assert run_pipeline(spark, cfg).count() == 1
     spark.createDataFrame([(1, "b"), (2, "c")], "id long, v string").write.mode("append").parquet(origin)

@@ -33,4 +33,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert df.columns[:3] == ["order_no", "line_no", "placed_at"]
+    assert df.columns[:3] == ["order_no", "line_no", "customer_no"]
