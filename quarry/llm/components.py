@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.scratch import written
+from quarry.llm.scratch import remove, written
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     sign = None
     while True:
         # Done when a round changes nothing: then every node hangs on its least one.
-        now = written(_star(_star(now, True), False), "edges")
+        before, now = now, written(_star(_star(now, True), False), "edges")
+        remove(before)
         row = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if sign == tuple(row):
             break

@@ -8,6 +8,11 @@ bitmap signatures.
    of classes, hash); two sets of the wanted similarity must share one among
    the first |x| - ceil(t |x|) + 1 in that order, counting the unshared ones
    first.  A class whose unshared shingles alone fill that length has no partner.
+   Any order will do that all classes follow, so the hot shingles, which very
+   many classes hold, are not counted at all: they come last, by hash, and their
+   holders are dealt by class, not by shingle.  They are those that hold at least
+   ``HOT`` of a sample of the texts (one in ``SAMPLE``, by hash); at most ``MOST_HOT`` of
+   them, as the bound grows with the sample.  Which ones are found changes no result.
 3. Tiles are (shingle of that prefix, size band); sets of wanted similarity have
    sizes in the same or the next band.  First, each class is compared with the
    leader of a tile only, which contracts groups of near copies.  Then, in
@@ -23,7 +28,14 @@ tile, and is left out only where both ends are already linked through others.
 Defined cases: a null or empty text, or one without words, has the empty set and
 is linked with nothing; a text of fewer words than a shingle has its whole
 sequence as its one shingle; equal ids on several rows: each row gets its
-component, the least id among linked rows (null only if all ids are null).
+component, the least id among linked rows (null only if all ids are null); other
+columns play no part and pass through ``one_of_each``, but for names that begin with
+two underscores.
+
+Sets, classes and shingles are known by 64-bit hashes, shingles within a bucket by 48
+bits and the bucket.  With n distinct shingles the chance that any two meet is below
+n**2 / 2**55 with the least number of buckets (a hundred million: 0.3), and one such
+meeting changes a similarity by one shingle of a set; two of n sets meet with n**2 / 2**65.
 """
 
 from __future__ import annotations
@@ -35,8 +47,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import components
-from quarry.llm.scratch import map_texts, power_of_two, written
+from quarry.llm.scratch import give_back, map_texts, power_of_two, remove, with_values, written
 from quarry.llm.textkit import Words, chunks, mix, shingles
+from quarry.operators.upsert import salts
 
 PERCENT = 80           # least similarity in percent
 WORDS = 5              # words of a shingle
@@ -44,7 +57,10 @@ BUCKET_SHINGLES = 1 << 20   # about so many shingles are counted in one group
 LEADS = 2              # turns in which classes meet one leader each
 TILE_BLOCK = 1024      # classes of a tile that meet in one group
 MAP_WORDS = 16         # 64-bit words of a bitmap
-SALTS = 16             # parts of a class's rows in the last join
+SAMPLE = 64            # one text in so many is looked at for hot shingles
+HOT = 1024             # classes of the sample that hold a hot shingle, at least
+MOST_HOT = 1 << 20     # hot shingles at most
+LAST = 0xFFFFFFFF      # the place of a hot shingle in the order of counts
 _U = np.uint64
 
 
@@ -67,24 +83,48 @@ def _class_keys(n: int, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.
     return size, key
 
 
+def _class_values(words: int):
+    """Set size and class key of some texts."""
+    def values(texts: list[bytes]) -> list[np.ndarray]:
+        size, key = _class_keys(len(texts), *shingles(Words(texts, lower=True), words))
+        return [size.astype(np.int64), key.view(np.int64)]
+
+    return values
+
+
 def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, class_key) for every row of ``docs(doc_id, text)``."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("class_key", T.LongType())]
+    return with_values(docs.select("doc_id", "text"), _class_values(words), fields).drop("text")
 
+
+def hot_shingles(docs: DataFrame, words: int = WORDS) -> np.ndarray:
+    """The sorted hashes of the shingles that very many classes hold."""
     def run(batches):
         for rows, doc, h in _sets(batches, words):
-            size, key = _class_keys(rows.num_rows, doc, h)
-            ids = rows.column(rows.schema.get_field_index("doc_id"))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(size.astype(np.int64)), pa.array(key.view(np.int64))],
-                                             names=["doc_id", "n_shingles", "class_key"])
+            _, key = _class_keys(rows.num_rows, doc, h)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[doc].view(np.int64))], names=["shingle", "key"])
 
-    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, class_key long")
+    some = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    # Partial aggregation leaves one of a task's copies; the pairs are 1 / SAMPLE of all.
+    held = written(map_texts(some, run, "shingle long, key long").distinct().groupBy("shingle").agg(F.count("*").alias("n")), "held")
+    least = max(HOT, -(-(held.agg(F.sum("n")).first()[0] or 0) // MOST_HOT))
+    found = np.array([r["shingle"] for r in held.where(F.col("n") >= least).select("shingle").collect()], np.int64).view(_U)
+    remove(held)
+    return np.sort(found)
 
 
-def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
+def _tokens(low: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """The hash that a shingle is known by from its bucket on."""
+    return mix(low ^ mix(bucket.astype(_U)))
+
+
+def _deal(docs: DataFrame, words: int, buckets: int, hot: np.ndarray) -> DataFrame:
     """Shingles packed by bucket of their hash: (bucket, shingles, owners, sizes,
-    place of each shingle's owner); one row per bucket and some texts."""
+    place of each shingle's owner); one row per bucket and some texts.  The hot ones are
+    in buckets of their own, beyond the others, dealt by the class that holds them."""
     shift = _U(64 - buckets.bit_length() + 1)
+    shared = docs.sparkSession.sparkContext.broadcast(hot)      # at most ``MOST_HOT`` hashes
 
     def flush(parts):
         # Taken out of ``parts`` one by one, so that the pieces are let go.
@@ -97,14 +137,20 @@ def _deal(docs: DataFrame, words: int, buckets: int) -> DataFrame:
         doc, h = doc[live], h[live]
         del live
         bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
-        order = np.argsort(bucket.astype(np.uint16), kind="stable") if buckets <= 65536 else np.argsort(bucket, kind="stable")
+        warm = shared.value
+        is_hot = warm[np.minimum(np.searchsorted(warm, h), len(warm) - 1)] == h if len(warm) else np.zeros(len(h), bool)
+        h &= _U((1 << 48) - 1)
+        if is_hot.any():
+            h[is_hot] = _tokens(h[is_hot], bucket[is_hot])
+            bucket[is_hot] = buckets + (mix(key[doc[is_hot]]) % _U(buckets)).astype(np.int64)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable") if buckets <= 32768 else np.argsort(bucket, kind="stable")
         bucket, doc, h = bucket[order], doc[order], h[order]
         cut = np.flatnonzero(np.diff(bucket, prepend=-1))
         ends = np.append(cut[1:], len(h))
         columns = [[], [], [], [], []]
         for a, b in zip(cut, ends):
             own, place = np.unique(doc[a:b], return_inverse=True)
-            low = (h[a:b] & _U((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            low = h[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6 if bucket[a] < buckets else 8]
             place = place.astype("<u2") if len(own) <= 65535 else place.astype("<u4")
             for c, v in zip(columns, (int(bucket[a]), low.tobytes(), key[own].tobytes(), size[own].astype("<u4").tobytes(), place.tobytes())):
                 c.append(v)
@@ -135,23 +181,26 @@ _ENTRY = np.dtype([("key", "<u8"), ("token", "<u8"), ("size", "<u4"), ("df", "<u
 def _count_shared(table: pa.Table, dests: int) -> pa.Table:
     """Of one bucket, the (class, shingle) entries of shingles in two classes or
     more, packed by destination of the class."""
+    bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
+    bytes_ = 6 if bucket < dests else 8
     token, key, size = [], [], []
     for low, owner, sizes, place in zip(*[table.column(c).to_pylist() for c in ("low", "owner", "size", "place")]):
-        raw = np.frombuffer(low, np.uint8).reshape(-1, 6)
+        raw = np.frombuffer(low, np.uint8).reshape(-1, bytes_)
         wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :6] = raw
+        wide[:, :bytes_] = raw
         token.append(wide.view("<u8").ravel())
         at = np.frombuffer(place, "<u2" if len(place) == 2 * len(raw) else "<u4")
         key.append(np.frombuffer(owner, "<u8")[at])
         size.append(np.frombuffer(sizes, "<u4")[at])
     token, key, size = np.concatenate(token), np.concatenate(key), np.concatenate(size)
-    order = np.argsort(token)
-    t = token[order]
-    twin = np.zeros(len(t), bool)
-    twin[1:] = t[1:] == t[:-1]
-    twin[:-1] |= twin[1:]
-    order = order[twin]
-    token, key, size = token[order], key[order], size[order]
+    if bucket < dests:      # a hot shingle's other holders are elsewhere
+        order = np.argsort(token)
+        t = token[order]
+        twin = np.zeros(len(t), bool)
+        twin[1:] = t[1:] == t[:-1]
+        twin[:-1] |= twin[1:]
+        order = order[twin]
+        token, key, size = token[order], key[order], size[order]
     order = np.lexsort((key, token))
     token, key, size = token[order], key[order], size[order]
     fresh = np.ones(len(token), bool)       # the same class from several tasks
@@ -159,12 +208,11 @@ def _count_shared(table: pa.Table, dests: int) -> pa.Table:
     token, key, size = token[fresh], key[fresh], size[fresh]
     head = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
     df = np.diff(np.append(head, len(token)))
-    df = np.repeat(df, df)
-    bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
+    df = np.repeat(df, df) if bucket < dests else np.full(len(token), LAST)
     live = df >= 2
     entry = np.empty(int(live.sum()), _ENTRY)
     entry["key"], entry["size"], entry["df"] = key[live], size[live], df[live]
-    entry["token"] = mix(token[live] ^ mix(np.full(1, bucket, _U)))
+    entry["token"] = _tokens(token[live], np.full(1, bucket)) if bucket < dests else token
     dest = (mix(entry["key"]) % _U(dests)).astype(np.int64)
     order = np.lexsort((entry["key"], dest))
     entry, dest = entry[order], dest[order]
@@ -202,10 +250,21 @@ def shared_sets(docs: DataFrame, n_shingles: int, words: int = WORDS, percent: i
     """(key, size, shared, tokens, bits, prefix) of the classes that may have a
     partner.  ``n_shingles``: shingles of all rows, which sets the buckets."""
     buckets = power_of_two(n_shingles / BUCKET_SHINGLES, 64)
-    dealt = _deal(docs, words, buckets)
-    entries = dealt.groupBy("bucket").applyInArrow(lambda t: _count_shared(t, buckets), "dest long, entries binary")
+    dealt = _deal(docs, words, buckets, hot_shingles(docs, words))
+    entries = dealt.groupBy("bucket").applyInArrow(_freed(lambda t: _count_shared(t, buckets)), "dest long, entries binary")
     return entries.groupBy("dest").applyInArrow(
-        lambda t: _prefixes(t, percent), "key long, size long, shared long, tokens binary, bits binary, prefix array<long>")
+        _freed(lambda t: _prefixes(t, percent)), "key long, size long, shared long, tokens binary, bits binary, prefix array<long>")
+
+
+def _freed(run):
+    """A group's function that gives back its memory."""
+    def each(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return each
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -302,7 +361,7 @@ def _other_pairs(marked: DataFrame, sets: DataFrame, percent: int, groups: int)
     full = member.join(sets.select("key", "size", "shared", "bits"), "key")
     # A group that pairs block i with j != i holds both; 'split' tells it from a block by itself.
     spread = F.pmod(F.xxhash64("tile", "blocks"), F.lit(groups))
-    return full.groupBy(spread.alias("part")).applyInArrow(lambda t: _tile_pairs(t, percent), "a long, b long").distinct()
+    return full.groupBy(spread.alias("part")).applyInArrow(_freed(lambda t: _tile_pairs(t, percent)), "a long, b long").distinct()
 
 
 def class_links(docs: DataFrame, n_shingles: int, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -313,11 +372,13 @@ def class_links(docs: DataFrame, n_shingles: int, words: int = WORDS, percent: i
     links = None
     marked = tiles.withColumn("component", F.col("key"))
     for turn in range(LEADS):
-        new = verified(_lead_pairs(marked, turn, percent), sets, percent)
-        links = written(new if links is None else links.union(new), "links")
+        new, before = verified(_lead_pairs(marked, turn, percent), sets, percent), links
+        links = written(new if before is None else before.union(new), "links")
+        if before is not None:
+            remove(before)
         marked = _with_components(tiles, components(links))
     groups = power_of_two(n_shingles / BUCKET_SHINGLES, 64)
-    return links.union(verified(_other_pairs(marked, sets, percent, groups), sets, percent))
+    return written(links.union(verified(_other_pairs(marked, sets, percent, groups), sets, percent)), "links")
 
 
 def _components(rows: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -336,8 +397,9 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = written(classes(docs, words), "classes")
     by_class = _components(rows, docs, words, percent).select("class_key", "component_id")
     # A class may hold a third of all rows: its row is repeated, its rows are dealt out.
-    salted = by_class.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    n = salts(docs)
+    salted = by_class.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
     joined = dealt.join(salted, ["class_key", "salt"], "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id"))).alias("component_id"))
 
@@ -345,27 +407,16 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row of the least
     doc_id (then the least class), and every row with the empty set."""
-    rows = written(classes(docs, words), "classes")
-    comps = _components(rows, docs, words, percent).select("class_key", "component")
+    fields = [T.StructField("__size", T.LongType()), T.StructField("__class", T.LongType())]
+    marked = written(with_values(docs, _class_values(words), fields), "classes")
+    rows = marked.select("doc_id", F.col("__size").alias("n_shingles"), F.col("__class").alias("class_key"))
+    comps = _components(rows, marked, words, percent).select("class_key", "component")
     per_class = rows.where("class_key != 0").groupBy("class_key").agg(F.min("doc_id").alias("least"))
     first = per_class.join(comps, "class_key").groupBy("component").agg(
         F.min(F.struct(F.col("least").isNull(), F.col("least").alias("doc_id"), "class_key")).alias("first"))
     stay = first.select(F.col("first.doc_id").alias("stay_id"), F.col("first.class_key").alias("stay_key"))
-    marked = with_class(docs, words)
     on = marked["__class"].eqNullSafe(stay["stay_key"]) & marked["doc_id"].eqNullSafe(stay["stay_id"])
     # Equal rows of one document: the first of them.
     nth = F.row_number().over(Window.partitionBy("__class", "doc_id").orderBy("text"))
-    joined = marked.join(stay, on, "left").where("stay_key is not null or __class = 0").withColumn("__nth", nth)
-    return joined.where("__nth = 1 or __class = 0").select(*docs.columns)
-
-
-def with_class(docs: DataFrame, words: int) -> DataFrame:
-    """``docs`` with the class key of each row as ``__class``."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("__class", T.LongType())])
-
-    def run(batches):
-        for rows, doc, h in _sets(batches, words):
-            _, key = _class_keys(rows.num_rows, doc, h)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(key.view(np.int64))], names=[*rows.schema.names, "__class"])
-
-    return map_texts(docs, run, schema)
+    left = marked.where("__class != 0").join(stay, on, "left_semi").withColumn("__nth", nth).where("__nth = 1")
+    return left.select(*docs.columns).unionAll(marked.where("__class = 0").select(*docs.columns))

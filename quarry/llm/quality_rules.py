@@ -1,17 +1,26 @@
 """Quality rules with risk-controlled thresholds.
 
 ``measure`` adds word counts and rule values to documents in one numpy pass
-over their whole texts.  ``fit`` picks, for each stratum (language) and rule, a
-cutoff on a labelled holdout: cutoffs are tried from the most lenient to the
-strictest, and the trial goes on only while the exact binomial test shows, at a
-level corrected for all strata and rules, that at most ``risk`` of the good
-documents would be rejected.  Among the cutoffs so certified, the one is taken
-that catches most bad documents, each good one lost counting ``cost`` bad ones;
-a stratum without enough labels gets no cutoff.  ``judge`` applies them.
-
-The holdout is used through counts per (stratum, rule, level, label), so every
-labelled row takes part and the driver sees a table bounded by the strata that
-have enough good labels to certify anything.
+over their whole texts.  ``fit`` picks the cutoffs of all rules of a stratum (language)
+together, on a labelled holdout in two parts, dealt by a hash of the id:
+
+1. the first part proposes: per rule the cutoff whose documents beyond it are most
+   worth losing (each good one lost counting ``cost`` bad ones caught).  The rules, best
+   first, each from its most lenient level down to that cutoff, make a chain of steps,
+   each of which rejects what the steps before it do and a little more;
+2. the second part certifies: the steps are tried in that order, and the trial goes on
+   while the exact binomial test shows that at most ``risk`` of the good documents are
+   rejected *by any rule* at that step.  The last step that passes gives the cutoffs.
+
+Steps are tested in a fixed order, so one level serves a whole chain; it is
+``delta`` over the number of strata (Bonferroni).  With a chance of 1 - ``delta`` every
+stratum loses at most ``risk`` of its good documents (those that pass the base rule) to
+all its rules together.  A stratum without enough labels gets no cutoff.
+``judge`` applies the cutoffs.
+
+The holdout is used through counts (per stratum, rule and level; per stratum and
+step), so every labelled row takes part and the driver sees tables bounded by the
+strata that have enough good labels to certify anything.
 
 Defined cases: a null or empty text has no words and fails the base rule; a
 null language is the stratum ''; several labels of one document count as the
@@ -25,13 +34,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.scratch import map_texts
-from quarry.llm.textkit import Words, chunks, repeated
+from quarry.llm.scratch import remove, with_values, written
+from quarry.llm.textkit import Words, repeated
 
 #: The measures, in the order in which they are added.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -39,9 +47,11 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 SYMBOLS = b"#*$%&|<>"
 LEVELS = 64
 
-RISK = 0.01        # largest share of good documents that a rule may reject
+RISK = 0.01        # largest share of a stratum's good documents that its rules may reject
 DELTA = 0.05       # chance that any of the guarantees fails
 COST = 20          # bad documents that must be caught for each good one lost
+PROPOSE = 3        # one labelled document in so many proposes, the others certify
+SEED = 31
 
 
 def measure_texts(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -78,16 +88,13 @@ def measure_texts(texts: list[bytes]) -> dict[str, np.ndarray]:
 def measure(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the measures; needs ``text``."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in COUNTS]
-    source = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in COUNTS])
 
-    def run(batches):
-        for rows, texts in chunks(batches):
-            found = measure_texts(texts)
-            columns = [rows.column(rows.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(found[c]) for c in COUNTS], names=[*keep, *COUNTS])
+    def values(texts: list[bytes]) -> list[np.ndarray]:
+        found = measure_texts(texts)
+        return [found[c] for c in COUNTS]
 
-    return map_texts(source, run, schema)
+    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
+    return with_values(source, values, [T.StructField(c, T.LongType()) for c in COUNTS]).select(*[F.col(f"`{c}`") for c in keep], *COUNTS)
 
 
 def base_failed() -> Column:
@@ -130,19 +137,37 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def choose(good: np.ndarray, bad: np.ndarray, level: float, risk: float = RISK, cost: float = COST) -> int | None:
-    """The cutoff level of one rule in one stratum from its counts of good and
-    bad documents by level (values at or above the cutoff are rejected), or
-    None.  ``level`` is the corrected error level of this test."""
-    n, best, gain = int(good.sum()), None, 0.0
-    for cut in range(LEVELS - 1, 0, -1):
-        lost = int(good[cut:].sum())
-        if n == 0 or binomial_tail(lost, n, risk) > level:
-            break
-        g = float(bad[cut:].sum()) - cost * lost
-        if g > gain:
-            best, gain = cut, g
-    return best
+def proposed(tables: dict[str, np.ndarray], cost: float = COST) -> list[tuple[str, int]]:
+    """The rules of a stratum that are worth their loss, best first, each with its
+    cutoff level, from (bad, good) counts by level per rule."""
+    found = []
+    for rule, (bad, good) in tables.items():
+        gains = [float(bad[cut:].sum() - cost * good[cut:].sum()) for cut in range(1, LEVELS)]
+        best = int(np.argmax(gains[::-1]))      # of equal gains the most lenient cutoff
+        if gains[::-1][best] > 0:
+            found.append((-gains[::-1][best], rule, LEVELS - 1 - best))
+    return [(rule, cut) for _, rule, cut in sorted(found)]
+
+
+def certified(chain: list[tuple[str, int]], lost: np.ndarray, n: int, level: float, risk: float = RISK) -> dict[str, int]:
+    """The cutoffs of the last step that passes.  ``lost``: of the ``n`` good documents, how
+    many each step is the first to reject."""
+    cuts, total, at = {}, 0, 0
+    for rule, cut in chain:
+        for now in range(LEVELS - 1, cut - 1, -1):
+            total += int(lost[at])
+            if n == 0 or binomial_tail(total, n, risk) > level:
+                return cuts
+            cuts[rule], at = now, at + 1
+    return cuts
+
+
+def _by_stratum(df: DataFrame, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """``df(stratum, ...)`` with a column ``<name>_<rule>`` for each value of ``rows``
+    (stratum, rule, values...): a row per stratum that can certify something."""
+    table = df.sparkSession.createDataFrame(rows, "of string, rule string, " + ", ".join(f"{n} int" for n in names))
+    wide = table.groupBy("of").agg(*[F.max(F.when(F.col("rule") == r, F.col(n))).alias(f"{n}_{r}") for r in rules() for n in names])
+    return df.join(F.broadcast(wide), F.col("stratum") == F.col("of"), "left").drop("of")
 
 
 def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA,
@@ -150,33 +175,51 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     """Cutoffs by (stratum, rule), from the documents that ``labels`` covers
     and that pass the base rule."""
     marks = (labels.where("doc_id is not null and quality is not null")
-             .groupBy(F.col("doc_id").alias("labelled_id")).agg(F.min("quality").alias("label")))
+             .groupBy(F.col("doc_id").alias("labelled_id")).agg((F.min("quality") > 0).alias("good")))
     names = list(rules())
     held = (measured.where(~base_failed()).select("doc_id", stratum().alias("stratum"), *[_level(v).alias(r) for r, v in rules().items()])
-            .join(marks, F.col("doc_id") == F.col("labelled_id")))
-    cells = held.select("stratum", "label", F.explode(F.array(
+            .join(marks, F.col("doc_id") == F.col("labelled_id"))
+            .withColumn("proposes", F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(PROPOSE)) == 0).drop("doc_id", "labelled_id"))
+    held = written(held, "holdout")
+    # Fewer good labels than this certify nothing, even without a loss.
+    enough = math.log(delta) / math.log1p(-risk)
+    good = {r["stratum"]: r["count"] for r in held.where("good and not proposes").groupBy("stratum").count().where(F.col("count") >= enough).collect()}
+    cells = held.where("proposes").select("stratum", "good", F.explode(F.array(
         *[F.struct(F.lit(r).alias("rule"), F.col(r).alias("level")) for r in names])).alias("cell"))
-    counts = cells.groupBy("stratum", "cell.rule", "cell.level", (F.col("label") > 0).alias("good")).count()
-    # Fewer good labels than this certify nothing, even without an error.
-    enough = math.log(delta / len(names)) / math.log1p(-risk)
-    able = held.where("label > 0").groupBy("stratum").count().where(F.col("count") >= enough).select("stratum")
-    tables: dict[tuple[str, str], np.ndarray] = {}
-    for row in counts.join(able, "stratum").collect():
-        tables.setdefault((row["stratum"], row["rule"]), np.zeros((2, LEVELS), np.int64))[int(row["good"]), row["level"]] += row["count"]
-    tests = max(1, len(names) * len({s for s, _ in tables}))
-    cuts = {k: choose(t[1], t[0], delta / tests, risk, cost) for k, t in tables.items()}
-    return {k: v for k, v in cuts.items() if v is not None}
+    counts = cells.groupBy("stratum", "cell.rule", "cell.level", "good").count().where(F.col("stratum").isin(sorted(good)))
+    tables: dict[str, dict[str, np.ndarray]] = {s: {r: np.zeros((2, LEVELS), np.int64) for r in names} for s in good}
+    for row in counts.collect() if good else []:
+        tables[row["stratum"]][row["rule"]][int(row["good"]), row["level"]] += row["count"]
+    chains = {s: proposed(t, cost) for s, t in sorted(tables.items())}
+
+    # The step that rejects a document first: each rule's levels follow those of the rules before it.
+    places = []
+    for s, chain in chains.items():
+        at = 0
+        for rule, cut in chain:
+            places.append((s, rule, cut, at))
+            at += LEVELS - cut
+    found: dict[tuple[str, str], int] = {}
+    if places:
+        steps = [F.when(F.col(r) >= F.col(f"cut_{r}"), F.col(f"at_{r}") + LEVELS - 1 - F.col(r)) for r in names]
+        first = _by_stratum(held.where("good and not proposes"), places, ("cut", "at")).withColumn("step", F.least(*steps))
+        lost = {s: np.zeros(sum(LEVELS - c for _, c in chain), np.int64) for s, chain in chains.items()}
+        for row in first.where("step is not null").groupBy("stratum", "step").count().collect():
+            lost[row["stratum"]][row["step"]] += row["count"]
+        for s, chain in chains.items():
+            found |= {(s, r): c for r, c in certified(chain, lost[s], good[s], delta / len(chains), risk).items()}
+    remove(held)
+    return found
 
 
 def judge(measured: DataFrame, cuts: dict[tuple[str, str], int]) -> DataFrame:
     """Adds ``base_failed``, ``failed_rules`` and ``kept``."""
-    spark = measured.sparkSession
-    table = spark.createDataFrame([(s, r, c) for (s, r), c in sorted(cuts.items())], "cut_stratum string, rule string, cut int")
-    wide = table.groupBy("cut_stratum").pivot("rule", list(rules())).agg(F.first("cut"))
-    wide = wide.select("cut_stratum", *[F.col(r).alias(f"cut_{r}") for r in rules()])
-    failed = F.filter(F.array(*[F.when(_level(v) >= F.col(f"cut_{r}"), F.lit(r)) for r, v in rules().items()]),
-                      lambda x: x.isNotNull())
-    joined = measured.join(wide, stratum() == F.col("cut_stratum"), "left")
-    return joined.select(*[F.col(c) for c in measured.columns if c not in ("base_failed", "failed_rules", "kept")],
-                         F.coalesce(base_failed(), F.lit(True)).alias("base_failed"), failed.alias("failed_rules")
-                         ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    added = ("base_failed", "failed_rules", "kept")
+    keep = [F.col(f"`{c}`") for c in measured.columns if c not in added]
+    # The row travels as a struct beside the cutoffs, so that no names clash.
+    row = measured.select(F.struct(*keep).alias("row"), stratum().alias("stratum"), F.coalesce(base_failed(), F.lit(True)).alias("base"),
+                          *[_level(v).alias(r) for r, v in rules().items()])
+    joined = _by_stratum(row, [(s, r, c) for (s, r), c in sorted(cuts.items())], ("cut",))
+    failed = F.filter(F.array(*[F.when(F.col(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in rules()]), lambda x: x.isNotNull())
+    return joined.select("row.*", F.col("base").alias("base_failed"), failed.alias("failed_rules")).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))

@@ -27,14 +27,15 @@ def op1_source_mix(spark, sf_dir):
 
 
 def op2_warc_normaliser(spark, sf_dir):
+    # Damage shows: a payload that does not agree with its record has no digest.
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", F.when(F.col("sound"), F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
 
 
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), only=~toxicity.held_out())
-    return toxicity.scored(docs, model, ["doc_id"]).select(
+    return written(toxicity.scored(docs, model, ["doc_id"]), "scores").select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -63,12 +64,12 @@ def op8_url_filter(spark, sf_dir):
 
 
 def op9_piece_bpe(spark, sf_dir):
-    return piece_bpe.digests(table(spark, sf_dir, "documents"), model_path())
+    return written(piece_bpe.digests(table(spark, sf_dir, "documents"), model_path()), "encoded")
 
 
 def op10_weak_labels(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return weak_labels.scored(docs, weak_labels.fit(docs))
+    return written(weak_labels.scored(docs, weak_labels.fit(docs)), "scores")
 
 
 def op11_hard_negatives(spark, sf_dir):

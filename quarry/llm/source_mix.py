@@ -12,12 +12,15 @@ seeded hash, once more.  A document gives the words of its span in its shard.
 Highest quotients are found by their threshold: sums over a ladder of divisors,
 refined, give each group's divisor, and only quotients between the last two
 rungs are ranked.  Nothing but the source table (a row per source) is ever
-gathered in one place.
+gathered in one place, and what shards choose meets their documents in the shuffle
+that orders these, so nothing that grows with the corpus is broadcast.
 
 Defined cases: null or empty texts have size 0 and give nothing; the null source
-is a source of its own; repeated rows are separate documents; a source (or
-table) without words has target 0.  Reruns agree: hashes depend on the seed, ids
-and sources only.
+is a source of its own; repeated rows are separate documents, numbered, so that an id
+which many rows share (or lack) is dealt over shards too; a source (or
+table) without words has target 0; other columns play no part in the plan, and pass
+through ``mixed``.  Reruns agree: hashes depend on the seed, ids, sizes, these
+numbers and sources only.
 """
 
 from __future__ import annotations
@@ -37,10 +40,12 @@ PASSES = 3
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, source_key, size) per row; the key is never null."""
-    return docs.select("doc_id", "source",
-                       F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("source_key"),
+    """(doc_id, source, source_key, size, copy) per row; the key is never null, and
+    ``copy`` numbers the rows that agree in the rest."""
+    rows = docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("source_key"),
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    counted = rows.groupBy("doc_id", "source", "source_key", "size").agg(F.count("*").alias("rows"))
+    return counted.select("doc_id", "source", "source_key", "size", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -111,7 +116,7 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
                                         F.lit(1 << 60).alias("most")), "one", ["source_key"])
                    .select("source_key", "source_size", "target", F.col("quota").alias("source_quota"),
                            F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long").alias("shards")), "quotas")
-    dealt = sized.join(seat, "source_key").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards")))
+    dealt = sized.join(seat, "source_key").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size", "copy"), F.col("shards")))
     cells = (dealt.groupBy("source_key", "shard", "source_quota").agg(F.sum("size").alias("words"))
              .withColumn("blocks", F.greatest(F.lit(1), F.round(F.col("words") / block)).cast("long"))
              .withColumn("votes", F.col("words").cast("double")).withColumn("most", F.ceil(2 * F.col("blocks")))
@@ -124,9 +129,11 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
                          F.when(F.col("quota") % F.col("blocks") > 0,
                                 F.slice(ranked["j"], F.lit(1), (F.col("quota") % F.col("blocks")).cast("int")))
                          .otherwise(F.array().cast("array<long>")).alias("chosen"))
-    order = Window.partitionBy("source_key", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    order = Window.partitionBy("source_key", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "size", "copy"), "doc_id", "size", "copy")
+    # The small file that the cells come from says nothing of their arrays: without the
+    # hint Spark would broadcast them.
     placed = (dealt.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("at", F.col("end") - F.col("size")).join(cells, ["source_key", "shard"]))
+              .withColumn("at", F.col("end") - F.col("size")).join(cells.hint("merge"), ["source_key", "shard"]))
     # Block j holds words [j * words div blocks, (j + 1) * words div blocks).
     touched = placed.withColumn("hit", F.expr(
         "CASE WHEN size > 0 AND size(chosen) > 0 THEN array_intersect(sequence(greatest(0L, at * blocks div words - 1), "
@@ -136,14 +143,13 @@ def plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
     out = touched.withColumn("spans", spans)
     return out.withColumn("taken", F.col("passes") * F.col("size") + F.aggregate(
         "spans", F.lit(0).cast("long"), lambda s, x: s + x["to"] - x["from"])).select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "shard", "passes", "spans")
+        "doc_id", "source", "size", "copy", "source_size", "target", "taken", "shard", "passes", "spans")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each taken whole ``passes`` times, and once
     more cut to its chosen spans (their words joined by a space)."""
-    sized = written(sizes(docs).groupBy("doc_id", "source", "source_key", "size").agg(F.count("*").alias("rows"))
-                    .select("doc_id", "source", "source_key", "size", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy")), "sizes")
+    sized = written(sizes(docs), "sizes")
     parts = plan(sized, **options).where("taken > 0").select(
         F.col("doc_id").alias("plan_id"), F.col("source").alias("plan_source"), F.col("size").alias("plan_size"), "passes", "spans",
         F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.desc("taken"), "spans")).alias("plan_copy"))

@@ -65,19 +65,32 @@ def text_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def _cuts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of texts, bounded in bytes and rows."""
+    at, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > at and (size + n > CHUNK_BYTES or i - at >= CHUNK_TEXTS):
+            yield at, i - at
+            at, size = i, 0
+        size += n
+    if at < len(column):
+        yield at, len(column) - at
+
+
+def text_chunks(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of a column in bounded lists."""
+    column = column.cast(pa.large_binary())
+    for at, n in _cuts(column):
+        yield text_bytes(column.slice(at, n))
+
+
 def chunks(batches, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of Arrow batches with their texts' bytes, bounded in bytes and rows.
     Only the texts of one slice are copied out of the batch at a time."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
-        at, size = 0, 0
-        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
-            if i > at and (size + n > CHUNK_BYTES or i - at >= CHUNK_TEXTS):
-                yield batch.slice(at, i - at), text_bytes(column.slice(at, i - at))
-                at, size = i, 0
-            size += n
-        if at < len(column):
-            yield batch.slice(at), text_bytes(column.slice(at))
+        for at, n in _cuts(column):
+            yield batch.slice(at, n), text_bytes(column.slice(at, n))
 
 
 class Words:

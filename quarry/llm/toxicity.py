@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.scratch import map_texts, written
+from quarry.llm.scratch import map_texts, remove, small_batches, with_values, written
 from quarry.llm.textkit import chunks, mix
 
 DECAY = 0.7
@@ -438,23 +438,20 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, only=N
 
 
 def fit(docs: DataFrame, labels: DataFrame, only=None, per_class: int = FIT_DOCS) -> Model:
-    return train(sample(docs, labels, per_class, only))
+    some = sample(docs, labels, per_class, only)
+    with small_batches(docs.sparkSession):
+        model = train(some)
+    remove(some)
+    return model
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
     """``docs`` (or its columns ``keep``) with the score of each whole text."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != name]
-    source = docs.select(*dict.fromkeys([*keep, "text"]))
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)    # one weight per triple code
-
-    def run(batches):
-        m = shared.value
-        for rows, texts in chunks(batches):
-            value = m.score(texts)
-            yield pa.RecordBatch.from_arrays([*[rows.column(rows.schema.get_field_index(c)) for c in keep], pa.array(value)], names=[*keep, name])
-
-    return map_texts(source, run, schema)
+    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
+    found = with_values(source, lambda texts: [shared.value.score(texts)], [T.StructField(name, T.DoubleType())])
+    return found.select(*[F.col(f"`{c}`") for c in keep], name)
 
 
 def held_out(doc_id="doc_id"):

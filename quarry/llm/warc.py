@@ -3,18 +3,28 @@
 ``write_archives`` makes one record per page and writes archives as whole-file
 gzip streams, as many crawlers leave them.  Such a file can only be read from its
 start, so ``normalise`` inflates each stream once, rewrites every record as a gzip
-member of its own and writes a sidecar index (place and length of every
-member).  ``read_archives`` takes the records back by the index alone.
+member of its own and writes a sidecar index (place and length of every member), by
+which any record can be taken out alone.  Each archive also ends with that index: a
+``metadata`` record that lists its members, and an empty member whose extra field
+says where that record begins.  So ``read_archives``, which reads whole archives, finds
+every member without a join and ships no payloads between tasks.
 
 Of records with equal payloads of at least ``LEAST`` bytes, the one with the
 largest page id is the response; the others are revisits, without payload, that
 refer to it.  Smaller payloads are always responses.
 
+Lengths and digests that are read back are those of the payload that was read, not of
+its header.  A revisit has none: its own are what it claims, and hold (``sound``) if its
+response was read back with the same.
+
 Files go through Spark's own writers, so any Hadoop file system will do and a
 lost executor's attempt leaves nothing behind.  Binary members are written by the
 text sink: a row is one archive without its last byte, and the line separator is
-that byte, zero - the top byte of the size of the last member, which is kept
-empty.  Archives hold about ``ARCHIVE_BYTES`` of payload, one a row.
+that byte, zero - the top byte of the size of the last member, which is
+empty.  Archives hold about ``ARCHIVE_BYTES`` of payload, one a row.  Streams hold
+about ``STREAM_BYTES``, and unless a single page is longer at most ``LONG`` times as much:
+a file limit in records from the mean size, and one from the largest for the pages
+that are ``LONG`` times longer than the mean.
 
 Defined cases: a null or empty html is an empty payload; a null url or page id
 leaves its header out; of equal payloads, one with a null page id is never the one
@@ -28,19 +38,25 @@ from __future__ import annotations
 
 import hashlib
 import io
+import struct
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.scratch import written
+from quarry.llm.scratch import remove, written
+from quarry.operators.upsert import salts
 from quarry.session import run_path
+from quarry.sinks.files import _remove
 
 LEAST = 1000
-ARCHIVE_BYTES = 8 << 20
+ARCHIVE_BYTES = 32 << 20
+STREAM_BYTES = 64 << 20
+LONG = 16
 LEVEL = 4
-SALTS = 16
+#: When the pages were fetched is not known: every record has this date.
+DATE = "1970-01-01T00:00:00Z"
 INDEX = "archive long, places array<long>, lengths array<int>"
 
 
@@ -53,8 +69,9 @@ def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     # Only digests that occur twice need another look at their pages.
     firsts = (facts.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
               .agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 and first_id is not null").drop("n"))
-    salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = facts.where(F.col("payload_bytes") >= least).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    n = salts(pages)
+    salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    dealt = facts.where(F.col("payload_bytes") >= least).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(n)).cast("int"))
     again = written(dealt.join(salted, ["payload_digest", "salt"]).select("page_id", "payload_digest", "first_id"), "again")
     again = again.groupBy("page_id", "payload_digest", "first_id").agg(F.count("*").alias("rows"))
     base = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
@@ -81,13 +98,21 @@ def write_archives(found: DataFrame, path: str) -> None:
     uri = F.regexp_replace("url", r"[\r\n]", " ")
     record = F.concat(
         F.lit("WARC/1.1\r\n"), F.when(revisit, "WARC-Type: revisit\r\n").otherwise("WARC-Type: response\r\n"),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))), _line("WARC-Target-URI", uri),
+        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))), F.lit(f"WARC-Date: {DATE}\r\n"),
+        _line("WARC-Target-URI", uri),
         F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest"), F.lit("\r\nWARC-Payload-Length: "), F.col("payload_bytes").cast("string"),
         _line("\r\nWARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
         F.when(revisit, "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n").otherwise("\r\n"),
         F.lit("Content-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n"))
+    sizes = found.agg(F.avg("payload_bytes").alias("mean"), F.max("payload_bytes").alias("most")).first()
+    mean, most = max(1.0, sizes["mean"] or 0.0), sizes["most"] or 0
     # After each row the line separator follows: a record ends with two.
-    found.select(record.alias("value")).write.option("compression", "gzip").option("lineSep", "\r\n").text(path)
+    parts = [(F.col("payload_bytes") <= LONG * mean, STREAM_BYTES // mean)]
+    if most > LONG * mean:
+        parts.append((F.col("payload_bytes") > LONG * mean, LONG * STREAM_BYTES // most))
+    for which, rows in parts:
+        (found.where(which).select(record.alias("value")).write.mode("append").option("compression", "gzip").option("lineSep", "\r\n")
+              .option("maxRecordsPerFile", int(max(1, rows))).text(path))
 
 
 def _inflated(data: bytes):
@@ -144,6 +169,28 @@ def member(data: bytes) -> bytes:
     return c.compress(data) + c.flush()
 
 
+def _end(at: int) -> bytes:
+    """An empty member with a place in its extra field; its last byte is zero."""
+    return struct.pack("<4BI2BH2sHQ", 31, 139, 8, 4, 0, 0, 255, 12, b"at", 8, at) + b"\3\0" + bytes(8)
+
+
+_END = len(_end(0))
+
+
+def _listing(places: list[int], lengths: list[int]) -> bytes:
+    lines = "".join(f"{a} {n}\r\n" for a, n in zip(places, lengths)).encode()
+    return (f"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Date: {DATE}\r\nContent-Type: text/plain\r\nContent-Length: {len(lines)}\r\n\r\n"
+            ).encode() + lines + b"\r\n\r\n"
+
+
+def members(data) -> list[tuple[int, int]]:
+    """(place, length) of the members of an archive, from its end."""
+    view = memoryview(data)
+    at = struct.unpack_from("<Q", view, len(view) - _END + 16)[0]
+    lines = zlib.decompress(view[at:len(view) - _END], 31).partition(b"\r\n\r\n")[2].split(b"\r\n")
+    return [tuple(map(int, x.split())) for x in lines if x]
+
+
 def normalise(spark, source: str, target: str) -> None:
     """Rewrites whole-file gzip streams below ``source`` as archives with a member
     per record below ``target``/data, with the index in ``target``/index."""
@@ -157,8 +204,10 @@ def normalise(spark, source: str, target: str) -> None:
                 def flush():
                     # A name of its own for each archive, the same on every attempt.
                     name = int.from_bytes(hashlib.blake2b(f"{path} {part}".encode(), digest_size=8).digest(), "big") >> 1
-                    data = body.getvalue() + member(b"")    # ends with the zero byte that the writer adds
-                    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([data[:-1]], pa.binary()),
+                    at = body.tell()
+                    body.write(member(_listing(places, lengths)))
+                    body.write(_end(at)[:-1])       # the writer adds the zero
+                    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([body.getvalue()], pa.binary()),
                                                        pa.array([places], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32()))],
                                                       names=["archive", "data", "places", "lengths"])
 
@@ -174,57 +223,68 @@ def normalise(spark, source: str, target: str) -> None:
                 if places:
                     yield flush()
 
-    made = files.mapInArrow(run, "archive long, data binary, places array<long>, lengths array<int>").persist(_disk())
-    try:
-        made.select("archive", F.col("data").cast("string").alias("value")).write.option("lineSep", "\0").option(
-            "maxRecordsPerFile", 1).partitionBy("archive").text(f"{target}/data")
-        made.select("archive", "places", "lengths").write.parquet(f"{target}/index")
-    finally:
-        made.unpersist()
+    # Written once, on shared storage, for its two readers.
+    made = written(files.mapInArrow(run, "archive long, data binary, places array<long>, lengths array<int>"), "archives")
+    made.select("archive", F.col("data").cast("string").alias("value")).write.option("lineSep", "\0").option(
+        "maxRecordsPerFile", 1).partitionBy("archive").text(f"{target}/data")
+    made.select("archive", "places", "lengths").write.parquet(f"{target}/index")
+    remove(made)
+
 
+_NAMES = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound", "payload"]
+_KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
+#: Records that a task hands on at once, in number and in bytes of payload.
+HAND_ON, HAND_ON_BYTES = 500, 4 << 20
 
-def _disk():
-    from pyspark import StorageLevel
 
-    return StorageLevel.DISK_ONLY
+def record_of(text: bytes) -> tuple:
+    """The values of ``_NAMES`` of one record.  A revisit's are what it claims."""
+    head, _, rest = text.partition(b"\r\n\r\n")
+    h = headers(head)
+    payload, kind = rest[:int(h["content-length"])], h["warc-type"]
+    claimed, size = h["warc-payload-digest"].removeprefix("sha1:"), int(h["warc-payload-length"])
+    strip = lambda v: v and v.removeprefix("<urn:page:").removesuffix(">")
+    digest, length = (claimed, size) if kind == "revisit" else (hashlib.sha1(payload).hexdigest(), len(payload))
+    return (strip(h.get("warc-record-id")), h.get("warc-target-uri"), length, digest, kind, strip(h.get("warc-refers-to")),
+            (digest, length) == (claimed, size), payload)
 
 
 def read_archives(spark, target: str, id_type: str = "bigint") -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, sound,
-    payload) of every record, each member found by the index.  ``sound``: a
-    response's payload has the digest and length that its header gives."""
-    index = spark.read.schema(INDEX).parquet(f"{target}/index")
-    # The folder's name is read from the path: without archives there is none to infer.
-    number = F.regexp_extract("path", r"/archive=(\d+)/", 1).cast("long")
-    files = spark.read.format("binaryFile").load(f"{target}/data").select(number.alias("archive"), "content")
-    both = files.join(index, "archive")
-
+    payload) of every record.  ``sound``: a response's payload has the digest and length
+    that its header gives."""
     def run(batches):
         for batch in batches:
-            for row in range(batch.num_rows):
-                content, places, lengths = (batch.column(i)[row].as_py() for i in range(3))
-                out = []
-                for n, (at, size) in enumerate(zip(places, lengths)):
-                    text = zlib.decompress(memoryview(content)[at:at + size], 31)
-                    head, _, rest = text.partition(b"\r\n\r\n")
-                    h = headers(head)
-                    payload = rest[:int(h["content-length"])]
-                    digest, kind = h["warc-payload-digest"].removeprefix("sha1:"), h["warc-type"]
-                    sound = kind == "revisit" or (hashlib.sha1(payload).hexdigest() == digest and str(len(payload)) == h["warc-payload-length"])
-                    strip = lambda v: v and v.removeprefix("<urn:page:").removesuffix(">")
-                    out.append((strip(h.get("warc-record-id")), h.get("warc-target-uri"), int(h["warc-payload-length"]), digest, kind,
-                                strip(h.get("warc-refers-to")), sound, payload))
-                    if n % 500 == 499 or n == len(places) - 1:
+            for content in batch.column(0):
+                view, out, held = memoryview(content.as_buffer()), [], 0
+                for at, size in members(view):
+                    out.append(record_of(zlib.decompress(view[at:at + size], 31)))
+                    held += len(out[-1][-1])
+                    if len(out) >= HAND_ON or held >= HAND_ON_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], names=_NAMES)
-                        out = []
+                        out, held = [], 0
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], names=_NAMES)
 
-    _NAMES = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound", "payload"]
-    _KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
-    rows = both.select("content", "places", "lengths").mapInArrow(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{target}/data").select("content")
+    rows = files.mapInArrow(
         run, "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, sound boolean, payload binary")
     return rows.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
 
 
+def verified(records: DataFrame) -> DataFrame:
+    """``records``, with revisits sound only if their response was read back with the
+    digest and length that they claim."""
+    said = ["refers_to", "payload_digest", "payload_bytes"]
+    claims = records.where("record_type = 'revisit'").select(*said).distinct()      # one per response, however many revisit it
+    there = records.where("record_type = 'response' and sound").select(F.col("page_id").alias("refers_to"), *said[1:])
+    false = written(claims.join(there, said, "left_anti"), "false-claims")
+    if false.isEmpty():
+        return records
+    marks = false.withColumn("false", F.lit(True))
+    return records.join(marks, said, "left").withColumn("sound", F.col("sound") & F.col("false").isNull()).drop("false").select(*records.columns)
+
+
 def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """Writes, normalises and reads back all pages; the records without payloads."""
     spark = pages.sparkSession
@@ -232,4 +292,6 @@ def round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:
     found = records(pages, least)
     write_archives(found, f"{root}/streams")
     normalise(spark, f"{root}/streams", f"{root}/archives")
-    return read_archives(spark, f"{root}/archives", pages.schema["page_id"].dataType.simpleString()).drop("payload")
+    _remove(spark, f"{root}/streams")
+    back = written(read_archives(spark, f"{root}/archives", pages.schema["page_id"].dataType.simpleString()).drop("payload"), "records")
+    return verified(back)

@@ -4,9 +4,9 @@ Heuristic labellers vote good, bad or abstain on every document.  Expectation
 maximisation over the counts of all vote patterns estimates each labeller's rates
 of votes for good documents and for each kind of bad ones (a kind per labeller;
 labellers are taken as independent given the kind) and the kinds' shares; a
-pattern's posterior of being good is its documents' soft label.  A linear scorer over hashed features of the text (words, their shapes
-and endings) is then trained on the posteriors of a bounded sample, and scores
-every document whole.  No labels are read.
+pattern's posterior of being good is its documents' soft label.  A linear scorer over
+hashed features of the text (words, their shapes and endings) is then trained on the
+posteriors of a bounded sample, and scores every document whole.  No labels are read.
 
 The patterns are counted over all documents; there are at most 3 ** labellers of
 them.  The fit uses ``FIT_DOCS`` documents, the least by a hash.
@@ -14,7 +14,7 @@ them.  The fit uses ``FIT_DOCS`` documents, the least by a hash.
 Defined cases: null and empty texts have no words: the labellers that need words
 abstain, the features are empty; without documents the result is empty; if all
 documents vote alike the posterior is the prior and so is every score; repeated
-rows are scored each.
+rows are scored each; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,10 +37,13 @@ SEED = 5
 KEEP = 0.5
 ABSTAIN, BAD, GOOD = 0, 1, 2
 #: Prior rates of votes (abstain, bad, good): of the labeller that a kind of bad
-#: document is named after, of the others there, and for good documents, which a
-#: labeller seldom calls bad; and the prior's weight as a share of all documents.
+#: document is named after, of the others there, and for good documents; and how many
+#: documents a prior is worth, for good ones and for a kind of bad ones, however many there are.
 PRIOR_OWN, PRIOR_OTHER, PRIOR_GOOD = (0.05, 0.9, 0.05), (0.15, 0.15, 0.7), (0.1, 0.002, 0.898)
-WEIGHT_BAD, WEIGHT_GOOD = 0.01, 1.0
+DOCS_GOOD, DOCS_BAD = 50, 10
+#: A labeller calls at most so many good documents bad: what it calls bad more often is a
+#: kind of bad ones.  This tells the good class from the others, which the votes alone don't.
+MOST_WRONG = 0.01
 _U = np.uint64
 
 
@@ -101,16 +104,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Lab
     bad = patterns == BAD
     p = np.concatenate([np.where(bad.any(1), 0.1, 1.0)[:, None], 0.9 * bad / np.maximum(bad.sum(1), 1)[:, None]], axis=1)
     prior = np.array([[PRIOR_GOOD, *[PRIOR_OWN if k == i else PRIOR_OTHER for k in range(j)]] for i in range(j)])
-    strength = np.where(np.arange(j + 1) == 0, WEIGHT_GOOD, WEIGHT_BAD) * counts.sum() + 1
     model = LabelModel(np.full(j + 1, 1 / (j + 1)), prior)
     for _ in range(rounds):
         weight = counts[:, None] * p
         shares = (weight.sum(0) + 1) / (counts.sum() + j + 1)
-        rates = prior * strength[None, :, None]
+        rates = prior * np.where(np.arange(j + 1) == 0, DOCS_GOOD, DOCS_BAD)[None, :, None]
         for i in range(j):
             for kind in range(j + 1):
                 rates[i, kind] += np.bincount(patterns[:, i], weights=weight[:, kind], minlength=3)
-        model = LabelModel(shares, rates / rates.sum(axis=2, keepdims=True))
+        rates /= rates.sum(axis=2, keepdims=True)
+        over = np.maximum(0, rates[:, 0, BAD] - MOST_WRONG)
+        rates[:, 0, BAD] -= over
+        rates[:, 0, GOOD] += over
+        model = LabelModel(shares, rates)
         new = model.kinds(patterns)
         if len(p) == 0 or np.abs(new - p).max() < 1e-9:
             break

@@ -89,6 +89,31 @@ def test_op4_blocks_of_a_large_tile(spark, monkeypatch):
     assert ngram_join._other_pairs(marked, sets, 80, 4).count() == 66     # every pair once
 
 
+@pytest.mark.parametrize("hot", [4, 1 << 30])
+def test_op4_hot_passage_is_dealt_by_class(spark, monkeypatch, hot):
+    """A passage in a third of all differing texts: the same components, and no group
+    that holds all its owners."""
+    monkeypatch.setattr(ngram_join, "SAMPLE", 1)
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(12)]
+    base = [[f"w{rng.randrange(300)}" for _ in range(40)] for _ in range(15)]
+    rows = []
+    for n in range(300):
+        w = list(rng.choice(base))
+        w[rng.randrange(40)] = f"v{n}"
+        if n % 3 == 0:
+            w[10:10] = passage
+        rows.append((n, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert (len(ngram_join.hot_shingles(docs)) >= 8) == (hot == 4)
+    got = ngram_join.join_components(docs).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
+    if hot == 4:
+        dealt = ngram_join._deal(docs, 5, 64, ngram_join.hot_shingles(docs)).where("bucket >= 64").groupBy("bucket").agg(F.sum(F.length("owner") / 8).alias("n")).collect()
+        assert len(dealt) > 30 and max(r.n for r in dealt) < sum(r.n for r in dealt) / 8
+
+
 def test_op4_one_of_each(spark, odd, none):
     kept = ngram_join.one_of_each(odd)
     assert kept.columns == odd.columns
@@ -125,6 +150,17 @@ def test_op1_plan(spark, odd, none, texts):
     assert source_mix.plan(source_mix.sizes(none)).count() == 0
 
 
+def test_op1_broadcasts_no_choices_and_splits_a_hot_id(spark):
+    docs = spark.createDataFrame([(7 if i % 3 else i, "a b c d " * 40, "s") for i in range(3000)], "doc_id long, text string, source string")
+    sized = scratch.written(source_mix.sizes(docs), "t-sizes")
+    out = source_mix.plan(sized, shard=640)
+    rows = out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "chosen" in plan and not any("chosen" in line for line in plan.splitlines() if "BroadcastExchange" in line or "BroadcastHashJoin" in line)
+    hot = collections.Counter(r.shard for r in rows if r.doc_id == 7)
+    assert sum(hot.values()) == 2000 and max(hot.values()) < 100
+
+
 def test_op1_highest_quotients(spark):
     cells = [("g", f"k{i}", float(v)) for i, v in enumerate((53, 24, 23, 7, 7, 1, 0))]
     df = spark.createDataFrame(cells, "g string, k string, votes double").withColumn("house", F.lit(17).cast("long")).withColumn("most", F.lit(99).cast("long"))
@@ -140,19 +176,53 @@ def test_op1_mixed_documents(spark, odd):
         r.taken for r in source_mix.plan(source_mix.sizes(odd)).collect())
 
 
+PAGES = [(1, "http://a/", "x" * 1500), (2, "http://b/", "x" * 1500), (3, None, None), (4, "u", "é" * 800), (None, "n", "é" * 800),
+         (6, "q\r\nX: y", "short"), (7, "q", "short"), (8, "r", "WARC/1.1\r\n\r\n" * 200), (9, "z", ""), (10, "l", "long one " * 90_000)]
+
+
 def test_op2_round_trip(spark):
-    rows = [(1, "http://a/", "x" * 1500), (2, "http://b/", "x" * 1500), (3, None, None), (4, "u", "é" * 800), (None, "n", "é" * 800),
-            (6, "q\r\nX: y", "short"), (7, "q", "short"), (8, "r", "WARC/1.1\r\n\r\n" * 200), (9, "z", "")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit("clash"))
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("payload", F.lit("clash"))
     got = {r.page_id: r for r in warc.round_trip(pages).collect()}
-    assert all(r.sound for r in got.values()) and len(got) == len(rows)
-    for i, _, html in rows:
+    assert all(r.sound for r in got.values()) and len(got) == len(PAGES)
+    for i, _, html in PAGES:
         data = (html or "").encode()
         assert (got[i].payload_bytes, got[i].payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
     assert {i: r.refers_to for i, r in got.items() if r.record_type == "revisit"} == {1: 2, None: 4}
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_op2_archives_and_sidecar(spark, tmp_path, monkeypatch):
+    """Members are whole records, found by the sidecar; streams and archives are bounded."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1000)
+    monkeypatch.setattr(warc, "STREAM_BYTES", 2000)
+    pages = spark.createDataFrame(PAGES[:9], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.records(pages), f"{tmp_path}/streams")
+    assert len(list((tmp_path / "streams").glob("*.gz"))) > 2
+    warc.normalise(spark, f"{tmp_path}/streams", f"{tmp_path}/out")
+    seen = []
+    for r in spark.read.parquet(f"{tmp_path}/out/index").collect():
+        [file] = (tmp_path / "out" / "data" / f"archive={r.archive}").glob("part-*")
+        data = file.read_bytes()
+        assert warc.members(data) == list(zip(r.places, r.lengths))
+        for at, n in zip(r.places, r.lengths):
+            text = zlib.decompress(data[at:at + n], 31)
+            assert text.endswith(b"\r\n\r\n") and warc.headers(text.partition(b"\r\n\r\n")[0])["warc-date"] == warc.DATE
+            seen.append(warc.record_of(text)[0])
+        assert len(list(warc.stream_records([b"".join(warc._inflated(data))]))) == len(r.places) + 1     # a plain reader: the listing is a record
+    assert sorted(map(str, seen)) == sorted(str(i) if i else "None" for i, _, _ in PAGES[:9])
+
+
+def test_op2_damage_shows(spark):
+    """A payload that was changed on the way, and a revisit whose response is gone."""
+    head = (b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:5>\r\nWARC-Payload-Digest: sha1:%s\r\nWARC-Payload-Length: 3\r\n"
+            b"Content-Length: 3\r\n\r\n") % hashlib.sha1(b"abc").hexdigest().encode()
+    assert warc.record_of(head + b"abc\r\n\r\n")[6] and not warc.record_of(head + b"abX\r\n\r\n")[6]
+    assert warc.record_of(head + b"abX\r\n\r\n")[3] == hashlib.sha1(b"abX").hexdigest()       # what was read, not what the header says
+    rows = [("1", 3, "d", "response", None, True), ("2", 3, "d", "revisit", "1", True), ("3", 3, "e", "revisit", "1", True), ("4", 3, "d", "revisit", "9", True)]
+    df = spark.createDataFrame(rows, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string, sound boolean")
+    assert {r.page_id: r.sound for r in warc.verified(df).collect()} == {"1": True, "2": True, "3": False, "4": False}
+
+
 def test_op2_records_by_offset_only(spark, tmp_path):
     """A stream cut at any byte gives the same records; members stand alone."""
     head = b"WARC/1.1\r\nContent-Length: 5"
@@ -211,6 +281,19 @@ def test_op3_rare_insult_and_labels_of_unknown_documents(spark):
     assert {r.label: r["count"] for r in sizes} == {0: 2000, 1: 2000}
 
 
+def test_op3_recall_in_every_language(spark):
+    """Held-out documents of the table: learnt in all languages, each by its own insults."""
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, only=~toxicity.held_out())
+    scored = toxicity.scored(docs, model, ["doc_id", "lang"]).where(toxicity.held_out()).join(labels, "doc_id")
+    hit = {(r.lang, r.toxic): r for r in scored.groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum((F.col("score") >= toxicity.THRESHOLD).cast("int")).alias("k")).collect()}
+    caught, n, wrong = (sum(hit[lang, t][c] for lang in ("en", "de", "fr", "es")) for t, c in ((1, "k"), (1, "n"), (0, "k")))
+    assert caught / n >= 0.85 and caught / (caught + wrong) >= 0.9
+    for lang in ("en", "de", "fr", "es"):       # es: 33 toxic documents, 12 of them held out
+        assert hit[lang, 1].k / hit[lang, 1].n >= 0.7, lang
+        assert hit[lang, 0].k / hit[lang, 0].n <= 0.03, lang
+
+
 def test_op3_margin_is_the_kernel_sum():
     """Weights per triple give the margins that a sum over landmarks gives."""
     words, land = [b"window", b"wandow", b"ab", b"abcabcab"], [b"winter", b"abcd"]
@@ -225,45 +308,103 @@ def test_op3_margin_is_the_kernel_sum():
         assert got[0] == pytest.approx(k, abs=1e-5)
 
 
+def lm_scores(docs, flat, vocab, counts):
+    held = scratch.written(masked_lm.pieces(docs, vocab), "t-pieces")
+    return {r.doc_id: r for r in masked_lm.scored(held, flat, vocab, counts).collect()}
+
+
 def test_op5_scores(spark, odd, none):
     fixed = ["alpha beta gamma delta epsilon zeta"] * 40
     docs = spark.createDataFrame([(i, t * 3) for i, t in enumerate(fixed)] + [(100, " ".join(reversed((fixed[0] * 3).split())))], "doc_id long, text string")
-    vocab = masked_lm.vocabulary(masked_lm.word_counts(docs))
-    assert vocab.total == sum(len(WORD.findall(r.text)) for r in docs.collect())
-    flat = masked_lm.train(docs, vocab, rounds=4)
-    got = {r.doc_id: r.mean_log_likelihood for r in masked_lm.scored(docs, flat, vocab).collect()}
-    before = {r.doc_id: r.mean_log_likelihood for r in masked_lm.scored(docs, masked_lm.start(), vocab).collect()}
-    assert got[0] > before[0] + 0.5 and got[0] > got[100]
-    # Whole texts: words scored one by one, in any chunks, give the sums.
-    frame, place = masked_lm.framed(np.array([0, 1, 2, 3]), np.array([0, 0, 1, 1]))
-    one = [masked_lm.log_probabilities(masked_lm.unpack(flat), frame, place[i:i + 1])[0] for i in range(4)]
-    assert np.allclose(masked_lm.log_probabilities(masked_lm.unpack(flat), frame, place), one, atol=1e-5)
+    counts = scratch.written(masked_lm.word_counts(docs), "t-counts")
+    vocab = masked_lm.vocabulary(counts)
+    assert vocab.total == sum(len(WORD.findall(r.text)) for r in docs.collect()) and vocab.size == counts.count()
+    flat = masked_lm.train(scratch.written(masked_lm.pieces(docs, vocab), "t-pieces"), vocab, rounds=8)
+    got, before = (lm_scores(docs, f, vocab, counts) for f in (flat, masked_lm.start(vocab)))
+    assert got[0].mean_log_likelihood > before[0].mean_log_likelihood + 0.3 and got[0].mean_log_likelihood > got[100].mean_log_likelihood
     rows = masked_lm.score_corpus(odd).collect()
     assert len(rows) == len(ODD) and all((r.mean_log_likelihood is None) == (r.n_words == 0) for r in rows)
     assert masked_lm.score_corpus(none).count() == 0
 
 
-def test_op5_words_beyond_the_list_have_their_own_counts(spark):
-    """Two words of one ending, both outside the list, are told apart by their counts."""
-    rows = [(i, " ".join(f"w{j:03d}" for j in range(masked_lm.TOP) for _ in range(3))) for i in range(8)]
-    rows += [(100, "often" + "zz"), (101, "rare" + "zz")] + [(200 + i, "oftenzz") for i in range(19)]
+def test_op5_brute_force(spark, monkeypatch):
+    """Whole scores of a small corpus, word by word, with both levels of the softmax."""
+    monkeypatch.setattr(masked_lm, "SINGLES", 4)
+    monkeypatch.setattr(masked_lm, "vocabulary_size", lambda total: 20)
+    monkeypatch.setattr(masked_lm, "PIECE_WORDS", 12)
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randrange(30)))) for i in range(40)] + [(7, "w1 w1"), (None, "w2")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    counts = masked_lm.word_counts(docs)
+    counts = scratch.written(masked_lm.word_counts(docs), "t-counts")
     vocab = masked_lm.vocabulary(counts)
-    got = {r.doc_id: r.log_likelihood for r in masked_lm.scored(docs, masked_lm.start(), vocab).collect()}
-    assert len(got) == len(rows) and got[100] - got[101] == pytest.approx(np.log(20), abs=1e-4)
-    # p(word | class) over a class's words sums to 1.
-    inner = {r.word: vocab.inner[masked_lm.TOP + r.rest] + np.log(r.n) for r in counts.collect() if r.word not in set(vocab.words.view(np.int64).tolist())}
-    assert sum(np.exp(list(inner.values()))) == pytest.approx(1)
+    assert vocab.size == 20 and vocab.blocks == 2
+    held = scratch.written(masked_lm.pieces(docs, vocab), "t-pieces")
+    assert held.count() > 1
+    flat = masked_lm.train(held, vocab)
+    p = {k: v.astype(np.float64) for k, v in masked_lm.unpack(flat, vocab).items()}
+    n = collections.Counter(w for _, t in rows for w in t.split())
+    number = {w: int(vocab.of(textkit.Words([w.encode()], lower=True))[0]) for w in n}
+    in_class = collections.Counter()
+    for w, k in n.items():
+        if number[w] >= vocab.size:
+            in_class[number[w]] += k
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+
+    def score(text):
+        ids, total = [number[w] for w in text.split()], 0.0
+        padded = [vocab.edge] * 2 + ids + [vocab.edge] * 2
+        for j, (w, i) in enumerate(zip(text.split(), ids)):
+            h = np.tanh(p["b"] + sum(p["e"][padded[j + 2 + k]] @ p["w"][m] for m, k in enumerate(masked_lm.PLACES)))
+            cls = vocab.class_of[i]
+            total += np.log(softmax(h @ p["u"] + p["c"])[cls])
+            if i >= vocab.size:
+                total += np.log(n[w] / in_class[i])
+            elif i >= vocab.singles:
+                block = cls - vocab.singles
+                total += np.log(softmax(p["u2"][block] @ h + p["c2"][block])[vocab.member[i]])
+        return total
+
+    want = sorted((str(i), len(t.split()), score(t)) for i, t in rows)
+    found = sorted((str(r.doc_id), r.n_words, r.log_likelihood) for r in masked_lm.scored(held, flat, vocab, counts).collect())
+    assert len(want) == len(found)
+    for a, b in zip(want, found):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=5e-3)
+    # p(word | class, window) over a block, and the shares within a class of the rest, sum to 1.
+    assert sum(n[w] for w in n if number[w] >= vocab.size) == sum(in_class.values())
+
+
+def test_op5_same_scores_whatever_ran_before(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    first = {r.doc_id: r.log_likelihood for r in masked_lm.score_corpus(docs).collect()}
+    toxicity.fit(docs, table(spark, SF_SMALL, "labels"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        again = {r.doc_id: r.log_likelihood for r in masked_lm.score_corpus(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert first.keys() == again.keys()
+    assert max(abs(first[i] - again[i]) for i in first) < 0.02 * max(abs(v) for v in first.values())
+    third = {r.doc_id: r.log_likelihood for r in masked_lm.score_corpus(docs).collect()}
+    assert first == third       # to the last bit
+
+
+def test_op5_vocabulary_grows():
+    sizes = [masked_lm.vocabulary_size(10 ** k) for k in range(2, 16)]
+    assert sizes == sorted(sizes) and sizes[0] == masked_lm.SINGLES and sizes[6] > 3000 and sizes[-1] == masked_lm.MOST
+    v = masked_lm.Vocabulary(np.arange(500, dtype=np.uint64), np.arange(500), np.arange(500, 0, -1), 10 ** 6)
+    places = list(zip(v.class_of[:500].tolist(), v.member[:500].tolist()))
+    assert len(set(places)) == 500 and max(v.member) < v.width and max(v.class_of) == v.classes - 1
 
 
 def test_op5_trains_on_every_word_once():
-    """The rounds' shares are all words, whatever the chunks."""
-    texts = [(" ".join(f"w{(i * j) % 13}" for j in range(i % 9))).encode() for i in range(60)]
-    whole = textkit.Words(texts, lower=True)
-    shares = [masked_lm.dealt(whole, turn, masked_lm.ROUNDS, masked_lm.SEED) for turn in range(masked_lm.ROUNDS)]
+    """The rounds' shares are all words, whatever the pieces."""
+    rng = np.random.default_rng(2)
+    count = rng.integers(0, 9, 60)
+    numbers = rng.integers(0, 13, count.sum())
+    shares = [masked_lm.dealt(numbers, count, turn, masked_lm.ROUNDS, masked_lm.SEED) for turn in range(masked_lm.ROUNDS)]
     assert (np.sum(shares, axis=0) == 1).all() and all(s.any() for s in shares)
-    parts = [masked_lm.dealt(textkit.Words(texts[i:i + 7], lower=True), 0, masked_lm.ROUNDS, masked_lm.SEED) for i in range(0, 60, 7)]
+    cut = np.cumsum(count)
+    parts = [masked_lm.dealt(numbers[cut[i] - count[i]:cut[min(i + 6, 59)]], count[i:i + 7], 0, masked_lm.ROUNDS, masked_lm.SEED) for i in range(0, 60, 7)]
     assert (np.concatenate(parts) == shares[0]).all()
 
 
@@ -290,6 +431,40 @@ def test_op6_fingerprints(spark, odd, none, texts):
     assert order_minhash.fingerprinted(odd.limit(1)).collect()[0].near_next == 1.0
 
 
+def brute_fingerprint(text):
+    """Order MinHash with Spark's hash: 64-bit, little-endian, chained through the seed."""
+    import xxhash
+
+    def chain(*values):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64_intdigest(v, seed=h)
+        return h
+
+    signed = lambda h, bits: (h - (1 << bits) if h >> (bits - 1) else h)
+    w = [x.encode() for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    grams = [chain(*w[i:i + order_minhash.K]) for i in range(len(w) - order_minhash.K + 1)] or ([chain(*w)] if w else [])
+    low, seen, marked = order_minhash.PLACE_BITS, collections.Counter(), []
+    for place, g in enumerate(grams):
+        kept = signed(g >> low, 64 - low)
+        marked.append((chain(kept.to_bytes(8, "little", signed=True), seen[kept].to_bytes(4, "little")) >> low, place))
+        seen[kept] += 1
+    out = []
+    for b in range(order_minhash.BINS):
+        own = sorted(((signed(h, 64 - low), place) for h, place in marked if h >> (64 - low - order_minhash.BIN_BITS) == b))[:order_minhash.L]
+        own = [h for _, h in sorted((place, h) for h, place in own)]
+        out.append(f"{chain(*[(h & ((1 << (64 - low)) - 1)).to_bytes(8, 'little') for h in own]):016X}"[:8] if own else order_minhash.EMPTY)
+    return "".join(out) if w else order_minhash.EMPTY * order_minhash.BINS
+
+
+def test_op6_brute_force(spark, texts):
+    rows = [(d, t) for d, t, _ in texts[:60]] + [(1000 + i, t) for i, (_, t) in enumerate(ODD)] + [(2000, "a b c " * 30), (2001, "x y")]
+    df = order_minhash.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string"), "text", "f")
+    found = {r.doc_id: r.f for r in df.collect()}
+    for d, t in rows:
+        assert found[d] == brute_fingerprint(t or ""), d
+
+
 def test_op6_order_and_repeats_count(spark):
     words = [f"w{i}" for i in range(60)]
     swapped = words[30:] + words[:30]
@@ -330,10 +505,68 @@ def test_op7_exact_bounds():
         __import__("math").comb(50, k) * 0.1 ** k * 0.9 ** (50 - k) for k in range(3)))
     good, bad = np.zeros(64, int), np.zeros(64, int)
     good[2], bad[40] = 3000, 200
-    assert quality_rules.choose(good, bad, 0.001) == 40      # the most lenient cutoff that catches all
-    good[40] = 100                                           # would reject 3 % of good documents
-    assert quality_rules.choose(good, bad, 0.001) is None
-    assert quality_rules.choose(good // 100, bad, 0.001) is None   # too few to certify anything
+    assert quality_rules.proposed({"a": np.stack([bad, good]), "b": np.stack([bad // 2, good])}) == [("a", 40), ("b", 40)]
+    good[40] = 100          # each costs 20 bad ones
+    assert quality_rules.proposed({"a": np.stack([bad, good])}) == []
+    chain, lost = [("a", 60), ("b", 62)], np.array([0, 1, 0, 0, 500, 0])
+    assert quality_rules.certified(chain, lost, 3000, 0.01) == {"a": 60}       # b's first step would lose 501 of 3,000
+    assert quality_rules.certified(chain, lost, 20, 0.01) == {}                # too few to certify anything
+    assert quality_rules.certified(chain, lost[[0, 1, 0, 0, 0, 0]], 3000, 0.01) == {"a": 60, "b": 62}
+
+
+def test_op7_kept_by_brute_force(spark):
+    """The whole method again in plain loops: levels, proposal, chain, certificate, verdict."""
+    rng = random.Random(11)
+
+    def text(bad):
+        w = [rng.choice(("plain", "Words", "in", "a", "text", "reading", "long")) for _ in range(rng.randrange(12, 40))]
+        if bad:
+            w += rng.choice((["#"] * 30, ["WOW!!!"] * 20, ["x" * 60] * 9))
+        rng.shuffle(w)
+        return " ".join(w)
+
+    rows = [(i, text(i % 5 == 0), "en" if i % 4 else "de", 0 if i % 5 == 0 else 1) for i in range(4400)] + [(5000, None, None, 1), (5001, "too short", "en", 1)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(1, 0), (99999, 1), (None, 1)], "doc_id long, quality int")
+    measured = scratch.written(quality_rules.measure(docs, ["doc_id", "lang"]), "t-measured")
+    cuts = quality_rules.fit(measured, labels)
+    got = {r.doc_id: r.kept for r in quality_rules.judge(measured, cuts).collect()}
+
+    label = {r[0]: r[3] for r in rows} | {1: 0}
+    proposes = {r.doc_id: r.p for r in docs.select("doc_id", (F.pmod(F.xxhash64(F.lit(quality_rules.SEED), "doc_id"), F.lit(quality_rules.PROPOSE)) == 0).alias("p")).collect()}
+    names, levels, strata = list(quality_rules.rules()), {}, collections.defaultdict(list)
+    values = measured.select("doc_id", quality_rules.stratum().alias("s"), quality_rules.base_failed().alias("f"), *[v.alias(r) for r, v in quality_rules.rules().items()])
+    for r in values.collect():
+        levels[r.doc_id] = None if r.f else {n: min(int(r[n] * 64), 63) for n in names}
+        strata[r.s].append(r.doc_id)
+    expected, able = {}, {}
+    for s, ids in strata.items():
+        n = sum(1 for i in ids if levels[i] and label[i] and not proposes[i])
+        if n >= np.log(0.05) / np.log(0.99):
+            able[s] = n
+    assert set(able) == {"en", "de"}
+    for s, n in able.items():
+        first = [i for i in strata[s] if levels[i] and proposes[i]]
+        best = []
+        for name in names:
+            gain, cut = max((sum(1 if not label[i] else -20 for i in first if levels[i][name] >= c), c) for c in range(1, 64))
+            if gain > 0:
+                best.append((-gain, name, cut))
+        second, now = [i for i in strata[s] if levels[i] and label[i] and not proposes[i]], {}
+        for _, name, cut in sorted(best):
+            for c in range(63, cut - 1, -1):
+                trial = now | {name: c}
+                k = sum(any(levels[i][m] >= x for m, x in trial.items()) for i in second)
+                if sum(__import__("math").comb(n, j) * 0.01 ** j * 0.99 ** (n - j) for j in range(k + 1)) > 0.05 / len(able):
+                    break
+                now = trial
+            else:
+                continue
+            break
+        expected |= {(s, r): c for r, c in now.items()}
+    assert cuts == expected and len(cuts) >= 2
+    stratum = {i: s for s, ids in strata.items() for i in ids}
+    assert got == {i: lv is not None and not any(expected.get((stratum[i], m), 99) <= x for m, x in lv.items()) for i, lv in levels.items()}
 
 
 def test_op8_rules(spark):
@@ -351,6 +584,26 @@ def test_op8_rules(spark):
     assert url_filter.judge(df.where("false"), rules).count() == 0
 
 
+def test_op8_joins_on_the_prefix_and_splits_a_hot_url(spark, monkeypatch):
+    rules = spark.createDataFrame(queries.URL_RULES, "verdict string, host string, path string")
+    urls = [(i, "http://hot.net/" if i % 3 == 0 else None if i % 3 == 1 else f"http://h{i}.org/fr/{i}") for i in range(3000)]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumns({c: F.lit("q") for c in ("row", "n", "found", "at_host")})
+    want = {i: ("block", "net/") if i % 3 == 0 else ("allow", None) if i % 3 == 1 else ("allow", "org/fr/") for i, _ in urls}
+    for most in (10, 0):        # rules broadcast, and dealt over parts
+        monkeypatch.setattr(url_filter, "MOST_RULES", most)
+        got = url_filter.judge(pages, rules)
+        assert {r.page_id: (r.verdict, r.rule) for r in got.collect()} == want and set(pages.columns) <= set(got.columns)
+    hashed = url_filter.hashed_rules(rules)
+    met = url_filter.confirmed(url_filter.expressions(spark.createDataFrame([("a.net", "/")], "host string, path string"), [1, 2], [1]), hashed)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "SortMergeJoin" in line or "BroadcastHashJoin" in line)
+    assert "start" in join and "digest" not in join.split("Inner")[0]
+    judged = url_filter.judge(pages, rules)
+    judged.collect()
+    final = judged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final
+
+
 def test_op9_matches_the_library(spark, odd, none):
     path = queries.model_path()
     rng = random.Random(1)
@@ -399,6 +652,42 @@ def test_op10_estimate_recovers_rates():
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
 
 
+def test_op10_em_by_brute_force():
+    """The estimate from pattern counts against loops over single documents."""
+    rng = np.random.default_rng(3)
+    docs = rng.integers(0, 3, (60, 3))
+    patterns, counts = np.unique(docs, axis=0, return_counts=True)
+    model = weak_labels.estimate(patterns, counts.astype(float), rounds=7)
+    bad = [[1.0 if not any(v == 1 for v in d) else 0.1, *[0.9 * (v == 1) / max(1, sum(x == 1 for x in d)) for v in d]] for d in docs]
+    prior = lambda i, k: weak_labels.PRIOR_GOOD if k == 0 else weak_labels.PRIOR_OWN if k == i + 1 else weak_labels.PRIOR_OTHER
+    p = bad
+    for _ in range(7):
+        shares = [(sum(x[k] for x in p) + 1) / (len(docs) + 4) for k in range(4)]
+        rates = [[[prior(i, k)[v] * (weak_labels.DOCS_BAD if k else weak_labels.DOCS_GOOD) + sum(x[k] for x, d in zip(p, docs) if d[i] == v) for v in range(3)] for k in range(4)] for i in range(3)]
+        rates = [[[r / sum(row) for r in row] for row in each] for each in rates]
+        for each in rates:
+            over = max(0, each[0][1] - weak_labels.MOST_WRONG)
+            each[0][1], each[0][2] = each[0][1] - over, each[0][2] + over
+        p = []
+        for d in docs:
+            like = [shares[k] * np.prod([rates[i][k][d[i]] for i in range(3)]) for k in range(4)]
+            p.append([x / sum(like) for x in like])
+    assert np.allclose(model.shares, shares) and np.allclose(model.rates, rates)
+    assert np.allclose(model.posterior(docs), [x[0] for x in p])
+
+
+def test_op10_prior_does_not_grow():
+    """The rates of good documents are those of the data, the closer the more there are."""
+    rng, gaps = np.random.default_rng(1), []
+    for n in (300, 30000):
+        votes = np.where(rng.random((n, 4)) < 0.4, 0, 2)        # good ones: 0.4 abstain, prior 0.1
+        bad = rng.random(n) < 0.2
+        votes[bad] = np.where(rng.random((bad.sum(), 4)) < 0.95, 1, 2)
+        patterns, counts = np.unique(votes, axis=0, return_counts=True)
+        gaps.append(np.abs(weak_labels.estimate(patterns, counts.astype(float)).rates[:, 0, 0] - 0.4).max())
+    assert gaps[1] < 0.02 and gaps[1] < gaps[0]
+
+
 def test_chunks_hold_every_text_once(monkeypatch):
     monkeypatch.setattr(textkit, "CHUNK_BYTES", 10)
     texts = ["a b", None, "", "x" * 30, "é" * 4, "zz"]
@@ -410,13 +699,60 @@ def test_chunks_hold_every_text_once(monkeypatch):
     assert [t for _, t in textkit.chunks([untyped])] == [[b"", b"", b""]]
 
 
-def test_batch_bounds_replace_defaults_only(spark):
+def test_batch_bounds_hold_inside_only(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     try:
         for now, then in (("10000", "1000"), ("77", "77")):
             spark.conf.set(key, now)
-            scratch.map_texts(spark.range(1), lambda batches: batches, "id long")
-            assert spark.conf.get(key) == then
+            with scratch.small_batches(spark):
+                assert spark.conf.get(key) == then
+            assert spark.conf.get(key) == now
+        with pytest.raises(RuntimeError), scratch.small_batches(spark):
+            raise RuntimeError
+        assert spark.conf.get(key) == "77"
     finally:
         spark.conf.set(key, before)
+
+
+# --- every operator on texts --------------------------------------------------------
+
+LONG = [(1, ("the garden and the letters of summer %d " * 30_000) % tuple(range(30_000))), (2, "short one"), (3, None), (4, "word " * 200_000)]
+CLASHES = ("size", "n", "row", "rows", "key", "h", "values", "score", "class_key", "component", "copy", "shard", "taken", "piece", "words", "ids", "plan_id",
+           "draw", "label", "n_shingles", "keep", "passes", "order", "vector", "fingerprint_x")
+
+
+def test_texts_beyond_a_chunk_are_whole(spark):
+    """Texts of over a megabyte: longer than a chunk, and together than an Arrow batch."""
+    assert len(LONG[0][1].encode()) > 2 * textkit.CHUNK_BYTES and len(LONG[3][1]) > textkit.CHUNK_BYTES
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in LONG], DOCS)
+    words = {i: WORD.findall(t or "") for i, t in LONG}
+    got = {r.doc_id: r for r in quality_rules.measure(docs).collect()}
+    assert {i: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for i, r in got.items()} == {i: measured(t or "") for i, t in LONG}
+    assert {r.doc_id: r.n_shingles for r in ngram_join.join_components(docs).collect()} == {i: len(shingle_set(t)) for i, t in LONG}
+    assert {r.doc_id: r.n_words for r in masked_lm.score_corpus(docs).collect()} == {i: len(w) for i, w in words.items()}
+    assert piece_bpe.differences(docs, queries.model_path()).count() == 0
+    assert {r["doc_id"]: r["size"] for r in source_mix.plan(source_mix.sizes(docs)).collect()} == {i: len(w) for i, w in words.items()}
+    insult = spark.createDataFrame([(9, LONG[0][1] + " zorgblat" * 20_000)], "doc_id long, text string")
+    rows = [(i, "the garden and the letters of summer " * 3 + ("zorgblat" if i % 2 else "")) for i in range(200)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
+    clean, bad = (toxicity.scored(d, model).collect()[0].score for d in (docs.where("doc_id = 1"), insult))
+    assert bad > clean + 0.2
+    assert weak_labels.scored(docs, weak_labels.fit(docs)).count() == 4
+    f = {r.doc_id: r.fingerprint for r in order_minhash.fingerprinted(docs.where("doc_id <> 4")).collect()}
+    assert f[1] == brute_fingerprint(LONG[0][1])
+
+
+def test_clashing_columns_change_nothing(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s1", len(t or "")) for i, t in ODD], DOCS)
+    clash = docs.withColumns({c: F.lit("clash") for c in CLASHES})
+    labels = spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    key = lambda rows: sorted(map(str, rows))
+    for run in (lambda d: source_mix.plan(source_mix.sizes(d)).select("doc_id", "size", "taken"), lambda d: toxicity.scored(d, toxicity.fit(d, labels), ["doc_id"]),
+                ngram_join.join_components, masked_lm.score_corpus, order_minhash.fingerprinted, lambda d: piece_bpe.digests(d, queries.model_path()),
+                lambda d: weak_labels.scored(d, weak_labels.fit(d))):
+        assert key(run(docs).collect()) == key(run(clash).collect())
+    for kept in (toxicity.scored(clash, model, name="__toxicity"), ngram_join.one_of_each(clash), source_mix.mixed(clash)):
+        assert set(clash.columns) <= set(kept.columns)
+        assert {r["key"] for r in kept.collect()} == {"clash"}
