@@ -9,6 +9,15 @@ columns of ``documents``:
 3. n-gram Jaccard join: one document of each group of near duplicates stays;
 4. mixing: each source is repeated and cut to its target;
 5. SentencePiece encoding: number and digests of the ids of what is left.
+
+A stage that judges texts computes its values once, into a written table of the rows
+with their values; the filter then reads that table, and texts do not go to Python again.
+
+Defined cases, for every stage: null, empty and very long texts are judged whole, as
+the operator defines; an empty table gives an empty result of the same columns;
+repeated rows are judged row by row (the join keeps one of them); extra columns pass
+through the first four stages unchanged, whatever their names, but for those that
+begin with two underscores, which belong to the operators, and the names of the quality measures.
 """
 
 from __future__ import annotations
@@ -19,14 +28,14 @@ from quarry.llm.scratch import table, written
 
 
 def quality_stage(spark, docs, sf_dir):
-    measured = written(quality_rules.measure(docs, ["doc_id", "lang"]), "measures")
+    measured = written(quality_rules.measure(docs), "measured")
     cuts = quality_rules.fit(measured, table(spark, sf_dir, "labels"))
-    return quality_rules.judge(quality_rules.measure(docs), cuts).where("kept").select(*docs.columns)
+    return quality_rules.judge(measured, cuts).where("kept").select(*docs.columns)
 
 
 def toxicity_stage(spark, docs, sf_dir):
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), only=~toxicity.held_out())
-    scored = toxicity.scored(docs, model, name="__toxicity")
+    scored = written(toxicity.scored(docs, model, name="__toxicity"), "scored")
     return scored.where(scored["__toxicity"] < toxicity.THRESHOLD).select(*docs.columns)
 
 
@@ -39,7 +48,7 @@ def mixing_stage(spark, docs, sf_dir):
 
 
 def encoding_stage(spark, docs, sf_dir):
-    return piece_bpe.digests(docs, model_path())
+    return written(piece_bpe.digests(docs, model_path()), "encoded")
 
 
 STAGES = [
