@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import components
-from quarry.llm.scratch import give_back, map_texts, power_of_two, remove, with_values, written
+from quarry.llm.scratch import give_back, map_texts, power_of_two, reading, remove, with_values, written
 from quarry.llm.textkit import Words, chunks, mix, shingles
 from quarry.operators.upsert import salts
 
@@ -419,4 +419,4 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     # Equal rows of one document: the first of them.
     nth = F.row_number().over(Window.partitionBy("__class", "doc_id").orderBy("text"))
     left = marked.where("__class != 0").join(stay, on, "left_semi").withColumn("__nth", nth).where("__nth = 1")
-    return left.select(*docs.columns).unionAll(marked.where("__class = 0").select(*docs.columns))
+    return reading(left.select(*docs.columns).unionAll(marked.where("__class = 0").select(*docs.columns)), marked)

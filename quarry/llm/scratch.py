@@ -27,6 +27,8 @@ from quarry.sinks.files import _remove
 #: Spark's own bounds of an Arrow batch and those for whole texts.  Ten thousand rows
 #: of text are tens of megabytes, held by the JVM and by Python at once for every core.
 BATCHES = {"maxRecordsPerBatch": ("10000", "1000"), "maxBytesPerBatch": ("67108864b", "4194304b")}
+#: A writer holds a row group in memory.
+ROW_GROUP_BYTES = 16 << 20
 
 
 @contextmanager
@@ -50,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame and read it back: cuts the lineage at a table."""
     spark, path = df.sparkSession, run_path(df.sparkSession, name)
     with small_batches(spark):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
@@ -62,6 +64,12 @@ def remove(*tables: DataFrame) -> None:
         _remove(t.sparkSession, t.written_to)
 
 
+def reading(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """``df``, with the tables of :func:`written` that it reads when it runs."""
+    df.reads = [*getattr(df, "reads", []), *tables]
+    return df
+
+
 def give_back() -> None:
     """Returns the memory that this Python worker holds but does not use: workers live
     on between tasks, and a few of them share an executor."""
