@@ -12,6 +12,8 @@ columns of ``documents``:
 
 A stage that judges texts computes its values once, into a written table of the rows
 with their values; the filter then reads that table, and texts do not go to Python again.
+Such a table is removed when the next stage begins: by then the result that reads it
+is written.
 
 Defined cases, for every stage: null, empty and very long texts are judged whole, as
 the operator defines; an empty table gives an empty result of the same columns;
@@ -24,19 +26,33 @@ from __future__ import annotations
 
 from quarry.llm import ngram_join, piece_bpe, quality_rules, source_mix, toxicity
 from quarry.llm.queries import model_path
-from quarry.llm.scratch import table, written
+from quarry.llm.scratch import reading, remove, table, written
+
+_left: list = []    # tables that the last stage's result reads
+
+
+def _stage(run):
+    """A stage that first removes what the one before it left."""
+    def stage(spark, docs, sf_dir):
+        remove(*_left)
+        _left.clear()
+        out = run(spark, docs, sf_dir)
+        _left.extend(getattr(out, "reads", []))
+        return out
+
+    return stage
 
 
 def quality_stage(spark, docs, sf_dir):
     measured = written(quality_rules.measure(docs), "measured")
     cuts = quality_rules.fit(measured, table(spark, sf_dir, "labels"))
-    return quality_rules.judge(measured, cuts).where("kept").select(*docs.columns)
+    return reading(quality_rules.judge(measured, cuts).where("kept").select(*docs.columns), measured)
 
 
 def toxicity_stage(spark, docs, sf_dir):
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), only=~toxicity.held_out())
     scored = written(toxicity.scored(docs, model, name="__toxicity"), "scored")
-    return scored.where(scored["__toxicity"] < toxicity.THRESHOLD).select(*docs.columns)
+    return reading(scored.where(scored["__toxicity"] < toxicity.THRESHOLD).select(*docs.columns), scored)
 
 
 def ngram_stage(spark, docs, sf_dir):
@@ -48,15 +64,16 @@ def mixing_stage(spark, docs, sf_dir):
 
 
 def encoding_stage(spark, docs, sf_dir):
-    return written(piece_bpe.digests(docs, model_path()), "encoded")
+    encoded = written(piece_bpe.digests(docs, model_path()), "encoded")
+    return reading(encoded, encoded)
 
 
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("toxicity", toxicity_stage),
-    ("ngram_join", ngram_stage),
-    ("source_mix", mixing_stage),
-    ("piece_bpe", encoding_stage),
+    ("quality_rules", _stage(quality_stage)),
+    ("toxicity", _stage(toxicity_stage)),
+    ("ngram_join", _stage(ngram_stage)),
+    ("source_mix", _stage(mixing_stage)),
+    ("piece_bpe", _stage(encoding_stage)),
 ]
 
 #: Hashes choose blocks and trained models choose documents: no SQL gives these rows.
