@@ -54,6 +54,7 @@ from quarry.operators.upsert import salts
 PERCENT = 80           # least similarity in percent
 WORDS = 5              # words of a shingle
 BUCKET_SHINGLES = 1 << 20   # about so many shingles are counted in one group
+FLUSH_SHINGLES = 1 << 19    # shingles that a task packs at a time
 LEADS = 2              # turns in which classes meet one leader each
 TILE_BLOCK = 1024      # classes of a tile that meet in one group
 MAP_WORDS = 16         # 64-bit words of a bitmap
@@ -166,7 +167,7 @@ def _deal(docs: DataFrame, words: int, buckets: int, hot: np.ndarray) -> DataFra
             for k, v in (("key", key), ("size", size), ("doc", doc.astype(np.int32) + at), ("h", h)):
                 parts[k].append(v)
             at, held = at + rows.num_rows, held + len(h)
-            if held >= BUCKET_SHINGLES:
+            if held >= FLUSH_SHINGLES:
                 yield from flush(parts)
                 parts, at, held = fresh(), 0, 0
         if held:

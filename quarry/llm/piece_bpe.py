@@ -207,6 +207,13 @@ class Memo(dict):
             self[word] = found
         return found
 
+    def forget(self) -> None:
+        """Lets the words go; the model stays."""
+        self.before = {}
+        self.clear()
+        if self.units is not None:
+            self.units.forget()
+
     def encode(self, text: str) -> tuple[str, str]:
         """(ids as text, decoded text) of a whole text."""
         if not text:
@@ -253,15 +260,18 @@ def _apply(docs: DataFrame, model_path: str, keep, schema: str, row) -> DataFram
 
     def run(batches):
         memo = _memo(model.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = []
-                for text in part.column(part.num_columns - 1).to_pylist():
-                    ids, decoded = memo.encode(text or "")
-                    rows.append(row(ids.count(",") + 1 if ids else 0, ids, decoded))
-                new = [pa.array(c) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *new], names=[*keep, *names])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    rows = []
+                    for text in part.column(part.num_columns - 1).to_pylist():
+                        ids, decoded = memo.encode(text or "")
+                        rows.append(row(ids.count(",") + 1 if ids else 0, ids, decoded))
+                    new = [pa.array(c) for c in zip(*rows)]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *new], names=[*keep, *names])
+        finally:
+            memo.forget()
 
     return map_texts(docs.select(*keep, docs["text"].alias("__text")), run, schema)
 

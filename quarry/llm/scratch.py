@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.textkit import text_chunks
+from quarry.llm.textkit import forget, text_chunks
 from quarry.session import run_path
 from quarry.sinks.files import _remove
 
@@ -73,6 +73,7 @@ def reading(df: DataFrame, *tables: DataFrame) -> DataFrame:
 def give_back() -> None:
     """Returns the memory that this Python worker holds but does not use: workers live
     on between tasks, and a few of them share an executor."""
+    forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

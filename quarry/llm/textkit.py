@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 #: Texts are worked on in chunks of about this many bytes (a longer text is
 #: its own chunk), which bounds a task's memory whatever the batch size.
-CHUNK_BYTES = 512 << 10
+CHUNK_BYTES = 256 << 10
 #: ... and of at most this many texts, so that a text's number has 16 bits.
 CHUNK_TEXTS = 60_000
 
@@ -58,6 +58,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget() -> None:
+    """Lets the tables of powers go."""
+    _POWERS.clear()
+
+
 def text_bytes(column) -> list[bytes]:
     """The UTF-8 bytes of a string column, null as empty."""
     if isinstance(column, pa.ChunkedArray):
