@@ -49,14 +49,14 @@ from quarry.llm.textkit import Words, chunks, mix
 SINGLES = 32            # commonest words, classes by themselves
 REST = 16               # classes of the words beyond the vocabulary
 MOST = 60_000           # words of the vocabulary at most; numbers have 16 bits
-DIM = 12
-HIDDEN = 20
+DIM = 10
+HIDDEN = 16
 PLACES = (-2, -1, 1, 2)
 ROUNDS = 2
 RATE = 0.1
 CALM = 0.01             # gradients far below this hardly move a number
 BATCH = 4096
-BLOCK = 2048
+BLOCK = 4096
 SEED = 11
 STEP = 1 << 24          # averaged numbers are multiples of 1 / STEP
 UNIT = 1024             # ... weighed by words trained, in these units
@@ -117,7 +117,7 @@ class Vocabulary:
         self.singles = min(SINGLES, self.size)
         shared = self.size - self.singles
         # Every word pays for the blocks, about a quarter of all words for the words of one.
-        self.blocks = max(1, math.isqrt(shared) // 2) if shared else 0
+        self.blocks = max(1, math.isqrt(shared) // 4) if shared else 0
         self.width = -(-shared // self.blocks) if shared else 0
         self.classes = self.singles + self.blocks + REST
         at = np.arange(shared)

@@ -330,14 +330,14 @@ def test_op5_scores(spark, odd, none):
 def test_op5_brute_force(spark, monkeypatch):
     """Whole scores of a small corpus, word by word, with both levels of the softmax."""
     monkeypatch.setattr(masked_lm, "SINGLES", 4)
-    monkeypatch.setattr(masked_lm, "vocabulary_size", lambda total: 20)
+    monkeypatch.setattr(masked_lm, "vocabulary_size", lambda total: 100)
     monkeypatch.setattr(masked_lm, "PIECE_WORDS", 12)
     rng = random.Random(4)
-    rows = [(i, " ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randrange(30)))) for i in range(40)] + [(7, "w1 w1"), (None, "w2")]
+    rows = [(i, " ".join(f"w{min(rng.randrange(250), rng.randrange(250))}" for _ in range(rng.randrange(50)))) for i in range(40)] + [(7, "w1 w1"), (None, "w2")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     counts = scratch.written(masked_lm.word_counts(docs), "t-counts")
     vocab = masked_lm.vocabulary(counts)
-    assert vocab.size == 20 and vocab.blocks == 2
+    assert vocab.size == 100 < len({w for _, t in rows for w in t.split()}) and vocab.blocks == 2
     held = scratch.written(masked_lm.pieces(docs, vocab), "t-pieces")
     assert held.count() > 1
     flat = masked_lm.train(held, vocab)
