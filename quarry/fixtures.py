@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions.columns import row_hash
 from .functions.times import epoch_millis_ntz
+from .session import run_path
 from .sources.scan import add_date_partitions
 
 DAY_MS = 86_400_000
@@ -78,27 +79,37 @@ def raw_orders(spark: SparkSession, sf_dir: str, lines_per_record: int = LINES_P
 
     line_hash = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                            "l_returnflag", "l_linestatus", "l_shipdate")
-    counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
-    lines = (lineitem.join(counts, "l_orderkey")
-                     .withColumn("__h", line_hash)
-                     .withColumn("__salt", F.pmod(F.col("__h"),
-                                                  F.ceil(F.col("__n") / F.lit(lines_per_record)))))
+    # Only hot keys need salts: at most one per ``lines_per_record`` lines.  They are written,
+    # so Spark knows their size, and broadcasts them where they are few.
+    hot = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+                   .where(F.col("l_orderkey").isNotNull() & (F.col("__n") > lines_per_record))
+                   .select("l_orderkey", F.ceil(F.col("__n") / F.lit(lines_per_record)).alias("__salts")))
+    hot_path = run_path(spark, "hot_orders")
+    hot.write.parquet(hot_path)
+    hot = spark.read.schema(hot.schema).parquet(hot_path)
+    lines = (lineitem.where(F.col("l_orderkey").isNotNull()).join(hot, "l_orderkey", "left")
+                     .withColumn("__salt", F.coalesce(F.pmod(line_hash, F.col("__salts")), F.lit(0).cast("long")))
+                     .drop("__salts"))
     w = Window.partitionBy("l_orderkey", "__salt").orderBy("__h", "l_linenumber", "l_partkey", "l_suppkey",
                                                           "l_extendedprice", "l_shipdate")
     # Explicit (key, salt) partitioning: a partitioning on the key alone
-    # would satisfy the window's clustering and keep a hot key in one task.
-    chunks = (lines.repartition("l_orderkey", "__salt")
+    # would satisfy the window's clustering and keep a hot key in one task.  The
+    # hash is computed after it again, so its random bytes are not shuffled.
+    chunks = (lines.repartition("l_orderkey", "__salt").withColumn("__h", line_hash)
                    .withColumn("__sub", F.floor((F.row_number().over(w) - 1) / F.lit(lines_per_record)))
                    .groupBy("l_orderkey", "__salt", "__sub")
                    .agg(F.collect_list(_line_struct()).alias("__lines")))
-    with_lines = chunks.join(orders, chunks.l_orderkey == orders.o_orderkey)
-    line_keys = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    no_lines = (orders.join(line_keys, "o_orderkey", "left_anti")
-                      .withColumn("__lines", F.when(F.col("o_orderstatus") == "F",
-                                                    F.array().cast(chunks.schema["__lines"].dataType))))
+    # An order is repeated for each salt of its key and joins on both, so the lines stay
+    # where they were grouped: they are shuffled once.
+    parts = (orders.join(hot.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+                   .withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)) - 1))))
+    found = parts.join(chunks, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("__part") == F.col("__salt")), "left")
+    # A hot order has lines; a salt that got none of them is no record.
+    nothing = F.col("__lines").isNull()
+    lines_of = F.when(nothing & (F.col("o_orderstatus") == "F"), F.array().cast(chunks.schema["__lines"].dataType)).otherwise(F.col("__lines"))
     emitted = epoch_millis_ntz(F.col("o_orderdate")) + F.lit(2 * DAY_MS)
-    cols = [_order_struct(F.col("__lines")).alias("_raw_data"), emitted.alias("_emitted_at")]
-    return with_lines.select(*cols).unionByName(no_lines.select(*cols))
+    return (found.where(~nothing | F.col("__salts").isNull())
+                 .select(_order_struct(lines_of).alias("_raw_data"), emitted.alias("_emitted_at")))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

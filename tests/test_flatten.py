@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -123,6 +125,34 @@ def test_envelope_of_a_hot_order_stays_bounded(spark):
                                     hot.l_orderkey == F.col("o_orderkey")).count()
 
 
+def test_envelope_shuffles_the_lines_once(spark):
+    from quarry import fixtures as fx
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = _explain(fx.raw_orders(spark, SF_SMALL), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Details of the exchanges: a node's title, then its input columns.
+    inputs = [b.splitlines()[1] for b in plan.split("\n\n") if b.lstrip().startswith("(") and " Exchange" in b.splitlines()[0]]
+    assert sum("l_extendedprice" in x or "__lines" in x for x in inputs) == 1, inputs
+
+
+def test_envelope_of_odd_rows(spark):
+    """Lines that are all alike share a salt; null keys, orders without lines or twice."""
+    from quarry import fixtures as fx
+
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    day = dt.datetime(2024, 1, 2)
+    rows = [(key, 1, 2, 1, 3.0, 4.0, 0.0, 0.1, "N", "O", day) for key in [7] * 10 + [8, 8, None, 99]]
+    order = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = [(key, 1, status, 9.0, day, "5-LOW") for key, status in [(7, "F"), (8, "O"), (8, "O"), (9, "F"), (10, "O"), (None, "F"), (None, "O")]]
+    raw = fx.raw_orders(spark, "", lines_per_record=4, orders=spark.createDataFrame(orders, order), lineitem=spark.createDataFrame(rows, line))
+    got = sorted((str(r.k), -1 if r.n is None else r.n) for r in raw.select(F.col("_raw_data.orderId").alias("k"), F.when(F.col("_raw_data.lines").isNotNull(), F.size("_raw_data.lines")).alias("n")).collect())
+    assert got == [("10", -1), ("7", 2), ("7", 4), ("7", 4), ("8", 2), ("8", 2), ("9", 0), ("None", -1), ("None", 0)]
+
+
 def test_wide_payload_flattens_quickly(spark):
     import time
 
