@@ -428,7 +428,7 @@ def q_recipe_full_all_replace(spark, sf):
     table."""
     _utc(spark)
     raw_path = run_path(spark, "raw_orders")
-    fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_path)
+    fx.raw_orders(spark, sf).write.mode("overwrite").option("compression", "zstd").parquet(raw_path)
     cfg = charges_pipeline_config(run_path(spark, "deal_like") + "/table", origin=raw_path)
     run_pipeline(spark, cfg)
     # Second drop: open orders re-emitted a day later, escalated to urgent.
@@ -493,9 +493,9 @@ def q_config_batch(spark, sf):
     column of both published tables."""
     _utc(spark)
     raw_orders_path = run_path(spark, "raw_orders")
-    fx.raw_orders(spark, sf).write.mode("overwrite").parquet(raw_orders_path)
+    fx.raw_orders(spark, sf).write.mode("overwrite").option("compression", "zstd").parquet(raw_orders_path)
     raw_events_path = run_path(spark, "raw_events")
-    fx.raw_events(spark, sf).write.mode("overwrite").parquet(raw_events_path)
+    fx.raw_events(spark, sf).write.mode("overwrite").option("compression", "zstd").parquet(raw_events_path)
     dest = run_path(spark, "batch")
     doc = {"conf": [
         {"origin_table": raw_events_path, "destination_table": f"{dest}/contacts", "flow": "flow", "key": "user_id",
