@@ -23,6 +23,8 @@ Beyond it, target rows are dealt over some parts of their key by a row hash
 (``salts``: they grow with the shuffle width) and the reduced stage is repeated
 per part, so a hot target key never meets in one task.  Rows with a null key
 match nothing; they are dealt out by their hash alone.  Every form reads the target once.
+Where the result is laid out by the key's bucket anyway (``sinks/publish.py``), a large
+stage meets the target in that shuffle (``replace_laid_out``).
 
 ``keep_latest`` needs both sides' newest date per key.  Target rows and the
 reduced stage meet in one shuffle, as one tagged union: a window over (key, part)
@@ -123,6 +125,28 @@ def upsert_replace(target: DataFrame, stage: DataFrame, key: str | Sequence[str]
     return survivors.unionAll(_by_position(stage, target))
 
 
+def replace_laid_out(target: DataFrame, stage: DataFrame, key: str | Sequence[str], place: str, parts: int,
+                     null_parts: int | None = None) -> DataFrame:
+    """K1 for a large stage whose result is to be laid out by the column ``place``, a
+    function of the key: target rows, stage rows and a mark per stage key meet in the
+    layout's own shuffle, by (place, part), instead of one for the join before it.  Rows
+    are dealt over ``parts`` of their place by their hash (over ``null_parts`` without a
+    key) and a mark is repeated for each.  The result is partitioned so."""
+    keys, old, new, mark = _keys(key), 0, 1, 2
+    known = _and([_c(k).isNotNull() for k in keys])
+    part = F.pmod(row_hash(target), F.when(known, F.lit(parts)).otherwise(F.lit(null_parts or parts)))
+    rows = (target.withColumn("__kind", F.lit(old)).unionAll(_by_position(stage, target).withColumn("__kind", F.lit(new)))
+                  .withColumn("__part", part))
+    marks = (stage.where(known).select(*[_c(k) for k in dict.fromkeys([*keys, place])]).distinct()
+                  .withColumn("__kind", F.lit(mark)).withColumn("__part", _parts(parts)))
+    met = rows.unionByName(marks, allowMissingColumns=True).repartition(_c(place), "__part")
+    # The place leads: the rows leave sorted by place and key.
+    group = Window.partitionBy(*[_c(c) for c in dict.fromkeys([place, *keys])], "__part")
+    return (met.withColumn("__last", F.max("__kind").over(group))
+               .where((F.col("__kind") == new) | ((F.col("__kind") == old) & (F.col("__last") != mark)))
+               .select(*[_c(c) for c in target.columns]))
+
+
 def _order(date: str, tie_break: Sequence[str]) -> Column:
     return F.struct(*[_c(c) for c in (date, *tie_break)])
 

@@ -40,6 +40,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.conform import SchemaMismatch, conform
 from ..operators.quality import QualityError, key_constraint_report
+from ..operators import upsert as up
 from ..operators.upsert import upsert_guarded, upsert_replace
 from .files import _bytes, _exists, _fs, _names, _remove, fresh_beside, replace_folder, restore_folder
 
@@ -159,8 +160,10 @@ def full_refresh(df: DataFrame, path: str, fmt: str = "parquet", sort_key: str |
         _remove(spark, fresh)
 
 
-def _write_version(df: DataFrame, path: str, version: str, sort_key: str, writers: int) -> None:
-    (_layout(df, sort_key, writers).write.mode("overwrite").option("compression", "zstd")
+def _write_version(df: DataFrame, path: str, version: str, sort_key: str, writers: int | None) -> None:
+    """``writers=None``: the rows are in partitions by bucket already."""
+    laid_out = _layout(df, sort_key, writers) if writers else df.sortWithinPartitions(BUCKET, sort_key)
+    (laid_out.write.mode("overwrite").option("compression", "zstd")
         .partitionBy(BUCKET).parquet(f"{path.rstrip('/')}/{VERSION}={version}"))
 
 
@@ -241,7 +244,7 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
         schema = _plain(stage.schema)
     staged_path, version_path, committed = f"{root}/_staging/{run}", f"{root}/{VERSION}={run}", False
     try:
-        stage.write.parquet(staged_path)
+        stage.write.option("compression", "zstd").parquet(staged_path)
         staged_bytes = _bytes(spark, staged_path)
         n_buckets = fixed or buckets or suggest_buckets(staged_bytes)
         staged = spark.read.schema(schema).parquet(staged_path).withColumn(BUCKET, bucket_expr(key, n_buckets))
@@ -259,16 +262,20 @@ def publish_upsert(spark: SparkSession, stage: DataFrame, path: str, key: str =
         versions, sizes = (dict(old["versions"]), dict(old["bytes"])) if old else ({}, {})
         if rows:
             merged, touched = staged, [str(b) for b in found["buckets"]]
+            size = staged_bytes + sum(sizes.get(versions[b], 0) for b in touched if b in versions)
+            # A third of it may lie in one bucket.
+            writers = max(1, -(-size // (3 * WRITER_BYTES)))
             if old:
                 target = _read_buckets(spark, path, old, schema, set(found["buckets"]))
                 small = rows * 32 + key_bytes       # what a row per key would take at most
-                if guarded_by is None:
+                if guarded_by is None and small > up.BROADCAST_MAX_BYTES:
+                    merged = up.replace_laid_out(target, staged, key, BUCKET, min(writers, up.salts(staged)), writers)
+                    writers = None
+                elif guarded_by is None:
                     merged = upsert_replace(target, staged, key, stage_bytes=small)
                 else:
                     merged = upsert_guarded(target, staged, key, guarded_by, keep_latest=keep_latest, tie_break=tie_break, stage_bytes=small)
-            size = staged_bytes + sum(sizes.get(versions[b], 0) for b in touched if b in versions)
-            # A third of it may lie in one bucket.
-            _write_version(merged, path, run, key, max(1, -(-size // (3 * WRITER_BYTES))))
+            _write_version(merged, path, run, key, writers)
             if key_check != "off":
                 done = spark.read.schema(schema).parquet(version_path)
                 found["key_violations"] = key_constraint_report(done, key).count()

@@ -202,6 +202,36 @@ def test_equal_dates_across_drops_in_every_order(spark):
         assert rows(t) == [(1, "c")]
 
 
+@pytest.mark.parametrize("parts,null_parts", [(1, None), (3, 5)])
+def test_large_stage_meets_the_target_in_one_shuffle(spark, parts, null_parts):
+    from pyspark.sql import functions as F
+    from quarry.operators.upsert import replace_laid_out
+
+    place = lambda df: df.withColumn("place", F.pmod(F.xxhash64("id"), F.lit(4)).cast("int"))
+    hot = spark.range(50).select(F.lit(1).cast("bigint").alias("id"), F.concat(F.lit("h"), "id").alias("v"), F.lit(D(2024, 1, 2)).alias("dt_updated"))
+    old = target(spark).unionAll(target(spark)).unionAll(hot)
+    out = replace_laid_out(place(old), place(stage(spark)), "id", "place", parts, null_parts)
+    assert out.columns == ["id", "v", "dt_updated", "place"]
+    titles = [b for b in _explain(out, "formatted").split("\n\n") if " Exchange\n" in b]
+    assert sum("dt_updated#" in b.splitlines()[1] for b in titles) == 1, "\n".join(titles)
+    assert rows(out) == rows(upsert_replace(old, stage(spark), "id"))
+
+
+def test_publish_of_a_large_stage(spark, tmp_table, monkeypatch):
+    from quarry.operators import upsert as up
+    from quarry.sinks import publish
+
+    monkeypatch.setattr(up, "BROADCAST_MAX_BYTES", 0)
+    monkeypatch.setattr(publish, "WRITER_BYTES", 100)   # several writers a bucket
+    used, whole = [], up.replace_laid_out
+    monkeypatch.setattr(up, "replace_laid_out", lambda *a: used.append(a[4:]) or whole(*a))
+    path = tmp_table("large")
+    publish_upsert(spark, target(spark), path, buckets=2)
+    publish_upsert(spark, stage(spark), path)
+    assert len(used) == 1 and used[0][0] > 1
+    assert rows(read_bucketed(spark, path)) == rows(upsert_replace(target(spark), stage(spark), "id"))
+
+
 def test_broadcast_bound_from_session_setting(spark):
     from quarry.operators.upsert import BROADCAST_MAX_ROWS_CONF
 
